@@ -18,6 +18,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def trunc(unit: str, ts) -> Column:
+    """``date_trunc`` that stays ``timestamp_ntz`` (Spark returns a zoned value;
+    the session zone is UTC, so the cast back is the identity on wall time)."""
+    return F.date_trunc(unit, _c(ts)).cast("timestamp_ntz")
+
+
+def window_start(ts, duration: str, start: str | None = None) -> Column:
+    """Start of the tumbling window holding ``ts``, as ``timestamp_ntz``."""
+    return F.window(_c(ts), duration, startTime=start).start.cast("timestamp_ntz")
+
+
+EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def epoch_seconds(ts) -> Column:
+    return F.timestamp_diff("MICROSECOND", EPOCH, _c(ts)) / 1e6
+
+
+def from_epoch_seconds(x) -> Column:
+    return F.timestamp_add("MICROSECOND", F.round(_c(x) * 1e6).cast("bigint"), EPOCH)
+
+
 # P1 --------------------------------------------------------------------------
 def ts_from_date_hour(date, hour) -> Column:
     """``ts = date + hour`` on timestamp_ntz."""
@@ -48,11 +70,16 @@ def hhmm_minute(x) -> Column:
     return F.pmod(F.floor(_c(x)).cast("bigint"), F.lit(100)).cast("int")
 
 
+def add_minutes(ts, minutes, sign: int = 1) -> Column:
+    """``ts + minutes`` (fractional minutes kept to the microsecond)."""
+    micros = F.round(_c(minutes) * F.lit(60_000_000.0)).cast("bigint") * F.lit(sign)
+    return F.timestamp_add("MICROSECOND", micros, _c(ts))
+
+
 # P4 --------------------------------------------------------------------------
 def departure_ts(ts, basis, minutes, arrival_value: str = "arr") -> Column:
     """Arrival rows move back by the trip minutes; departure rows stay."""
-    shift = F.make_dt_interval(secs=(_c(minutes) * 60).cast("decimal(18,6)"))
-    return F.when(_c(basis) == arrival_value, _c(ts) - shift).otherwise(_c(ts))
+    return F.when(_c(basis) == arrival_value, add_minutes(ts, minutes, -1)).otherwise(_c(ts))
 
 
 # P5 --------------------------------------------------------------------------
@@ -72,13 +99,12 @@ def end_hour(hour, minutes) -> Column:
 # P6 --------------------------------------------------------------------------
 def arrival_hour(dep_ts, minutes) -> Column:
     """Arrival time floored to the hour: ``dep + minutes``."""
-    arr = _c(dep_ts) + F.make_dt_interval(secs=(_c(minutes) * 60).cast("decimal(18,6)"))
-    return F.date_trunc("hour", arr)
+    return trunc("hour", add_minutes(dep_ts, minutes))
 
 
 # P7 --------------------------------------------------------------------------
 def shift_minutes(ts_a, ts_b) -> Column:
-    return F.timestampdiff("SECOND", _c(ts_b), _c(ts_a)) / 60.0
+    return F.timestamp_diff("SECOND", _c(ts_b), _c(ts_a)) / 60.0
 
 
 # P8 --------------------------------------------------------------------------
@@ -114,12 +140,12 @@ def year_month_label(d) -> Column:
 def floor_hours(ts, hours: int) -> Column:
     """Floor to an n-hour block counted from midnight."""
     if hours == 1:
-        return F.date_trunc("hour", _c(ts))
-    return F.window(_c(ts), f"{hours} hours").start
+        return trunc("hour", ts)
+    return window_start(ts, f"{hours} hours")
 
 
 def floor_day(ts) -> Column:
-    return F.date_trunc("day", _c(ts))
+    return trunc("day", ts)
 
 
 # P12 / P13 -------------------------------------------------------------------
@@ -275,4 +301,4 @@ def week_start_w_mon(d) -> Column:
 # Cycle start (I4, SURVEY 2.X.9) ---------------------------------------------
 def cycle_start(ts) -> Column:
     """12-hour shifts starting 04:00 and 16:00; 00-03 belongs to the day before."""
-    return F.window(_c(ts), "12 hours", startTime="4 hours").start
+    return window_start(ts, "12 hours", "4 hours")

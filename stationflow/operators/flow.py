@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import trunc, window_start
+
 from ..util import id_filter
 
 
@@ -50,7 +52,7 @@ def role_flow(exploded: DataFrame, time_col: str = "ts", station: str = "station
 
     ``weight`` None counts rows; otherwise sums that column.
     """
-    t = F.date_trunc(grain, F.col(time_col)) if grain else F.col(time_col)
+    t = trunc(grain, F.col(time_col)) if grain else F.col(time_col)
     is_in = F.col("role").isin("end", "both")
     is_out = F.col("role").isin("start", "both")
     if weight is None:
@@ -73,7 +75,7 @@ def hourly_departures(trips: DataFrame, weather_cols: Iterable[str] = (), statio
                       time_col: str = "ts", cnt: str = "cnt") -> DataFrame:
     """``sum(cnt)`` and mean weather per (origin, hour)."""
     return (trips.groupBy(F.col(station).alias("station_id"),
-                          F.date_trunc("hour", F.col(time_col)).alias("ts"))
+                          trunc("hour", F.col(time_col)).alias("ts"))
             .agg(F.sum(cnt).alias("departures"), *[F.avg(c).alias(c) for c in weather_cols]))
 
 
@@ -83,7 +85,7 @@ def two_sided_flow(trips: DataFrame, time_col: str = "ts", cnt: str = "cnt",
                    dep: str = "dep", arr: str = "arr") -> DataFrame:
     """Rentals by origin on departure rows, returns by destination on arrival rows,
     full outer joined per (station, hour), zeros filled; ``net_out = rentals - returns``."""
-    t = F.date_trunc("hour", F.col(time_col))
+    t = trunc("hour", F.col(time_col))
     rent = (trips.filter(F.col(basis) == dep)
             .groupBy(F.col(start).alias("station_id"), t.alias("ts")).agg(F.sum(cnt).alias("rentals")))
     ret = (trips.filter(F.col(basis) == arr)
@@ -161,8 +163,7 @@ def group_agg(df: DataFrame, keys: list, spec: dict[str, list[str]]) -> DataFram
 def block_agg(df: DataFrame, hours: int, spec: dict[str, list[str]], station: str = "station_id",
               time_col: str = "ts", start_hour: int = 0) -> DataFrame:
     """N-hour tumbling blocks per station (``start_hour`` offsets the grid)."""
-    w = F.window(F.col(time_col), f"{hours} hours",
-                 startTime=f"{start_hour} hours" if start_hour else None).start
+    w = window_start(time_col, f"{hours} hours", f"{start_hour} hours" if start_hour else None)
     x = df.withColumn("block_start", w)
     return group_agg(x, [station, "block_start"], spec)
 
@@ -175,7 +176,7 @@ def daily_resample(df: DataFrame, value: str, station: str = "station_id",
     rng = d.groupBy(station).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     spine = rng.select(station, F.explode(F.sequence("lo", "hi")).alias("day"))
     out = spine.join(d, [station, "day"], "left").fillna(0, subset=[value])
-    return out.withColumn("month", F.date_trunc("month", "day").cast("date"))
+    return out.withColumn("month", trunc("month", "day").cast("date"))
 
 
 # A19 -------------------------------------------------------------------------
@@ -228,10 +229,10 @@ def station_profile(df: DataFrame, value: str, peak_hours, station: str = "stati
 def coverage(df: DataFrame, station: str = "station_id", time_col: str = "ts",
              by_month: bool = False) -> DataFrame:
     """Observed hours vs hours of the full range, missing count, ratio."""
-    keys = [station] + ([F.date_trunc("month", time_col).alias("month")] if by_month else [])
-    g = df.groupBy(*keys).agg(F.count_distinct(F.date_trunc("hour", time_col)).alias("observed"),
+    keys = [station] + ([trunc("month", time_col).alias("month")] if by_month else [])
+    g = df.groupBy(*keys).agg(F.count_distinct(trunc("hour", time_col)).alias("observed"),
                               F.min(time_col).alias("t0"), F.max(time_col).alias("t1"))
-    full = F.timestampdiff("HOUR", F.date_trunc("hour", "t0"), F.date_trunc("hour", "t1")) + 1
+    full = F.timestamp_diff("HOUR", trunc("hour", "t0"), trunc("hour", "t1")) + 1
     return (g.withColumn("full_hours", full)
             .withColumn("missing", F.col("full_hours") - F.col("observed"))
             .withColumn("coverage", F.col("observed") / F.col("full_hours")).drop("t0", "t1"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import trunc, window_start
+
 HOUR = F.expr("INTERVAL 1 HOUR")
 
 
@@ -26,8 +28,8 @@ def densify(df: DataFrame, station: str = "station_id", time_col: str = "ts",
     (G3: from 00:00 of the first day to 23:00 of the last), values filled."""
     rng = df.groupBy(station).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
     if whole_days:
-        rng = rng.select(station, F.date_trunc("day", "_lo").alias("_lo"),
-                         (F.date_trunc("day", "_hi") + F.expr("INTERVAL 23 HOURS")).alias("_hi"))
+        rng = rng.select(station, trunc("day", "_lo").alias("_lo"),
+                         (trunc("day", "_hi") + F.expr("INTERVAL 23 HOURS")).alias("_hi"))
     spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", HOUR)).alias(time_col))
     out = spine.join(df, [station, time_col], "left")
     cols = value_cols if value_cols is not None else [c for c in df.columns

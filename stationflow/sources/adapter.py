@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeparts import trunc
+
 from .tables import read_table
 
 N_STATIONS = 25
@@ -59,7 +61,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather from error events; hours without one are the gaps."""
     ev = read_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
     return (ev.filter(F.col("event_type") == "error")
-            .groupBy(F.date_trunc("hour", "ts").alias("ts"))
+            .groupBy(trunc("hour", "ts").alias("ts"))
             .agg(F.avg("value").alias("temp"), F.max("value").alias("humidity"),
                  F.min("value").alias("rain")))
 

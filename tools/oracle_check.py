@@ -80,6 +80,25 @@ def compare(sp_rows, sp_cols, dk_rows, dk_cols):
     return f"values differ ({len(bad)} rows), first: spark={bad[0][0]} duck={bad[0][1]}"
 
 
+SPARK2DUCK = {"IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE",
+              "StringType": "VARCHAR", "DateType": "DATE", "TimestampNTZType": "TIMESTAMP",
+              "BooleanType": "BOOLEAN", "FloatType": "FLOAT", "ShortType": "SMALLINT",
+              "ByteType": "TINYINT", "TimestampType": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diff(schema, dk_cols, dk_types):
+    out = []
+    for f in schema.fields:
+        st = type(f.dataType).__name__
+        want = SPARK2DUCK.get(st)
+        if want is None or f.name not in dk_cols:
+            continue
+        got = str(dk_types[dk_cols.index(f.name)])
+        if got.upper() != want:
+            out.append(f"{f.name}: spark {want} duck {got}")
+    return "; ".join(out)
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
@@ -114,6 +133,9 @@ def main():
             n_bad += 1
             continue
         msg = compare(sp_rows, sp_cols, dk_rows, dk_cols)
+        tmsg = type_diff(df.schema, dk_cols, [d[1] for d in res.description])
+        if tmsg:
+            print(f"TYPES      {name}: {tmsg}")
         if msg is None:
             n_ok += 1
             print(f"ok         {name}: {len(sp_rows)} rows  {t1 - t0:.1f}s")
