@@ -1 +1,201 @@
-"""Registered queries."""
+"""Filter and predicate queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from .. import schema
+from ..operators import cleanse
+from ..sources import adapter as ad
+from .catalog import register
+
+V = ad.with_views
+TARGETS = ["ST-1", "ST-4", "ST-12"]
+TSQL = "('ST-1', 'ST-4', 'ST-12')"
+TRIP_COLS = "event_id, start_id, end_id, basis, cnt, use_min, use_dist, ts"
+
+
+def _trips(spark, sf_dir):
+    return ad.trips(spark, sf_dir).select(*[c.strip() for c in TRIP_COLS.split(",")])
+
+
+@register("f01_station_rows", "F1", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE start_id IN {TSQL} OR end_id IN {TSQL}""")
+def f01(spark, sf_dir):
+    return cleanse.filter_station_rows(_trips(spark, sf_dir), TARGETS)
+
+
+@register("f01b_station_rows_by_table", "F1 J5", V("trips") + f""",
+sel AS (SELECT 'ST-' || CAST(n_nationkey AS VARCHAR) AS station_id FROM nation WHERE n_regionkey = 1)
+SELECT {TRIP_COLS} FROM trips WHERE start_id IN (SELECT station_id FROM sel)
+                              OR end_id IN (SELECT station_id FROM sel)""")
+def f01b(spark, sf_dir):
+    from ..sources.tables import read_table
+    sel = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]) \
+        .filter("n_regionkey = 1").select(F.concat(F.lit("ST-"), F.col("n_nationkey").cast("string")))
+    return cleanse.filter_station_rows(_trips(spark, sf_dir), sel)
+
+
+@register("f02_station_contains", "F2", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips
+WHERE contains(start_id, 'ST-1') OR contains(end_id, 'ST-1') OR contains(start_id, 'ST-4') OR contains(end_id, 'ST-4')""")
+def f02(spark, sf_dir):
+    return cleanse.filter_station_contains(_trips(spark, sf_dir), ["ST-1", "ST-4"])
+
+
+@register("f03_basis_aware_keep", "F3", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips
+WHERE (basis = 'dep' AND start_id IN {TSQL}) OR (basis = 'arr' AND end_id IN {TSQL})""")
+def f03(spark, sf_dir):
+    return cleanse.basis_aware_keep(_trips(spark, sf_dir), TARGETS)
+
+
+@register("f04_distance_guard", "F4 P34", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE TRY_CAST(CAST(use_dist AS VARCHAR) AS DOUBLE) > 50""")
+def f04(spark, sf_dir):
+    return cleanse.distance_guard(_trips(spark, sf_dir))
+
+
+@register("f05_min_use_guard", "F5", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE use_min >= 5 AND use_dist >= 5""")
+def f05(spark, sf_dir):
+    return cleanse.min_use_guard(_trips(spark, sf_dir))
+
+
+@register("f06_strict_use_guard", "F6", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE use_min > 5 AND use_dist > 0""")
+def f06(spark, sf_dir):
+    return cleanse.strict_use_guard(_trips(spark, sf_dir))
+
+
+@register("f07_drop_zero_trips", "F7", V("trips") + f"""
+SELECT {TRIP_COLS}
+FROM (SELECT * REPLACE (floor(use_min / 10) AS use_min,
+                        CASE WHEN event_id % 5 = 0 THEN 0.0 ELSE use_dist END AS use_dist)
+      FROM trips) t
+WHERE NOT (coalesce(use_dist, 0) = 0 AND coalesce(use_min, 0) = 0)""")
+def f07(spark, sf_dir):
+    # minutes coarsened to tens and every fifth distance zeroed, so both-zero rows exist
+    t = _trips(spark, sf_dir).withColumns({
+        "use_min": F.floor(F.col("use_min") / 10).cast("double"),
+        "use_dist": F.when(F.col("event_id") % 5 == 0, F.lit(0.0)).otherwise(F.col("use_dist"))})
+    return cleanse.drop_zero_trips(t)
+
+
+@register("f08_drop_unknown_destination", "F8", V("trips") + f"""
+SELECT {TRIP_COLS} FROM (SELECT * REPLACE (CASE WHEN event_id % 11 = 0 THEN ' x '
+                                                 WHEN event_id % 13 = 0 THEN NULL ELSE end_id END AS end_id)
+                         FROM trips) t
+WHERE coalesce(upper(trim(end_id)) <> 'X', true)""")
+def f08(spark, sf_dir):
+    t = _trips(spark, sf_dir).withColumn(
+        "end_id", F.when(F.col("event_id") % 11 == 0, F.lit(" x "))
+        .when(F.col("event_id") % 13 == 0, F.lit(None)).otherwise(F.col("end_id")))
+    return cleanse.drop_unknown_destination(t)
+
+
+@register("f09_drop_internal_arrivals", "F9", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips
+WHERE NOT (basis = 'arr' AND start_id IN {TSQL} AND end_id IN {TSQL})""")
+def f09(spark, sf_dir):
+    obs = Observation("f09")
+    return cleanse.drop_internal_arrival_duplicates(_trips(spark, sf_dir), TARGETS, observation=obs)
+
+
+@register("f10_date_range", "F10", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE base_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""")
+def f10(spark, sf_dir):
+    t = ad.trips(spark, sf_dir)
+    out = cleanse.date_range(t, "base_date", F.to_date(F.lit("2024-01-05")),
+                             F.to_date(F.lit("2024-01-12")))
+    return out.select(*[c.strip() for c in TRIP_COLS.split(",")])
+
+
+@register("f11_keep_hours", "F11", V("trips") + f"""
+SELECT {TRIP_COLS} FROM trips WHERE hour IN (4, 16)""")
+def f11(spark, sf_dir):
+    return cleanse.keep_hours(ad.trips(spark, sf_dir), [4, 16]).select(
+        *[c.strip() for c in TRIP_COLS.split(",")])
+
+
+@register("f12_exclude_key_missing_coords", "F12", V("stations") + """
+SELECT station_id, lat, lon FROM (
+  SELECT station_id, CASE WHEN region = 2 THEN NULL ELSE lat END AS lat, lon FROM stations) s
+WHERE station_id <> 'ST-3' AND lat IS NOT NULL AND lon IS NOT NULL""")
+def f12(spark, sf_dir):
+    s = ad.stations(spark, sf_dir).select(
+        "station_id", F.when(F.col("region") == 2, F.lit(None)).otherwise(F.col("lat")).alias("lat"), "lon")
+    return cleanse.exclude_key_and_missing(s, "station_id", "ST-3")
+
+
+@register("f13_dropna_subset", "F13 J1", V("trips", "weather") + """
+SELECT t.event_id, w.temp FROM trips t LEFT JOIN weather w ON date_trunc('hour', t.ts) = w.ts
+WHERE w.temp IS NOT NULL""")
+def f13(spark, sf_dir):
+    from .q_flow import trips_weather
+    return cleanse.drop_missing(trips_weather(spark, sf_dir).select("event_id", "temp"), ["temp"])
+
+
+@register("f14_exclude_zero_counts", "F14", V("trips") + """
+SELECT event_id, cnt FROM (SELECT event_id, (event_id % 4) * CAST(0.5 AS DOUBLE) AS cnt FROM trips) t
+WHERE round_even(cnt, 0) <> 0""")
+def f14(spark, sf_dir):
+    t = ad.trips(spark, sf_dir).select("event_id", ((F.col("event_id") % 4) * 0.5).alias("cnt"))
+    return cleanse.exclude_zero_counts(t)
+
+
+# Korean source names for F15 / F16 (the canonical -> source map of schema.py)
+KO = {"start_id": "시작_대여소_ID", "end_id": "종료_대여소_ID", "basis": "집계_기준",
+      "cnt": "전체_건수", "use_min": "전체_이용_분"}
+
+
+@register("f15_resolve_columns", "F15 F16", V("trips") + """
+SELECT end_id, start_id, cnt, CAST(0.0 AS DOUBLE) AS use_dist FROM trips""")
+def f15(spark, sf_dir):
+    t = ad.trips(spark, sf_dir).select(*[F.col(k).alias(v) for k, v in KO.items()])
+    r = schema.resolve_columns(t, defaults={"use_dist": 0.0})
+    return schema.select_existing(r, ["end_id", "start_id", "no_such_col", "cnt", "use_dist"])
+
+
+@register("f18_calendar_slice", "F18", V("od_daily") + """
+SELECT order_id, line, day FROM od_daily
+WHERE year(day) = 1996 AND month(day) = 1 AND isodow(day) = 6""")
+def f18(spark, sf_dir):
+    od = ad.od_daily(spark, sf_dir).select("order_id", "line", "day")
+    return cleanse.calendar_slice(od, "day", 1996, 1, 5)
+
+
+@register("f19_missing_ids", "F19 U4 J6", V("trips", "stations") + """
+SELECT station_id FROM stations
+WHERE station_id NOT IN (SELECT DISTINCT end_id FROM trips
+                         WHERE basis = 'dep' AND hour = 3 AND base_date = DATE '2024-01-02')""")
+def f19(spark, sf_dir):
+    t = ad.trips(spark, sf_dir).filter("basis = 'dep' AND hour = 3 AND base_date = DATE'2024-01-02'").select(F.col("end_id").alias("station_id"))
+    return cleanse.missing_ids(t, "station_id", ad.stations(spark, sf_dir).select("station_id"))
+
+
+@register("f20_involvement_counts", "F20 P33", V("trips") + f"""
+SELECT CASE WHEN start_id IN {TSQL} AND end_id IN {TSQL} THEN 'both'
+            WHEN start_id IN {TSQL} THEN 'origin_only'
+            WHEN end_id IN {TSQL} THEN 'destination_only' ELSE 'none' END AS involvement,
+       count(*) AS n
+FROM trips GROUP BY 1""")
+def f20(spark, sf_dir):
+    t = ad.trips(spark, sf_dir)
+    return t.groupBy(cleanse.involvement_label(TARGETS).alias("involvement")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("u02_union_priority", "U2 U1", V("trips", "weather") + """,
+a AS (SELECT ts, temp FROM weather),
+b AS (SELECT date_trunc('hour', ts) AS ts, avg(use_min) AS temp FROM trips GROUP BY 1),
+u AS (SELECT ts, temp, 0 AS src FROM a UNION ALL SELECT ts, temp, 1 FROM b)
+SELECT ts, round(temp, 6) AS temp FROM (
+  SELECT *, row_number() OVER (PARTITION BY ts ORDER BY src) AS rn FROM u) x WHERE rn = 1""", check="T")
+def u02(spark, sf_dir):
+    from ..functions.timeparts import trunc
+    a = ad.weather(spark, sf_dir).select("ts", "temp")
+    b = ad.trips(spark, sf_dir).groupBy(trunc("hour", "ts").alias("ts")).agg(F.avg("use_min").alias("temp"))
+    out = cleanse.union_priority([a, b], ["ts"])
+    return out.select("ts", F.round("temp", 6).alias("temp"))
