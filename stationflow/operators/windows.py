@@ -145,12 +145,15 @@ def top_n(df: DataFrame, partition, order: list[Column], n: int) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def arg_best(df: DataFrame, keys: list, metric: str, cols: list[str], largest: bool = False) -> DataFrame:
-    """Row with the min (or max) metric per group: ``min_by`` on a struct, one pass,
+def arg_best(df: DataFrame, keys: list, metric: str, cols: list[str], largest: bool = False,
+             tiebreak: list[str] = ()) -> DataFrame:
+    """Row with the min (or max) metric per group, first in ``tiebreak`` order on ties
+    (pandas ``idxmin``/``idxmax``): ``min_by`` on a struct key, one pass with
     partial aggregation, no sort of the group."""
     s = F.struct(*[F.col(c) for c in cols])
-    agg = F.max_by(s, F.col(metric)) if largest else F.min_by(s, F.col(metric))
-    return df.groupBy(*keys).agg(agg.alias("_b")).select(*keys, "_b.*")
+    m = -F.col(metric) if largest else F.col(metric)
+    key = F.struct(m, *[F.col(t) for t in tiebreak])
+    return df.groupBy(*keys).agg(F.min_by(s, key).alias("_b")).select(*keys, "_b.*")
 
 
 def argmax_column(cols: list[str]) -> Column:
