@@ -99,7 +99,7 @@ def i06(spark, sf_dir):
     return _refill(spark, sf_dir)
 
 
-_REFILL_TAIL = REFILL_SQL[len(NEED_SQL):].replace(" rng", " crng").replace("grid", "cgrid")
+_REFILL_TAIL = REFILL_SQL[len(NEED_SQL):].replace("rng", "crng").replace("grid", "cgrid")
 _BEFORE_TAIL = BEFORE_SQL[len(V("trips")) + 1:]  # reuses the trips view defined above
 
 
