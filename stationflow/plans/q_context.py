@@ -1 +1 @@
-"""Registered queries."""
+"""Registered queries (context features live in q_geo)."""
