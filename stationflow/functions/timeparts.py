@@ -29,15 +29,16 @@ def window_start(ts, duration: str, start: str | None = None) -> Column:
     return F.window(_c(ts), duration, startTime=start).start.cast("timestamp_ntz")
 
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_seconds(ts) -> Column:
-    return F.timestamp_diff("MICROSECOND", EPOCH, _c(ts)) / 1e6
+    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts)) / 1e6
 
 
 def from_epoch_seconds(x) -> Column:
-    return F.timestamp_add("MICROSECOND", F.round(_c(x) * 1e6).cast("bigint"), EPOCH)
+    return F.timestamp_add("MICROSECOND", F.round(_c(x) * 1e6).cast("bigint"), _epoch())
 
 
 # P1 --------------------------------------------------------------------------

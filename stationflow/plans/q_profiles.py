@@ -1 +1,245 @@
-"""Registered queries."""
+"""Profile, similarity and weighting queries.
+
+Month profiles: mean daily trips per (origin station, month of year, weekday)
+over the whole ``od_daily`` table (SURVEY 7.4: weekday stands in for hour).
+Week profiles: 168 hourly slots of the trip panel.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.timeparts import season
+from ..operators import profiles as pf
+from ..sources import adapter as ad
+from .catalog import register
+from .q_flow import PANEL, hourly_flow_panel, od_day
+
+V = ad.with_views
+
+MP_SQL = V("od_daily") + """,
+od_day AS (SELECT start_id AS station_id, day, sum(cnt) AS cnt FROM od_daily GROUP BY 1, 2),
+mp AS (SELECT station_id, CAST(month(day) AS INTEGER) AS month, CAST(isodow(day) - 1 AS INTEGER) AS slot,
+              avg(cnt) AS value FROM od_day GROUP BY 1, 2, 3),
+lab AS (SELECT DISTINCT station_id, month, CAST(floor(((month % 12) + 3) / 3) AS INTEGER) AS cluster FROM mp)"""
+
+
+def month_profiles(spark, sf_dir):
+    d = od_day(spark, sf_dir).withColumns({"month": F.month("day"), "slot": F.weekday("day")})
+    return pf.slot_profile(d, ["station_id", "month"], "slot", "cnt")
+
+
+def season_labels(mp):
+    """Fixed month labels (season code) used where an exact oracle is needed."""
+    return mp.select("station_id", "month").distinct().withColumn("cluster", season("month"))
+
+
+@register("c01_month_profile_wide", "C1 A16 A40", MP_SQL + """
+SELECT station_id, month, """ + ", ".join(
+    f'round(coalesce(max(value) FILTER (WHERE slot = {s}), 0.0), 6) AS "{s}"' for s in range(7)) + """
+FROM mp GROUP BY 1, 2""", check="T")
+def c01(spark, sf_dir):
+    mp = month_profiles(spark, sf_dir)
+    w = mp.groupBy("station_id", "month").pivot("slot", list(range(7))).agg(F.first("value"))
+    return w.select("station_id", "month", *[F.round(F.coalesce(F.col(str(s)), F.lit(0.0)), 6).alias(str(s))
+                                             for s in range(7)])
+
+
+PAIR_SQL = MP_SQL + """,
+pairs AS (SELECT a.station_id, a.month AS item_a, b.month AS item_b, corr(a.value, b.value) AS pearson,
+                 CASE WHEN sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)) = 0 THEN 0.0
+                      ELSE sum(a.value * b.value) / (sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)))
+                 END AS cosine
+          FROM mp a JOIN mp b ON a.station_id = b.station_id AND a.slot = b.slot AND a.month < b.month
+          GROUP BY 1, 2, 3)"""
+
+
+def month_pairs(spark, sf_dir):
+    return pf.pair_similarity(month_profiles(spark, sf_dir), ["station_id"], "month")
+
+
+@register("c02_month_pair_similarity", "C2 C3 J14", PAIR_SQL + """
+SELECT station_id, item_a, item_b, round(pearson, 6) AS pearson, round(cosine, 6) AS cosine FROM pairs""",
+          check="T")
+def c02(spark, sf_dir):
+    p = month_pairs(spark, sf_dir)
+    return p.select("station_id", "item_a", "item_b", F.round("pearson", 6).alias("pearson"),
+                    F.round("cosine", 6).alias("cosine"))
+
+
+@register("c05_ranked_pairs", "C5 O3", PAIR_SQL + """
+SELECT station_id, item_a, item_b, round(cosine, 6) AS cosine,
+       CAST(rank() OVER (PARTITION BY station_id ORDER BY round(cosine, 9) DESC) AS INTEGER) AS rank
+FROM pairs WHERE cosine >= 0.98""", check="T")
+def c05(spark, sf_dir):
+    from pyspark.sql import Window
+    p = month_pairs(spark, sf_dir).filter(F.col("cosine") >= 0.98)
+    w = Window.partitionBy("station_id").orderBy(F.round("cosine", 9).desc())
+    return p.select("station_id", "item_a", "item_b", F.round("cosine", 6).alias("cosine"),
+                    F.rank().over(w).alias("rank"))
+
+
+@register("c04_standardized_month_vectors", "C4", V("od_daily") + """,
+m AS (SELECT start_id AS station_id, CAST(month(day) AS INTEGER) AS month, avg(cnt) AS cnt_mean,
+             avg(use_dist) AS dist_mean, avg(use_min) AS min_mean FROM od_daily GROUP BY 1, 2),
+z AS (SELECT station_id, month,
+             (cnt_mean - avg(cnt_mean) OVER s) / CASE WHEN stddev_pop(cnt_mean) OVER s = 0 THEN 1.0
+                                                     ELSE stddev_pop(cnt_mean) OVER s END AS cnt_mean,
+             (dist_mean - avg(dist_mean) OVER s) / CASE WHEN stddev_pop(dist_mean) OVER s = 0 THEN 1.0
+                                                       ELSE stddev_pop(dist_mean) OVER s END AS dist_mean,
+             (min_mean - avg(min_mean) OVER s) / CASE WHEN stddev_pop(min_mean) OVER s = 0 THEN 1.0
+                                                     ELSE stddev_pop(min_mean) OVER s END AS min_mean
+      FROM m WINDOW s AS (PARTITION BY station_id)),
+l AS (SELECT station_id, month, 'cnt_mean' AS slot, cnt_mean AS value FROM z
+      UNION ALL SELECT station_id, month, 'dist_mean', dist_mean FROM z
+      UNION ALL SELECT station_id, month, 'min_mean', min_mean FROM z)
+SELECT a.station_id, a.month AS item_a, b.month AS item_b,
+       round(CASE WHEN sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)) = 0 THEN 0.0
+             ELSE sum(a.value * b.value) / (sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value))) END, 5)
+         AS cosine
+FROM l a JOIN l b ON a.station_id = b.station_id AND a.slot = b.slot AND a.month < b.month GROUP BY 1, 2, 3""",
+          check="T")
+def c04(spark, sf_dir):
+    od = ad.od_daily(spark, sf_dir)
+    m = od.groupBy(F.col("start_id").alias("station_id"), F.month("day").alias("month")).agg(
+        F.avg("cnt").alias("cnt_mean"), F.avg("use_dist").alias("dist_mean"), F.avg("use_min").alias("min_mean"))
+    metrics = ["cnt_mean", "dist_mean", "min_mean"]
+    z = pf.standardize_within(m, ["station_id"], metrics)
+    long = z.unpivot(["station_id", "month"], metrics, "slot", "value")
+    p = pf.pair_similarity(long, ["station_id"], "month")
+    return p.select("station_id", "item_a", "item_b", F.round("cosine", 5).alias("cosine"))
+
+
+WEEK_SQL = PANEL + """,
+wk AS (SELECT station_id, CAST(ts AS DATE) - to_days(CAST((isodow(ts) - 1 - 1 + 7) % 7 AS INTEGER)) AS week,
+              CAST((isodow(ts) - 1) * 24 + hour(ts) AS INTEGER) AS slot, total_flow FROM panel),
+full_w AS (SELECT station_id, week FROM wk GROUP BY 1, 2 HAVING count(DISTINCT slot) = 168),
+wp AS (SELECT wk.station_id, CAST(wk.week AS DATE) AS week, slot, CAST(sum(total_flow) AS DOUBLE) AS value
+       FROM wk JOIN full_w ON wk.station_id = full_w.station_id AND wk.week = full_w.week GROUP BY 1, 2, 3),
+wpairs AS (SELECT a.station_id, a.week AS item_a, b.week AS item_b,
+                  CASE WHEN sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)) = 0 THEN 0.0
+                       ELSE sum(a.value * b.value) / (sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value)))
+                  END AS cosine
+           FROM wp a JOIN wp b ON a.station_id = b.station_id AND a.slot = b.slot AND a.week < b.week
+           GROUP BY 1, 2, 3)"""
+
+
+def week_pairs(spark, sf_dir):
+    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", F.col("total_flow").cast("double"))
+    wp = pf.week_profiles(p, "total_flow")
+    return pf.pair_similarity(wp, ["station_id"], "week")
+
+
+@register("c06_week_pair_cosine", "C6 J14", WEEK_SQL + """
+SELECT station_id, item_a, item_b, round(cosine, 6) AS cosine FROM wpairs""", check="T")
+def c06(spark, sf_dir):
+    return week_pairs(spark, sf_dir).select("station_id", "item_a", "item_b", F.round("cosine", 6).alias("cosine"))
+
+
+@register("c07_similar_weeks_removed", "C7", check="R")
+def c07(spark, sf_dir):
+    # reference threshold; the synthetic weeks are rarely this alike, the unit test
+    # covers removals on a fixture
+    return pf.similar_weeks_to_drop(week_pairs(spark, sf_dir), threshold=0.998)
+
+
+@register("c08_ward_month_clusters", "C8", check="R")
+def c08(spark, sf_dir):
+    return pf.ward_clusters(month_profiles(spark, sf_dir), "station_id", "month")
+
+
+@register("c09_silhouette", "C9", MP_SQL + """,
+d AS (SELECT a.station_id, a.month AS i, b.month AS j, sqrt(sum(pow(a.value - b.value, 2))) AS dist
+      FROM mp a JOIN mp b ON a.station_id = b.station_id AND a.slot = b.slot AND a.month <> b.month GROUP BY 1, 2, 3),
+dl AS (SELECT d.*, li.cluster AS ci, lj.cluster AS cj FROM d
+       JOIN lab li ON d.station_id = li.station_id AND d.i = li.month
+       JOIN lab lj ON d.station_id = lj.station_id AND d.j = lj.month),
+per AS (SELECT station_id, i, ci, cj, avg(dist) AS md FROM dl GROUP BY 1, 2, 3, 4),
+own AS (SELECT station_id, i, md AS a FROM per WHERE ci = cj),
+oth AS (SELECT station_id, i, min(md) AS b FROM per WHERE ci <> cj GROUP BY 1, 2),
+s AS (SELECT lab.station_id, CASE WHEN own.a IS NULL THEN 0.0 ELSE (oth.b - own.a) / greatest(own.a, oth.b) END AS s
+      FROM lab LEFT JOIN own ON lab.station_id = own.station_id AND lab.month = own.i
+               LEFT JOIN oth ON lab.station_id = oth.station_id AND lab.month = oth.i)
+SELECT station_id, round(avg(s), 6) AS silhouette FROM s GROUP BY 1""", check="T")
+def c09(spark, sf_dir):
+    mp = month_profiles(spark, sf_dir)
+    s = pf.silhouette(mp, season_labels(mp), ["station_id"], "month")
+    return s.withColumn("silhouette", F.round("silhouette", 6))
+
+
+@register("c10_kmeans_month_profiles", "C10", check="R")
+def c10(spark, sf_dir):
+    mp = month_profiles(spark, sf_dir)
+    wide = mp.groupBy("station_id", "month").pivot("slot", list(range(7))).agg(F.first("value")).fillna(0.0)
+    cols = [str(s) for s in range(7)]
+    return pf.kmeans_profiles(wide, cols, k=3).select("station_id", "month", "cluster")
+
+
+REP_SQL = MP_SQL + """,
+p AS (SELECT mp.*, lab.cluster FROM mp JOIN lab ON mp.station_id = lab.station_id AND mp.month = lab.month),
+mean AS (SELECT station_id, cluster, slot, avg(value) AS m FROM p GROUP BY 1, 2, 3),
+dd AS (SELECT p.station_id, p.cluster, p.month, sqrt(sum(pow(p.value - mean.m, 2))) AS dist
+       FROM p JOIN mean ON p.station_id = mean.station_id AND p.cluster = mean.cluster AND p.slot = mean.slot
+       GROUP BY 1, 2, 3),
+reps AS (SELECT *, CAST(row_number() OVER (PARTITION BY station_id, cluster ORDER BY dist, month) AS INTEGER) AS rank
+         FROM dd)"""
+
+
+def month_representatives(spark, sf_dir):
+    mp = month_profiles(spark, sf_dir)
+    return pf.representatives(mp, season_labels(mp), ["station_id"], "month")
+
+
+@register("c11_representative_months", "C11 W17", REP_SQL + """
+SELECT station_id, cluster, month, round(dist, 6) AS dist, rank, CAST(rank <= 1 AS INTEGER) AS is_representative
+FROM reps""", check="T")
+def c11(spark, sf_dir):
+    r = month_representatives(spark, sf_dir)
+    return r.withColumn("dist", F.round("dist", 6))
+
+
+@register("c12_month_flags", "C12", REP_SQL + """
+SELECT d.station_id, d.day, r.cluster AS month_cluster, CAST(r.rank = 1 AS INTEGER) AS is_rep_month
+FROM od_day d JOIN reps r ON d.station_id = r.station_id AND month(d.day) = r.month""")
+def c12(spark, sf_dir):
+    r = month_representatives(spark, sf_dir).select(
+        "station_id", "month", F.col("cluster").alias("month_cluster"),
+        F.col("is_representative").alias("is_rep_month"))
+    d = od_day(spark, sf_dir).withColumn("month", F.month("day"))
+    return d.join(r, ["station_id", "month"]).select("station_id", "day", "month_cluster", "is_rep_month")
+
+
+@register("c15_keep_selected_months", "C15 J5", REP_SQL + """
+SELECT d.station_id, d.day, d.cnt FROM od_day d
+WHERE (d.station_id, CAST(month(d.day) AS INTEGER)) IN (SELECT (station_id, month) FROM reps WHERE rank = 1)""")
+def c15(spark, sf_dir):
+    sel = month_representatives(spark, sf_dir).filter("is_representative = 1")
+    d = od_day(spark, sf_dir).withColumn("month", F.month("day"))
+    return pf.keep_selected(d, sel, ["station_id", "month"]).select("station_id", "day", "cnt")
+
+
+@register("c13_week_sample_weights", "C13 P9", PANEL + """,
+wk AS (SELECT station_id, CAST(isoyear(ts) AS VARCHAR) || '-' || lpad(CAST(week(ts) AS VARCHAR), 2, '0') AS year_week,
+              sum(total_flow) AS week_total FROM panel GROUP BY 1, 2),
+ww AS (SELECT *, ln(1 + week_total) - ln(1 + avg(week_total) OVER (PARTITION BY station_id)) AS log_weight FROM wk)
+SELECT p.station_id, p.ts, round(coalesce(exp(log_weight), 1.0), 6) AS week_weight,
+       round(least(greatest(coalesce(exp(log_weight), 1.0), 0.3), 3.0), 6) AS sample_weight
+FROM panel p LEFT JOIN ww ON p.station_id = ww.station_id
+  AND CAST(isoyear(p.ts) AS VARCHAR) || '-' || lpad(CAST(week(p.ts) AS VARCHAR), 2, '0') = ww.year_week""",
+          check="T")
+def c13(spark, sf_dir):
+    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "total_flow")
+    w = pf.week_weights(p, "total_flow")
+    out = pf.sample_weight(p, w)
+    return out.select("station_id", "ts", F.round("week_weight", 6).alias("week_weight"),
+                      F.round("sample_weight", 6).alias("sample_weight"))
+
+
+@register("c14_peak_weights", "C14", PANEL + """
+SELECT station_id, ts, CAST(1.0 + CASE WHEN hour(ts) IN (7, 8, 9, 17, 18, 19) THEN 0.5 ELSE 0.0 END
+           + CASE WHEN hour(ts) IN (7, 8, 9, 17, 18, 19) AND isodow(ts) < 6 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS weight
+FROM panel""")
+def c14(spark, sf_dir):
+    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts").withColumns(
+        {"hour": F.hour("ts"), "weekday": F.weekday("ts")})
+    return p.select("station_id", "ts", pf.peak_weight("hour", "weekday").alias("weight"))
