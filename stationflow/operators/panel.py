@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import trunc, window_start
 
-HOUR = F.expr("INTERVAL 1 HOUR")
+def _hour():
+    return F.expr("INTERVAL 1 HOUR")
 
 
 def _fill(df: DataFrame, cols, fill):
@@ -30,7 +31,7 @@ def densify(df: DataFrame, station: str = "station_id", time_col: str = "ts",
     if whole_days:
         rng = rng.select(station, trunc("day", "_lo").alias("_lo"),
                          (trunc("day", "_hi") + F.expr("INTERVAL 23 HOURS")).alias("_hi"))
-    spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", HOUR)).alias(time_col))
+    spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", _hour())).alias(time_col))
     out = spine.join(df, [station, time_col], "left")
     cols = value_cols if value_cols is not None else [c for c in df.columns
                                                       if c not in (station, time_col)]
@@ -45,7 +46,7 @@ def densify_common(df: DataFrame, station: str = "station_id", time_col: str = "
     # The global range is one scalar row read back to the driver (not data).
     lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()
     st = (stations if stations is not None else df).select(station).distinct()
-    spine = st.select(station, F.explode(F.sequence(F.lit(lo), F.lit(hi), HOUR)).alias(time_col))
+    spine = st.select(station, F.explode(F.sequence(F.lit(lo), F.lit(hi), _hour())).alias(time_col))
     out = spine.join(df, [station, time_col], "left")
     cols = value_cols if value_cols is not None else [c for c in df.columns
                                                       if c not in (station, time_col)]
@@ -56,7 +57,7 @@ def densify_by(df: DataFrame, extra: str, values: list, station: str = "station_
                time_col: str = "ts", fill=0, value_cols: list[str] | None = None) -> DataFrame:
     """Spine of (hour x fixed values of ``extra``), e.g. the two basis values."""
     rng = df.groupBy(station).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", HOUR)).alias(time_col)) \
+    spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", _hour())).alias(time_col)) \
                .withColumn(extra, F.explode(F.array(*[F.lit(v) for v in values])))
     out = spine.join(df, [station, time_col, extra], "left")
     cols = value_cols if value_cols is not None else [c for c in df.columns
@@ -67,7 +68,7 @@ def densify_by(df: DataFrame, extra: str, values: list, station: str = "station_
 def hour_spine(df: DataFrame, time_col: str = "ts") -> DataFrame:
     """Hourly spine over a single series (weather-like, no station key)."""
     rng = df.agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
-    return rng.select(F.explode(F.sequence("_lo", "_hi", HOUR)).alias(time_col))
+    return rng.select(F.explode(F.sequence("_lo", "_hi", _hour())).alias(time_col))
 
 
 # W13 / W14 -------------------------------------------------------------------
