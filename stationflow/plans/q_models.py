@@ -1 +1,332 @@
-"""Registered queries."""
+"""Model queries. Rows-only:
+seeded fits whose outputs are metric tables; unit tests check the numerics.
+
+Data: the diagnostic feature frame (station-hour panel, lags, calendar, weather),
+target ``y`` = total flow; train before 2024-01-15, valid to 2024-01-22, test after.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import diagnose as dg
+from ..operators import evaluate as ev
+from ..operators import inventory as inv
+from ..operators import models as md
+from ..sources import adapter as ad
+from .catalog import register
+from .q_diagnose import FEATURES, feature_frame
+
+NUM = ["total_lag1", "total_lag24", "inflow_lag1", "outflow_lag1", "hour", "weekday", "temp", "roll3"]
+SMALL_RF = {"numTrees": 20, "maxDepth": 5}
+
+
+def _split(spark, sf_dir):
+    ff = feature_frame(spark, sf_dir)
+    v = F.lit("2024-01-15").cast("timestamp_ntz")
+    t = F.lit("2024-01-22").cast("timestamp_ntz")
+    return (ff.filter(F.col("ts") < v), ff.filter((F.col("ts") >= v) & (F.col("ts") < t)),
+            ff.filter(F.col("ts") >= t))
+
+
+def _scored(model, test, log_target=False, keys=("station_id",)):
+    p = md.predict(model, test, log_target)
+    return ev.regression_metrics(p, "y", "pred", keys=list(keys))
+
+
+@register("m10_impute_scale_linear", "M10 M12", check="R")
+def m10(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "linear"), te)
+
+
+@register("m11_mixed_pipeline", "M11 P15", check="R")
+def m11(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    tr = tr.withColumn("station_cat", F.when(F.col("station_id") != "ST-5", F.col("station_id")))
+    te = te.withColumn("station_cat", F.col("station_id"))
+    tr, (te,) = md.fill_mode(tr, [te], ["station_cat"])
+    m = md.fit(tr, NUM, "y", "linear", categorical=["station_cat"])
+    return _scored(m, te)
+
+
+@register("m13_ridge", "M13", check="R")
+def m13(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "ridge", alpha=10.0), te)
+
+
+@register("m14_lasso_grid_ts_folds", "M14 M23 M6", check="R")
+def m14(spark, sf_dir):
+    tr, va, _ = _split(spark, sf_dir)
+    g = md.grid(regParam=[0.01, 0.1], elasticNetParam=[0.5, 1.0])
+    return md.ts_search(tr.unionByName(va), NUM, "y", "lasso", g, ["ts", "station_id"], "ts", k=3)
+
+
+@register("m15_poisson", "M15", check="R")
+def m15(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "poisson", regParam=0.01), te)
+
+
+@register("m16_tweedie", "M16", check="R")
+def m16(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "tweedie", regParam=0.01, variancePower=1.5), te)
+
+
+@register("m17_random_forest", "M17", check="R")
+def m17(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "rf", scale=False, **SMALL_RF), te)
+
+
+@register("m18_gbt_early_stopping", "M18", check="R")
+def m18(spark, sf_dir):
+    tr, va, te = _split(spark, sf_dir)
+    both = tr.withColumn("is_val", F.lit(False)).unionByName(va.withColumn("is_val", F.lit(True)))
+    m = md.fit(both, NUM, "y", "gbt", scale=False, maxIter=30, maxDepth=4, validationIndicatorCol="is_val",
+               validationTol=0.01)
+    return _scored(m, te)
+
+
+@register("m19_extra_trees_standin", "M19", check="R")
+def m19(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "extra_trees", scale=False, **SMALL_RF), te)
+
+
+@register("m20_classifiers", "M20 M35", check="R")
+def m20(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    tr, te = (x.withColumn("label", (F.col("y") > 0).cast("double")) for x in (tr, te))
+    out = []
+    for kind, params in (("logistic", {"regParam": 0.01}), ("gbt_classifier", {"maxIter": 10, "maxDepth": 3})):
+        m = md.fit(tr, NUM, "label", kind, **params)
+        p = m.transform(te).withColumn("pred_label", F.col("pred_label").cast("int"))
+        out.append(ev.classification_metrics(p, "label", "pred_label").withColumn("model", F.lit(kind)))
+    return out[0].unionByName(out[1])
+
+
+@register("m21_log_target", "M21", check="R")
+def m21(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return _scored(md.fit(tr, NUM, "y", "linear", log_target=True), te, log_target=True)
+
+
+@register("m22_weighted_fit", "M22 C13", check="R")
+def m22(spark, sf_dir):
+    from ..operators import profiles as pf
+    tr, _, te = _split(spark, sf_dir)
+    w = pf.week_weights(tr, "y")
+    trw = pf.sample_weight(tr, w)
+    return _scored(md.fit(trw, NUM, "y", "linear", weight="sample_weight"), te)
+
+
+@register("m24_random_search", "M24", check="R")
+def m24(spark, sf_dir):
+    tr, va, _ = _split(spark, sf_dir)
+    g = md.random_grid({"regParam": (0.001, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, n=3, seed=7)
+    return md.ts_search(tr.unionByName(va), NUM, "y", "elasticnet", g, ["ts", "station_id"], "ts", k=2)
+
+
+@register("m25_refit_sealed_test", "M25", check="R")
+def m25(spark, sf_dir):
+    tr, va, te = _split(spark, sf_dir)
+    g = md.grid(regParam=[0.01, 1.0])
+    sc = md.ts_search(tr, NUM, "y", "ridge", g, ["ts", "station_id"], "ts", k=2)
+    return md.refit_sealed(tr, va, te, NUM, "y", "ridge", md.best_params(sc))
+
+
+@register("m26_per_station_vs_pooled", "M26 J15", check="R")
+def m26(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    tr_f, te_f = (x.fillna(0.0, subset=NUM) for x in (tr, te))
+    coefs = md.per_group_ridge(tr_f, "station_id", NUM, "y", alpha=1.0)
+    ind = ev.regression_metrics(md.score_per_group(te_f, coefs, "station_id", NUM), "y", "pred", ["station_id"])
+    pooled = _scored(md.fit(tr, NUM, "y", "linear", categorical=["station_id"]), te)
+    return ind.select("station_id", F.col("r2").alias("r2_individual")).join(
+        pooled.select("station_id", F.col("r2").alias("r2_pooled")), "station_id")
+
+
+@register("m27_net_direct_vs_difference", "M27", check="R")
+def m27(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    tr, te = (x.withColumn("net", F.col("inflow") - F.col("outflow")) for x in (tr, te))
+    direct = md.predict(md.fit(tr, NUM, "net", "linear"), te).withColumnRenamed("pred", "p_net")
+    pin = md.predict(md.fit(tr, NUM, "inflow", "linear"), te).select("station_id", "ts", F.col("pred").alias("p_in"))
+    pout = md.predict(md.fit(tr, NUM, "outflow", "linear"), te).select("station_id", "ts",
+                                                                        F.col("pred").alias("p_out"))
+    j = direct.join(pin, ["station_id", "ts"]).join(pout, ["station_id", "ts"])
+    a = ev.regression_metrics(j, "net", "p_net").withColumn("variant", F.lit("direct"))
+    b = ev.regression_metrics(j.withColumn("p_diff", F.col("p_in") - F.col("p_out")), "net", "p_diff") \
+        .withColumn("variant", F.lit("in_minus_out"))
+    return a.unionByName(b)
+
+
+@register("m28_flow_models_stock_choice", "M28 I3", check="R")
+def m28(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    cap = ad.stations(spark, sf_dir).select("station_id", (F.col("lcd") + F.col("qr")).alias("capacity"))
+    actual = inv.simulate_stock(te.join(F.broadcast(cap), "station_id"), "inflow", "outflow", "capacity")
+    rows = []
+    for kind, params in (("linear", {}), ("poisson", {"regParam": 0.01})):
+        pin = md.predict(md.fit(tr, NUM, "inflow", kind, **params), te).select("station_id", "ts",
+                                                                               F.col("pred").alias("p_in"))
+        pout = md.predict(md.fit(tr, NUM, "outflow", kind, **params), te).select("station_id", "ts",
+                                                                                 F.col("pred").alias("p_out"))
+        pr = pin.join(pout, ["station_id", "ts"]).withColumns({"p_in": F.round("p_in").cast("bigint"),
+                                                                "p_out": F.round("p_out").cast("bigint")})
+        sim = inv.simulate_stock(pr.join(F.broadcast(cap), "station_id"), "p_in", "p_out", "capacity")
+        j = sim.withColumnRenamed("stock", "pred").join(actual.withColumnRenamed("stock", "y"), ["station_id", "ts"])
+        rows.append(ev.regression_metrics(j.withColumns({"y": F.col("y").cast("double"),
+                                                         "pred": F.col("pred").cast("double")}), "y", "pred")
+                    .withColumn("model", F.lit(kind)))
+    out = rows[0].unionByName(rows[1])
+    return out.withColumn("chosen", (F.rank().over(Window.orderBy("mae")) == 1).cast("int"))
+
+
+@register("m37_oof_pooled_scores", "M37", check="R")
+def m37(spark, sf_dir):
+    tr, va, _ = _split(spark, sf_dir)
+    _, oof = md.ts_search(tr.unionByName(va), NUM, "y", "linear", [{}], ["ts", "station_id"], "ts", k=3, oof=True)
+    return ev.regression_metrics(oof, "y", "pred")
+
+
+@register("m39_importance_table", "M39", check="R")
+def m39(spark, sf_dir):
+    tr, _, _ = _split(spark, sf_dir)
+    m = md.fit(tr, NUM, "y", "rf", scale=False, **SMALL_RF)
+    names, vals = zip(*md.importances(m, NUM))
+    t = ev.importance_table(spark, list(names), list(vals))
+    return t.groupBy("group").agg(F.sum("importance").alias("importance"), F.count(F.lit(1)).alias("n"))
+
+
+# Named feature sets compared by M40.
+FEATURE_SETS = {"A": ["hour", "weekday"], "B": ["hour", "weekday", "temp"],
+                "C": ["total_lag1", "total_lag24"], "D": NUM}
+
+
+@register("m40_feature_sets", "M40", check="R")
+def m40(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    out = None
+    for name, cols in FEATURE_SETS.items():
+        p = md.predict(md.fit(tr, cols, "y", "linear"), te)
+        s = ev.regression_metrics(p, "y", "pred").withColumn("feature_set", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@register("m41_category_number_vs_onehot", "M41 P38 P15", check="R")
+def m41(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    codes = tr.select("station_id").distinct().withColumn(
+        "station_code", (F.dense_rank().over(Window.orderBy("station_id")) - 1).cast("double"))  # 25-row table
+    tr2, te2 = (x.join(F.broadcast(codes), "station_id", "left") for x in (tr, te))
+    a = ev.regression_metrics(md.predict(md.fit(tr2, NUM + ["station_code"], "y", "linear"), te2), "y", "pred")
+    b = ev.regression_metrics(md.predict(md.fit(tr, NUM, "y", "linear", categorical=["station_id"]), te), "y", "pred")
+    return a.withColumn("encoding", F.lit("number")).unionByName(b.withColumn("encoding", F.lit("one_hot")))
+
+
+@register("m42_capacity_clip", "M42", check="R")
+def m42(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    cap = ad.stations(spark, sf_dir).select("station_id", (F.col("lcd") + F.col("qr")).alias("capacity"))
+    te = te.join(F.broadcast(cap), "station_id")
+    p = md.predict(md.fit(tr, NUM, "y", "linear"), te, cap="capacity")
+    return p.select("station_id", "ts", "y", "pred", "capacity")
+
+
+def _lag_features(frame):
+    w = Window.partitionBy("station_id").orderBy("ts")
+    return frame.withColumns({"lag1": F.lag("y", 1).over(w), "lag24": F.lag("y", 24).over(w),
+                              "hour": F.hour("ts").cast("double"), "weekday": F.weekday("ts").cast("double")})
+
+
+@register("i12_recursive_projection", "I12", check="R")
+def i12(spark, sf_dir):
+    ff = feature_frame(spark, sf_dir).select("station_id", "ts", "y")
+    train = _lag_features(ff).filter(F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz"))
+    m = md.fit(train, ["lag1", "lag24", "hour", "weekday"], "y", "linear")
+    hist = ff.filter(F.col("ts") < F.lit("2024-01-25 04:00:00").cast("timestamp_ntz"))
+    return md.recursive_projection(m, hist, "2024-01-25 04:00:00", 12, "station_id", "ts", "y", [1, 24],
+                                   _lag_features)
+
+
+@register("x10_partner_rules", "X10", check="R")
+def x10(spark, sf_dir):
+    tr, _, _ = _split(spark, sf_dir)
+    prof = dg.feature_profile(tr, FEATURES)
+    pairs = dg.corr_pairs(tr, FEATURES)
+    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
+    imp = spark.createDataFrame(md.importances(m, FEATURES), "feature string, importance double")
+    return dg.partner_rules(prof, pairs, imp, 0.95)
+
+
+@register("x17_select_from_model", "X17", check="R")
+def x17(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
+    keep = md.select_from_model(md.importances(m, FEATURES))
+    s = ev.regression_metrics(md.predict(md.fit(tr, keep, "y", "linear"), te), "y", "pred")
+    return s.withColumn("selected", F.lit(",".join(keep)))
+
+
+@register("x18_rfe_cv", "X18", check="R")
+def x18(spark, sf_dir):
+    tr, _, _ = _split(spark, sf_dir)
+    return md.rfe_cv(tr, ["total_lag1", "total_lag24", "hour", "temp"], "y", "linear", ["ts", "station_id"], "ts",
+                     k=2, min_features=2)
+
+
+@register("x19_selection_frequency", "X19", check="R")
+def x19(spark, sf_dir):
+    tr, va, _ = _split(spark, sf_dir)
+    pos = md.with_positions(tr.unionByName(va), ["ts", "station_id"], "ts")
+    rows = []
+    for fold, ftr, _ in md.fold_frames(pos, 2):
+        fs = dg.f_scores(ftr, FEATURES, "y").filter("rank <= 4").select("feature").collect()
+        rows += [("f_score", r[0], fold) for r in fs]
+        m = md.fit(ftr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
+        rows += [("model", f, fold) for f in md.select_from_model(md.importances(m, FEATURES))]
+    sel = spark.createDataFrame(rows, "selector string, feature string, fold int")
+    return sel.groupBy("selector", "feature").agg(F.count(F.lit(1)).alias("times_selected"))
+
+
+@register("x20_permutation_importance", "X20 O5", check="R")
+def x20(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    m = md.fit(tr, NUM, "y", "linear")
+    return md.permutation_importance(m, te, NUM, "y", ["station_id", "ts"], repeats=2)
+
+
+@register("x21_drop_one_feature", "X21", check="R")
+def x21(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return md.drop_one_feature(tr, te, ["total_lag1", "total_lag24", "hour", "temp"], "y", "linear")
+
+
+# Groups of alternative encodings of one axis.
+AXES = {"recent_level": ["total_lag1", "roll3"], "weather": ["temp", "temp_sq"]}
+
+
+@register("x22_axis_variants", "X22 W18", check="R")
+def x22(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    base = ["hour", "weekday", "total_lag24"]
+    rows = []
+    for axis, variants in AXES.items():
+        for v in variants:
+            p = md.predict(md.fit(tr, base + [v], "y", "linear"), te)
+            rows.append((axis, v, float(ev.regression_metrics(p, "y", "pred").first()["r2"])))
+    res = spark.createDataFrame(rows, "axis string, variant string, r2 double")
+    from ..operators.windows import arg_best
+    return arg_best(res, ["axis"], "r2", ["variant", "r2"], largest=True, tiebreak=["variant"])
+
+
+@register("x23_leak_checks", "X23", check="R")
+def x23(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    return md.leak_checks(tr, te, NUM, "y", "linear", ["station_id", "ts"], prev_col="total_lag24")
