@@ -481,3 +481,29 @@ def a40(spark, sf_dir):
     p = hourly_flow_panel(spark, sf_dir).withColumn("hour", F.hour("ts"))
     w = p.groupBy("station_id").pivot("hour", list(range(24))).sum("total_flow")
     return w.fillna(0, subset=[str(h) for h in range(24)])
+
+
+# Streaming --------------------------------------------------------
+@register("st1_stream_hourly_flow", "A2 A3 G5", V("trips") + "," + EXPLODE_SQL + """
+SELECT station_id, date_trunc('hour', ts) AS ts,
+       count(*) FILTER (WHERE role IN ('end', 'both')) AS inflow,
+       count(*) FILTER (WHERE role IN ('start', 'both')) AS outflow,
+       count(*) FILTER (WHERE role IN ('end', 'both')) + count(*) FILTER (WHERE role IN ('start', 'both')) AS total_flow,
+       count(*) FILTER (WHERE role IN ('end', 'both')) - count(*) FILTER (WHERE role IN ('start', 'both')) AS net_flow
+FROM ex GROUP BY 1, 2""")
+def st1(spark, sf_dir):
+    """The events table read as a file stream, hourly flow appended per closed hour.
+    With ``availableNow`` the final watermark flush emits every hour."""
+    from ..sources.readers import scratch_path
+    from ..sources.tables import table_path
+    from ..streaming.hourly import hourly_flow_stream, run_available_now
+    ev_schema = spark.read.parquet(table_path(sf_dir, "events")).schema
+    src = spark.readStream.schema(ev_schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    trips = src.select(
+        "event_id",
+        F.concat(F.lit("ST-"), (F.col("user_id") % ad.N_STATIONS).cast("string")).alias("start_id"),
+        F.concat(F.lit("ST-"), ((F.col("event_id") * 7 + 3) % ad.N_STATIONS).cast("string")).alias("end_id"),
+        F.col("ts").cast("timestamp_ltz").alias("ts"))  # event time must be zoned (UTC session)
+    stream = hourly_flow_stream(trips)
+    out = run_available_now(spark, stream, scratch_path(spark, "st1_sink"), scratch_path(spark, "st1_ckpt"))
+    return out.select("station_id", "ts", "inflow", "outflow", "total_flow", "net_flow")
