@@ -13,6 +13,8 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import safe_corr
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -24,7 +26,7 @@ def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     from one aggregation pass."""
     pairs = list(itertools.combinations(cols, 2))
     row = df.agg(F.array(*[F.struct(F.lit(a).alias("variable_1"), F.lit(b).alias("variable_2"),
-                                    F.corr(_q(a), _q(b)).alias("correlation")) for a, b in pairs]).alias("p"))
+                                    safe_corr(_q(a), _q(b)).alias("correlation")) for a, b in pairs]).alias("p"))
     out = row.select(F.inline("p"))
     return out.withColumn("abs_correlation", F.abs("correlation"))
 
@@ -50,7 +52,7 @@ def spearman(df: DataFrame, features: list[str], target: str) -> DataFrame:
         x = df.select(_q(f).alias("x"), _q(target).alias("y")).na.drop()
         x = average_ranks(x, "x", "rx")
         x = average_ranks(x, "y", "ry")
-        rows.append(x.agg(F.corr("rx", "ry").alias("spearman")).withColumn("feature", F.lit(f)))
+        rows.append(x.agg(safe_corr("rx", "ry").alias("spearman")).withColumn("feature", F.lit(f)))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -81,7 +83,7 @@ def feature_profile(df: DataFrame, features: list[str], target: str | None = Non
                   F.coalesce(F.bool_and(F.when(x.isNotNull(), x.isin(0, 1))), F.lit(False)).alias("is_binary")]
         if target is not None:
             y = _q(target)
-            sig = F.abs(F.corr(F.pow(xc, 2), y)) - F.abs(F.corr(xc, y))
+            sig = F.abs(safe_corr(F.pow(xc, 2), y)) - F.abs(safe_corr(xc, y))
             fields.append(F.when((n >= 10) & (F.count_distinct(x) >= 3), sig).alias("poly_signal"))
         structs.append(F.struct(*fields))
     return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
@@ -147,7 +149,7 @@ def derived_rule_drops(pairs: DataFrame, rules: dict[str, set[str]], threshold:
 # X12 -------------------------------------------------------------------------
 def top_features(df: DataFrame, features: list[str], targets: list[str], n: int = 3) -> DataFrame:
     row = df.agg(F.array(*[F.struct(F.lit(t).alias("target"), F.lit(f).alias("feature"),
-                                    F.corr(_q(f), _q(t)).alias("correlation"))
+                                    safe_corr(_q(f), _q(t)).alias("correlation"))
                            for t in targets for f in features]).alias("p"))
     long = row.select(F.inline("p")).withColumn("abs_correlation", F.abs("correlation"))
     w = Window.partitionBy("target").orderBy(F.desc("abs_correlation"), "feature")
@@ -214,7 +216,7 @@ def cv_transform_choice(long_folds: DataFrame) -> DataFrame:
         F.covar_pop("x", "y").alias("sxy"), F.var_pop("x").alias("sxx"),
         F.covar_pop(F.col("x") * F.col("x"), "y").alias("sqy"),
         F.covar_pop("x", F.col("x") * F.col("x")).alias("sxq"),
-        F.var_pop(F.col("x") * F.col("x")).alias("sqq"), F.corr("x", "y").alias("corr"))
+        F.var_pop(F.col("x") * F.col("x")).alias("sqq"), safe_corr("x", "y").alias("corr"))
     det = F.col("sxx") * F.col("sqq") - F.col("sxq") * F.col("sxq")
     is_poly = F.col("transform") == "poly"
     b1 = F.when(is_poly, F.when(det != 0, (F.col("sxy") * F.col("sqq") - F.col("sqy") * F.col("sxq")) / det))\
@@ -254,7 +256,7 @@ def f_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Univariate F statistic ``r^2 / (1 - r^2) * (n - 2)`` per feature (pairwise
     complete rows), ranked."""
     row = df.agg(F.array(*[F.struct(
-        F.lit(f).alias("feature"), F.corr(_q(f), _q(target)).alias("r"),
+        F.lit(f).alias("feature"), safe_corr(_q(f), _q(target)).alias("r"),
         F.count(F.when(_q(f).isNotNull() & _q(target).isNotNull(), 1)).alias("n")) for f in features]).alias("s"))
     x = row.select(F.inline("s"))
     r2 = F.col("r") * F.col("r")

@@ -49,7 +49,9 @@ def relative_errors(df: DataFrame, keys: list, y: str = "y", pred: str = "pred")
     e = F.col(y) - F.col(pred)
     g = df.groupBy(*keys).agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
                               F.stddev_samp(y).alias("y_std"), F.avg(y).alias("y_mean"))
-    return g.withColumns({"rel_rmse": F.col("rmse") / F.col("y_std"), "rel_mae": F.col("mae") / F.col("y_mean")})
+    # a constant or zero-mean target has no relative error (null, not a failed job)
+    return g.withColumns({"rel_rmse": F.try_divide(F.col("rmse"), F.nullif(F.col("y_std"), F.lit(0.0))),
+                          "rel_mae": F.try_divide(F.col("mae"), F.nullif(F.col("y_mean"), F.lit(0.0)))})
 
 
 def rank_sum_choice(scores: DataFrame, group: list, cols: list[str], complexity: str | None = None,

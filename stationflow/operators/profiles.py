@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import safe_corr
+
 from ..functions.timeparts import week_start_w_mon
 
 
@@ -37,7 +39,7 @@ def pair_similarity(profiles: DataFrame, group: list[str], item: str, slot: str
     j = a.join(b, [*group, slot]).filter(F.col("item_a") < F.col("item_b"))
     g = j.groupBy(*group, "item_a", "item_b").agg(
         F.sum(F.col("va") * F.col("vb")).alias("dot"), F.sum(F.col("va") * F.col("va")).alias("na"),
-        F.sum(F.col("vb") * F.col("vb")).alias("nb"), F.corr("va", "vb").alias("pearson"))
+        F.sum(F.col("vb") * F.col("vb")).alias("nb"), safe_corr("va", "vb").alias("pearson"))
     denom = F.sqrt(F.col("na")) * F.sqrt(F.col("nb"))
     cos = F.when(denom == 0, F.lit(zero_norm)).otherwise(F.col("dot") / denom)
     return g.select(*group, "item_a", "item_b", "pearson", cos.alias("cosine"))
