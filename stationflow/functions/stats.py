@@ -11,5 +11,7 @@ def safe_corr(a, b) -> Column:
     ``F.corr`` divides by zero on a constant column when ANSI mode is on."""
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    den = F.stddev_pop(a) * F.stddev_pop(b)
-    return F.try_divide(F.covar_pop(a, b), F.nullif(den, F.lit(0.0)))
+    both = a.isNotNull() & b.isNotNull()  # pairwise-complete rows, like corr()
+    aa, bb = F.when(both, a), F.when(both, b)
+    den = F.stddev_pop(aa) * F.stddev_pop(bb)
+    return F.try_divide(F.covar_pop(aa, bb), F.nullif(den, F.lit(0.0)))

@@ -99,6 +99,9 @@ def type_diff(schema, dk_cols, dk_types):
     return "; ".join(out)
 
 
+HEAP = bool(int(__import__("os").environ.get("ORACLE_HEAP", "0")))
+
+
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     pats = sys.argv[2:]
@@ -128,6 +131,7 @@ def main():
             res = con.execute(q.sql)
             dk_cols = [d[0] for d in res.description]
             dk_rows = res.fetchall()
+            t2 = time.time()
         except Exception as e:  # noqa: BLE001
             print(f"DUCK-FAIL  {name}: {str(e)[:400]}")
             n_bad += 1
@@ -138,14 +142,19 @@ def main():
             print(f"TYPES      {name}: {tmsg}")
         if msg is None:
             n_ok += 1
-            print(f"ok         {name}: {len(sp_rows)} rows  {t1 - t0:.1f}s")
+            print(f"ok         {name}: {len(sp_rows)} rows  spark {t1 - t0:.1f}s duck {t2 - t1:.1f}s")
         else:
             if msg != "ok-approx":
                 n_bad += 1
             else:
                 n_ok += 1
             print(f"{'APPROX' if msg == 'ok-approx' else 'MISMATCH':10} {name}: {msg[:600]}")
+        if HEAP:
+            rt = spark._jvm.java.lang.Runtime.getRuntime()
+            spark._jvm.java.lang.System.gc()
+            print(f"heap       {name}: {(rt.totalMemory() - rt.freeMemory()) / 2**20:.0f} MB", flush=True)
     print(f"summary: ok={n_ok} bad={n_bad}")
+    spark.stop()
 
 
 if __name__ == "__main__":
