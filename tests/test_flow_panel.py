@@ -105,3 +105,14 @@ def test_event_deltas_and_two_sided(spark):
     assert d.agg(F.sum("delta")).first()[0] == 0.0
     ts = flow.two_sided_flow(t)
     assert math.isclose(ts.agg(F.sum("rentals")).first()[0], 5.0)
+
+
+def test_internal_arrival_duplicates_observed(spark):
+    from pyspark.sql import Observation
+    from stationflow.operators import cleanse
+    rows = [(1, "A", "B", "arr"), (2, "A", "B", "dep"), (3, "A", "C", "arr"), (4, "B", "A", "arr")]
+    df = spark.createDataFrame(rows, "event_id long, start_id string, end_id string, basis string")
+    obs = Observation("dups")
+    kept = cleanse.drop_internal_arrival_duplicates(df, ["A", "B"], observation=obs)
+    assert sorted(r.event_id for r in kept.collect()) == [2, 3]
+    assert obs.get["removed"] == 2
