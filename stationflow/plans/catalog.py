@@ -37,6 +37,6 @@ def register(name: str, ids, sql: str | None = None, check: str = "E"):
 
 
 def load_all() -> dict[str, Query]:
-    from . import (q_cleanse, q_context, q_cycles, q_diagnose, q_flow, q_geo, q_inventory,  # noqa: F401
-                   q_models, q_panel, q_profiles, q_sources, q_splits, q_timeparts, q_windows)
+    from . import (q_cleanse, q_context, q_cycles, q_diagnose, q_entries, q_flow, q_geo,  # noqa: F401
+                   q_inventory, q_models, q_panel, q_profiles, q_sources, q_splits, q_timeparts, q_windows)
     return REGISTRY

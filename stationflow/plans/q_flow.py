@@ -41,7 +41,7 @@ panel AS (SELECT s.station_id, s.ts, coalesce(h.inflow, 0) AS inflow, coalesce(h
                  coalesce(h.inflow, 0) - coalesce(h.outflow, 0) AS net_flow
           FROM spine s LEFT JOIN hf h ON s.station_id = h.station_id AND s.ts = h.ts)"""
 
-register("g1_hourly_flow_panel", "G5 A2 G1 A3 W1 J7", V("trips") + "," + HOURLY_SQL + """
+register("g1_hourly_flow_panel", "G5 A2 G1 A3 W1 J7 D1", V("trips") + "," + HOURLY_SQL + """
 SELECT *, lag(total_flow, 1) OVER w AS total_flow_lag1, lag(total_flow, 24) OVER w AS total_flow_lag24
 FROM panel WINDOW w AS (PARTITION BY station_id ORDER BY ts)""")(hourly_flow_panel)
 

@@ -80,24 +80,29 @@ def a31(spark, sf_dir):
                       *[F.round(c, 6).alias(c) for c in ("residential", "business", "tourism")])
 
 
-@register("g12_region_features", "G12 J11 A31", V("stations", "region_month") + ", " + IDX_SQL + f""",
+G12_CTES = IDX_SQL + f""",
 pts AS (SELECT DISTINCT dong, lat, lon FROM region_month),
 t1 AS (SELECT s.station_id, p.dong, 1 AS tier FROM stations s, pts p WHERE {HAV} <= 200),
 r1 AS (SELECT * FROM stations WHERE station_id NOT IN (SELECT station_id FROM t1)),
 t2 AS (SELECT r1.station_id, pts.dong, 2 AS tier FROM r1 JOIN pts ON r1.dong = pts.dong),
 r2 AS (SELECT * FROM r1 WHERE station_id NOT IN (SELECT station_id FROM t2)),
 t3 AS (SELECT s.station_id, arg_min(p.dong, ({HAV}, p.dong)) AS dong, 3 AS tier FROM r2 s, pts p GROUP BY 1),
-m AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3)
-SELECT m.station_id, idx.month, min(tier) AS tier, round(avg(residential), 6) AS residential,
-       round(avg(business), 6) AS business, round(avg(tourism), 6) AS tourism
-FROM m JOIN idx ON m.dong = idx.dong GROUP BY 1, 2""", check="T")
+m AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3),
+regf AS (SELECT m.station_id, idx.month, min(tier) AS tier, avg(residential) AS residential,
+                avg(business) AS business, avg(tourism) AS tourism
+         FROM m JOIN idx ON m.dong = idx.dong GROUP BY 1, 2)"""
+
+
+@register("g12_region_features", "G12 J11 A31", V("stations", "region_month") + ", " + G12_CTES + """
+SELECT station_id, month, tier, round(residential, 6) AS residential, round(business, 6) AS business,
+       round(tourism, 6) AS tourism FROM regf""", check="T")
 def g12(spark, sf_dir):
     out = cx.build_region_features(ad.stations(spark, sf_dir), ad.region_month(spark, sf_dir))
     return out.select("station_id", "month", "tier",
                       *[F.round(c, 6).alias(c) for c in ("residential", "business", "tourism")])
 
 
-@register("g13_subway_features", "G13 A32 J9", V("stations", "subway_points", "subway_daily") + f""",
+G13_CTES = f"""
 near AS (SELECT s.station_id, p.name FROM stations s, subway_points p WHERE {HAV} <= 200),
 riders AS (SELECT day, name, sum(dawn + am_peak + daytime + pm_peak) AS riders FROM subway_daily GROUP BY 1, 2),
 top AS (SELECT max(riders) AS m FROM riders),
@@ -111,12 +116,15 @@ rat AS (SELECT name,
 pd AS (SELECT station_id, day, sum(ti) AS ti FROM near JOIN di ON near.name = di.name GROUP BY 1, 2),
 tix AS (SELECT station_id, avg(ti) AS transit_index FROM pd GROUP BY 1),
 rr AS (SELECT station_id, avg(am_board_ratio) AS am_board_ratio, avg(pm_alight_ratio) AS pm_alight_ratio
-       FROM near JOIN rat ON near.name = rat.name GROUP BY 1)
-SELECT s.station_id, round(coalesce(transit_index, 0.0), 6) AS transit_index,
-       round(coalesce(am_board_ratio, 0.0), 6) AS am_board_ratio,
-       round(coalesce(pm_alight_ratio, 0.0), 6) AS pm_alight_ratio
-FROM stations s LEFT JOIN tix ON s.station_id = tix.station_id LEFT JOIN rr ON s.station_id = rr.station_id""",
-          check="T")
+       FROM near JOIN rat ON near.name = rat.name GROUP BY 1),
+subf AS (SELECT s.station_id, coalesce(transit_index, 0.0) AS transit_index,
+                coalesce(am_board_ratio, 0.0) AS am_board_ratio, coalesce(pm_alight_ratio, 0.0) AS pm_alight_ratio
+         FROM stations s LEFT JOIN tix ON s.station_id = tix.station_id LEFT JOIN rr ON s.station_id = rr.station_id)"""
+
+
+@register("g13_subway_features", "G13 A32 J9", V("stations", "subway_points", "subway_daily") + "," + G13_CTES + """
+SELECT station_id, round(transit_index, 6) AS transit_index, round(am_board_ratio, 6) AS am_board_ratio,
+       round(pm_alight_ratio, 6) AS pm_alight_ratio FROM subf""", check="T")
 def g13(spark, sf_dir):
     out = cx.build_subway_features(ad.stations(spark, sf_dir), ad.subway_points(spark, sf_dir),
                                    ad.subway_daily(spark, sf_dir))
@@ -208,7 +216,7 @@ def g18(spark, sf_dir):
     return b.withColumns({"lat_center": F.round("lat_center", 6), "lon_center": F.round("lon_center", 6)})
 
 
-@register("g19_convex_hull", "G19", check="R")
+@register("g19_convex_hull", "G19 D8", check="R")
 def g19(spark, sf_dir):
     s = ad.stations(spark, sf_dir).withColumnRenamed("region", "cluster")
     return sp.convex_hulls(s)

@@ -136,14 +136,14 @@ def c06(spark, sf_dir):
     return week_pairs(spark, sf_dir).select("station_id", "item_a", "item_b", F.round("cosine", 6).alias("cosine"))
 
 
-@register("c07_similar_weeks_removed", "C7", check="R")
+@register("c07_similar_weeks_removed", "C7 D9", check="R")
 def c07(spark, sf_dir):
     # reference threshold; the synthetic weeks are rarely this alike, the unit test
     # covers removals on a fixture
     return pf.similar_weeks_to_drop(week_pairs(spark, sf_dir), threshold=0.998)
 
 
-@register("c08_ward_month_clusters", "C8", check="R")
+@register("c08_ward_month_clusters", "C8 D7", check="R")
 def c08(spark, sf_dir):
     return pf.ward_clusters(month_profiles(spark, sf_dir), "station_id", "month")
 

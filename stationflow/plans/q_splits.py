@@ -207,7 +207,7 @@ def u05(spark, sf_dir):
 
 
 # M30 / M31 ----------------------------------------------------------------------
-@register("m30_regression_metrics", "M30 M31", PRED_SQL + """
+@register("m30_regression_metrics", "M30 M31 D3", PRED_SQL + """
 SELECT station_id, round(avg(abs(y - pred)), 6) AS mae, round(sqrt(avg((y - pred) * (y - pred))), 6) AS rmse,
        count(*) AS n,
        round(CASE WHEN var_pop(y) * count(*) = 0 THEN 0.0

@@ -123,7 +123,7 @@ def p08(spark, sf_dir):
 
 
 # P12 / P13 / P14 / P19 ---------------------------------------------------------------
-@register("p12_cyclic_onehot", "P12 P13 P14 P19", V("trips") + """
+@register("p12_cyclic_onehot", "P12 P13 P14 P19 D6", V("trips") + """
 SELECT event_id, round(sin(2 * pi() * hour / 24.0), 6) AS hour_sin, round(cos(2 * pi() * hour / 24.0), 6) AS hour_cos,
        round(sin(2 * pi() * (month(ts) - 1) / 12.0), 6) AS month_sin0,
        round(cos(2 * pi() * dayofyear(ts) / 366.0), 6) AS doy_cos,
@@ -240,7 +240,7 @@ def _addr(spark, sf_dir):
 REGION_LABELS = {0: "africa", 1: "america", 2: "asia", 3: "europe"}
 
 
-@register("p29_text_rules", "P29 P30 P31 P32 P33", V("stations") + "," + ADDR_SQL + """
+@register("p29_text_rules", "P29 P30 P31 P32 P33 D5", V("stations") + "," + ADDR_SQL + """
 SELECT station_id,
        coalesce(nullif(regexp_extract(addr1, '([가-힣0-9]+동)', 1), ''),
                 nullif(regexp_extract(addr2, '([가-힣0-9]+동)', 1), '')) AS dong,

@@ -23,7 +23,7 @@ def _panel(spark, sf_dir):
 LAGS = [1, 2, 3, 6, 8, 12, 24, 48, 72, 168]
 
 
-@register("w01_lags_leads", "W1 W2", PANEL + """
+@register("w01_lags_leads", "W1 W2 D4", PANEL + """
 SELECT station_id, ts, total_flow, """ + ", ".join(
     f"lag(total_flow, {k}) OVER w AS total_flow_lag{k}" for k in LAGS) + """,
        lead(net_flow, 1) OVER w AS net_flow_lead1
@@ -42,7 +42,7 @@ def _guard_sql(fn, col, lo, hi, n, part="station_id", order="ts"):
 ROLL = [2, 3, 6, 8, 12, 14, 24, 48]
 
 
-@register("w03_trailing_stats", "W3 W4", PANEL + """
+@register("w03_trailing_stats", "W3 W4 D2", PANEL + """
 SELECT station_id, ts, """ + ", ".join(
     f"round({_guard_sql('avg', 'total_flow', f'{n} PRECEDING', '1 PRECEDING', n)}, 6) AS total_flow_roll{n}"
     for n in ROLL) + """,
