@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import safe_ratio
+from ..util import cut_lineage
 from . import spatial
 
 
@@ -35,7 +36,10 @@ def region_indices(region_month: DataFrame, key: str = "dong", month: str = "mon
 
 # G12 -------------------------------------------------------------------------
 def build_region_features(stations: DataFrame, region_month: DataFrame, radius_m: float = 200.0) -> DataFrame:
-    """J11 + A31: per (station, month) the mean indices of the best-tier districts."""
+    """J11 + A31: per (station, month) the mean indices of the best-tier districts.
+    The district table feeds four branches (three tiers and the indices), so it is
+    written once (a dimension: one row per district and month)."""
+    region_month = cut_lineage(region_month)
     idx = region_indices(region_month)
     match = spatial.three_tier_match(stations, region_month, radius_m)
     j = match.join(idx, "dong")

@@ -322,24 +322,28 @@ def rfe_cv(df: DataFrame, numeric: list[str], label: str, kind: str, order: list
 
 # I12 -------------------------------------------------------------------------
 def recursive_projection(model: PipelineModel, history: DataFrame, start_ts, steps: int, station: str,
-                         time_col: str, target: str, lags: list[int], make_features, checkpoint_every: int = 4):
+                         time_col: str, target: str, lags: list[int], make_features):
     """Live projection: each step predicts the next hour for all stations at once;
     the prediction becomes history so later lags use it. ``make_features(frame)``
     adds calendar / lag columns to a (station, ts, target) frame."""
-    hist = history.select(station, time_col, F.col(target).cast("double").alias(target))
     max_lag = max(lags)
+    start = F.lit(start_ts).cast("timestamp_ntz")
+    # only the last max_lag hours of history can feed a lag: keep that window, written once
+    recent = cut_lineage(history.filter(F.col(time_col) >= start - F.make_dt_interval(hours=F.lit(max_lag + 1)))
+                         .select(station, time_col, F.col(target).cast("double").alias(target)))
+    stations = cut_lineage(recent.select(station).distinct())
     out = []
     for s in range(steps):
-        t = F.lit(start_ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(s))
-        nxt = hist.select(station).distinct().withColumn(time_col, t).withColumn(target, F.lit(None).cast("double"))
-        lo = F.lit(start_ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(s - max_lag - 1))
-        frame = hist.filter(F.col(time_col) >= lo).unionByName(nxt)
+        t = start + F.make_dt_interval(hours=F.lit(s))
+        nxt = stations.withColumn(time_col, t).withColumn(target, F.lit(None).cast("double"))
+        lo = start + F.make_dt_interval(hours=F.lit(s - max_lag - 1))
+        frame = recent.filter(F.col(time_col) >= lo).unionByName(nxt)
         feats = make_features(frame).filter(F.col(time_col) == t)
-        p = predict(model, feats).select(station, time_col, F.greatest("pred", F.lit(0.0)).alias(target))
+        # one row per station and step; writing it keeps every later step's plan shallow
+        p = cut_lineage(predict(model, feats).select(station, time_col,
+                                                     F.greatest("pred", F.lit(0.0)).alias(target)))
         out.append(p.withColumn("step", F.lit(s + 1)))
-        hist = hist.unionByName(p)
-        if (s + 1) % checkpoint_every == 0:
-            hist = cut_lineage(hist)
+        recent = recent.unionByName(p)
     res = out[0]
     for o in out[1:]:
         res = res.unionByName(o)

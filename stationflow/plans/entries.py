@@ -17,8 +17,10 @@ from ..util import bounded_broadcast
 
 
 def hourly_panel(trips: DataFrame, ids=None) -> DataFrame:
-    """G5 -> A2 -> G1 -> A3: gap-free station-hour flow."""
-    hf = flow.role_flow(flow.explode_by_station(trips, ids))
+    """G5 -> A2 -> G1 -> A3: gap-free station-hour flow. The aggregate is
+    checkpointed once because the spine and the join both read it."""
+    from ..util import cut_lineage
+    hf = cut_lineage(flow.role_flow(flow.explode_by_station(trips, ids)))
     return flow.add_flow_totals(panel.densify(hf, value_cols=["inflow", "outflow"]))
 
 

@@ -118,3 +118,18 @@ def test_random_grid_seeded():
     a = md.random_grid({"regParam": (0.001, 1.0), "k": [1, 2]}, 4, seed=3)
     assert a == md.random_grid({"regParam": (0.001, 1.0), "k": [1, 2]}, 4, seed=3)
     assert all(0.001 <= d["regParam"] <= 1.0 for d in a)
+
+
+def test_recursive_projection_feeds_own_predictions(spark):
+    from pyspark.sql import Window
+    base = dt.datetime(2024, 1, 1)
+    rows = [(s, base + dt.timedelta(hours=h), float(h + 10 * i)) for i, s in enumerate(["A", "B"]) for h in range(48)]
+    hist = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, y double")
+
+    def feats(frame):
+        return frame.withColumn("lag1", F.lag("y", 1).over(Window.partitionBy("station_id").orderBy("ts")))
+
+    m = md.fit(feats(hist).na.drop(), ["lag1"], "y", "linear", scale=False)
+    out = md.recursive_projection(m, hist, "2024-01-03 00:00:00", 3, "station_id", "ts", "y", [1], feats)
+    got = {(r.station_id, r.step): round(r.y, 6) for r in out.collect()}
+    assert got == {("A", 1): 48.0, ("A", 2): 49.0, ("A", 3): 50.0, ("B", 1): 58.0, ("B", 2): 59.0, ("B", 3): 60.0}
