@@ -45,8 +45,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (idempotent)."""
     for k, v in SESSION_CONF.items():
-        if k == "spark.sql.legacy.javaCharsets":
-            continue  # static conf: only settable at session build time
         try:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - some confs are static on clusters
