@@ -39,9 +39,10 @@ def high_pairs(pairs: DataFrame, threshold: float = 0.9) -> DataFrame:
 def average_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
     """Average rank of each distinct value (ties share the mean rank), from counts
     per distinct value; joined back to the rows."""
+    from .splits import running_total_before
     cnt = df.filter(_q(col).isNotNull()).groupBy(_q(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)  # over distinct values
-    cnt = cnt.withColumn(name, F.coalesce(F.sum("_c").over(w), F.lit(0)) + (F.col("_c") + 1) / 2.0)
+    cnt = running_total_before(cnt, "_v", "_c")  # rows before each distinct value, no global window
+    cnt = cnt.withColumn(name, F.col("_before") + (F.col("_c") + 1) / 2.0)
     return df.join(cnt.select("_v", name), _q(col) == F.col("_v"), "left").drop("_v")
 
 

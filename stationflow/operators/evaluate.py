@@ -95,12 +95,12 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 def roc_auc(df: DataFrame, label: str = "label", score: str = "prob", keys: list | None = None) -> DataFrame:
     """AUC by the rank-sum (Mann-Whitney) form with tied scores sharing the average rank.
 
-    Ranks come from counts per distinct score (a grouped aggregate, then a running
-    sum over distinct scores), so no window runs over all rows."""
+    Ranks come from counts per distinct score and a bucketed running total
+    (``splits.running_total_before``), so no window runs over all rows."""
+    from .splits import running_total_before
     k = list(keys or [])
     by = df.groupBy(*k, score).agg(F.count(F.lit(1)).alias("_c"), F.count_if(F.col(label) == 1).alias("_p"))
-    w = Window.partitionBy(*k).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    by = by.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+    by = running_total_before(by, score, "_c", k)
     by = by.withColumn("_avg_rank", F.col("_before") + (F.col("_c") + 1) / 2.0)
     g = by.groupBy(*k).agg(F.sum(F.col("_p") * F.col("_avg_rank")).alias("_rs"),
                            F.sum("_p").alias("_np"), F.sum(F.col("_c") - F.col("_p")).alias("_nn"))

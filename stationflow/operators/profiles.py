@@ -57,10 +57,12 @@ def standardize_within(df: DataFrame, group: list[str], cols: list[str]) -> Data
 
 
 # C5 --------------------------------------------------------------------------
-def ranked_pairs(pairs: DataFrame, score: str = "cosine", threshold: float | None = None) -> DataFrame:
-    """Rank pairs by score (desc, ties by pair keys); optional threshold filter."""
+def ranked_pairs(pairs: DataFrame, group: list[str], score: str = "cosine",
+                 threshold: float | None = None) -> DataFrame:
+    """Rank a group's pairs by score (descending, ties share the rank); optional
+    threshold filter. Ranking stays inside the group (a station's pair table)."""
     x = pairs if threshold is None else pairs.filter(F.col(score) >= threshold)
-    return x.withColumn("rank", F.rank().over(Window.orderBy(F.col(score).desc())))
+    return x.withColumn("rank", F.rank().over(Window.partitionBy(*group).orderBy(F.col(score).desc())))
 
 
 # C6 --------------------------------------------------------------------------

@@ -30,6 +30,35 @@ def global_position(df: DataFrame, order: list, time_col: str | None, bucket: st
     return x.withColumn("_pos", F.col("_before") + F.row_number().over(inner) - 1).drop("_b", "_before")
 
 
+def running_total_before(df: DataFrame, order_col: str, weight_col: str, keys: list[str] = (),
+                         buckets: int = 1024) -> DataFrame:
+    """For each row, the sum of ``weight_col`` over rows of the same ``keys`` with a
+    smaller ``order_col`` (rows unique per keys and order value), in ``_before``.
+
+    Exact, without a window over all rows: approximate quantiles of ``order_col``
+    cut it into monotone buckets; bucket totals get a running sum over the small
+    (keys x buckets) table, and a window inside each bucket adds the rest."""
+    from ..util import bounded_broadcast
+    keys = list(keys)
+    no_keys = not keys
+    if no_keys:  # one group: a constant key keeps a single code path
+        df = df.withColumn("_k", F.lit(0))
+        keys = ["_k"]
+    probs = [i / buckets for i in range(1, buckets)]
+    pa = F.array_distinct(F.percentile_approx(order_col, probs, 10 * buckets))
+    edges = df.groupBy(*keys).agg(pa.alias("_e"))  # one row per key, `buckets` numbers each
+    x = df.join(bounded_broadcast(edges), keys)
+    x = x.withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(order_col)))).drop("_e")
+    per = x.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bw"))
+    per = per.withColumn("_bb", F.coalesce(F.sum("_bw").over(
+        Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    x = x.join(per.drop("_bw"), [*keys, "_b"])
+    within = F.sum(weight_col).over(Window.partitionBy(*keys, "_b").orderBy(order_col)
+                                    .rowsBetween(Window.unboundedPreceding, -1))
+    out = x.withColumn("_before", F.col("_bb") + F.coalesce(within, F.lit(0))).drop("_b", "_bb")
+    return out.drop("_k") if no_keys else out
+
+
 # M1 / M8 / M9 ----------------------------------------------------------------
 def split_by_dates(time_col: str, valid_start, test_start) -> Column:
     t = F.col(time_col)
@@ -53,13 +82,14 @@ def split_by_ratio(df: DataFrame, order: list[str], time_col: str, fractions=(0.
 
 # M3 --------------------------------------------------------------------------
 def split_by_distinct_time(df: DataFrame, time_col: str, ratio: float = 0.8) -> DataFrame:
-    """The first ``ratio`` of distinct timestamps train, the rest test. The distinct
-    timestamp table is bounded by the calendar."""
-    ts = df.select(time_col).distinct()
-    r = ts.withColumn("_r", F.dense_rank().over(Window.orderBy(time_col)) - 1) \
-          .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    r = r.withColumn("split", F.when(F.col("_r") < F.floor(F.col("_n") * ratio), "train").otherwise("test"))
-    return df.join(F.broadcast(r.select(time_col, "split")), time_col)
+    """The first ``ratio`` of distinct timestamps train, the rest test. The rank of a
+    distinct timestamp is a bucketed running count (no global window); the join back
+    is left to the optimizer (AQE broadcasts it when the distinct set is small)."""
+    ts = df.select(time_col).distinct().withColumn("_one", F.lit(1))
+    n = ts.count()  # one scalar
+    r = running_total_before(ts, time_col, "_one")
+    r = r.withColumn("split", F.when(F.col("_before") < F.floor(F.lit(n) * ratio), "train").otherwise("test"))
+    return df.join(r.select(time_col, "split"), time_col)
 
 
 # M4 --------------------------------------------------------------------------

@@ -72,11 +72,9 @@ SELECT station_id, item_a, item_b, round(cosine, 6) AS cosine,
        CAST(rank() OVER (PARTITION BY station_id ORDER BY round(cosine, 9) DESC) AS INTEGER) AS rank
 FROM pairs WHERE cosine >= 0.98""", check="T")
 def c05(spark, sf_dir):
-    from pyspark.sql import Window
-    p = month_pairs(spark, sf_dir).filter(F.col("cosine") >= 0.98)
-    w = Window.partitionBy("station_id").orderBy(F.round("cosine", 9).desc())
-    return p.select("station_id", "item_a", "item_b", F.round("cosine", 6).alias("cosine"),
-                    F.rank().over(w).alias("rank"))
+    p = month_pairs(spark, sf_dir).filter(F.col("cosine") >= 0.98).withColumn("cos9", F.round("cosine", 9))
+    r = pf.ranked_pairs(p, ["station_id"], "cos9")  # ties judged at 9 digits, as in the oracle
+    return r.select("station_id", "item_a", "item_b", F.round("cosine", 6).alias("cosine"), "rank")
 
 
 @register("c04_standardized_month_vectors", "C4", V("od_daily") + """,

@@ -128,3 +128,17 @@ def test_r2_zero_variance_parameter_and_zero_division(spark):
     c = spark.createDataFrame([(1, 0), (0, 0)], "label int, pred_label int")
     m = ev.classification_metrics(c).first()
     assert (m.precision, m.recall, m.f1, m.accuracy) == (0.0, 0.0, 0.0, 0.5)
+
+
+def test_running_total_before_many_values_per_bucket(spark):
+    rng = random.Random(21)
+    rows = [(k, float(v), rng.randint(1, 5)) for k in ("a", "b") for v in rng.sample(range(100000), 3000)]
+    df = spark.createDataFrame(rows, "k string, v double, w int")
+    got = {(r.k, r.v): r._before for r in splits.running_total_before(df, "v", "w", ["k"], buckets=16).collect()}
+    for k in ("a", "b"):
+        acc = 0
+        for _, v, w in sorted(r for r in rows if r[0] == k):
+            assert got[(k, v)] == acc
+            acc += w
+    g2 = splits.running_total_before(df.filter("k = 'a'"), "v", "w", buckets=8).agg(F.max("_before")).first()[0]
+    assert g2 == sum(w for k, _, w in rows if k == "a") - max(((v, w) for k, v, w in rows if k == "a"))[1]
