@@ -21,13 +21,38 @@ def _q(c: str) -> Column:
 
 
 # X1 / X2 ---------------------------------------------------------------------
+def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], names=("variable_1", "variable_2")) -> DataFrame:
+    """Pearson correlation of many column pairs on pairwise-complete rows, in long
+    form ``(name1, name2, correlation, n)``.
+
+    Each row is expanded to one small record per pair inside the map stage and the
+    six centred sums are combined per pair with partial aggregation, so the work is
+    linear in rows x pairs, the shuffle holds one row per (task, pair), and the
+    generated code stays small however many features there are. Columns are
+    centred on their overall means (one scalar pass) to keep the sums stable. A
+    pair with zero variance gets null (pandas NaN)."""
+    cols = sorted({c for p in pairs for c in p})
+    means = df.agg(*[F.avg(_q(c)).alias(c) for c in cols]).first().asDict()
+    n1, n2 = names
+    recs = F.array(*[F.struct(F.lit(a).alias(n1), F.lit(b).alias(n2),
+                              (_q(a).cast("double") - F.lit(means[a] or 0.0)).alias("x"),
+                              (_q(b).cast("double") - F.lit(means[b] or 0.0)).alias("y")) for a, b in pairs])
+    long = df.select(F.inline(recs)).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    g = long.groupBy(n1, n2).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
+                                 F.sum(F.col("x") * F.col("x")).alias("sxx"),
+                                 F.sum(F.col("y") * F.col("y")).alias("syy"),
+                                 F.sum(F.col("x") * F.col("y")).alias("sxy"))
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    vx = n * F.col("sxx") - sx * sx
+    vy = n * F.col("syy") - sy * sy
+    den = F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vy, F.lit(0.0)))
+    r = F.when(den > 0, (n * F.col("sxy") - sx * sy) / den)
+    return g.select(n1, n2, F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("correlation"), "n")
+
+
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Upper-triangle Pearson pairs ``(variable_1, variable_2, correlation, abs_correlation)``
-    from one aggregation pass."""
-    pairs = list(itertools.combinations(cols, 2))
-    row = df.agg(F.array(*[F.struct(F.lit(a).alias("variable_1"), F.lit(b).alias("variable_2"),
-                                    safe_corr(_q(a), _q(b)).alias("correlation")) for a, b in pairs]).alias("p"))
-    out = row.select(F.inline("p"))
+    """Upper-triangle Pearson pairs ``(variable_1, variable_2, correlation, abs_correlation)``."""
+    out = pair_correlations(df, list(itertools.combinations(cols, 2))).drop("n")
     return out.withColumn("abs_correlation", F.abs("correlation"))
 
 
@@ -149,10 +174,8 @@ def derived_rule_drops(pairs: DataFrame, rules: dict[str, set[str]], threshold:
 
 # X12 -------------------------------------------------------------------------
 def top_features(df: DataFrame, features: list[str], targets: list[str], n: int = 3) -> DataFrame:
-    row = df.agg(F.array(*[F.struct(F.lit(t).alias("target"), F.lit(f).alias("feature"),
-                                    safe_corr(_q(f), _q(t)).alias("correlation"))
-                           for t in targets for f in features]).alias("p"))
-    long = row.select(F.inline("p")).withColumn("abs_correlation", F.abs("correlation"))
+    long = pair_correlations(df, [(t, f) for t in targets for f in features], ("target", "feature")) \
+        .drop("n").withColumn("abs_correlation", F.abs("correlation"))
     w = Window.partitionBy("target").orderBy(F.desc("abs_correlation"), "feature")
     return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
@@ -256,10 +279,8 @@ def apply_transforms(df: DataFrame, choice: dict[str, str]) -> DataFrame:
 def f_scores(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """Univariate F statistic ``r^2 / (1 - r^2) * (n - 2)`` per feature (pairwise
     complete rows), ranked."""
-    row = df.agg(F.array(*[F.struct(
-        F.lit(f).alias("feature"), safe_corr(_q(f), _q(target)).alias("r"),
-        F.count(F.when(_q(f).isNotNull() & _q(target).isNotNull(), 1)).alias("n")) for f in features]).alias("s"))
-    x = row.select(F.inline("s"))
+    x = pair_correlations(df, [(f, target) for f in features], ("feature", "_t")) \
+        .select("feature", F.col("correlation").alias("r"), "n")
     r2 = F.col("r") * F.col("r")
     x = x.withColumn("f_stat", F.when(r2 < 1, r2 / (1 - r2) * (F.col("n") - 2)))
     # one row per feature: a window without partition over a feature-sized table
