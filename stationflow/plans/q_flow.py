@@ -292,9 +292,9 @@ SELECT event_id, start_id, ts, cnt FROM (
   SELECT *, row_number() OVER (PARTITION BY start_id ORDER BY ts, event_id) AS rn FROM trips) x
 WHERE rn = 1""")
 def a23(spark, sf_dir):
-    t = ad.trips(spark, sf_dir)
-    return windows.top_n(t, "start_id", [F.col("ts"), F.col("event_id")], 1) \
-        .select("event_id", "start_id", "ts", "cnt")
+    from ..operators.cleanse import first_by_key
+    t = ad.trips(spark, sf_dir).select("event_id", "start_id", "ts", "cnt")
+    return first_by_key(t, ["start_id"], [F.col("ts"), F.col("event_id")])
 
 
 # A24 --------------------------------------------------------------------------

@@ -32,6 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
     for k, v in SESSION_CONF.items():
