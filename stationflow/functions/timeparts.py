@@ -11,9 +11,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColLike = "Column | str"
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -281,7 +278,8 @@ def select_rules(rules: list[tuple[Column, object]], default=None) -> Column:
 
 # P34 / P35 -------------------------------------------------------------------
 def to_number(x) -> Column:
-    return F.expr(f"try_cast({x} AS DOUBLE)") if isinstance(x, str) else x.try_cast("double")
+    """Numeric parse with bad values to null (pandas ``errors='coerce'``)."""
+    return _c(x).try_cast("double")
 
 
 def capacity(lcd, qr) -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import trunc
 from ..operators import panel as pn
 from ..operators import windows as wn
 from ..sources import adapter as ad
