@@ -22,14 +22,26 @@ def csv_writer(df: DataFrame, header: bool = True):
     return df.write.option("header", header).option("timestampNTZFormat", TS_FORMAT)
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes null on ingest, so Spark's
+    null rules (skipped by aggregates, ``coalesce``) apply as pandas' NaN rules do."""
+    fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    if not fl:
+        return df
+    return df.withColumns({c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(dict(df.dtypes)[c])) for c in fl})
+
+
 # S1 --------------------------------------------------------------------------
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 schema: T.StructType | None = None) -> DataFrame:
+                 schema: T.StructType | None = None, nan_as_null: bool = True) -> DataFrame:
+    """Parquet scan; ``columns`` prunes the ReadSchema, filters applied afterwards are
+    pushed into the scan by Catalyst."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(path)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return nan_to_null(df) if nan_as_null else df
 
 
 # S2 / S3 / S4 / S14 -------------------------------------------------------------

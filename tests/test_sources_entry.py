@@ -74,3 +74,11 @@ def test_oracle_matches_on_smoke_data(spark):
         res = con.execute(q.sql)
         msg = compare([tuple(r) for r in df.collect()], df.columns, res.fetchall(), [d[0] for d in res.description])
         assert msg in (None, "ok-approx"), (name, msg)
+
+
+def test_nan_to_null_on_ingest(spark, tmp_path):
+    df = spark.createDataFrame([(1, float("nan")), (2, 3.0)], "id int, v double")
+    df.write.parquet(str(tmp_path / "n"))
+    back = rd.read_parquet(spark, str(tmp_path / "n")).orderBy("id").collect()
+    assert back[0].v is None and back[1].v == 3.0
+    assert rd.read_parquet(spark, str(tmp_path / "n")).agg(F.sum("v")).first()[0] == 3.0
