@@ -40,23 +40,38 @@ def running_total_before(df: DataFrame, order_col: str, weight_col: str, keys: l
     (keys x buckets) table, and a window inside each bucket adds the rest."""
     from ..util import bounded_broadcast
     keys = list(keys)
-    no_keys = not keys
-    if no_keys:  # one group: a constant key keeps a single code path
-        df = df.withColumn("_k", F.lit(0))
-        keys = ["_k"]
     probs = [i / buckets for i in range(1, buckets)]
     pa = F.array_distinct(F.percentile_approx(order_col, probs, 10 * buckets))
-    edges = df.groupBy(*keys).agg(pa.alias("_e"))  # one row per key, `buckets` numbers each
-    x = df.join(bounded_broadcast(edges), keys)
-    x = x.withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(order_col)))).drop("_e")
+    if keys:
+        edges = df.groupBy(*keys).agg(pa.alias("_e"))  # one row per key, `buckets` numbers each
+        x = df.join(bounded_broadcast(edges), keys)
+        x = x.withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(order_col)))).drop("_e")
+    else:
+        # one group: literal bucket edges and the JVM Bucketizer (binary search), no join
+        from pyspark.ml.feature import Bucketizer
+        x = df.withColumn("_ord", _numeric_order(F.col(order_col), dict(df.dtypes)[order_col]))
+        pa = F.array_distinct(F.percentile_approx("_ord", probs, 10 * buckets))
+        edges = x.agg(pa).first()[0] or []  # at most `buckets` increasing numbers
+        splits = [float("-inf"), *[float(e) for e in edges], float("inf")]
+        x = Bucketizer(splits=splits, inputCol="_ord", outputCol="_b", handleInvalid="keep") \
+            .transform(x).drop("_ord")
     per = x.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bw"))
     per = per.withColumn("_bb", F.coalesce(F.sum("_bw").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     x = x.join(per.drop("_bw"), [*keys, "_b"])
     within = F.sum(weight_col).over(Window.partitionBy(*keys, "_b").orderBy(order_col)
                                     .rowsBetween(Window.unboundedPreceding, -1))
-    out = x.withColumn("_before", F.col("_bb") + F.coalesce(within, F.lit(0))).drop("_b", "_bb")
-    return out.drop("_k") if no_keys else out
+    return x.withColumn("_before", F.col("_bb") + F.coalesce(within, F.lit(0))).drop("_b", "_bb")
+
+
+def _numeric_order(col: Column, dtype: str) -> Column:
+    """A double that sorts like ``col`` (timestamps as epoch seconds, dates as days)."""
+    if dtype.startswith("timestamp"):
+        from ..functions.timeparts import epoch_seconds
+        return epoch_seconds(col.cast("timestamp_ntz"))
+    if dtype == "date":
+        return F.datediff(col, F.lit("1970-01-01").cast("date")).cast("double")
+    return col.cast("double")
 
 
 # M1 / M8 / M9 ----------------------------------------------------------------
