@@ -103,8 +103,10 @@ def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float =
         .join(pts.select(region_key).distinct(), region_key) \
         .select(station_key, region_key, F.lit(2).alias("tier"))
     left = left.join(t2.select(station_key).distinct(), station_key, "left_anti")
+    # these stations have nothing within radius_m, so the search starts one level out
     t3 = nearest(left.select(station_key, "lat", "lon"), pts.withColumnRenamed(region_key, "_rk"),
-                 station_key, "_rk").select(station_key, F.col("_rk").alias(region_key), F.lit(3).alias("tier"))
+                 station_key, "_rk", start_radius_m=4 * radius_m) \
+        .select(station_key, F.col("_rk").alias(region_key), F.lit(3).alias("tier"))
     return t1.unionByName(t2).unionByName(t3)
 
 
