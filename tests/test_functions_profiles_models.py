@@ -133,3 +133,37 @@ def test_recursive_projection_feeds_own_predictions(spark):
     out = md.recursive_projection(m, hist, "2024-01-03 00:00:00", 3, "station_id", "ts", "y", [1], feats)
     got = {(r.station_id, r.step): round(r.y, 6) for r in out.collect()}
     assert got == {("A", 1): 48.0, ("A", 2): 49.0, ("A", 3): 50.0, ("B", 1): 58.0, ("B", 2): 59.0, ("B", 3): 60.0}
+
+
+def test_week_weights_formula(spark):
+    base = dt.datetime(2024, 1, 1)  # ISO week 1 starts on this Monday
+    rows = [("A", base + dt.timedelta(hours=h), 1 if h < 168 else 3) for h in range(336)]
+    df = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, total_flow long")
+    w = {r.year_week: r.week_weight for r in pf.week_weights(df, "total_flow").collect()}
+    mean = (168 + 504) / 2
+    assert math.isclose(w["2024-01"], math.exp(math.log1p(168) - math.log1p(mean)))
+    assert math.isclose(w["2024-02"], math.exp(math.log1p(504) - math.log1p(mean)))
+    sw = pf.sample_weight(df.limit(1), pf.week_weights(df, "total_flow").filter("year_week = '2024-02'")).first()
+    assert sw.week_weight == 1.0 and sw.sample_weight == 1.0  # missing week -> 1
+
+
+def test_binned_mutual_information_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, 400).astype(float)
+    y = (x + rng.integers(0, 2, 400)).astype(float)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    lg = dg.to_long(df, ["x"], "y").filter("transform = 'raw'")
+    got = dg.binned_mutual_information(lg, bins=4).first().mi
+
+    def bins(v, q):
+        edges = np.unique(np.quantile(v, np.linspace(0, 1, q + 1)))
+        return np.minimum((v[:, None] > edges[None, 1:]).sum(1), len(edges) - 2)
+
+    bx, by = bins(x, 4), bins(y, 4)
+    mi = 0.0
+    for a in np.unique(bx):
+        for b in np.unique(by):
+            pxy = np.mean((bx == a) & (by == b))
+            if pxy > 0:
+                mi += pxy * math.log(pxy / (np.mean(bx == a) * np.mean(by == b)))
+    assert math.isclose(got, mi, rel_tol=1e-9)
