@@ -180,10 +180,11 @@ def daily_resample(df: DataFrame, value: str, station: str = "station_id",
 
 
 # A19 -------------------------------------------------------------------------
-def quarter_totals(df: DataFrame, key: str, quarter_cols: list[str]) -> DataFrame:
-    """Unpivot quarter columns and total them per key."""
-    long = df.unpivot([key], quarter_cols, "quarter", "value")
-    return long.groupBy(key).agg(F.sum("value").alias("annual_total"))
+def quarter_totals(df: DataFrame, keys, quarter_cols: list[str]) -> DataFrame:
+    """Unpivot quarter columns and total them per key (a name or a list of names)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    long = df.unpivot(keys, quarter_cols, "quarter", "value")
+    return long.groupBy(*keys).agg(F.sum("value").alias("annual_total"))
 
 
 # A21 -------------------------------------------------------------------------

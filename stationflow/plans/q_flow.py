@@ -250,16 +250,15 @@ def a18(spark, sf_dir):
 
 # A19 --------------------------------------------------------------------------
 @register("a19_quarter_totals", "A19 A41", V("od_daily") + """
-SELECT start_id AS station_id, sum(cnt) AS annual_total FROM od_daily
-WHERE year(day) = 1996 GROUP BY 1""")
+SELECT start_id AS station_id, CAST(year(day) AS INTEGER) AS year, sum(cnt) AS annual_total FROM od_daily
+GROUP BY 1, 2""")
 def a19(spark, sf_dir):
-    od = ad.od_daily(spark, sf_dir).filter(F.year("day") == 1996)
-    wide = od.groupBy(F.col("start_id").alias("station_id")).pivot(
-        "q", [1, 2, 3, 4]).sum("cnt") if False else od.withColumn("q", F.quarter("day")) \
-        .groupBy(F.col("start_id").alias("station_id")).pivot("q", [1, 2, 3, 4]).sum("cnt")
-    wide = wide.select("station_id", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"q{i}_total")
-                                       for i in range(1, 5)])
-    return flow.quarter_totals(wide, "station_id", [f"q{i}_total" for i in range(1, 5)])
+    od = ad.od_daily(spark, sf_dir).withColumns({"q": F.quarter("day"), "year": F.year("day")})
+    # wide quarter columns per (station, year), as the station table carries them
+    wide = od.groupBy(F.col("start_id").alias("station_id"), "year").pivot("q", [1, 2, 3, 4]).sum("cnt")
+    wide = wide.select("station_id", "year", *[F.coalesce(F.col(str(i)), F.lit(0.0)).alias(f"q{i}_total")
+                                               for i in range(1, 5)])
+    return flow.quarter_totals(wide, ["station_id", "year"], [f"q{i}_total" for i in range(1, 5)])
 
 
 # A20 --------------------------------------------------------------------------

@@ -158,15 +158,17 @@ def u01(spark, sf_dir):
 
 
 @register("u03_missing_hours", "U3 A34", V("trips") + """,
-h AS (SELECT DISTINCT date_trunc('hour', ts) AS ts FROM trips WHERE start_id = 'ST-3'),
-r AS (SELECT min(ts) AS lo, max(ts) AS hi FROM h),
-s AS (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM r)
-SELECT ts FROM s WHERE ts NOT IN (SELECT ts FROM h)""")
+h AS (SELECT DISTINCT start_id AS station_id, date_trunc('hour', ts) AS ts FROM trips),
+r AS (SELECT station_id, min(ts) AS lo, max(ts) AS hi FROM h GROUP BY 1),
+s AS (SELECT station_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM r)
+SELECT s.station_id, s.ts FROM s ANTI JOIN h ON s.station_id = h.station_id AND s.ts = h.ts""")
 def u03(spark, sf_dir):
+    """Hours inside each station's own range with no departure: spine minus observed."""
     from ..functions.timeparts import trunc
-    from ..operators.panel import hour_spine
-    h = ad.trips(spark, sf_dir).filter("start_id = 'ST-3'").select(trunc("hour", "ts").alias("ts")).distinct()
-    return hour_spine(h).join(h, "ts", "left_anti")
+    from ..operators.panel import densify
+    h = ad.trips(spark, sf_dir).select(F.col("start_id").alias("station_id"),
+                                       trunc("hour", "ts").alias("ts")).distinct()
+    return densify(h, fill=None, value_cols=[]).join(h, ["station_id", "ts"], "left_anti")
 
 
 @register("u04_missing_meta_fill", "U4 F19", V("trips", "stations") + """,
