@@ -187,3 +187,23 @@ def i13(spark, sf_dir):
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "net_flow")
     s = inv.risk_summary(inv.projection_12h(p, "net_flow"))
     return s.withColumn("mean_need", F.round("mean_need", 6))
+
+
+@register("i08b_slot_mean_forecast", "I8 W7 M30", REFILL_SQL + """,
+f AS (SELECT *, avg(add) OVER (PARTITION BY station_id, hour(cycle_start) ORDER BY cycle_start
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pred FROM refill),
+s AS (SELECT CAST(add AS DOUBLE) AS y, pred FROM f WHERE pred IS NOT NULL)
+SELECT round(avg(abs(y - pred)), 6) AS mae, round(sqrt(avg((y - pred) * (y - pred))), 6) AS rmse,
+       round(CASE WHEN var_pop(y) = 0 THEN 0.0 ELSE 1 - sum((y - pred) * (y - pred)) / (var_pop(y) * count(*)) END, 6)
+         AS r2
+FROM s""", check="T")
+def i08b(spark, sf_dir):
+    """Forecast each cycle's refill by the mean of the same slot (04 or 16) in earlier
+    cycles of the station, then score it."""
+    from ..operators import evaluate as ev
+    from ..operators.windows import add_expanding_mean
+    r = _refill(spark, sf_dir).withColumn("slot", F.hour("cycle_start"))
+    f = add_expanding_mean(r, "add", ["station_id", "slot"], order="cycle_start", name="pred")
+    s = f.filter(F.col("pred").isNotNull()).select(F.col("add").cast("double").alias("y"), "pred")
+    m = ev.regression_metrics(s, "y", "pred")
+    return m.select(*[F.round(c, 6).alias(c) for c in ("mae", "rmse", "r2")])

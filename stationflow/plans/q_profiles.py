@@ -241,3 +241,18 @@ def c14(spark, sf_dir):
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts").withColumns(
         {"hour": F.hour("ts"), "weekday": F.weekday("ts")})
     return p.select("station_id", "ts", pf.peak_weight("hour", "weekday").alias("weight"))
+
+
+@register("c06b_week_pair_cosine_pooled", "C6 J14", WEEK_SQL + """,
+pool AS (SELECT week, slot, sum(value) AS value FROM wp GROUP BY 1, 2),
+pp AS (SELECT a.week AS item_a, b.week AS item_b,
+              sum(a.value * b.value) / (sqrt(sum(a.value * a.value)) * sqrt(sum(b.value * b.value))) AS cosine
+       FROM pool a JOIN pool b ON a.slot = b.slot AND a.week < b.week GROUP BY 1, 2)
+SELECT item_a, item_b, round(cosine, 6) AS cosine FROM pp""", check="T")
+def c06b(spark, sf_dir):
+    """Pooled form: the full weeks of all stations summed per (week, slot) first, then
+    one pair table over the weeks (bounded by the calendar)."""
+    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", F.col("total_flow").cast("double"))
+    wp = pf.week_profiles(p, "total_flow")
+    pooled = wp.groupBy("week", "slot").agg(F.sum("value").alias("value"))
+    return pf.pair_similarity(pooled, [], "week").select("item_a", "item_b", F.round("cosine", 6).alias("cosine"))
