@@ -59,7 +59,8 @@ def g21(spark, sf_dir):
 
 @register("g22_forecasting_dataset", "G22 P12 P35", FF_SQL + ", " + V("stations")[5:] + """
 SELECT ff.station_id, ff.ts, ff.y, ff.total_lag1, ff.total_lag24, ff.roll3, s.lcd + s.qr AS capacity, s.region,
-       round(sin(2 * pi() * hour(ff.ts) / 24.0), 6) AS hour_sin, round(cos(2 * pi() * hour(ff.ts) / 24.0), 6) AS hour_cos,
+       round(sin(2 * pi() * hour(ff.ts) / 24.0), 6) AS hour_sin,
+       round(cos(2 * pi() * hour(ff.ts) / 24.0), 6) + 0.0 AS hour_cos,  -- -0.0 as 0.0, as Spark's round gives
        round(sin(2 * pi() * (isodow(ff.ts) - 1) / 7.0), 6) AS dow_sin, round(cos(2 * pi() * (isodow(ff.ts) - 1) / 7.0), 6)
          AS dow_cos
 FROM ff LEFT JOIN stations s ON ff.station_id = s.station_id""", check="T")

@@ -125,7 +125,8 @@ def p08(spark, sf_dir):
 
 # P12 / P13 / P14 / P19 ---------------------------------------------------------------
 @register("p12_cyclic_onehot", "P12 P13 P14 P19 D6", V("trips") + """
-SELECT event_id, round(sin(2 * pi() * hour / 24.0), 6) AS hour_sin, round(cos(2 * pi() * hour / 24.0), 6) AS hour_cos,
+SELECT event_id, round(sin(2 * pi() * hour / 24.0), 6) AS hour_sin,
+       round(cos(2 * pi() * hour / 24.0), 6) + 0.0 AS hour_cos,  -- + 0.0: -0.0 as 0.0, as Spark's round gives
        round(sin(2 * pi() * (month(ts) - 1) / 12.0), 6) AS month_sin0,
        round(cos(2 * pi() * dayofyear(ts) / 366.0), 6) AS doy_cos,
        """ + ", ".join(f"CAST(isodow(ts) - 1 = {i} AS INTEGER) AS dow_{i}" for i in range(7)) + """,

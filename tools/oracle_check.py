@@ -34,8 +34,11 @@ def norm(v):
     if v is None:
         return (0, "")
     if isinstance(v, float):
+        # NaN and a negative zero are kept distinct: a hash of the values would see them
         if math.isnan(v):
-            return (0, "")
+            return (5, "nan")
+        if v == 0.0 and math.copysign(1.0, v) < 0:
+            return (5, "-0.0")
         return (1, v)
     if hasattr(v, "isoformat"):
         return (2, v.isoformat())
