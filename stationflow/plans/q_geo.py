@@ -13,7 +13,7 @@ from .catalog import register
 
 V = ad.with_views
 HAV = hav_m_sql("s.lat", "s.lon", "p.lat", "p.lon")
-# Fixed reference point of the distance query (Seoul City Hall).
+# The point the G9/G10 distance query measures from.
 REF_LAT, REF_LON = 37.5665, 126.9780
 
 
