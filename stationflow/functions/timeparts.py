@@ -239,6 +239,7 @@ def smoothed_ratio(a, b, eps: float = 0.1) -> Column:
 
 
 # P29 / P30 / P31 -------------------------------------------------------------
+# The district token (Hangul or digits ending in 동).
 DONG_PATTERN = "([가-힣0-9]+동)"
 
 

@@ -101,7 +101,7 @@ def two_sided_flow(trips: DataFrame, time_col: str = "ts", cnt: str = "cnt",
 def signed_count(trips: DataFrame, keys: list, cnt: str = "cnt", basis: str = "basis",
                  dep: str = "dep") -> DataFrame:
     """Departures count negative, arrivals positive."""
-    v = F.when(F.col(basis) == dep, -F.col(cnt)).otherwise(F.col(cnt))
+    v = F.when(F.col(basis) == dep, F.lit(0) - F.col(cnt)).otherwise(F.col(cnt))  # 0 - x: no -0.0
     return trips.groupBy(*keys).agg(F.sum(v).alias("signed_cnt"))
 
 
@@ -131,7 +131,7 @@ def event_deltas(trips: DataFrame, dep_ts: str = "ts", arr_ts: str | None = None
     at = F.col(arr_ts) if arr_ts else F.col(dep_ts)
     return trips.select(F.explode(F.array(
         F.struct(F.col(start).alias("station_id"), F.col(dep_ts).alias("event_time"),
-                 (-F.col(cnt)).alias("delta")),
+                 (F.lit(0) - F.col(cnt)).alias("delta")),
         F.struct(F.col(end).alias("station_id"), at.alias("event_time"),
                  F.col(cnt).alias("delta")))).alias("e")).select("e.*")
 

@@ -70,7 +70,8 @@ def cycle_need(deltas: DataFrame, station: str = "station_id", time_col: str = "
         .rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("_run", F.sum("_tot").over(w))
     return g.groupBy(station, "cycle_start").agg(
-        (-F.least(F.lit(0), F.min("_run"))).alias("need"), F.sum("_tot").alias("net"))
+        # 0 - x rather than -x: no negative zero when the running sum never dips
+        (F.lit(0) - F.least(F.lit(0), F.min("_run"))).alias("need"), F.sum("_tot").alias("net"))
 
 
 def full_cycle_grid(needs: DataFrame, station: str = "station_id") -> DataFrame:
