@@ -24,7 +24,7 @@ def filter_station_rows(df: DataFrame, ids, start: str = "start_id", end: str =
     if isinstance(ids, DataFrame):
         key = ids.columns[0]
         flag = ids.select(F.col(key).alias("_id"), F.lit(True).alias("_hit")).distinct()
-        fb = bounded_broadcast(flag)
+        fb = bounded_broadcast(flag)  # an id list: checked small before the hint
         x = (df.join(fb.withColumnsRenamed({"_id": start, "_hit": "_hs"}), start, "left")
                .join(fb.withColumnsRenamed({"_id": end, "_hit": "_he"}), end, "left"))
         return x.filter(F.coalesce("_hs", F.lit(False)) | F.coalesce("_he", F.lit(False))) \

@@ -38,13 +38,12 @@ def running_total_before(df: DataFrame, order_col: str, weight_col: str, keys: l
     Exact, without a window over all rows: approximate quantiles of ``order_col``
     cut it into monotone buckets; bucket totals get a running sum over the small
     (keys x buckets) table, and a window inside each bucket adds the rest."""
-    from ..util import bounded_broadcast
     keys = list(keys)
     probs = [i / buckets for i in range(1, buckets)]
     pa = F.array_distinct(F.percentile_approx(order_col, probs, 10 * buckets))
     if keys:
         edges = df.groupBy(*keys).agg(pa.alias("_e"))  # one row per key, `buckets` numbers each
-        x = df.join(bounded_broadcast(edges), keys)
+        x = df.join(edges, keys)  # one edge row per key; AQE sizes it at run time
         x = x.withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(order_col)))).drop("_e")
     else:
         # one group: literal bucket edges and the JVM Bucketizer (binary search), no join

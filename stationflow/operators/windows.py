@@ -185,9 +185,8 @@ def quantile_bins(df: DataFrame, col: str, q: int, value: str | None = None,
     part = partition or []
     probs = [i / q for i in range(q + 1)]
     if part:
-        from ..util import bounded_broadcast
         edges = df.groupBy(*part).agg(F.array_distinct(F.percentile(F.col(col), probs)).alias("_edges"))
-        x = df.join(bounded_broadcast(edges), part, "inner")
+        x = df.join(edges, part, "inner")  # one edge row per group; AQE sizes it at run time
     else:
         # q+1 numbers: a metric row read back, then used as a literal array
         lits = df.agg(F.array_distinct(F.percentile(F.col(col), probs))).first()[0]

@@ -34,14 +34,13 @@ def station_feature_table(spark: SparkSession, sf_dir: str, temp_lookup: DataFra
                        "rush": tp.hour_in(F.hour("ts"), [7, 8, 9, 17, 18, 19]),
                        "month_sin": ms, "month_cos": mc, "month": F.month("ts")})
     look = temp_lookup.select(F.col("ts").alias("_lts"), F.col("temp").alias("temp_lag_1h"))
-    p = p.join(bounded_broadcast(look), F.col("_lts") == F.col("ts") - F.expr("INTERVAL 1 HOUR"), "left") \
-        .drop("_lts")
+    p = p.join(look, F.col("_lts") == F.col("ts") - F.expr("INTERVAL 1 HOUR"), "left").drop("_lts")
     st = ad.stations(spark, sf_dir)
     reg = context.build_region_features(st, ad.region_month(spark, sf_dir)).drop("tier")
     sub = context.build_subway_features(st, ad.subway_points(spark, sf_dir), ad.subway_daily(spark, sf_dir))
-    # both context tables have one row per station (x month): bounded by the station count
-    p = p.join(bounded_broadcast(reg), ["station_id", "month"], "left") \
-         .join(bounded_broadcast(sub), "station_id", "left")
+    # derived context tables (one row per station x month): no hint, so no extra job to
+    # size them; AQE broadcasts them at run time from their materialised size
+    p = p.join(reg, ["station_id", "month"], "left").join(sub, "station_id", "left")
     ctx = ["residential", "business", "tourism", "transit_index", "am_board_ratio", "pm_alight_ratio"]
     return p.fillna(0.0, subset=ctx).drop("month")
 

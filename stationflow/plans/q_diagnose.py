@@ -13,7 +13,6 @@ from ..operators import diagnose as dg
 from ..operators import splits as sp
 from ..operators.windows import guarded
 from ..sources import adapter as ad
-from ..util import bounded_broadcast
 from .catalog import register
 from .q_flow import PANEL, hourly_flow_panel
 
@@ -25,7 +24,7 @@ def feature_frame(spark, sf_dir):
     p = hourly_flow_panel(spark, sf_dir)
     w = Window.partitionBy("station_id").orderBy("ts")
     wx = ad.weather(spark, sf_dir).select("ts", "temp")
-    x = p.join(bounded_broadcast(wx), "ts", "left")
+    x = p.join(wx, "ts", "left")  # derived hourly side: AQE sizes it at run time
     return x.select(
         "station_id", "ts", F.col("total_flow").cast("double").alias("y"),
         F.col("inflow").cast("double").alias("inflow"), F.col("outflow").cast("double").alias("outflow"),

@@ -52,7 +52,7 @@ def g21(spark, sf_dir):
     from ..util import bounded_broadcast
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "total_flow")
     w = ad.weather(spark, sf_dir).select("ts", "temp")
-    feats = p.join(bounded_broadcast(w), "ts", "left")
+    feats = p.join(w, "ts", "left")  # derived side: AQE sizes it at run time
     out = entries.hourly_station_dataset(feats, ad.trips(spark, sf_dir))
     return out.withColumn("temp", F.round("temp", 6))
 

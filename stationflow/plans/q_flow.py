@@ -55,12 +55,12 @@ FROM panel WINDOW w AS (PARTITION BY station_id ORDER BY ts)""")(hourly_flow_pan
 def trips_weather(spark, sf_dir):
     """Trips with the weather of their hour (left join on the hour key).
 
-    The weather side is bounded by the calendar (one row per hour), so it is
-    broadcast after a size check."""
-    from ..util import bounded_broadcast
+    The weather side is derived (one row per hour of the calendar); it gets no hint,
+    so no extra job sizes it up front: AQE turns the join into a broadcast at run
+    time from the materialised size, and keeps the shuffle join beyond that."""
     t = ad.trips(spark, sf_dir).withColumn("hour_ts", trunc("hour", "ts"))
     w = ad.weather(spark, sf_dir).withColumnRenamed("ts", "hour_ts")
-    return t.join(bounded_broadcast(w), "hour_ts", "left")
+    return t.join(w, "hour_ts", "left")
 
 
 TW_SQL = """tw AS (SELECT t.*, date_trunc('hour', t.ts) AS hour_ts, w.temp, w.humidity, w.rain

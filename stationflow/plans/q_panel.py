@@ -9,7 +9,6 @@ from ..operators import cleanse
 from ..operators import flow
 from ..operators import panel as pn
 from ..sources import adapter as ad
-from ..util import bounded_broadcast
 from .catalog import register
 from .q_flow import EXPLODE_SQL, PANEL, hourly_flow_panel
 from .q_windows import interp_sql
@@ -103,8 +102,8 @@ FROM panel p LEFT JOIN tlook l ON l.ts = p.ts - INTERVAL 1 HOUR""", check="T")
 def g07(spark, sf_dir):
     look = temp_lookup(spark, sf_dir).select(F.col("ts").alias("lts"), F.col("temp").alias("temp_lag_1h"))
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts")
-    # the lookup is one row per hour of the calendar: broadcast after a size check
-    j = p.join(bounded_broadcast(look), F.col("lts") == F.col("ts") - F.expr("INTERVAL 1 HOUR"), "left")
+    # the lookup is derived (one row per calendar hour): AQE sizes it at run time
+    j = p.join(look, F.col("lts") == F.col("ts") - F.expr("INTERVAL 1 HOUR"), "left")
     return j.select("station_id", "ts", F.round("temp_lag_1h", 6).alias("temp_lag_1h"))
 
 
@@ -125,5 +124,5 @@ def g08(spark, sf_dir):
     sp = pn.hour_spine(fh).join(fh, "ts", "left")
     wi = pn.interpolate_linear(sp, ["temp"], "ts")
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "total_flow")
-    return p.join(bounded_broadcast(wi), "ts", "left").select(
+    return p.join(wi, "ts", "left").select(
         "station_id", "ts", "total_flow", F.round("temp", 6).alias("temp"))

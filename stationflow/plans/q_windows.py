@@ -109,7 +109,7 @@ def _panel_weather(spark, sf_dir):
     p = _panel(spark, sf_dir).select("station_id", "ts", "total_flow")
     w = ad.weather(spark, sf_dir).select("ts", "temp")
     from ..util import bounded_broadcast
-    return p.join(bounded_broadcast(w), "ts", "left")
+    return p.join(w, "ts", "left")  # derived hourly side: AQE sizes it at run time
 
 
 PW_SQL = PANEL + ", " + ad.with_views("weather")[5:] + """,

@@ -17,7 +17,13 @@ INLIST_MAX = 1000
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``dim`` only after checking its row count; otherwise leave the
-    join to a shuffle (and to AQE, which may still broadcast at run time)."""
+    join to a shuffle (and to AQE, which may still broadcast at run time).
+
+    Used for dimensions read from small base tables (stations, id lists), where the
+    count is cheap. Tables derived from the large inputs (hourly weather, quantile
+    edges, context features) get no hint at all: counting them would compute them
+    twice, and AQE already converts a join to a broadcast at run time from the
+    materialised size, with the shuffle join as the fallback."""
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 
