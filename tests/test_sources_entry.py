@@ -82,3 +82,14 @@ def test_nan_to_null_on_ingest(spark, tmp_path):
     back = rd.read_parquet(spark, str(tmp_path / "n")).orderBy("id").collect()
     assert back[0].v is None and back[1].v == 3.0
     assert rd.read_parquet(spark, str(tmp_path / "n")).agg(F.sum("v")).first()[0] == 3.0
+
+
+def test_package_shipped_once(spark):
+    from stationflow.session import _SHIPPED, ship_package
+    ship_package(spark)
+    ship_package(spark)
+    assert id(spark.sparkContext) in _SHIPPED
+    # a grouped pandas function defined in the package runs on the workers
+    from stationflow.operators import spatial
+    pts = spark.createDataFrame([(1, 0.0, 0.0), (1, 1.0, 0.0), (1, 0.0, 1.0)], "cluster int, lat double, lon double")
+    assert spatial.convex_hulls(pts).count() == 3
