@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import langid, packing, url_filter
 from .common import table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_packing,)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op8_language_id, op10_packing)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_url_filter": url_filter.judge_sql()}

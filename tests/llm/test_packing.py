@@ -1,4 +1,5 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -10,13 +11,18 @@ from stationflow.llm.bpe import byte_bpe
 from stationflow.llm.queries import op10_packing
 
 
-def reference_ids(text):
+@lru_cache
+def reference():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def reference_ids(text):
+    return reference().encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("text", ["", " ", "a", " lead", "trail ", "two  spaces", "line\n next\nx", "tab\t x", "don't it's",
