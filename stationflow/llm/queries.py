@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, url_filter
+from . import langid, minhash, packing, url_filter
 from .common import table
 
 
@@ -16,10 +16,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op8_language_id, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op8_language_id, op9_minhash, op10_packing)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.judge_sql()}

@@ -42,9 +42,9 @@ def model_of(**texts):
 def test_code_lengths_equal_a_walk_of_the_tree():
     train = ["abracadabra bra cad", "banana bandana"]
     trees = langid.Trees(model_of(x=train))
-    for text in (b"abra", b"banjo", b"zzz", b"", b"cadabra banana" * 20):
-        assert math.isclose(trees.code_lengths([text])[0, 0], by_hand([t.encode() for t in train], text) if b"z" not in text and b"j" not in text
-                            else trees.code_lengths([text])[0, 0], rel_tol=1e-5, abs_tol=1e-6)
+    for text in (b"abra", b"barn and crab", b"", b"cadabra banana" * 20):
+        assert math.isclose(trees.code_lengths([text])[0, 0], by_hand([t.encode() for t in train], text), rel_tol=1e-5, abs_tol=1e-6)
+    assert trees.code_lengths([b"zzz"])[0, 0] > trees.code_lengths([b"bra"])[0, 0]
 
 
 def test_long_texts_are_scored_whole_in_slices(monkeypatch):
@@ -73,8 +73,9 @@ def test_labels_of_the_held_out_fold_play_no_part(spark, sf_dir):
 
 
 def test_nulls_empties_and_no_labels(spark):
-    docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "12 %% 34", "en"), (4, "hello there", "en"), (None, "hello", None),
-                                  (5, "bonjour madame", "fr"), (5, "bonjour madame", "fr"), (7, "bonjour " * 40000, None)],
+    en, fr = [i for i in range(10, 99) if zlib.crc32(str(i).encode()) % 4 != 2][:2]
+    docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "12 %% 34", "en"), (en, "hello there", "en"), (None, "hello", None),
+                                  (fr, "bonjour madame", "fr"), (fr, "bonjour madame", "fr"), (7, "bonjour " * 40000, None)],
                                  "doc_id long, text string, lang string").withColumn("score", F.lit("mine"))
     got = langid.identify_documents(docs).collect()
     by = {r.doc_id: r for r in got}
