@@ -10,12 +10,13 @@ Whole sets first: documents with the same set form one class (two independent 64
 over the set), of which one member goes on. Half keys that no other class has are dropped
 before pairs are formed, so that most documents send ``2 T`` narrow rows and no more.
 
-Within a bucket no list of all pairs is made. Every class is first held against the
-bucket's smallest one; links are confirmed on the full sets. Buckets whose members then lie
-in one component are done. In the rest, up to ``PIVOTS`` members at a time are held against
-the members of other components, those outside the leading component first, until none is
-left: every candidate pair is either confirmed, refuted or inside one component. No bucket
-is capped, and a step makes at most ``PIVOTS`` rows per member.
+Every class is first held against the smallest one of each of its buckets; links are
+confirmed on the full sets. Buckets whose members then lie in one component are done. Of the
+rest, those of up to ``SMALL`` members list their pairs between different components. Larger
+ones (groups of near copies of which not all are linked) are joined into groups by shared
+buckets, cut into blocks of about ``BLOCK`` classes, and each two blocks meet in one task,
+which confirms all of their candidate pairs on the full sets and returns only as many links
+as connect them. No bucket is capped, and no list of all pairs of a group is made.
 
 Defined results: null texts and texts without words have an empty set, link with nothing and
 are kept; a text with fewer words than a shingle is one shingle; repeated rows share a
@@ -30,13 +31,13 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import byte_table, mix64, odd_constants, prepare, slices, stored
 from .components import connected_components
 
 T, R = 9, 3
-PIVOTS = 32
+SMALL = 16
+BLOCK = 256
 SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
@@ -194,33 +195,116 @@ def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         .select("node", "text").mapInArrow(run, "node long, shingles binary")
 
 
+def _candidates(rows: dict, left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs share a half key of either collection, lie in different components and
+    have sizes that allow a link."""
+    ok = rows["component"][left][:, None] != rows["component"][right][None]
+    a, b = rows["n"][left][:, None], rows["n"][right][None]
+    ok &= np.minimum(a, b) * 100 >= np.maximum(a, b) * percent
+    for side in ("ha", "hb"):
+        shared = np.zeros(ok.shape, bool)
+        for i in range(rows[side].shape[1]):
+            shared |= rows[side][left, i][:, None] == rows[side][right, i][None]
+        ok &= shared
+    return ok
+
+
+def _intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set, some elements at a time."""
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, of, times = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1                              # elements of two sets or more
+    keep = times[of] > 1
+    row, of = row[keep], rank[of[keep]]
+    order = np.argsort(of, kind="stable")
+    row, of = row[order], of[order]
+    both = np.zeros((len(left), len(right)), np.float64)
+    total = int(of[-1]) + 1 if len(of) else 0
+    for at in range(0, total, columns):
+        a, b = np.searchsorted(of, (at, at + columns))
+        has = np.zeros((len(sets), min(columns, total - at)), np.float32)
+        has[row[a:b], of[a:b] - at] = 1
+        both += has[left] @ has[right].T
+    return both
+
+
+def _connecting(nodes, component, x, y) -> list:
+    """A subset of the links that connects the same components as all of them."""
+    root: dict = {}
+
+    def find(c):
+        while root.get(c, c) != c:
+            root[c] = root.get(root[c], root[c])
+            c = root[c]
+        return c
+
+    out = []
+    for a, b in zip(x, y):
+        p, q = find(component[a]), find(component[b])
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((nodes[a], nodes[b]))
+    return out
+
+
+def dense_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that connect the components among ``members(group, node, component, n,
+    ha, hb, shingles)``, found by comparing the blocks of each group two by two."""
+    size = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    rows = members.join(size, "group").withColumn("block", F.pmod(F.xxhash64("node"), "blocks")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("blocks", "other")
+
+    def compare(key, table):
+        import pyarrow as pa
+
+        i, j = key[1].as_py(), key[2].as_py()
+        block = table.column("block").to_numpy()
+        left = np.flatnonzero(block == i)
+        right = left if i == j else np.flatnonzero(block == j)
+        rows = {c: table.column(c).to_numpy() for c in ("node", "component", "n")}
+        rows |= {c: np.array(table.column(c).to_pylist(), np.int64) for c in ("ha", "hb")}
+        out = []
+        if len(left) and len(right):
+            ok = _candidates(rows, left, right, percent)
+            if ok.any():
+                sets = [np.frombuffer(v.as_buffer(), "<u8") for v in table.column("shingles")]
+                both = _intersections(sets, left, right)
+                union = rows["n"][left][:, None] + rows["n"][right][None] - both
+                x, y = np.nonzero(ok & (100 * both >= percent * union))
+                out = _connecting(rows["node"].tolist(), rows["component"].tolist(), left[x].tolist(), right[y].tolist())
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return rows.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def link_components(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """``node, component`` of the classes that have a link to another one."""
     members = stored(buckets(classes), "minhash-buckets")
     wanted = members.select("node").distinct().join(classes.select("node", "doc_id"), "node")
     sets = stored(full_sets(docs, wanted, words).dropDuplicates(["node"]), "minhash-sets")
-    tried = stored(confirm(_ordered(members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead").alias("b"),
-                                                   F.col("n_lead").alias("nb")), percent), sets, percent), "minhash-tried")
-    rest = members.select("key", "node", "n")
-    while True:
-        found = connected_components(tried.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        rest = rest.join(found, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-        open_ = rest.groupBy("key").agg(F.min(F.struct("node", "component")).alias("l"), F.min("component").alias("lo"),
-                                        F.max("component").alias("hi")).filter("lo <> hi")
-        rest = stored(rest.join(open_.select("key", F.col("l.component").alias("leading")), "key"), "minhash-open")
-        turn = F.row_number().over(Window.partitionBy("key").orderBy(F.col("component") == F.col("leading"), "node"))
-        pivots = rest.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS) \
-            .select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("other"))
-        pivots = stored(pivots, "minhash-pivots")
-        pairs = _ordered(rest.join(pivots, "key").filter("component <> other")
-                         .select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb"), percent)
-        fresh = stored(confirm(pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti"), sets, percent), "minhash-tried")
-        rest = rest.select("key", "node", "n").join(pivots.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti")
-        if rest.isEmpty():
-            if fresh.filter("linked").isEmpty():
-                return found
-            return connected_components(tried.union(fresh).filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
-        tried = tried.union(fresh)
+    star = _ordered(members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead").alias("b"),
+                                   F.col("n_lead").alias("nb")), percent)
+    tried = stored(confirm(star, sets, percent), "minhash-tried")
+    links = tried.filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found = connected_components(links)
+
+    rest = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = rest.groupBy("key").agg(F.count("*").alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .filter("lo <> hi").select("key", "c")
+    rest = stored(rest.join(open_, "key"), "minhash-open")
+    few = rest.filter(F.col("c") <= SMALL).select("key", "component", F.col("node").alias("a"), F.col("n").alias("na"))
+    other = few.select("key", F.col("component").alias("other"), F.col("a").alias("b"), F.col("na").alias("nb"))
+    pairs = _ordered(few.join(other, "key").filter("a < b AND component <> other"), percent)
+    small = confirm(pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti"), sets, percent) \
+        .filter("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    many = rest.filter(F.col("c") > SMALL)
+    groups = connected_components(many.select(F.col("node").alias("a"), F.col("lead").alias("b")))
+    dense = many.select("node", "component").distinct() \
+        .join(groups.withColumnRenamed("component", "group"), "node") \
+        .join(classes.select("node", "n", "ha", "hb"), "node").join(sets, "node")
+    return connected_components(links.union(small).union(dense_links(dense, percent)))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, t: int = T, r: int = R) -> DataFrame:
