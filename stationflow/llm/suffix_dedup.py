@@ -7,13 +7,15 @@ How equal strings meet without shuffling every suffix:
    bytes, the one of least hash is the window's anchor. Equal windows have equal anchors,
    and windows in a row mostly share one (about one anchor per ``(W + 1) / 2`` bytes).
 2. Documents lie in chunks of about ``CHUNK_BYTES`` (a hash of ``doc_id``). Each chunk sends
-   its distinct anchors as packed 32-bit fingerprints, by buckets of the hash; a bucket
-   answers with one bit per fingerprint: does another chunk have it?
-3. Chunks send, once for each distinct string, the stretch of text whose windows belong to
-   such an anchor (or to one that two of their own documents have), with its smallest
-   ``doc_id``. Anchors that very many chunks have go window by window instead, dealt by the
-   window's hash, so that no bucket gathers all surroundings of a common phrase.
-4. Each bucket builds the suffix array of its stretches (two-stage sorting), reads groups of
+   its distinct anchors as packed 32-bit fingerprints, by buckets of the hash, each with a
+   hash of the stretch of text whose windows belong to it. A bucket answers with bits: does
+   another chunk have the anchor, and is the stretch the same string everywhere?
+3. Equal strings are one: for a stretch that is the same everywhere, chunks send its
+   fingerprint and smallest ``doc_id`` only. Where stretches differ, they send the strings,
+   once for each distinct one, with its smallest ``doc_id``. Anchors that very many chunks
+   have go window by window instead, dealt by the window's hash, so that no bucket gathers
+   all surroundings of a common phrase.
+4. Each bucket builds the suffix array of its strings (two-stage sorting), reads groups of
    equal windows off the adjacent common prefixes, and answers with one bit per window: does
    it start in a smaller document?
 5. Chunks mark the covered bytes.
@@ -30,6 +32,8 @@ from __future__ import annotations
 
 import zlib
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +51,25 @@ PIECE_BYTES = 1 << 20
 _AT = 22                    # bits of a position within a piece buffer
 
 
+_BASE = 0x9E3779B97F4A7C15
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int):
+    """Powers of the hash base and of its inverse modulo 2**64."""
+    inverse = pow(_BASE, -1, 1 << 64)
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, x, np.uint64), dtype=np.uint64)])
+                 for x in (_BASE, inverse))
+
+
+def _string_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32-bit hashes of the strings ``start .. end`` of the buffer."""
+    power, inverse = _powers(1 << max(21, len(buf).bit_length()))
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(byte_table(12)[buf] * power[: len(buf)], dtype=np.uint64, out=total[1:])
+    return (mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
 def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit hash of the ``k`` bytes from each position on, by doubling."""
     mul = odd_constants(80, 41)
@@ -68,12 +91,12 @@ def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
 
 
 def window_anchors(pieces: list[bytes], min_len: int, k: int):
-    """Runs of windows with one anchor: ``(anchor hash, first window, windows)`` with
-    positions in the joined pieces. Windows do not cross pieces."""
+    """Runs of windows with one anchor: ``(anchor hash, first window, windows, hash of the
+    stretch)`` with positions in the joined pieces. Windows do not cross pieces."""
     buf = np.frombuffer(b"".join(pieces), np.uint8)
     n = len(buf) - min_len + 1
     if n < 1:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
     hashes = gram_hashes(buf, k)
     low = np.uint64((1 << _AT) - 1)
     v = hashes & ~low | np.arange(len(hashes), dtype=np.uint64)   # least hash, leftmost of ties
@@ -96,7 +119,7 @@ def window_anchors(pieces: list[bytes], min_len: int, k: int):
     length = np.diff(np.append(cut, n))
     start = new[cut]
     first, count = cut[start], length[start]
-    return hashes[anchor[first]], first, count
+    return hashes[anchor[first]], first, count, _string_hashes(buf, first, first + count + min_len - 1)
 
 
 class Chunk:
@@ -116,10 +139,10 @@ class Chunk:
         batch, size, found = [], 0, []
 
         def flush():
-            h, first, count = window_anchors([p for _, p in batch], min_len, k)
+            h, first, count, string = window_anchors([p for _, p in batch], min_len, k)
             begin = np.cumsum([0] + [len(p) for _, p in batch])
             of = np.searchsorted(begin, first, side="right") - 1
-            found.append((h, first - begin[of] + np.array([a for a, _ in batch], np.int64)[of], count))
+            found.append((h, first - begin[of] + np.array([a for a, _ in batch], np.int64)[of], count, string))
 
         for d, (text, base) in enumerate(zip(self.data, self.base)):
             if self.null[d]:
@@ -134,43 +157,52 @@ class Chunk:
         if batch:
             flush()
         if found:
-            self.hash, self.first, self.count = (np.concatenate(x) for x in zip(*found))
+            self.hash, self.first, self.count, self.string = (np.concatenate(x) for x in zip(*found))
         else:
-            self.hash, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            self.hash, self.first, self.count, self.string = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.uint32))
         self.doc = np.searchsorted(self.base, self.first, side="right") - 1
         bucket = (self.hash >> np.uint64(40)) % np.uint64(buckets)
         self.mark = bucket << np.uint64(32) | self.hash & np.uint64(0xFFFFFFFF)
-        self.marks, self.of = np.unique(self.mark, return_inverse=True)
-
-    def marks_by_bucket(self):
-        """``(bucket, fingerprints)`` in ascending order of both."""
+        # by anchor: its runs of windows, smallest and largest document, string
+        by = np.argsort(self.mark, kind="stable")
+        edge = np.flatnonzero(np.append(True, np.diff(self.mark[by]) > 0)) if len(by) else np.zeros(0, np.int64)
+        self.marks = self.mark[by[edge]]
+        self.of = np.empty(len(by), np.int64)
+        self.of[by] = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(by))))
+        own = self.ids[self.doc[by]]
+        reduce = (lambda f, x: f.reduceat(x, edge)) if len(edge) else (lambda f, x: x)
+        self.least, self.several = reduce(np.minimum, own), reduce(np.minimum, own) < reduce(np.maximum, own)
+        self.text = reduce(np.minimum, self.string[by])
+        self.varied = self.text < reduce(np.maximum, self.string[by])
+
+    def by_bucket(self, *columns):
+        """``(bucket, part of each column)`` of the distinct anchors, in ascending order."""
         bucket = (self.marks >> np.uint64(32)).astype(np.int64)
         edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
         for a, b in zip(edge, [*edge[1:], len(bucket)]):
-            yield int(bucket[a]), self.marks[a:b].astype(np.uint32)
+            yield (int(bucket[a]), *(c[a:b] for c in columns))
 
     def items(self, answers: dict):
-        """The distinct strings to send, given each bucket's answer ``(elsewhere, common)``.
-        Sets ``runs`` (of repeated anchors), ``entry`` (of each run) and ``windows_of``."""
-        elsewhere, common = np.zeros(len(self.marks), bool), np.zeros(len(self.marks), bool)
+        """What to send, given each bucket's answer ``(elsewhere, common, same)``: the anchors
+        ``shared`` whose stretch is the same everywhere (as a mask), and the distinct strings
+        of the others. Sets ``alike`` (anchors settled without a string), ``runs`` (of the
+        other repeated anchors), ``entry`` (of each run) and ``windows_of``."""
+        told = [np.zeros(len(self.marks), bool) for _ in range(3)]
         at = 0
-        for bucket, marks in self.marks_by_bucket():
-            if bucket in answers:
-                a, c = answers[bucket]
-                elsewhere[at: at + len(marks)] = np.unpackbits(np.frombuffer(a, np.uint8), count=len(marks))
-                common[at: at + len(marks)] = np.unpackbits(np.frombuffer(c, np.uint8), count=len(marks))
+        for bucket, marks in self.by_bucket(self.marks):
+            for mask, bits in zip(told, answers.get(bucket, ())):
+                mask[at: at + len(marks)] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(marks))
             at += len(marks)
-        if len(self.of):
-            by = np.argsort(self.of, kind="stable")
-            edge = np.flatnonzero(np.append(True, np.diff(self.of[by]) > 0))
-            own = self.ids[self.doc[by]]
-            elsewhere |= np.minimum.reduceat(own, edge) < np.maximum.reduceat(own, edge)
-        self.runs = np.flatnonzero(elsewhere[self.of]) if len(self.of) else np.zeros(0, np.int64)
+        elsewhere, common, same = told
+        repeated = elsewhere | self.several
+        self.alike = repeated & same
+        self.shared = elsewhere & same
+        self.runs = np.flatnonzero((repeated & ~same)[self.of])
         strings: dict[bytes, int] = {}
         entry, docs, marks, hot = [], [], [], []
         more = self.min_len - 1
-        for r, a, c, d, m in zip(self.runs, self.first[self.runs].tolist(), self.count[self.runs].tolist(),
-                                 self.doc[self.runs].tolist(), self.of[self.runs].tolist()):
+        for a, c, d, m in zip(self.first[self.runs].tolist(), self.count[self.runs].tolist(),
+                              self.doc[self.runs].tolist(), self.of[self.runs].tolist()):
             s = self.buf[a: a + c + more]
             e = strings.setdefault(s, len(strings))
             if e == len(docs):                                    # documents come in order: the smallest
@@ -201,8 +233,10 @@ class Chunk:
         return out
 
 
-def _answers(table: pa.Table, first: str, second: str) -> dict:
-    return {b: (x, y) for b, x, y in zip(*(table.column(c).to_pylist() for c in ("bucket", first, second))) if x is not None}
+def _answers(table: pa.Table, *columns: str) -> dict:
+    """By bucket, the answers in these columns."""
+    rows = zip(*(table.column(c).to_pylist() for c in ("bucket", *columns)))
+    return {b: x for b, *x in rows if x[0] is not None}
 
 
 def _by_bucket(items):
@@ -250,68 +284,81 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
     cut = docs.withColumn(chunk, F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("long")).groupBy(chunk)
 
     def send_marks(key, table):
-        rows = [(b, key[0].as_py(), m.tobytes()) for b, m in Chunk(table, buckets, min_len).marks_by_bucket()]
-        return pa.table(list(zip(*rows)) or [[], [], []], schema=pa.schema(
-            [("bucket", pa.int64()), ("chunk", pa.int64()), ("marks", pa.binary())]))
+        own = Chunk(table, buckets, min_len)
+        rows = [(b, key[0].as_py(), m.astype(np.uint32).tobytes(), t.tobytes(), np.packbits(v).tobytes())
+                for b, m, t, v in own.by_bucket(own.marks, own.text, own.varied)]
+        return _table(rows, marks)
 
     def answer_marks(table):
-        marks = [np.frombuffer(m, np.uint32) for m in table.column("marks").to_pylist()]
-        values, n = np.unique(np.concatenate(marks), return_counts=True)   # distinct within a chunk
-        n = [n[np.searchsorted(values, m)] for m in marks]
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"),
-                         "elsewhere": pa.array([np.packbits(c > 1).tobytes() for c in n], pa.binary()),
-                         "common": pa.array([np.packbits(c > COMMON_CHUNKS).tobytes() for c in n], pa.binary())})
-
-    marks = cut.applyInArrow(send_marks, "bucket long, chunk long, marks binary")
-    answers = marks.groupBy("bucket").applyInArrow(answer_marks, "chunk long, bucket long, elsewhere binary, common binary")
+        own = [np.frombuffer(m, np.uint32) for m in table.column("marks").to_pylist()]
+        text = np.concatenate([np.frombuffer(t, np.uint32) for t in table.column("text").to_pylist()])
+        varied = np.concatenate([np.unpackbits(np.frombuffer(v, np.uint8), count=len(m)).astype(bool)
+                                 for v, m in zip(table.column("varied").to_pylist(), own)])
+        values, of, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)   # distinct within a chunk
+        by = np.argsort(of, kind="stable")
+        edge = np.concatenate([[0], np.cumsum(n)[:-1]])
+        same = (np.minimum.reduceat(text[by], edge) == np.maximum.reduceat(text[by], edge)) & ~np.logical_or.reduceat(varied[by], edge)
+        ends = np.cumsum([len(m) for m in own])[:-1]
+        columns = {"chunk": table.column("chunk"), "bucket": table.column("bucket")}
+        for name, mask in (("elsewhere", n > 1), ("common", n > COMMON_CHUNKS), ("same", same)):
+            columns[name] = pa.array([np.packbits(x).tobytes() for x in np.split(mask[of], ends)], pa.binary())
+        return pa.table(columns)
 
     def send_strings(key, table, told):
-        rows = []
+        rows = {}
         if table.num_rows:
-            for b, part in _by_bucket(Chunk(table, buckets, min_len).items(_answers(told, "elsewhere", "common"))):
-                rows.append((b, key[0].as_py(), b"".join(x[3] for x in part), np.array([len(x[3]) for x in part], np.int32).tobytes(),
-                             np.array([x[4] for x in part], np.int64).tobytes(), np.array([x[1] for x in part], np.uint16).tobytes()))
-        return pa.table(list(zip(*rows)) or [[]] * 6, schema=pa.schema(
-            [("bucket", pa.int64()), ("chunk", pa.int64()), *((c, pa.binary()) for c in ("bytes", "sizes", "docs", "part"))]))
+            own = Chunk(table, buckets, min_len)
+            empty = (b"",) * 4
+            for b, part in _by_bucket(own.items(_answers(told, *bits))):
+                rows[b] = (b"".join(x[3] for x in part), np.array([len(x[3]) for x in part], np.int32).tobytes(),
+                           np.array([x[4] for x in part], np.int64).tobytes(), np.array([x[1] for x in part], np.uint16).tobytes())
+            same = {b: (m[s].astype(np.uint32).tobytes(), d[s].tobytes()) for b, m, d, s in own.by_bucket(own.marks, own.least, own.shared) if s.any()}
+            rows = [(b, key[0].as_py(), *rows.get(b, empty), *same.get(b, empty[:2])) for b in sorted({*rows, *same})]
+        return _table(rows, strings)
 
     def sort_strings(table):
-        strings, docs_of, part, owner = [], [], [], []
+        text, docs_of, part, owner = [], [], [], []
         for i, (data, sizes, ids, p) in enumerate(zip(*(table.column(c).to_pylist() for c in ("bytes", "sizes", "docs", "part")))):
             ends = np.cumsum(np.frombuffer(sizes, np.int32)).tolist()
-            strings += [data[a:b] for a, b in zip([0, *ends], ends)]
+            text += [data[a:b] for a, b in zip([0, *ends], ends)]
             docs_of.append(np.frombuffer(ids, np.int64))
             part.append(np.frombuffer(p, np.uint16))
             owner += [i] * len(ends)
         docs_of, part = np.concatenate(docs_of), np.concatenate(part)
         order = np.argsort(part, kind="stable")                   # strings of one anchor stay together
-        found: list = [None] * len(strings)
+        found: list = [None] * len(text)
         a = 0
         while a < len(order):
             b, size = a, 0
             while b < len(order) and (size < SORT_BYTES or part[order[b]] == part[order[b - 1]]):
-                size += len(strings[order[b]]) + 1
+                size += len(text[order[b]]) + 1
                 b += 1
             rows = order[a:b]
-            bits = earlier_windows([strings[i] for i in rows], docs_of[rows], min_len)
-            ends = np.cumsum([len(strings[i]) - min_len + 1 for i in rows])
+            found_bits = earlier_windows([text[i] for i in rows], docs_of[rows], min_len)
+            ends = np.cumsum([len(text[i]) - min_len + 1 for i in rows])
             for i, e, n in zip(rows, ends, np.diff(ends, prepend=0)):
-                found[i] = bits[e - n: e]
+                found[i] = found_bits[e - n: e]
             a = b
-        owner = np.array(owner)
-        edge = np.searchsorted(owner, np.arange(table.num_rows + 1))
-        packed = [np.packbits(np.concatenate(found[x:y])).tobytes() for x, y in zip(edge[:-1], edge[1:])]
-        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "earlier": pa.array(packed, pa.binary())})
-
-    strings = cut.cogroup(answers.groupBy("chunk")).applyInArrow(
-        send_strings, "bucket long, chunk long, bytes binary, sizes binary, docs binary, part binary")
-    earlier = strings.groupBy("bucket").applyInArrow(sort_strings, "chunk long, bucket long, earlier binary")
-    told = answers.withColumn("earlier", F.lit(None).cast("binary")).unionByName(
-        earlier.withColumns({"elsewhere": F.lit(None).cast("binary"), "common": F.lit(None).cast("binary")}))
+        edge = np.searchsorted(np.array(owner, np.int64), np.arange(table.num_rows + 1))
+        none = np.zeros(0, bool)
+        packed = [np.packbits(np.concatenate([none, *found[x:y]])).tobytes() for x, y in zip(edge[:-1], edge[1:])]
+        return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "earlier": pa.array(packed, pa.binary()),
+                         "same_earlier": pa.array(_first_seen(table), pa.binary())})
+
+    marks = "bucket long, chunk long, marks binary, text binary, varied binary"
+    bits = ("elsewhere", "common", "same")
+    strings = "bucket long, chunk long, bytes binary, sizes binary, docs binary, part binary, same_marks binary, same_docs binary"
+    answers = cut.applyInArrow(send_marks, marks).groupBy("bucket") \
+        .applyInArrow(answer_marks, "chunk long, bucket long, " + ", ".join(f"{c} binary" for c in bits))
+    earlier = cut.cogroup(answers.groupBy("chunk")).applyInArrow(send_strings, strings).groupBy("bucket") \
+        .applyInArrow(sort_strings, "chunk long, bucket long, earlier binary, same_earlier binary")
+    void = F.lit(None).cast("binary")
+    told = answers.withColumns({"earlier": void, "same_earlier": void}).unionByName(earlier.withColumns({c: void for c in bits}))
 
     def mark_bytes(key, table, told):
         names = [f.name for f in rest]
         own = Chunk(table, buckets, min_len)
-        covered = _covered(own, _answers(told, "elsewhere", "common"), {b: x for b, (x, _) in _answers(told, "earlier", "earlier").items()})
+        covered = _covered(own, _answers(told, *bits), _answers(told, "earlier", "same_earlier"))
         n_removed, n_spans, kept = [], [], []
         for a, b in zip(own.base[:-1], own.base[1:]):
             gone = covered[a:b]
@@ -328,33 +375,62 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
     return cut.cogroup(told.groupBy("chunk")).applyInArrow(mark_bytes, schema)
 
 
+def _table(rows, schema: str) -> pa.Table:
+    names = [c.split() for c in schema.split(", ")]
+    columns = list(zip(*rows)) or [[]] * len(names)
+    return pa.table({n: pa.array(c, pa.int64() if t == "long" else pa.binary()) for (n, t), c in zip(names, columns)})
+
+
+def _first_seen(table: pa.Table) -> list[bytes]:
+    """Per row of a bucket, a bit per fingerprint: has a smaller document the same stretch?"""
+    marks = [np.frombuffer(m, np.uint32) for m in table.column("same_marks").to_pylist()]
+    docs = np.concatenate([np.frombuffer(d, np.int64) for d in table.column("same_docs").to_pylist()])
+    if not len(docs):
+        return [b""] * len(marks)
+    _, of = np.unique(np.concatenate(marks), return_inverse=True)
+    by = np.argsort(of, kind="stable")
+    edge = np.flatnonzero(np.append(True, np.diff(of[by]) > 0))
+    later = np.minimum.reduceat(docs[by], edge)[of] < docs
+    return [np.packbits(x).tobytes() for x in np.split(later, np.cumsum([len(m) for m in marks])[:-1])]
+
+
 def _covered(own: Chunk, answers: dict, earlier: dict) -> np.ndarray:
     """Which bytes of the chunk are removed."""
     items = own.items(answers)
-    gone = np.zeros(len(own.buf) + own.min_len, np.int32)         # windows that go
+    later = np.zeros(len(own.marks), bool)                        # of the anchors with one string everywhere
+    at = 0
+    for bucket, shared in own.by_bucket(own.shared):
+        rows = at + np.flatnonzero(shared)
+        if len(rows):
+            later[rows] = np.unpackbits(np.frombuffer(earlier[bucket][1], np.uint8), count=len(rows))
+        at += len(shared)
+    gone = np.zeros(len(own.buf) + own.min_len + 1, np.int32)     # edges of the stretches whose windows go
+    whole = own.alike[own.of] & (later[own.of] | (own.ids[own.doc] > own.least[own.of]))
+    np.add.at(gone, own.first[whole], 1)
+    np.add.at(gone, (own.first + own.count)[whole], -1)
+    gone = np.cumsum(gone)
     entry_bits: dict[int, np.ndarray] = {}
     for bucket, part in _by_bucket(items):
         sizes = [len(x[3]) - own.min_len + 1 for x in part]
-        bits = np.unpackbits(np.frombuffer(earlier[bucket], np.uint8), count=sum(sizes)).astype(bool)
+        bits = np.unpackbits(np.frombuffer(earlier[bucket][0], np.uint8), count=sum(sizes)).astype(bool)
         for x, e, n in zip(part, np.cumsum(sizes), sizes):
             entry_bits[x[2]] = bits[e - n: e]
     for e, windows in own.windows_of.items():
         entry_bits[e] = np.array([entry_bits[~w][0] for w in windows], bool)
-    first = own.first[own.runs].tolist()
-    later = own.ids[own.doc[own.runs]] > own.ids[own.entry_doc[own.entry]] if len(own.runs) else []
-    for a, e, all_of_it, d in zip(first, own.entry.tolist(), later, own.doc[own.runs].tolist()):
+    docs = own.ids[own.doc[own.runs]]
+    all_of_it = docs > own.ids[own.entry_doc[own.entry]] if len(docs) else []
+    for a, e, whole, d in zip(own.first[own.runs].tolist(), own.entry.tolist(), all_of_it, docs.tolist()):
         bits = entry_bits[e]
-        if all_of_it:
+        if whole:
             gone[a: a + len(bits)] = 1
         elif e in own.windows_of:                                 # the window may be in an earlier document of this chunk
-            gone[a: a + len(bits)] = bits | (own.window_ids[own.windows_of[e]] < own.ids[d])
+            gone[a: a + len(bits)] = bits | (own.window_ids[own.windows_of[e]] < d)
         else:
             gone[a: a + len(bits)] = bits
-    edge = np.diff(gone, prepend=0)
+    edge = np.diff((gone > 0).astype(np.int8), prepend=0)
     cover = np.zeros(len(gone) + own.min_len, np.int32)
-    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    np.add.at(cover, start, 1)
-    np.add.at(cover, stop + own.min_len - 1, -1)
+    np.add.at(cover, np.flatnonzero(edge == 1), 1)
+    np.add.at(cover, np.flatnonzero(edge == -1) + own.min_len - 1, -1)
     return (np.cumsum(cover) > 0)[: len(own.buf)]
 
 
