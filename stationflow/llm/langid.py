@@ -170,11 +170,12 @@ def _trees(frozen: tuple) -> Trees:
     return Trees({k: list(v) for k, v in frozen})
 
 
-def predict(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` added; its other columns pass through."""
+def predict(docs: DataFrame, model: dict, names=("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and the score added under ``names``; its other columns pass
+    through."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple((k, tuple(v)) for k, v in sorted(model.items())))
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    kept = [f for f in docs.schema.fields if f.name not in names]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{names[0]}` string, `{names[1]}` double"
 
     def score(batches):
         import pyarrow as pa
@@ -192,7 +193,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                 for i, b in zip(at, best):
                     pred[i] = trees.langs[b]
             columns = [batch.column(f.name) for f in kept] + [pa.array(pred, pa.string()), pa.array(value)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + ["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + list(names))
 
     return docs.select([f.name for f in kept]).mapInArrow(score, schema)
 
@@ -201,12 +202,12 @@ def held_out(doc_id="doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, by trees learned from its own labelled
-    rows outside the held-out fold."""
+def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, names=("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and the score, by trees learned from its own labelled rows
+    outside the held-out fold."""
     prepare(docs.sparkSession)
     labelled = docs.select("doc_id", "text", "lang").filter(F.col("doc_id").isNotNull() & ~held_out())
-    return predict(docs, train(labelled, sample_rows))
+    return predict(docs, train(labelled, sample_rows), names)
 
 
 def identify_documents(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -268,9 +268,10 @@ def earlier_windows(strings: list[bytes], docs: np.ndarray, min_len: int) -> np.
     return out[valid]
 
 
-def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = CHUNK_BYTES, text_column: bool = False) -> DataFrame:
     """``docs`` (with ``doc_id, text``) without ``text``, and ``n_bytes, n_removed, n_spans``
-    and ``kept`` (the remaining bytes) added."""
+    and ``kept`` (the remaining bytes) added. With ``text_column``, ``text`` instead of
+    ``kept``: the remaining whole characters (null stays null)."""
     if min_len < 4:
         raise ValueError("min_len below 4")
     prepare(docs.sparkSession)
@@ -365,13 +366,18 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
             n_removed.append(int(gone.sum()))
             n_spans.append(int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()))
             kept.append(np.frombuffer(own.buf, np.uint8)[a:b][~gone].tobytes() if n_removed[-1] else own.buf[a:b])
-        table = table.take(own.order).select(names)
+        table = table.take(own.order)
+        last = ("kept", kept, pa.binary())
+        if text_column:
+            last = ("text", [None if t is None else k.decode("utf-8", "ignore") for t, k in zip(table.column("text").to_pylist(), kept)], pa.string())
+        table = table.select(names)
         for name, values, kind in (("n_bytes", np.diff(own.base), pa.int64()), ("n_removed", n_removed, pa.int64()),
-                                   ("n_spans", n_spans, pa.int64()), ("kept", kept, pa.binary())):
+                                   ("n_spans", n_spans, pa.int64()), last):
             table = table.append_column(name, pa.array(values, kind))
         return table
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", n_bytes long, n_removed long, n_spans long, kept binary"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest) + ", n_bytes long, n_removed long, n_spans long, " \
+        + ("text string" if text_column else "kept binary")
     return cut.cogroup(told.groupBy("chunk")).applyInArrow(mark_bytes, schema)
 
 
