@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import grid_join, html_text, langid, minhash, packing, suffix_dedup, url_filter
+from . import ann, grid_join, html_text, langid, minhash, packing, suffix_dedup, url_filter
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_pages(table(spark, sf_dir, "pages"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_suffix_dedup, op5_html_text, op6_embedding_dedup, op8_language_id, op9_minhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest_neighbours, op3_suffix_dedup, op5_html_text, op6_embedding_dedup, op8_language_id, op9_minhash, op10_packing)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.judge_sql()}

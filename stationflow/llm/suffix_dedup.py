@@ -46,7 +46,7 @@ MIN_LEN = 50
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20      # text per bucket of anchors
 SORT_BYTES = 2 << 20        # stretches sorted in one suffix array, unless one anchor has more
-COMMON_CHUNKS = 64          # anchors that more chunks have go window by window
+COMMON_CHUNKS = 256         # anchors that more chunks have go window by window (bounds a bucket)
 PIECE_BYTES = 1 << 20
 _AT = 22                    # bits of a position within a piece buffer
 
