@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, grid_join, html_text, langid, minhash, packing, suffix_dedup, url_filter
+from . import ann, grid_join, html_text, langid, minhash, packing, suffix_dedup, token_output, unigram, url_filter
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.training_order(table(spark, sf_dir, "documents"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -28,6 +32,10 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_documents(table(spark, sf_dir, "documents"))
 
@@ -40,6 +48,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_nearest_neighbours, op3_suffix_dedup, op5_html_text, op6_embedding_dedup, op8_language_id, op9_minhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_nearest_neighbours, op3_suffix_dedup, op4_token_output, op5_html_text, op6_embedding_dedup,
+    op7_sentencepiece, op8_language_id, op9_minhash, op10_packing)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.judge_sql()}
