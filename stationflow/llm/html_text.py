@@ -119,6 +119,8 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
         if not name:
             continue
         name, closes = name.lower(), bool(m["close"] or m["close2"])
+        if closes and name in ("script", "style"):
+            continue
         attrs = m["attrs"] or m["attrs2"] or ""
         if skip is not None and not closes and name in ("article", "main") and why not in ("comment", "aside", "hidden") and name != skip \
                 and not _dropped(name, attrs, False):
