@@ -113,11 +113,13 @@ def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float =
 def substring_match(left: DataFrame, registry: DataFrame, text: str, reg_text: str, reg_order: str,
                     k: int = 3) -> DataFrame:
     """Each left row's text contained in a registry text; the first registry
-    row (by ``reg_order``) wins. Blocking on k-grams: if ``s`` is inside ``r`` then
-    ``s[:k]`` is one of r's k-grams, so an equi join on that gram finds every hit;
-    ``contains`` then verifies. Texts shorter than k match by the full text."""
-    grams = registry.select("*", F.explode(F.sequence(F.lit(1), F.greatest(F.length(reg_text) - k + 1, F.lit(1))))
-                            .alias("_p")).withColumn("_g", F.substring(reg_text, F.col("_p"), k)).drop("_p")
+    row (by ``reg_order``) wins. Blocking on grams: if ``s`` is inside ``r`` then ``s[:k]``
+    (all of ``s`` if it is shorter than k) starts somewhere in ``r``, so an equi join with
+    the grams of every length up to k finds every hit; ``contains`` then verifies."""
+    sizes = registry.select("*", F.explode(F.array(*[F.lit(n) for n in range(1, k + 1)])).alias("_n")) \
+        .filter(F.length(reg_text) >= F.col("_n"))
+    grams = sizes.select("*", F.explode(F.sequence(F.lit(1), F.length(reg_text) - F.col("_n") + 1)).alias("_p")) \
+        .withColumn("_g", F.col(reg_text).substr(F.col("_p"), F.col("_n"))).drop("_p", "_n").distinct()
     L = left.withColumn("_g", F.substring(text, 1, k))
     j = L.join(grams, "_g").filter(F.contains(F.col(reg_text), F.col(text))).drop("_g").dropDuplicates()
     keys = left.columns

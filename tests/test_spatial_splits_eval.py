@@ -142,3 +142,11 @@ def test_running_total_before_many_values_per_bucket(spark):
             acc += w
     g2 = splits.running_total_before(df.filter("k = 'a'"), "v", "w", buckets=8).agg(F.max("_before")).first()[0]
     assert g2 == sum(w for k, _, w in rows if k == "a") - max(((v, w) for k, v, w in rows if k == "a"))[1]
+
+
+def test_substring_match_finds_texts_shorter_than_a_gram(spark):
+    from stationflow.operators.spatial import substring_match
+    left = spark.createDataFrame([("합정",), ("a",), ("없음",)], "t string")
+    reg = spark.createDataFrame([(2, "서울 합정동"), (1, "xax"), (3, "합정")], "id int, name string")
+    got = {r.t: r.id for r in substring_match(left, reg, "t", "name", "id").collect()}
+    assert got == {"합정": 2, "a": 1}
