@@ -52,34 +52,42 @@ def build_region_features(stations: DataFrame, region_month: DataFrame, radius_m
 BANDS = ("dawn", "am_peak", "daytime", "pm_peak")
 
 
-def subway_indices(daily: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per (day, name) riders over the global busiest (day, name); per name the mean
-    morning and evening shares by direction (board / alight)."""
-    riders = daily.groupBy("day", "name").agg(
-        F.sum(sum(F.col(b) for b in BANDS)).alias("riders"))
-    top = riders.agg(F.max("riders")).first()[0]  # one scalar
-    day_index = riders.withColumn("transit_index", F.col("riders") / F.lit(float(top)))
+SUBWAY = ("transit_index", "commute_in_index", "commute_out_index")
+
+
+def subway_indices(daily: DataFrame) -> DataFrame:
+    """Per (day, name): riders over the global busiest (day, name), the morning share of
+    alighting riders (commute in) and the evening share of boarding riders (commute out)."""
     total = sum(F.col(b) for b in BANDS)
-    ratios = daily.groupBy("name").agg(
-        F.avg(F.when(F.col("direction") == "board", safe_ratio(F.col("am_peak"), total))).alias("am_board_ratio"),
-        F.avg(F.when(F.col("direction") == "alight", safe_ratio(F.col("pm_peak"), total))).alias("pm_alight_ratio"))
-    return day_index, ratios
+    share = lambda way, band: F.avg(F.when(F.col("direction") == way, safe_ratio(F.col(band), total)))
+    per = daily.groupBy("day", "name").agg(F.sum(total).alias("riders"),
+                                           share("alight", "am_peak").alias("commute_in_index"),
+                                           share("board", "pm_peak").alias("commute_out_index"))
+    top = per.agg(F.max("riders")).first()[0] or 1.0  # one scalar
+    return per.withColumn("transit_index", F.col("riders") / F.lit(float(top))).drop("riders")
 
 
-def build_subway_features(stations: DataFrame, points: DataFrame, daily: DataFrame,
+def subway_daily_features(stations: DataFrame, points: DataFrame, daily: DataFrame,
                           radius_m: float = 200.0) -> DataFrame:
-    """J9 + A32: per station the mean daily sum of the transit index of subway exits
-    within ``radius_m`` and the mean commute ratios of those exits; 0 without one."""
+    """J9 + A32: per station and day of the subway table, the sum of the transit index of
+    the subway stops within ``radius_m`` and the mean of their commute indices; 0 where
+    there is none."""
     near = spatial.within_radius(stations.select("station_id", "lat", "lon"), points, radius_m,
-                                 "station_id", "name").select("station_id", "name")
-    day_index, ratios = subway_indices(daily)
-    per_day = near.join(day_index, "name").groupBy("station_id", "day") \
-        .agg(F.sum("transit_index").alias("ti"))
-    ti = per_day.groupBy("station_id").agg(F.avg("ti").alias("transit_index"))
-    rr = near.join(ratios, "name").groupBy("station_id").agg(
-        F.avg("am_board_ratio").alias("am_board_ratio"), F.avg("pm_alight_ratio").alias("pm_alight_ratio"))
-    out = stations.select("station_id").join(ti, "station_id", "left").join(rr, "station_id", "left")
-    return out.fillna(0.0, subset=["transit_index", "am_board_ratio", "pm_alight_ratio"])
+                                 "station_id", "name").select("station_id", "name").distinct()
+    per_day = near.join(subway_indices(daily), "name").groupBy("station_id", "day").agg(
+        F.sum("transit_index").alias("transit_index"), *[F.avg(c).alias(c) for c in SUBWAY[1:]])
+    lo, hi = (F.lit(d).cast("date") for d in daily.agg(F.min("day"), F.max("day")).first())  # two scalars
+    grid = stations.select("station_id", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("day")) \
+        .join(daily.select("day").distinct(), "day", "left_semi")
+    return grid.join(per_day, ["station_id", "day"], "left").fillna(0.0, subset=list(SUBWAY))
+
+
+def build_subway_features(stations: DataFrame, points: DataFrame, daily: DataFrame,
+                          radius_m: float = 200.0) -> DataFrame:
+    """G13 by station: the means of the daily features, for tables whose days differ."""
+    means = subway_daily_features(stations, points, daily, radius_m).groupBy("station_id").agg(
+        *[F.avg(c).alias(c) for c in SUBWAY])
+    return stations.select("station_id").join(means, "station_id", "left").fillna(0.0, subset=list(SUBWAY))
 
 
 # A33 -------------------------------------------------------------------------

@@ -57,5 +57,5 @@ def demand_before_visit(panel: DataFrame, value: str, visit_hours: int = 12,
     v = per.select(station, "cycle_start", "hrs",
                    F.explode(F.sequence(F.lit(0), F.lit(visit_hours - 1))).alias("visit_hour"))
     before = F.aggregate(F.filter("hrs", lambda h: h["cycle_offset"] < F.col("visit_hour")),
-                         F.lit(0).cast("bigint"), lambda acc, h: acc + h["v"].cast("bigint"))
+                         F.lit(0.0), lambda acc, h: acc + h["v"].cast("double"))
     return v.select(station, "cycle_start", "visit_hour", before.alias("demand_before"))

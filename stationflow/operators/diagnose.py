@@ -110,15 +110,17 @@ def feature_profile(df: DataFrame, features: list[str], target: str | None = Non
         if target is not None:
             y = _q(target)
             sig = F.abs(safe_corr(F.pow(xc, 2), y)) - F.abs(safe_corr(xc, y))
-            fields.append(F.when((n >= 10) & (F.count_distinct(x) >= 3), sig).alias("poly_signal"))
+            own = F.when(x.isNotNull(), y)
+            enough = (n >= 5) & (F.count_distinct(x) >= 3) & (F.min(own) < F.max(own))
+            fields.append(F.when(enough, sig).alias("poly_signal"))
         structs.append(F.struct(*fields))
     return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
 
 
 def transform_hint(profile: DataFrame, skew_min: float = 1.0, signal_min: float = 0.05) -> DataFrame:
-    """Binary -> keep; skew >= 1 and non-negative -> log; poly signal >= 0.05 ->
+    """At most 2 values -> keep; skew >= 1 and non-negative -> log; poly signal >= 0.05 ->
     poly; else keep."""
-    hint = (F.when(F.col("is_binary") & (F.col("nunique") <= 2), F.lit("keep"))
+    hint = (F.when(F.col("nunique") <= 2, F.lit("keep"))
              .when((F.col("skew") >= skew_min) & (F.col("min") >= 0), F.lit("log"))
              .when(F.col("poly_signal") >= signal_min, F.lit("poly")).otherwise(F.lit("keep")))
     return profile.withColumn("hint", hint)

@@ -37,20 +37,21 @@ def estimated_stock(panel: DataFrame, net: str, capacity: str, station: str = "s
 def simulate_stock(panel: DataFrame, inflow: str, outflow: str, capacity: str,
                    station: str = "station_id", time_col: str = "ts") -> DataFrame:
     """Per (station, day): start at capacity, each hour ``stock = clamp(stock + in - out,
-    0, cap)`` carried to the next hour (two barriers, so not a running sum)."""
+    0, cap)`` carried to the next hour (two barriers, so not a running sum). Fractional
+    flows stay fractional; ``stock_start`` is the stock before the hour."""
     day = F.to_date(time_col)
     # one station-day holds at most 24 hourly steps
     g = panel.groupBy(station, day.alias("day")).agg(
         F.max(capacity).alias("cap"),
         F.array_sort(F.collect_list(F.struct(F.col(time_col).alias("t"),
                                              (F.col(inflow) - F.col(outflow)).alias("d")))).alias("steps"))
-    init = F.struct(F.col("cap").cast("bigint").alias("s"),
-                    F.array().cast("array<struct<t:timestamp_ntz,stock:bigint>>").alias("out"))
+    init = F.struct(F.col("cap").cast("double").alias("s"),
+                    F.array().cast("array<struct<t:timestamp_ntz,stock_start:double,stock:double>>").alias("out"))
 
     def step(acc, x):
-        s = F.least(F.greatest(acc["s"] + x["d"], F.lit(0)), F.col("cap")).cast("bigint")
-        return F.struct(s.alias("s"), F.array_append(acc["out"], F.struct(x["t"].alias("t"), s.alias("stock")))
-                        .alias("out"))
+        s = F.least(F.greatest(acc["s"] + x["d"], F.lit(0.0)), F.col("cap").cast("double"))
+        hour = F.struct(x["t"].alias("t"), acc["s"].alias("stock_start"), s.alias("stock"))
+        return F.struct(s.alias("s"), F.array_append(acc["out"], hour).alias("out"))
 
     sim = g.select(station, "day", F.aggregate("steps", init, step)["out"].alias("out"))
     return sim.select(station, F.inline("out")).withColumnRenamed("t", time_col)
@@ -126,33 +127,41 @@ def required_unclipped(pred, capacity) -> Column:
 
 
 # I11 -------------------------------------------------------------------------
-def projection_12h(panel: DataFrame, net: str, station: str = "station_id", time_col: str = "ts",
-                   start_hours=(4, 16), horizon: int = 12) -> DataFrame:
-    """From each cycle start, the next ``horizon`` hours: end change, minimum of the
-    running change, need ``ceil(max(0, -min))`` and a risk flag; windows shorter than
-    the horizon are dropped. One running sum and one forward window, no self join."""
+def projection_12h(panel: DataFrame, inflow: str = "inflow", outflow: str = "outflow", stock: str = "stock_start",
+                   station: str = "station_id", time_col: str = "ts", start_hours=(4, 16), horizon: int = 12) -> DataFrame:
+    """From each cycle start and its start stock, the next ``horizon`` hours: flow totals,
+    projected stock at the end and at its lowest, need ``ceil(max(0, -lowest))`` and risk
+    (lowest ``<= 0``); windows shorter than the horizon are dropped. One running sum and
+    one forward window, no self join."""
     w = Window.partitionBy(station).orderBy(time_col)
+    net = F.col(inflow) - F.col(outflow)
     run = panel.withColumn("_S", F.sum(net).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = run.withColumn("_prev", F.col("_S") - F.col(net))
+    run = run.withColumn("_base", F.col(stock) - (F.col("_S") - net))
     fw = w.rowsBetween(0, horizon - 1)
     run = run.withColumns({"_min": F.min("_S").over(fw), "_last": F.last("_S").over(fw),
+                           "_in": F.sum(inflow).over(fw), "_out": F.sum(outflow).over(fw),
                            "_n": F.count(F.lit(1)).over(fw)})
     x = run.filter(F.hour(time_col).isin(list(start_hours)) & (F.col("_n") == horizon))
-    mn = F.col("_min") - F.col("_prev")
-    return x.select(station, F.col(time_col).alias("cycle_start"),
-                    (F.col("_last") - F.col("_prev")).alias("proj_end"), mn.alias("proj_min"),
-                    F.ceil(F.greatest(F.lit(0), -mn)).cast("bigint").alias("need"),
-                    (mn < 0).cast("int").alias("risk"))
+    lowest = F.col("_min") + F.col("_base")
+    return x.select(station, F.col(time_col).alias("cycle_start"), F.col(stock).alias("start_stock"),
+                    F.col("_out").alias("total_outflow"), F.col("_in").alias("total_inflow"),
+                    (F.col("_last") + F.col("_base")).alias("proj_end"), lowest.alias("proj_min"),
+                    F.ceil(F.greatest(F.lit(0), -lowest)).cast("bigint").alias("need"),
+                    (lowest <= 0).cast("int").alias("risk"))
 
 
 # I13 -------------------------------------------------------------------------
-def risk_summary(proj: DataFrame, station: str = "station_id", act_now: int = 5,
-                 review: int = 2) -> DataFrame:
+def risk_summary(proj: DataFrame, station: str = "station_id", act_now: int = 3,
+                 review: int = 1) -> DataFrame:
+    """Per station the label of its worst projection: risk and a need of ``act_now`` or
+    more, risk and a need of ``review`` or more, or only watched."""
+    worst = F.max(F.when(F.col("risk") == 1, F.col("need")))
     g = proj.groupBy(station).agg(F.count(F.lit(1)).alias("cycles"), F.sum("risk").alias("risk_cycles"),
-                                  F.avg("need").alias("mean_need"), F.max("need").alias("max_need"))
-    label = (F.when(F.col("max_need") >= act_now, F.lit("act_now"))
-              .when(F.col("max_need") >= review, F.lit("review")).otherwise(F.lit("watch")))
-    return g.withColumn("priority", label)
+                                  F.avg("need").alias("mean_need"), F.max("need").alias("max_need"),
+                                  F.min("proj_min").alias("min_stock"), worst.alias("_worst"))
+    label = (F.when(F.col("_worst") >= act_now, F.lit("act_now"))
+              .when(F.col("_worst") >= review, F.lit("review")).otherwise(F.lit("watch")))
+    return g.withColumn("priority", label).drop("_worst")
 
 
 # I15 / I16 -------------------------------------------------------------------

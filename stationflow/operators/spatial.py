@@ -19,35 +19,52 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine_m
+from ..functions.geo import EARTH_RADIUS_M, haversine_m
 from ..util import cut_lineage
 
-M_PER_DEG = 111_320.0
+# A cell is a hair wider than the radius, so that rounding never loses a pair.
+_MARGIN = 1.000001
 
 
-def _cells(lat, lon, radius_m: float, max_abs_lat: float):
-    dlat = radius_m / M_PER_DEG
-    dlon = dlat / math.cos(math.radians(max_abs_lat))
-    return F.floor(F.col(lat) / dlat).cast("bigint"), F.floor(F.col(lon) / dlon).cast("bigint")
+def _band(lat, radius_m: float):
+    return F.floor(F.col(lat) / F.lit(math.degrees(radius_m / EARTH_RADIUS_M) * _MARGIN)).cast("bigint")
+
+
+def _columns(band, radius_m: float):
+    """Number of cells around the globe in a latitude band: each is at least as wide as
+    the largest longitude difference within the radius from any point of the band; one
+    cell where the radius reaches over a pole."""
+    angle = radius_m / EARTH_RADIUS_M
+    if angle >= math.pi / 2:
+        return F.lit(1).cast("bigint")
+    height = F.lit(angle * _MARGIN)
+    top = F.least(F.lit(math.pi / 2), F.greatest(F.abs(band * height), F.abs((band + 1) * height)))
+    share = F.lit(math.sin(angle)) / F.greatest(F.cos(top), F.lit(1e-12))
+    width = F.degrees(F.asin(F.least(share, F.lit(1.0)))) * F.lit(_MARGIN)
+    return F.when(share < 1, F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(360.0) / width))) \
+        .otherwise(F.lit(1).cast("bigint"))
+
+
+def _column(lon, count):
+    return F.pmod(F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) * count / 360.0).cast("bigint"), count)
 
 
 def within_radius(left: DataFrame, right: DataFrame, radius_m: float, left_key: str, right_key: str,
-                  lat: str = "lat", lon: str = "lon", max_abs_lat: float = 70.0) -> DataFrame:
+                  lat: str = "lat", lon: str = "lon") -> DataFrame:
     """All (left, right) pairs within ``radius_m`` metres, with ``dist_m``.
 
     Right-side columns other than the key keep their names with an ``r_`` prefix
-    for the coordinates. Valid for points with |lat| <= ``max_abs_lat``.
+    for the coordinates. Cells follow the latitude band and wrap at longitude 180, so
+    the join is exact on the whole globe.
     """
-    li, lj = _cells(lat, lon, radius_m, max_abs_lat)
-    L = left.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumns({"_ci": li, "_cj": lj})
-    ri, rj = _cells(lat, lon, radius_m, max_abs_lat)
-    R = (right.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-         .withColumns({"_ci": ri, "_cj": rj})
-         .withColumnsRenamed({lat: "r_lat", lon: "r_lon"}))
-    off = F.array(*[F.lit(x) for x in (-1, 0, 1)])
-    R = (R.withColumn("_di", F.explode(off)).withColumn("_dj", F.explode(off))
-          .withColumns({"_ci": F.col("_ci") + F.col("_di"), "_cj": F.col("_cj") + F.col("_dj")})
-          .drop("_di", "_dj"))
+    there = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    L = left.filter(there).withColumn("_ci", _band(lat, radius_m)) \
+        .withColumn("_cj", _column(lon, _columns(F.col("_ci"), radius_m)))
+    near = [F.lit(x).cast("bigint") for x in (-1, 0, 1)]
+    R = right.filter(there).withColumn("_ci", F.explode(F.array(*[_band(lat, radius_m) + x for x in near])))
+    R = R.withColumn("_n", _columns(F.col("_ci"), radius_m)).withColumn("_cj", _column(lon, F.col("_n")))
+    R = R.withColumn("_cj", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("_cj") + x, F.col("_n")) for x in near])))) \
+        .drop("_n").withColumnsRenamed({lat: "r_lat", lon: "r_lon"})
     j = L.join(R, ["_ci", "_cj"]).drop("_ci", "_cj")
     j = j.withColumn("dist_m", haversine_m(lat, lon, "r_lat", "r_lon"))
     return j.filter(F.col("dist_m") <= radius_m)

@@ -41,7 +41,7 @@ def station_feature_table(spark: SparkSession, sf_dir: str, temp_lookup: DataFra
     # derived context tables (one row per station x month): no hint, so no extra job to
     # size them; AQE broadcasts them at run time from their materialised size
     p = p.join(reg, ["station_id", "month"], "left").join(sub, "station_id", "left")
-    ctx = ["residential", "business", "tourism", "transit_index", "am_board_ratio", "pm_alight_ratio"]
+    ctx = ["residential", "business", "tourism", "transit_index", "commute_in_index", "commute_out_index"]
     return p.fillna(0.0, subset=ctx).drop("month")
 
 
@@ -78,9 +78,10 @@ def entry_b_train_frame(panel_df: DataFrame, selected_months: DataFrame) -> Data
 
 
 def entry_c_risk(panel_df: DataFrame) -> DataFrame:
-    """Entry C: 12-hour projections from each cycle start and the priority label."""
+    """Entry C: 12-hour projections from each cycle start and the priority label
+    (``panel_df`` has the flows and ``capacity``)."""
     from ..operators import inventory as inv
-    return inv.risk_summary(inv.projection_12h(panel_df, "net_flow"))
+    return inv.risk_summary(inv.projection_12h(inv.estimated_stock(panel_df, "net_flow", "capacity")))
 
 
 __all__ = ["hourly_panel", "station_feature_table", "hourly_station_dataset", "forecasting_dataset",

@@ -73,7 +73,7 @@ BEFORE_SQL = PC_SQL + """,
 vh AS (SELECT DISTINCT station_id, cycle_start FROM pc),
 grid AS (SELECT vh.*, CAST(unnest(range(0, 12)) AS INTEGER) AS visit_hour FROM vh),
 before AS (SELECT g.station_id, g.cycle_start, g.visit_hour,
-                  CAST(coalesce(sum(pc.outflow) FILTER (WHERE pc.off < g.visit_hour), 0) AS BIGINT) AS demand_before
+                  CAST(coalesce(sum(pc.outflow) FILTER (WHERE pc.off < g.visit_hour), 0) AS DOUBLE) AS demand_before
            FROM grid g JOIN pc ON g.station_id = pc.station_id AND g.cycle_start = pc.cycle_start
            GROUP BY 1, 2, 3)"""
 

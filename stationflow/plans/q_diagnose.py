@@ -99,7 +99,8 @@ def _profile_sql(f):
              THEN avg(pow({f} - mu, 3)) / pow(avg(pow({f} - mu, 2)), 1.5)
                   * sqrt(count({f}) * (count({f}) - 1)) / (count({f}) - 2) END, 6) AS skew,
        coalesce(bool_and(CASE WHEN {f} IS NOT NULL THEN {f} IN (0, 1) END), false) AS is_binary,
-       round(CASE WHEN count({f}) >= 10 AND count(DISTINCT {f}) >= 3
+       round(CASE WHEN count({f}) >= 5 AND count(DISTINCT {f}) >= 3
+             AND min(y) FILTER (WHERE {f} IS NOT NULL) < max(y) FILTER (WHERE {f} IS NOT NULL)
              THEN abs(corr(pow({f} - mu, 2), y)) - abs(corr({f} - mu, y)) END, 6) AS poly_signal
 FROM ff, (SELECT avg({f}) AS mu FROM ff) m"""
 
@@ -114,7 +115,7 @@ def _profile(spark, sf_dir):
 
 
 @register("x04_feature_profile", "X4 X5 X6 X7 X9", PROFILE_SQL + """
-SELECT *, CASE WHEN is_binary AND nunique <= 2 THEN 'keep' WHEN skew >= 1 AND min >= 0 THEN 'log'
+SELECT *, CASE WHEN nunique <= 2 THEN 'keep' WHEN skew >= 1 AND min >= 0 THEN 'log'
                WHEN poly_signal >= 0.05 THEN 'poly' ELSE 'keep' END AS hint
 FROM prof""", check="T")
 def x04(spark, sf_dir):

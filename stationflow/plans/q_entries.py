@@ -10,11 +10,12 @@ from .catalog import register
 from .q_diagnose import FF_SQL, feature_frame
 from .q_flow import HOURLY_SQL, PANEL, hourly_flow_panel
 from .q_geo import G12_CTES, G13_CTES
+from .q_inventory import panel_with_capacity
 from .q_panel import TEMP_SRC_SQL, temp_lookup
 
 V = ad.with_views
 R6 = ["temp_lag_1h", "month_sin", "month_cos", "residential", "business", "tourism", "transit_index",
-      "am_board_ratio", "pm_alight_ratio"]
+      "commute_in_index", "commute_out_index"]
 
 
 @register("g20_station_feature_table", "G20 P13 P14 P16 P17 G7 G12 G13 J1", V(
@@ -29,8 +30,8 @@ SELECT p.station_id, p.ts, p.inflow, p.outflow, p.total_flow, p.net_flow, """ +
        round(tl.temp, 6) AS temp_lag_1h,
        round(coalesce(regf.residential, 0.0), 6) AS residential, round(coalesce(regf.business, 0.0), 6) AS business,
        round(coalesce(regf.tourism, 0.0), 6) AS tourism, round(coalesce(subf.transit_index, 0.0), 6) AS transit_index,
-       round(coalesce(subf.am_board_ratio, 0.0), 6) AS am_board_ratio,
-       round(coalesce(subf.pm_alight_ratio, 0.0), 6) AS pm_alight_ratio
+       round(coalesce(subf.commute_in_index, 0.0), 6) AS commute_in_index,
+       round(coalesce(subf.commute_out_index, 0.0), 6) AS commute_out_index
 FROM panel p LEFT JOIN tlook tl ON tl.ts = p.ts - INTERVAL 1 HOUR
      LEFT JOIN regf ON regf.station_id = p.station_id AND regf.month = month(p.ts)
      LEFT JOIN subf ON subf.station_id = p.station_id""", check="T")
@@ -106,4 +107,4 @@ def entry_b(spark, sf_dir):
 
 @register("entry_c_risk", "I11 I13", check="R")
 def entry_c(spark, sf_dir):
-    return entries.entry_c_risk(hourly_flow_panel(spark, sf_dir))
+    return entries.entry_c_risk(panel_with_capacity(spark, sf_dir))

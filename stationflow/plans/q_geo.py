@@ -103,33 +103,30 @@ def g12(spark, sf_dir):
 
 
 G13_CTES = f"""
-near AS (SELECT s.station_id, p.name FROM stations s, subway_points p WHERE {HAV} <= 200),
-riders AS (SELECT day, name, sum(dawn + am_peak + daytime + pm_peak) AS riders FROM subway_daily GROUP BY 1, 2),
-top AS (SELECT max(riders) AS m FROM riders),
-di AS (SELECT day, name, riders / m AS ti FROM riders, top),
-rat AS (SELECT name,
-               avg(CASE WHEN direction = 'board' THEN CASE WHEN tot = 0 THEN 0.0 ELSE am_peak / tot END END)
-                 AS am_board_ratio,
-               avg(CASE WHEN direction = 'alight' THEN CASE WHEN tot = 0 THEN 0.0 ELSE pm_peak / tot END END)
-                 AS pm_alight_ratio
-        FROM (SELECT *, dawn + am_peak + daytime + pm_peak AS tot FROM subway_daily) d GROUP BY 1),
-pd AS (SELECT station_id, day, sum(ti) AS ti FROM near JOIN di ON near.name = di.name GROUP BY 1, 2),
-tix AS (SELECT station_id, avg(ti) AS transit_index FROM pd GROUP BY 1),
-rr AS (SELECT station_id, avg(am_board_ratio) AS am_board_ratio, avg(pm_alight_ratio) AS pm_alight_ratio
-       FROM near JOIN rat ON near.name = rat.name GROUP BY 1),
-subf AS (SELECT s.station_id, coalesce(transit_index, 0.0) AS transit_index,
-                coalesce(am_board_ratio, 0.0) AS am_board_ratio, coalesce(pm_alight_ratio, 0.0) AS pm_alight_ratio
-         FROM stations s LEFT JOIN tix ON s.station_id = tix.station_id LEFT JOIN rr ON s.station_id = rr.station_id)"""
+near AS (SELECT DISTINCT s.station_id, p.name FROM stations s, subway_points p WHERE {HAV} <= 200),
+shares AS (SELECT day, name, direction, dawn + am_peak + daytime + pm_peak AS tot, am_peak, pm_peak FROM subway_daily),
+names AS (SELECT day, name, sum(tot) AS riders,
+                 avg(CASE WHEN tot = 0 THEN 0.0 ELSE am_peak / tot END) FILTER (WHERE direction = 'alight') AS ci,
+                 avg(CASE WHEN tot = 0 THEN 0.0 ELSE pm_peak / tot END) FILTER (WHERE direction = 'board') AS co
+          FROM shares GROUP BY 1, 2),
+top AS (SELECT max(riders) AS m FROM names),
+pd AS (SELECT near.station_id, names.day, sum(riders / m) AS ti, avg(ci) AS ci, avg(co) AS co
+       FROM near JOIN names ON near.name = names.name, top GROUP BY 1, 2),
+sdays AS (SELECT DISTINCT day FROM subway_daily),
+subd AS (SELECT s.station_id, d.day, coalesce(pd.ti, 0.0) AS transit_index, coalesce(pd.ci, 0.0) AS commute_in_index,
+                coalesce(pd.co, 0.0) AS commute_out_index
+         FROM stations s CROSS JOIN sdays d LEFT JOIN pd ON pd.station_id = s.station_id AND pd.day = d.day),
+subf AS (SELECT station_id, avg(transit_index) AS transit_index, avg(commute_in_index) AS commute_in_index,
+                avg(commute_out_index) AS commute_out_index FROM subd GROUP BY 1)"""
 
 
 @register("g13_subway_features", "G13 A32 J9", V("stations", "subway_points", "subway_daily") + "," + G13_CTES + """
-SELECT station_id, round(transit_index, 6) AS transit_index, round(am_board_ratio, 6) AS am_board_ratio,
-       round(pm_alight_ratio, 6) AS pm_alight_ratio FROM subf""", check="T")
+SELECT station_id, day, round(transit_index, 6) AS transit_index, round(commute_in_index, 6) AS commute_in_index,
+       round(commute_out_index, 6) AS commute_out_index FROM subd""", check="T")
 def g13(spark, sf_dir):
-    out = cx.build_subway_features(ad.stations(spark, sf_dir), ad.subway_points(spark, sf_dir),
+    out = cx.subway_daily_features(ad.stations(spark, sf_dir), ad.subway_points(spark, sf_dir),
                                    ad.subway_daily(spark, sf_dir))
-    return out.select("station_id", *[F.round(c, 6).alias(c)
-                                      for c in ("transit_index", "am_board_ratio", "pm_alight_ratio")])
+    return out.select("station_id", "day", *[F.round(c, 6).alias(c) for c in cx.SUBWAY])
 
 
 # Pseudo hour of each subway time band, and the peak hour sets.

@@ -18,7 +18,7 @@ V = ad.with_views
 ST = ad.with_views("stations")[5:]
 
 
-def _panel_cap(spark, sf_dir):
+def panel_with_capacity(spark, sf_dir):
     st = ad.stations(spark, sf_dir).select("station_id", capacity("lcd", "qr").alias("capacity"))
     p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "inflow", "outflow", "net_flow")
     return p.join(bounded_broadcast(st), "station_id")
@@ -37,21 +37,22 @@ SELECT station_id, ts, CAST(stock_start AS BIGINT) AS stock_start, CAST(stock_st
        CAST(least(greatest(stock_start + net_flow, 0), capacity) AS BIGINT) AS stock_end_clip
 FROM x""")
 def i01(spark, sf_dir):
-    x = inv.estimated_stock(_panel_cap(spark, sf_dir), "net_flow", "capacity")
+    x = inv.estimated_stock(panel_with_capacity(spark, sf_dir), "net_flow", "capacity")
     return x.select("station_id", "ts", "stock_start", "stock_end", "stock_start_clip", "stock_end_clip")
 
 
 @register("i03_simulate_stock", "I3", "WITH RECURSIVE " + PCAP_SQL[len("WITH "):] + """,
 base AS (SELECT station_id, CAST(ts AS DATE) AS day, ts, inflow - outflow AS d, capacity AS cap,
                 row_number() OVER (PARTITION BY station_id, CAST(ts AS DATE) ORDER BY ts) AS rn FROM pcap),
-sim AS (SELECT station_id, day, rn, ts, CAST(least(greatest(cap + d, 0), cap) AS BIGINT) AS stock
+sim AS (SELECT station_id, day, rn, ts, CAST(cap AS DOUBLE) AS stock_start,
+               CAST(least(greatest(cap + d, 0), cap) AS DOUBLE) AS stock
         FROM base WHERE rn = 1
         UNION ALL
-        SELECT b.station_id, b.day, b.rn, b.ts, CAST(least(greatest(s.stock + b.d, 0), b.cap) AS BIGINT)
+        SELECT b.station_id, b.day, b.rn, b.ts, s.stock, CAST(least(greatest(s.stock + b.d, 0), b.cap) AS DOUBLE)
         FROM sim s JOIN base b ON b.station_id = s.station_id AND b.day = s.day AND b.rn = s.rn + 1)
-SELECT station_id, ts, stock FROM sim""")
+SELECT station_id, ts, stock_start, stock FROM sim""")
 def i03(spark, sf_dir):
-    return inv.simulate_stock(_panel_cap(spark, sf_dir), "inflow", "outflow", "capacity")
+    return inv.simulate_stock(panel_with_capacity(spark, sf_dir), "inflow", "outflow", "capacity")
 
 
 ARR = "ts + to_microseconds(CAST(round(use_min * 60000000.0) AS BIGINT))"
@@ -160,32 +161,36 @@ def i09(spark, sf_dir):
                     inv.replenish_target(F.col("outflow_sum").cast("double")).alias("replenish_target"))
 
 
-PROJ_SQL = PANEL + """,
-r AS (SELECT *, sum(net_flow) OVER (PARTITION BY station_id ORDER BY ts
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS S FROM panel),
-f AS (SELECT *, S - net_flow AS prev,
-             min(S) OVER fw AS mn, last_value(S) OVER fw AS lst, count(*) OVER fw AS n
-      FROM r WINDOW fw AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)),
-proj AS (SELECT station_id, ts AS cycle_start, CAST(lst - prev AS BIGINT) AS proj_end,
-                CAST(mn - prev AS BIGINT) AS proj_min,
-                CAST(ceil(greatest(0, -(mn - prev))) AS BIGINT) AS need, CAST(mn - prev < 0 AS INTEGER) AS risk
+PROJ_SQL = PCAP_SQL + """,
+stk AS (SELECT *, CAST(capacity + coalesce(sum(net_flow) OVER (PARTITION BY station_id ORDER BY ts
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_stock FROM pcap),
+f AS (SELECT *, min(start_stock + net_flow) OVER fw AS mn, last_value(start_stock + net_flow) OVER fw AS lst,
+             sum(inflow) OVER fw AS tin, sum(outflow) OVER fw AS tout, count(*) OVER fw AS n
+      FROM stk WINDOW fw AS (PARTITION BY station_id ORDER BY ts ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)),
+proj AS (SELECT station_id, ts AS cycle_start, start_stock, CAST(tout AS BIGINT) AS total_outflow,
+                CAST(tin AS BIGINT) AS total_inflow, CAST(lst AS BIGINT) AS proj_end, CAST(mn AS BIGINT) AS proj_min,
+                CAST(ceil(greatest(0, -mn)) AS BIGINT) AS need, CAST(mn <= 0 AS INTEGER) AS risk
          FROM f WHERE hour(ts) IN (4, 16) AND n = 12)"""
 
 
+def _projection(spark, sf_dir):
+    p = inv.estimated_stock(panel_with_capacity(spark, sf_dir), "net_flow", "capacity")
+    return inv.projection_12h(p)
+
+
 @register("i11_projection_12h", "I11", PROJ_SQL + " SELECT * FROM proj")
 def i11(spark, sf_dir):
-    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "net_flow")
-    return inv.projection_12h(p, "net_flow")
+    return _projection(spark, sf_dir)
 
 
 @register("i13_risk_priority", "I13", PROJ_SQL + """
 SELECT station_id, count(*) AS cycles, CAST(sum(risk) AS BIGINT) AS risk_cycles, round(avg(need), 6) AS mean_need,
-       max(need) AS max_need,
-       CASE WHEN max(need) >= 5 THEN 'act_now' WHEN max(need) >= 2 THEN 'review' ELSE 'watch' END AS priority
+       max(need) AS max_need, min(proj_min) AS min_stock,
+       CASE WHEN max(need) FILTER (WHERE risk = 1) >= 3 THEN 'act_now'
+            WHEN max(need) FILTER (WHERE risk = 1) >= 1 THEN 'review' ELSE 'watch' END AS priority
 FROM proj GROUP BY 1""", check="T")
 def i13(spark, sf_dir):
-    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "net_flow")
-    s = inv.risk_summary(inv.projection_12h(p, "net_flow"))
+    s = inv.risk_summary(_projection(spark, sf_dir))
     return s.withColumn("mean_need", F.round("mean_need", 6))
 
 

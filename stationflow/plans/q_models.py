@@ -15,10 +15,12 @@ from ..operators import evaluate as ev
 from ..operators import inventory as inv
 from ..operators import models as md
 from ..sources import adapter as ad
+from ..util import cut_lineage
 from .catalog import register
 from .q_diagnose import FEATURES, feature_frame
 
-NUM = ["total_lag1", "total_lag24", "inflow_lag1", "outflow_lag1", "hour", "weekday", "temp", "roll3"]
+# total_lag1 is the sum of the two flow lags, so it stays out
+NUM = ["total_lag24", "inflow_lag1", "outflow_lag1", "hour", "weekday", "temp", "roll3"]
 SMALL_RF = {"numTrees": 20, "maxDepth": 5}
 
 
@@ -167,24 +169,26 @@ def m27(spark, sf_dir):
 
 @register("m28_flow_models_stock_choice", "M28 I3", check="R")
 def m28(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
+    """The model pair whose simulated stock is nearest on the validation weeks is fitted
+    again on train and validation rows, then scored on the test rows."""
+    tr, va, te = _split(spark, sf_dir)
     cap = ad.stations(spark, sf_dir).select("station_id", (F.col("lcd") + F.col("qr")).alias("capacity"))
-    actual = inv.simulate_stock(te.join(F.broadcast(cap), "station_id"), "inflow", "outflow", "capacity")
-    rows = []
-    for kind, params in (("linear", {}), ("poisson", {"regParam": 0.01})):
-        pin = md.predict(md.fit(tr, NUM, "inflow", kind, **params), te).select("station_id", "ts",
-                                                                               F.col("pred").alias("p_in"))
-        pout = md.predict(md.fit(tr, NUM, "outflow", kind, **params), te).select("station_id", "ts",
-                                                                                 F.col("pred").alias("p_out"))
-        pr = pin.join(pout, ["station_id", "ts"]).withColumns({"p_in": F.round("p_in").cast("bigint"),
-                                                                "p_out": F.round("p_out").cast("bigint")})
-        sim = inv.simulate_stock(pr.join(F.broadcast(cap), "station_id"), "p_in", "p_out", "capacity")
-        j = sim.withColumnRenamed("stock", "pred").join(actual.withColumnRenamed("stock", "y"), ["station_id", "ts"])
-        rows.append(ev.regression_metrics(j.withColumns({"y": F.col("y").cast("double"),
-                                                         "pred": F.col("pred").cast("double")}), "y", "pred")
-                    .withColumn("model", F.lit(kind)))
-    out = rows[0].unionByName(rows[1])
-    return out.withColumn("chosen", (F.rank().over(Window.orderBy("mae")) == 1).cast("int"))
+    kinds = {"linear": {}, "poisson": {"regParam": 0.01}}
+
+    def score(kind, train, test):
+        keys = ["station_id", "ts"]
+        p_in, p_out = (md.predict(md.fit(train, NUM, y, kind, **kinds[kind]), test)
+                       .select(*keys, F.greatest("pred", F.lit(0.0)).alias(p)) for y, p in (("inflow", "p_in"), ("outflow", "p_out")))
+        stock = lambda rows, i, o, name: inv.simulate_stock(rows.join(cap, "station_id"), i, o, "capacity") \
+            .select(*keys, F.col("stock").alias(name))
+        j = stock(p_in.join(p_out, keys), "p_in", "p_out", "pred").join(stock(test, "inflow", "outflow", "y"), keys)
+        return ev.regression_metrics(j, "y", "pred").withColumn("model", F.lit(kind))
+
+    tried = {k: cut_lineage(score(k, tr, va)) for k in kinds}       # one row each
+    best = min(kinds, key=lambda k: tried[k].first()["mae"])
+    rows = [t.withColumns({"stage": F.lit("validation"), "chosen": F.lit(int(k == best))}) for k, t in tried.items()]
+    final = score(best, tr.unionByName(va), te).withColumns({"stage": F.lit("test"), "chosen": F.lit(1)})
+    return rows[0].unionByName(rows[1]).unionByName(final)
 
 
 @register("m37_oof_pooled_scores", "M37", check="R")

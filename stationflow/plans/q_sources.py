@@ -58,11 +58,11 @@ SELECT CAST(year(day) AS INTEGER) AS year, count(*) AS n, sum(cnt) AS cnt FROM o
 def s04(spark, sf_dir):
     base = rd.scratch_path(spark, "s04")
     od = ad.od_daily(spark, sf_dir).select("order_id", "line", "day", "cnt")
-    for y in range(1992, 2002):  # one folder per year, like one file per year and station
-        od.filter(F.year("day") == y).write.option("header", True).csv(f"{base}/year={y}_files")
-    df = rd.read_csv(spark, f"{base}/year=*_files/*.csv", "order_id long, line int, day date, cnt double",
+    # one folder per year, like one file per year and station
+    od.withColumn("year", F.year("day")).write.partitionBy("year").option("header", True).csv(base)
+    df = rd.read_csv(spark, f"{base}/year=*/*.csv", "order_id long, line int, day date, cnt double",
                      lineage=True)
-    yr = F.regexp_extract("source_file", r"year=(\d+)_files", 1).cast("int")
+    yr = F.regexp_extract("source_file", r"year=(\d+)", 1).cast("int")
     return df.groupBy(yr.alias("year")).agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("cnt"))
 
 

@@ -154,8 +154,8 @@ hol AS (SELECT DATE '2024-01-01' AS d)
 SELECT event_id, CAST(isodow(base_date) >= 6 OR hol.d IS NOT NULL AS INTEGER) AS resting_day,
        CAST(hour IN (7, 8, 9, 17, 18, 19) AS INTEGER) AS rush,
        CAST(hour IN (7, 8, 9, 17, 18, 19) AND isodow(base_date) < 6 AS INTEGER) AS weekday_rush,
-       CAST(hour BETWEEN 11 AND 13 AS INTEGER) AS noon, CAST(hour >= 22 OR hour <= 5 AS INTEGER) AS night,
-       CAST(hour BETWEEN 6 AND 18 AS INTEGER) AS daytime
+       CAST(hour >= 12 AS INTEGER) AS noon, CAST(hour >= 22 OR hour <= 5 AS INTEGER) AS night,
+       CAST(hour BETWEEN 6 AND 21 AS INTEGER) AS daytime
 FROM trips LEFT JOIN hol ON trips.base_date = hol.d""")
 def p16(spark, sf_dir):
     t = ad.trips(spark, sf_dir)
@@ -165,9 +165,9 @@ def p16(spark, sf_dir):
     rush = tp.hour_in("hour", [7, 8, 9, 17, 18, 19])
     return x.select("event_id", rest.alias("resting_day"), rush.alias("rush"),
                     (rush * (F.weekday("base_date") < 5).cast("int")).alias("weekday_rush"),
-                    tp.hour_between("hour", 11, 13).alias("noon"),
+                    (F.col("hour") >= 12).cast("int").alias("noon"),
                     ((F.col("hour") >= 22) | (F.col("hour") <= 5)).cast("int").alias("night"),
-                    tp.hour_between("hour", 6, 18).alias("daytime"))
+                    tp.hour_between("hour", 6, 21).alias("daytime"))
 
 
 # P21 / P22 / P23 / P25 ----------------------------------------------------------------

@@ -47,25 +47,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session (idempotent)."""
     for k, v in SESSION_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # pragma: no cover - some confs are static on clusters
-            pass
+        spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
 
-_SHIPPED: set[int] = set()
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``stationflow`` importable in the Python workers (the grouped pandas
     functions are pickled by reference to their module). The package is zipped once
     per SparkContext and added with ``addPyFile``, as ``--py-files`` would on a
     cluster; a worker that can already import it is unaffected."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if getattr(sc, "_stationflow_shipped", False):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
@@ -77,7 +71,7 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
-    _SHIPPED.add(id(sc))
+    sc._stationflow_shipped = True
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -94,6 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stationflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

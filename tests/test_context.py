@@ -31,12 +31,18 @@ def test_subway_features_near_and_absent(spark):
     stations = spark.createDataFrame([("A", 37.5, 127.0), ("B", 37.9, 127.5)],
                                      "station_id string, lat double, lon double")
     pts = spark.createDataFrame([("S1", 37.5005, 127.0005)], "name string, lat double, lon double")
-    d = dt.date(2024, 1, 2)
+    d, later = dt.date(2024, 1, 2), dt.date(2024, 1, 4)
     daily = spark.createDataFrame([(d, "S1", "board", 1.0, 3.0, 4.0, 2.0),
-                                   (d, "S9", "alight", 1.0, 1.0, 1.0, 7.0)],  # S9: far away, one direction
+                                   (d, "S9", "alight", 1.0, 1.0, 1.0, 7.0),   # S9: far away, one direction
+                                   (later, "S1", "alight", 1.0, 2.0, 1.0, 1.0)],
                                   "day date, name string, direction string, dawn double, am_peak double, "
                                   "daytime double, pm_peak double")
+    got = {(r.station_id, r.day): (r.transit_index, r.commute_in_index, r.commute_out_index)
+           for r in context.subway_daily_features(stations, pts, daily).collect()}
+    none = (0.0, 0.0, 0.0)
+    # in: morning share of those who alight; out: evening share of those who board; other way 0
+    assert got == {("A", d): (1.0, 0.0, 0.2), ("A", later): (0.5, 0.4, 0.0), ("B", d): none, ("B", later): none}
     f = {r.station_id: r for r in context.build_subway_features(stations, pts, daily).collect()}
-    assert math.isclose(f["A"].transit_index, 10 / 10) and math.isclose(f["A"].am_board_ratio, 0.3)
-    assert f["A"].pm_alight_ratio == 0.0   # S1 has boardings only: no alighting ratio -> 0
-    assert (f["B"].transit_index, f["B"].am_board_ratio) == (0.0, 0.0)   # no exit within 200 m
+    assert math.isclose(f["A"].transit_index, 0.75) and math.isclose(f["A"].commute_in_index, 0.2)
+    assert (f["B"].transit_index, f["B"].commute_in_index) == (0.0, 0.0)   # no stop within 200 m
+    assert context.subway_daily_features(stations, pts, daily.limit(0)).count() == 0

@@ -2,6 +2,7 @@
 a loop; I3 stays in [0, cap]) and cycle boundaries (FIXTURES F11)."""
 
 import datetime as dt
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -77,21 +78,44 @@ def test_cycle_start_grid(spark):
     assert got == ["2023-12-31T16:00:00", "2024-01-01T04:00:00", "2024-01-01T16:00:00", "2024-01-01T16:00:00"]
 
 
+def test_simulate_stock_keeps_fractions(spark):
+    rows = [("A", T0 + dt.timedelta(hours=h), 0.0, 0.4, 10) for h in range(4)]
+    df = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, i double, o double, cap int")
+    out = inv.simulate_stock(df, "i", "o", "cap").orderBy("ts").collect()
+    assert [round(r.stock, 6) for r in out] == [9.6, 9.2, 8.8, 8.4]
+    assert [round(r.stock_start, 6) for r in out] == [10, 9.6, 9.2, 8.8]
+
+
 def test_projection_12h_matches_loop(spark):
     rng = random.Random(9)
-    nets = [rng.randint(-3, 3) for _ in range(60)]
-    rows = [("A", T0 + dt.timedelta(hours=h), n) for h, n in enumerate(nets)]
-    df = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, net long")
-    got = {r.cycle_start.hour + 24 * (r.cycle_start.day - 1): (r.proj_end, r.proj_min, r.need)
-           for r in inv.projection_12h(df, "net").collect()}
-    for h in range(len(nets) - 11):
+    flows = [(rng.randint(0, 6) / 2, rng.randint(0, 6) / 2) for _ in range(60)]
+    rows = [("A", T0 + dt.timedelta(hours=h), i, o, float(h % 7)) for h, (i, o) in enumerate(flows)]
+    df = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, inflow double, outflow double, stock_start double")
+    proj = inv.projection_12h(df)
+    got = {r.cycle_start.hour + 24 * (r.cycle_start.day - 1): r for r in proj.collect()}
+    needs = []
+    for h in range(len(flows) - 11):
         if h % 24 not in (4, 16):
             continue
-        run, mn = 0, 10 ** 9
-        for n in nets[h:h + 12]:
-            run += n
-            mn = min(mn, run)
-        assert got[h] == (run, mn, max(0, -mn))
+        stock, path = float(h % 7), []
+        for i, o in flows[h:h + 12]:
+            stock += i - o
+            path.append(stock)
+        needs.append(math.ceil(max(0, -min(path))))
+        r = got.pop(h)
+        assert (r.start_stock, r.proj_end, r.proj_min, r.need, r.risk) == (
+            float(h % 7), path[-1], min(path), needs[-1], int(min(path) <= 0))
+        assert (r.total_inflow, r.total_outflow) == tuple(map(sum, zip(*flows[h:h + 12])))
+    assert not got
+    s = inv.risk_summary(proj).first()
+    assert s.priority == ("act_now" if max(needs) >= 3 else "review" if max(needs) >= 1 else "watch")
+
+
+def test_demand_before_visit_keeps_fractions(spark):
+    rows = [("A", dt.datetime(2024, 1, 1, 4 + h), 0.5) for h in range(12)]
+    df = spark.createDataFrame(rows, "station_id string, ts timestamp_ntz, outflow double")
+    got = {r.visit_hour: r.demand_before for r in cycles.demand_before_visit(df, "outflow").collect()}
+    assert got[0] == 0 and got[3] == 1.5 and got[11] == 5.5
 
 
 def test_demand_before_visit(spark):

@@ -85,10 +85,10 @@ def test_nan_to_null_on_ingest(spark, tmp_path):
 
 
 def test_package_shipped_once(spark):
-    from stationflow.session import _SHIPPED, ship_package
+    from stationflow.session import ship_package
     ship_package(spark)
     ship_package(spark)
-    assert id(spark.sparkContext) in _SHIPPED
+    assert spark.sparkContext._stationflow_shipped
     # a grouped pandas function defined in the package runs on the workers
     from stationflow.operators import spatial
     pts = spark.createDataFrame([(1, 0.0, 0.0), (1, 1.0, 0.0), (1, 0.0, 1.0)], "cluster int, lat double, lon double")

@@ -33,6 +33,30 @@ def test_within_radius_equals_brute_force(spark):
     assert got == want and len(want) > 0
 
 
+def test_within_radius_holds_on_the_whole_globe(spark):
+    """Near the poles, on both sides of longitude 180, at band edges and with wide radii."""
+    rng = random.Random(8)
+    base = [(80.0, 20.0), (89.9995, 10.0), (-89.9995, -170.0), (90.0, 0.0), (0.0, 180.0), (60.0, -179.9999),
+            (-45.0, 179.9999), (0.0, 0.0), (71.0, 5.0)]
+
+    def near(prefix):
+        out = []
+        for k, (la, lo) in enumerate(base):
+            for i in range(8):
+                d = rng.uniform(-0.002, 0.002)
+                la2 = max(-90.0, min(90.0, la + d))
+                lo2 = lo + rng.uniform(-0.003, 0.003) / max(math.cos(math.radians(la2)), 0.01)
+                out.append((f"{prefix}{k}-{i}", la2, (lo2 + 180) % 360 - 180))
+        return out
+    L, R = near("s") + [("e", 0.0, 179.9999)], near("p") + [("f", 0.0, -179.9999), ("g", 0.0, 180.0)]
+    ldf = spark.createDataFrame(L, "id string, lat double, lon double")
+    rdf = spark.createDataFrame(R, "pid string, lat double, lon double")
+    for radius in (25.0, 200.0, 3_000_000.0, 25_000_000.0):
+        rows = spatial.within_radius(ldf, rdf, radius, "id", "pid").select("id", "pid").collect()
+        want = {(a[0], b[0]) for a in L for b in R if hav(a[1], a[2], b[1], b[2]) <= radius}
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == want
+
+
 def test_nearest_equals_brute_force_including_far_points(spark):
     L, ldf = _points(spark, 30, 3, "s", 0.5)
     R = [("p0", 37.5, 127.0), ("p1", 35.1, 129.0), ("p2", -33.9, 151.2)]  # one far away, one on another continent
