@@ -42,7 +42,7 @@ def build_region_features(stations: DataFrame, region_month: DataFrame, radius_m
     region_month = cut_lineage(region_month)
     idx = region_indices(region_month)
     match = spatial.three_tier_match(stations, region_month, radius_m)
-    j = match.join(idx, "dong")
+    j = match.join(idx, ["dong", "month"])
     return j.groupBy("station_id", "month").agg(
         F.min("tier").alias("tier"), F.avg("residential").alias("residential"),
         F.avg("business").alias("business"), F.avg("tourism").alias("tourism"))

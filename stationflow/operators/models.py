@@ -322,16 +322,18 @@ def rfe_cv(df: DataFrame, numeric: list[str], label: str, kind: str, order: list
 
 # I12 -------------------------------------------------------------------------
 def recursive_projection(model: PipelineModel, history: DataFrame, start_ts, steps: int, station: str,
-                         time_col: str, target: str, lags: list[int], make_features):
+                         time_col: str, target: str, lags: list[int], make_features,
+                         stations: DataFrame | None = None):
     """Live projection: each step predicts the next hour for all stations at once;
     the prediction becomes history so later lags use it. ``make_features(frame)``
-    adds calendar / lag columns to a (station, ts, target) frame."""
+    adds calendar / lag columns to a (station, ts, target) frame. ``stations`` (default:
+    all of ``history``) are projected, also those without recent rows."""
     max_lag = max(lags)
     start = F.lit(start_ts).cast("timestamp_ntz")
     # only the last max_lag hours of history can feed a lag: keep that window, written once
     recent = cut_lineage(history.filter(F.col(time_col) >= start - F.make_dt_interval(hours=F.lit(max_lag + 1)))
                          .select(station, time_col, F.col(target).cast("double").alias(target)))
-    stations = cut_lineage(recent.select(station).distinct())
+    stations = cut_lineage((history if stations is None else stations).select(station).distinct())
     out = []
     for s in range(steps):
         t = start + F.make_dt_interval(hours=F.lit(s))

@@ -26,16 +26,23 @@ def _fill(df: DataFrame, cols, fill):
 def densify(df: DataFrame, station: str = "station_id", time_col: str = "ts",
             fill=0, value_cols: list[str] | None = None, whole_days: bool = False) -> DataFrame:
     """One row per (station, hour) from the station's first to last hour
-    (G3: from 00:00 of the first day to 23:00 of the last), values filled."""
-    rng = df.groupBy(station).agg(F.min(time_col).alias("_lo"), F.max(time_col).alias("_hi"))
+    (G3: from 00:00 of the first day to 23:00 of the last), values filled.
+
+    Every row fills the hours up to the station's next row, so the input is read once
+    and not joined to its own spine. Rows without a time are dropped."""
+    w = Window.partitionBy(station).orderBy(time_col)
+    here = F.col(time_col)
+    # greatest skips nulls: the last row of a station ends at its own hour
+    lo, hi = here, F.greatest(here, F.lead(time_col).over(w) - _hour())
     if whole_days:
-        rng = rng.select(station, trunc("day", "_lo").alias("_lo"),
-                         (trunc("day", "_hi") + F.expr("INTERVAL 23 HOURS")).alias("_hi"))
-    spine = rng.select(station, F.explode(F.sequence("_lo", "_hi", _hour())).alias(time_col))
-    out = spine.join(df, [station, time_col], "left")
-    cols = value_cols if value_cols is not None else [c for c in df.columns
-                                                      if c not in (station, time_col)]
-    return _fill(out, cols, fill)
+        lo = F.when(F.lag(time_col).over(w).isNull(), trunc("day", time_col)).otherwise(here)
+        hi = F.when(F.lead(time_col).over(w).isNull(), trunc("day", time_col) + F.expr("INTERVAL 23 HOURS")).otherwise(hi)
+    rest = [c for c in df.columns if c not in (station, time_col)]
+    own = F.col("_t") == F.col(time_col)
+    out = df.filter(here.isNotNull()).withColumns({"_lo": lo, "_hi": hi}) \
+        .select("*", F.explode(F.sequence("_lo", "_hi", _hour())).alias("_t")) \
+        .select(station, F.col("_t").alias(time_col), *[F.when(own, F.col(c)).alias(c) for c in rest])
+    return _fill(out, value_cols if value_cols is not None else rest, fill)
 
 
 def densify_common(df: DataFrame, station: str = "station_id", time_col: str = "ts",

@@ -50,8 +50,9 @@ def _column(lon, count):
 
 
 def within_radius(left: DataFrame, right: DataFrame, radius_m: float, left_key: str, right_key: str,
-                  lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """All (left, right) pairs within ``radius_m`` metres, with ``dist_m``.
+                  lat: str = "lat", lon: str = "lon", by: tuple = ()) -> DataFrame:
+    """All (left, right) pairs within ``radius_m`` metres, with ``dist_m``; ``by``
+    names columns that must be equal on both sides.
 
     Right-side columns other than the key keep their names with an ``r_`` prefix
     for the coordinates. Cells follow the latitude band and wrap at longitude 180, so
@@ -65,14 +66,15 @@ def within_radius(left: DataFrame, right: DataFrame, radius_m: float, left_key:
     R = R.withColumn("_n", _columns(F.col("_ci"), radius_m)).withColumn("_cj", _column(lon, F.col("_n")))
     R = R.withColumn("_cj", F.explode(F.array_distinct(F.array(*[F.pmod(F.col("_cj") + x, F.col("_n")) for x in near])))) \
         .drop("_n").withColumnsRenamed({lat: "r_lat", lon: "r_lon"})
-    j = L.join(R, ["_ci", "_cj"]).drop("_ci", "_cj")
+    j = L.join(R, ["_ci", "_cj", *by]).drop("_ci", "_cj")
     j = j.withColumn("dist_m", haversine_m(lat, lon, "r_lat", "r_lon"))
     return j.filter(F.col("dist_m") <= radius_m)
 
 
 def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, start_radius_m: float = 200.0,
-            growth: float = 4.0, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Nearest right point for every left point (ties: smallest right key).
+            growth: float = 4.0, lat: str = "lat", lon: str = "lon", by: tuple = ()) -> DataFrame:
+    """Nearest right point for every left point (ties: smallest right key),
+    among those with equal ``by`` columns.
 
     Level k searches radius ``start * growth**k``; a left row is resolved at the
     first level whose best candidate lies within that radius, which the 3x3 cell
@@ -80,50 +82,54 @@ def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, st
     the globe, so every remaining row is resolved; only rows with no point within
     thousands of km ever reach it. Rows without coordinates are dropped.
     """
-    todo = left.select(left_key, lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    rcols = [c for c in right.columns if c not in (lat, lon)]
+    keys = [left_key, *by]
+    todo = left.select(*keys, lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    rcols = [c for c in right.columns if c not in (lat, lon, *by)]
     half_globe = math.pi * 6_371_000.0
     parts = []
     radius = start_radius_m
     while True:
         last = radius > half_globe
-        cand = within_radius(todo, right, radius, left_key, right_key, lat, lon)
-        best = cand.groupBy(left_key).agg(
+        cand = within_radius(todo, right, radius, left_key, right_key, lat, lon, by)
+        best = cand.groupBy(*keys).agg(
             F.min_by(F.struct(*[F.col(c) for c in rcols], "r_lat", "r_lon", "dist_m"),
-                     F.struct("dist_m", right_key)).alias("_b")).select(left_key, "_b.*")
+                     F.struct("dist_m", right_key)).alias("_b")).select(*keys, "_b.*")
         ok = best if last else best.filter(F.col("dist_m") <= radius)
         parts.append(ok)
         if last:
             break
         # cut the lineage each level so the plan stays linear in the number of levels
-        todo = cut_lineage(todo.join(ok.select(left_key), left_key, "left_anti"))
+        todo = cut_lineage(todo.join(ok.select(*keys), keys, "left_anti"))
         if todo.isEmpty():
             break
         radius = min(radius * growth, 1.01 * half_globe)
     done = parts[0]
     for p in parts[1:]:
         done = done.unionByName(p)
-    return left.join(done, left_key, "inner")
+    return left.join(done, keys, "inner")
 
 
 def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float = 200.0,
                      station_key: str = "station_id", region_key: str = "dong",
-                     district: str = "dong") -> DataFrame:
-    """For each station, the regions within ``radius_m`` (tier 1); else the
-    regions of its own district (tier 2); else the nearest region (tier 3).
-    Returns (station, region key, tier)."""
-    pts = regions.select(region_key, "lat", "lon").distinct()
-    t1 = within_radius(stations.select(station_key, "lat", "lon"), pts, radius_m, station_key, region_key) \
-        .select(station_key, region_key, F.lit(1).alias("tier"))
-    left = stations.join(t1.select(station_key).distinct(), station_key, "left_anti")
-    t2 = left.select(station_key, F.col(district).alias(region_key)) \
-        .join(pts.select(region_key).distinct(), region_key) \
-        .select(station_key, region_key, F.lit(2).alias("tier"))
-    left = left.join(t2.select(station_key).distinct(), station_key, "left_anti")
+                     district: str = "dong", month: str = "month") -> DataFrame:
+    """For each station and month, the regions with data in the month within
+    ``radius_m`` (tier 1); else the regions of its own district (tier 2); else the
+    nearest region (tier 3). Returns (station, month, region key, tier)."""
+    pts = regions.select(month, region_key, "lat", "lon").distinct()
+    months = sorted(r[0] for r in regions.select(month).distinct().collect())   # calendar-sized
+    every = stations.withColumn(month, F.explode(F.array(*[F.lit(m) for m in months]).cast(f"array<{regions.schema[month].dataType.simpleString()}>")))
+    keys = [station_key, month]
+    t1 = within_radius(every.select(*keys, "lat", "lon"), pts, radius_m, station_key, region_key, by=(month,)) \
+        .select(*keys, region_key, F.lit(1).alias("tier")).distinct()
+    left = every.join(t1.select(*keys).distinct(), keys, "left_anti")
+    t2 = left.select(*keys, F.col(district).alias(region_key)) \
+        .join(pts.select(month, region_key).distinct(), [month, region_key]) \
+        .select(*keys, region_key, F.lit(2).alias("tier"))
+    left = left.join(t2.select(*keys).distinct(), keys, "left_anti")
     # these stations have nothing within radius_m, so the search starts one level out
-    t3 = nearest(left.select(station_key, "lat", "lon"), pts.withColumnRenamed(region_key, "_rk"),
-                 station_key, "_rk", start_radius_m=4 * radius_m) \
-        .select(station_key, F.col("_rk").alias(region_key), F.lit(3).alias("tier"))
+    t3 = nearest(left.select(*keys, "lat", "lon"), pts.withColumnRenamed(region_key, "_rk"),
+                 station_key, "_rk", start_radius_m=4 * radius_m, by=(month,)) \
+        .select(*keys, F.col("_rk").alias(region_key), F.lit(3).alias("tier"))
     return t1.unionByName(t2).unionByName(t3)
 
 

@@ -8,7 +8,6 @@ from ..functions.timeparts import trunc
 
 from ..operators import flow, panel, windows
 from ..sources import adapter as ad
-from ..util import cut_lineage
 from .catalog import register
 
 V = ad.with_views
@@ -18,10 +17,7 @@ def hourly_flow_panel(spark, sf_dir, trips=None):
     """trips -> G5 -> A2 -> G1 -> A3 -> W1: net flow per station and hour, no gaps."""
     t = trips if trips is not None else ad.trips(spark, sf_dir)
     ex = flow.explode_by_station(t)
-    # the station-hour aggregate feeds both the spine range and the join: write it
-    # once (reliable checkpoint) instead of scanning the trip table twice
-    hf = cut_lineage(flow.role_flow(ex))
-    dense = panel.densify(hf, value_cols=["inflow", "outflow"])
+    dense = panel.densify(flow.role_flow(ex), value_cols=["inflow", "outflow"])
     out = flow.add_flow_totals(dense)
     return windows.add_lags(out, "total_flow", [1, 24])
 

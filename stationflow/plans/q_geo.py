@@ -81,16 +81,20 @@ def a31(spark, sf_dir):
 
 
 G12_CTES = IDX_SQL + f""",
-pts AS (SELECT DISTINCT dong, lat, lon FROM region_month),
-t1 AS (SELECT s.station_id, p.dong, 1 AS tier FROM stations s, pts p WHERE {HAV} <= 200),
-r1 AS (SELECT * FROM stations WHERE station_id NOT IN (SELECT station_id FROM t1)),
-t2 AS (SELECT r1.station_id, pts.dong, 2 AS tier FROM r1 JOIN pts ON r1.dong = pts.dong),
-r2 AS (SELECT * FROM r1 WHERE station_id NOT IN (SELECT station_id FROM t2)),
-t3 AS (SELECT s.station_id, arg_min(p.dong, ({HAV}, p.dong)) AS dong, 3 AS tier FROM r2 s, pts p GROUP BY 1),
+pts AS (SELECT DISTINCT month, dong, lat, lon FROM region_month),
+sm AS (SELECT s.*, m.month FROM stations s, (SELECT DISTINCT month FROM region_month) m),
+t1 AS (SELECT DISTINCT s.station_id, s.month, p.dong, 1 AS tier FROM sm s JOIN pts p ON p.month = s.month
+       WHERE {HAV} <= 200),
+r1 AS (SELECT * FROM sm WHERE (station_id, month) NOT IN (SELECT (station_id, month) FROM t1)),
+t2 AS (SELECT DISTINCT r1.station_id, r1.month, pts.dong, 2 AS tier
+       FROM r1 JOIN pts ON r1.dong = pts.dong AND r1.month = pts.month),
+r2 AS (SELECT * FROM r1 WHERE (station_id, month) NOT IN (SELECT (station_id, month) FROM t2)),
+t3 AS (SELECT s.station_id, s.month, arg_min(p.dong, ({HAV}, p.dong)) AS dong, 3 AS tier
+       FROM r2 s JOIN pts p ON p.month = s.month GROUP BY 1, 2),
 m AS (SELECT * FROM t1 UNION ALL SELECT * FROM t2 UNION ALL SELECT * FROM t3),
-regf AS (SELECT m.station_id, idx.month, min(tier) AS tier, avg(residential) AS residential,
+regf AS (SELECT m.station_id, m.month, min(tier) AS tier, avg(residential) AS residential,
                 avg(business) AS business, avg(tourism) AS tourism
-         FROM m JOIN idx ON m.dong = idx.dong GROUP BY 1, 2)"""
+         FROM m JOIN idx ON m.dong = idx.dong AND m.month = idx.month GROUP BY 1, 2)"""
 
 
 @register("g12_region_features", "G12 J11 A31", V("stations", "region_month") + ", " + G12_CTES + """

@@ -25,7 +25,7 @@ SMALL_RF = {"numTrees": 20, "maxDepth": 5}
 
 
 def _split(spark, sf_dir):
-    ff = feature_frame(spark, sf_dir)
+    ff = cut_lineage(feature_frame(spark, sf_dir))   # every fit, fold and score reads it
     v = F.lit("2024-01-15").cast("timestamp_ntz")
     t = F.lit("2024-01-22").cast("timestamp_ntz")
     return (ff.filter(F.col("ts") < v), ff.filter((F.col("ts") >= v) & (F.col("ts") < t)),
@@ -251,12 +251,12 @@ def _lag_features(frame):
 
 @register("i12_recursive_projection", "I12", check="R")
 def i12(spark, sf_dir):
-    ff = feature_frame(spark, sf_dir).select("station_id", "ts", "y")
+    ff = cut_lineage(feature_frame(spark, sf_dir).select("station_id", "ts", "y"))
     train = _lag_features(ff).filter(F.col("ts") < F.lit("2024-01-25").cast("timestamp_ntz"))
     m = md.fit(train, ["lag1", "lag24", "hour", "weekday"], "y", "linear")
     hist = ff.filter(F.col("ts") < F.lit("2024-01-25 04:00:00").cast("timestamp_ntz"))
     return md.recursive_projection(m, hist, "2024-01-25 04:00:00", 12, "station_id", "ts", "y", [1, 24],
-                                   _lag_features)
+                                   _lag_features, ad.stations(spark, sf_dir).select("station_id"))
 
 
 @register("x10_partner_rules", "X10", check="R")

@@ -27,6 +27,19 @@ def test_three_tier_match_and_zero_population(spark):
     assert math.isclose(f["C"].business, 10 / 50)
 
 
+def test_tiers_run_inside_each_month(spark):
+    """A's near district lacks month 2 and its own district has it; nothing is lost."""
+    stations = spark.createDataFrame([("A", 37.500, 127.000, "D2")], "station_id string, lat double, lon double, dong string")
+    rows = [("D1", 1, 37.501, 127.0), ("D2", 1, 37.60, 127.0), ("D2", 2, 37.60, 127.0), ("D3", 2, 37.52, 127.0),
+            ("D3", 3, 37.52, 127.0), ("D4", 3, 37.90, 127.0)]
+    rm = spark.createDataFrame([(*r, 100.0, 10.0, 20.0, 30.0, 40.0) for r in rows],
+                               "dong string, month int, lat double, lon double, pop_total double, "
+                               "pop_c1 double, pop_c2 double, pop_c3 double, pop_c4 double")
+    got = {(r.month, r.dong, r.tier) for r in spatial.three_tier_match(stations, rm).collect()}
+    assert got == {(1, "D1", 1), (2, "D2", 2), (3, "D3", 3)}
+    assert {r.month for r in context.build_region_features(stations, rm).collect()} == {1, 2, 3}
+
+
 def test_subway_features_near_and_absent(spark):
     stations = spark.createDataFrame([("A", 37.5, 127.0), ("B", 37.9, 127.5)],
                                      "station_id string, lat double, lon double")
