@@ -6,7 +6,7 @@ expressions, a closed form (I6) and a bounded array fold (I3):
 * I3 folds at most 24 hourly steps per (station, day) with ``aggregate`` inside
   the JVM; the group size is bounded by the calendar, not by the data.
 * I5/I6 work per (station, cycle) on events pre-aggregated to distinct
-  (time, delta) pairs, so a hot station never sends raw rows to one window task.
+  (time, delta) pairs; a window task holds one cycle's pairs of one station.
 """
 
 from __future__ import annotations
