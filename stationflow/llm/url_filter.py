@@ -5,9 +5,11 @@ through; level 3 the listed keys that level 2 lets through; and so on until a le
 none through. Over the complete key universe of the corpus the levels, read alternately,
 are exact. Each level is built by a distributed ``bit_or`` of bit positions and carried in
 the plan as one array literal, so judging a page is a projection: no join, no shuffle, no
-Python. Its size is bounded by the list, not by the corpus (about 10 bits a listed key for
-level 1, and a small share of that for the rest), and is checked against
-``MAX_FILTER_BITS``; a longer list is to be split by key and judged part by part.
+Python. Level 1 takes more bits a listed key the more unlisted keys there are, so that it
+lets through no more of them than keys are listed: the size follows the list, and the
+corpus only by its logarithm. Lists that need more than ``MAX_FILTER_BITS`` are split by the
+hash of the key into parts with a cascade each, and the pages pass one part after the other,
+written in between, so that no plan ever holds more than one part's literals.
 
 Keys of a page are strings of a tag and a value: ``allow|`` or ``block|`` with a host
 suffix and a path prefix of a shape that occurs in the rules, and ``host|`` with a host
@@ -21,12 +23,13 @@ alike; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, stored
+from .common import groups_for, prepare, stored
 
 # (verdict, host, path prefix)
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -34,7 +37,6 @@ RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 # A domain is listed if a label of its host has one of these as a hyphen-separated part.
 LISTED_WORDS = ("ads", "adult", "bets", "casino", "malware", "phish", "pills", "porn", "spam", "warez", "xxx")
 BITS_PER_KEY = 10
-HASHES = 6
 MAX_FILTER_BITS = 1 << 25
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,7 +46,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 class Cascade:
     """Bit arrays by level, as 64-bit words."""
 
-    levels: list[tuple[int, list[int]]] = field(default_factory=list)   # (number of bits, words)
+    levels: list[tuple[int, int, list[int]]] = field(default_factory=list)   # (bits, hashes, words)
 
     def contains(self, key: Column) -> Column:
         """Exact for every key of the universe the cascade was built over."""
@@ -58,43 +60,57 @@ def _position(key: Column, level: int, i: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(level * 100 + i)), F.lit(bits).cast("long"))
 
 
-def _lets_through(level: tuple[int, list[int]], number: int, key: Column) -> Column:
-    bits, words = level
+def _lets_through(level: tuple[int, int, list[int]], number: int, key: Column) -> Column:
+    bits, hashes, words = level
     # one folded literal, instead of one expression per word
     held = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
     out = F.lit(True)
-    for i in range(HASHES):
+    for i in range(hashes):
         at = _position(key, number, i, bits)
         out = out & (F.getbit(F.get(held, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1)
     return out
 
 
-def _level(keys: DataFrame, n: int, number: int) -> tuple[int, list[int]]:
-    bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
-    if bits > MAX_FILTER_BITS:
-        raise ValueError(f"{n} keys need {bits} filter bits, above {MAX_FILTER_BITS}: split the list by key")
-    at = F.explode(F.array(*[_position(F.col("key"), number, i, bits) for i in range(HASHES)]))
+def bits_per_key(n_in: int, n_out: int) -> int:
+    """Bits for each of ``n_in`` encoded keys, so that at most about ``n_in`` of ``n_out``
+    other keys are let through."""
+    return max(BITS_PER_KEY, math.ceil(1.5 * math.log2(max(n_out, 1) / max(n_in, 1))) if n_out > n_in else 0)
+
+
+def _level(keys: DataFrame, n: int, per_key: int, number: int) -> tuple[int, int, list[int]]:
+    bits, hashes = max(64, -(-n * per_key // 64) * 64), round(0.6 * per_key)
+    at = F.explode(F.array(*[_position(F.col("key"), number, i, bits) for i in range(hashes)]))
     words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("bits"))
     found = {r["word"]: r["bits"] for r in words.collect()}              # at most bits / 64 rows
-    return bits, [found.get(w, 0) for w in range(bits // 64)]
+    return bits, hashes, [found.get(w, 0) for w in range(bits // 64)]
 
 
 def build_cascade(universe: DataFrame, listed: DataFrame) -> Cascade:
     """``universe`` and ``listed`` have a column ``key``; repeats and nulls are no matter."""
-    both = universe.select("key", F.lit(0).alias("listed")).unionByName(listed.select("key", F.lit(1).alias("listed")))
-    keys = stored(both.filter("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed")), "url-keys")
+    return _cascade(_keys(universe, listed))
+
+
+def _cascade(keys: DataFrame) -> Cascade:
+    """``keys`` has distinct ``key`` and ``listed`` (1 or 0): the universe."""
     cascade = Cascade()
     rest = [keys.filter("listed = 1").select("key"), keys.filter("listed = 0").select("key")]
+    left = [rest[0].count(), rest[1].count()]
     while True:
         number = len(cascade.levels)
         side = number % 2
         if number:
             rest[side] = rest[side].filter(_lets_through(cascade.levels[-1], number - 1, F.col("key")))
-        n = rest[side].count()
-        if n == 0:
+            left[side] = rest[side].count()
+        if left[side] == 0:
             return cascade
-        cascade.levels.append(_level(rest[side], n, number))
+        per_key = bits_per_key(left[side], left[1 - side])
+        cascade.levels.append(_level(rest[side], left[side], per_key, number))
+
+
+def _keys(universe: DataFrame, listed: DataFrame) -> DataFrame:
+    both = universe.select("key", F.lit(0).alias("listed")).unionByName(listed.select("key", F.lit(1).alias("listed")))
+    return stored(both.filter("key IS NOT NULL").groupBy("key").agg(F.max("listed").alias("listed")), "url-keys")
 
 
 def with_host_and_path(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -122,13 +138,15 @@ def _rule_keys(rules) -> Column:
 
 
 def _host_keys(depth: int) -> Column:
-    """``host|`` and the last 1 .. ``depth`` labels of the host."""
+    """``host|`` and the last 1 .. ``depth`` labels of the host (all, if it has fewer)."""
     if not depth:
         return F.expr("cast(array() AS array<string>)")
-    return F.array(*[F.concat(F.lit("host|"), F.substring_index("host", ".", -k)) for k in range(1, depth + 1)])
+    labels = f"least({depth}, size(split(host, '[.]')))"
+    return F.expr(f"transform(sequence(1, {labels}), k -> concat('host|', substring_index(host, '.', -k)))")
 
 
-def judge(pages: DataFrame, rules=RULES, listed_hosts: DataFrame | None = None, url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, listed_hosts: DataFrame | None = None, url: str = "url",
+          max_bits: int = MAX_FILTER_BITS) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict`` added. ``listed_hosts(host)``: domains
     that are blocked, with their subdomains, where no rule fits."""
     spark = prepare(pages.sparkSession)
@@ -138,16 +156,32 @@ def judge(pages: DataFrame, rules=RULES, listed_hosts: DataFrame | None = None,
         hosts = stored(listed_hosts.select("host").filter("host <> ''").distinct(), "url-listed")
         depth = hosts.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first()["n"] or 0
         listed = listed.unionByName(hosts.select(F.concat(F.lit("host|"), "host").alias("key")))
-    parts = with_host_and_path(pages.drop("host", "path", "rule", "verdict"), url)
-    fits, hosts_of = _rule_keys(rules), _host_keys(depth)
-    universe = parts.select("host", "path").distinct() \
-        .select(F.explode(F.concat(F.transform(fits, lambda c: c["key"]), hosts_of)).alias("key")).distinct()
-    cascade = build_cascade(universe, listed)
-    best = F.array_max(F.filter(fits, lambda c: cascade.contains(c["key"])))
-    blocked = F.exists(hosts_of, cascade.contains)
-    return parts.withColumn("_best", best) \
+    judged = with_host_and_path(pages.drop("host", "path", "rule", "verdict"), url)
+    fits = _rule_keys(rules)
+    candidates = F.concat(F.transform(fits, lambda c: c["key"]), _host_keys(depth))
+    keys = _keys(judged.select("host", "path").distinct().select(F.explode(candidates).alias("key")).distinct(), listed)
+    n = keys.agg(F.coalesce(F.sum("listed"), F.lit(0)).alias("n_in"), F.count("*").alias("n")).first()
+    # level 1 fills half of the limit, which leaves room for the later levels and uneven parts
+    parts = groups_for(n["n_in"] * bits_per_key(n["n_in"], n["n"] - n["n_in"]), max_bits / 2)
+    judged = judged.withColumn("_found", F.expr("cast(array() AS array<string>)"))
+    for part in range(parts):
+        cascade = _cascade(keys.filter(_in_part(F.col("key"), part, parts)))
+        found = F.filter(candidates, lambda k: _in_part(k, part, parts) & cascade.contains(k))  # noqa: B023
+        judged = judged.withColumn("_found", F.concat("_found", found))
+        if part < parts - 1:
+            judged = stored(judged, "url-part")
+    best = F.array_max(F.filter(fits, lambda c: F.array_contains("_found", c["key"])))
+    blocked = F.exists("_found", lambda k: k.startswith("host|"))
+    return judged.withColumn("_best", best) \
         .withColumn("rule", F.col("_best.rule")) \
-        .withColumn("verdict", F.coalesce("_best.verdict", F.when(blocked, "block").otherwise("allow"))).drop("_best")
+        .withColumn("verdict", F.coalesce("_best.verdict", F.when(blocked, "block").otherwise("allow"))) \
+        .drop("_best", "_found")
+
+
+def _in_part(key: Column, part: int, parts: int) -> Column:
+    if parts == 1:
+        return F.lit(True)
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts)) == part
 
 
 def listed_domains(pages: DataFrame, words=LISTED_WORDS, url: str = "url") -> DataFrame:

@@ -50,3 +50,17 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert url_filter.build_cascade(universe, listed.limit(0)).levels == []
     plan = universe.withColumn("in", cascade.contains(universe["key"]))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_a_list_above_the_limit_is_judged_part_by_part(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i}.{'spam' if i % 3 else 'good'}.net/de/{i}") for i in range(300)]
+                                  + [(1000 + i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    listed = url_filter.listed_domains(pages)
+    whole, cut = [{tuple(r) for r in url_filter.judge(pages, listed_hosts=listed, max_bits=m).drop("url").collect()}
+                  for m in (url_filter.MAX_FILTER_BITS, 1024)]
+    assert whole == cut and {r[-1] for r in cut} == {"allow", "block"}
+
+
+def test_bits_follow_the_list_and_the_corpus_by_its_logarithm():
+    assert url_filter.bits_per_key(1000, 1000) == url_filter.bits_per_key(1000, 0) == 10
+    assert url_filter.bits_per_key(1000, 10 ** 9) == 30
