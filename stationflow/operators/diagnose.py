@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr
+from ..functions.timeparts import trunc
+from .splits import exact_percentiles
 
 
 def _q(c: str) -> Column:
@@ -189,32 +191,27 @@ TRANSFORMS = {"raw": lambda x: x, "log": lambda x: F.when(x.isNotNull(), F.log1p
 SIMPLICITY = {"raw": 0, "log": 1, "poly": 2}
 
 
-def to_long(df: DataFrame, features: list[str], target: str, extra: list[str] = (),
-            poly_raw: bool = False) -> DataFrame:
-    """(extra..., feature, transform, x, y) rows for every feature and transform.
-    With ``poly_raw`` the poly rows keep x unsquared (the regression adds x^2)."""
-    def fx(t, fn, f):
-        return _q(f).cast("double") if (poly_raw and t == "poly") else fn(_q(f).cast("double"))
-
-    items = [F.struct(F.lit(f).alias("feature"), F.lit(t).alias("transform"), fx(t, fn, f).alias("x"))
+def to_long(df: DataFrame, features: list[str], target: str, extra: list[str] = ()) -> DataFrame:
+    """(extra..., feature, transform, x, y) rows for every feature and transform."""
+    items = [F.struct(F.lit(f).alias("feature"), F.lit(t).alias("transform"), fn(_q(f).cast("double")).alias("x"))
              for f in features for t, fn in TRANSFORMS.items()]
     return df.select(*extra, _q(target).cast("double").alias("y"), F.explode(F.array(*items)).alias("_i")) \
         .select(*extra, "_i.*", "y").filter(F.col("x").isNotNull() & F.col("y").isNotNull())
 
 
 def _qbin(col: str, edges: str) -> Column:
-    below = F.size(F.filter(F.slice(edges, 2, 1_000_000), lambda e: e < F.col(col)))
+    below = F.size(F.filter(F.slice(edges, F.lit(2), F.size(edges)), lambda e: e < F.col(col)))
     return F.least(below, F.size(edges) - 2)
 
 
 def binned_mutual_information(long: DataFrame, bins: int = 10) -> DataFrame:
     """MI (nats) between quantile bins of x and of y, per (feature, transform):
     exact quantile edges with duplicates dropped, right-closed bins, then joint and
-    marginal counts. The winner per feature is the largest MI (ties: simplest)."""
+    marginal counts."""
     probs = [i / bins for i in range(bins + 1)]
     keys = ["feature", "transform"]
-    e = long.groupBy(*keys).agg(F.array_distinct(F.percentile("x", probs)).alias("ex"),
-                                F.array_distinct(F.percentile("y", probs)).alias("ey"))
+    e = exact_percentiles(long, "x", probs, keys, "ex").join(exact_percentiles(long, "y", probs, keys, "ey"), keys) \
+        .select(*keys, F.array_distinct("ex").alias("ex"), F.array_distinct("ey").alias("ey"))
     # one edge row per (feature, transform): a handful of rows
     b = long.join(F.broadcast(e), keys).select(*keys, _qbin("x", "ex").alias("bx"), _qbin("y", "ey").alias("by"))
     joint = b.groupBy(*keys, "bx", "by").agg(F.count(F.lit(1)).alias("nxy"))
@@ -223,46 +220,105 @@ def binned_mutual_information(long: DataFrame, bins: int = 10) -> DataFrame:
     j = joint.withColumns({"n": F.sum("nxy").over(w_all), "nx": F.sum("nxy").over(w_x),
                            "ny": F.sum("nxy").over(w_y)})
     term = F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
-    mi = j.groupBy(*keys).agg(F.sum(term).alias("mi"))
-    simp = F.create_map(*[x for kv in SIMPLICITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    w = Window.partitionBy("feature").orderBy(F.desc(F.round("mi", 9)), simp[F.col("transform")])
-    return mi.withColumn("winner", (F.row_number().over(w) == 1).cast("int"))
+    return j.groupBy(*keys).agg(F.sum(term).alias("mi"))
+
+
+def transform_comparison(df: DataFrame, features: list[str], target: str, bins: int = 10, min_rows: int = 30) -> DataFrame:
+    """Per feature the absolute correlation and the binned mutual information of x, of
+    log(1 + x) (null where a value is negative) and of x with x^2 (the larger correlation,
+    the sum of the informations); the best is the largest mean of the two, the simplest at a
+    tie. Features with fewer than ``min_rows`` complete rows are left out."""
+    long = to_long(df, features, target)
+    stats = long.groupBy("feature", "transform").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.abs(safe_corr("x", "y")).alias("r"))
+    s = stats.join(binned_mutual_information(long, bins), ["feature", "transform"])
+
+    def of(transform, col):
+        return F.max(F.when(F.col("transform") == transform, F.col(col)))
+
+    ok = of("raw", "low") >= 0
+    g = s.groupBy("feature").agg(
+        of("raw", "n").alias("n"), of("raw", "r").alias("raw_abs_corr"), of("raw", "mi").alias("raw_mi"),
+        F.when(ok, of("log", "r")).alias("log_abs_corr"), F.when(ok, of("log", "mi")).alias("log_mi"),
+        F.greatest(of("raw", "r"), of("poly", "r")).alias("poly_abs_corr"),
+        (of("raw", "mi") + of("poly", "mi")).alias("poly_mi")).filter(F.col("n") >= min_rows)
+    # mean of what is there; the mutual information is always there but for the skipped log
+    score = {t: F.round((F.coalesce(f"{t}_abs_corr", F.lit(0.0)) + F.col(f"{t}_mi"))
+                        / F.when(F.col(f"{t}_abs_corr").isNull(), 1).otherwise(2), 9) for t in SIMPLICITY}
+    best = F.greatest(*score.values())
+    choice = F.coalesce(*[F.when(score[t] == best, F.lit(t)) for t in SIMPLICITY])
+    return g.withColumn("best_transform", choice).drop("n")
 
 
 # X14 -------------------------------------------------------------------------
-def cv_transform_choice(long_folds: DataFrame) -> DataFrame:
-    """Per fold, fit ``y ~ x`` (raw, log) or ``y ~ x + x^2`` (poly, 2x2 normal
-    equations on centred sums) on the train rows, score r2 and MAE on the test rows,
-    average over folds, rank by rounded r2 (desc), MAE (asc), |corr| (desc),
-    simplicity. ``long_folds`` has (fold, role, feature, transform, x, y)."""
-    keys = ["fold", "feature", "transform"]
-    tr = long_folds.filter(F.col("role") == "train")
-    s = tr.groupBy(*keys).agg(
-        F.avg("x").alias("mx"), F.avg(F.col("x") * F.col("x")).alias("mq"), F.avg("y").alias("my"),
-        F.covar_pop("x", "y").alias("sxy"), F.var_pop("x").alias("sxx"),
-        F.covar_pop(F.col("x") * F.col("x"), "y").alias("sqy"),
-        F.covar_pop("x", F.col("x") * F.col("x")).alias("sxq"),
-        F.var_pop(F.col("x") * F.col("x")).alias("sqq"), safe_corr("x", "y").alias("corr"))
-    det = F.col("sxx") * F.col("sqq") - F.col("sxq") * F.col("sxq")
-    is_poly = F.col("transform") == "poly"
-    b1 = F.when(is_poly, F.when(det != 0, (F.col("sxy") * F.col("sqq") - F.col("sqy") * F.col("sxq")) / det))\
-        .otherwise(F.when(F.col("sxx") != 0, F.col("sxy") / F.col("sxx")))
-    b2 = F.when(is_poly & (det != 0), (F.col("sqy") * F.col("sxx") - F.col("sxy") * F.col("sxq")) / det)
-    s = s.withColumns({"b1": F.coalesce(b1, F.lit(0.0)), "b2": F.coalesce(b2, F.lit(0.0))})
-    s = s.withColumn("b0", F.col("my") - F.col("b1") * F.col("mx") - F.col("b2") * F.col("mq"))
-    te = long_folds.filter(F.col("role") == "test").join(s.select(*keys, "b0", "b1", "b2", "corr"), keys)
-    # the raw-scale regressor for the quadratic term is x itself (x holds x for poly)
-    pred = F.col("b0") + F.col("b1") * F.col("x") + F.col("b2") * F.col("x") * F.col("x")
-    e = F.col("y") - pred
-    per = te.groupBy(*keys).agg(F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse"),
-                                (F.var_pop("y") * F.count(F.lit(1))).alias("sst"), F.max("corr").alias("corr"))
+def feature_blocks(df: DataFrame, features: list[str], target: str, order: list[str], time_col: str,
+                   k: int = 5) -> DataFrame:
+    """Long rows ``(feature, block, x, y)`` of the complete rows of each feature: with ``n``
+    of them, the last ``k`` runs of ``n // (k + 1)`` rows in ``order`` are blocks 0 .. k - 1,
+    the rows before them block -1. Fold i tests on block i and trains on the blocks before.
+
+    One pass for all features: complete rows are counted per hour, hours get running totals
+    (a calendar-sized table), and one window inside each hour adds the rest."""
+    here = {f: (_q(f).isNotNull() & _q(target).isNotNull()).cast("long") for f in features}
+    x = df.withColumn("_b", trunc("hour", time_col))
+    per = x.groupBy("_b").agg(*[F.sum(c).alias(f"_c_{f}") for f, c in here.items()])
+    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)   # one row per hour
+    per = per.select("_b", *[F.coalesce(F.sum(f"_c_{f}").over(w), F.lit(0)).alias(f"_before_{f}") for f in features],
+                     *[F.sum(f"_c_{f}").over(Window.partitionBy()).alias(f"_n_{f}") for f in features])
+    inner = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_p_{f}": F.sum(c).over(inner) - 1 for f, c in here.items()}).join(per, "_b")
+    items = [F.struct(F.lit(f).alias("feature"), _q(f).cast("double").alias("x"),
+                      (F.col(f"_before_{f}") + F.col(f"_p_{f}")).alias("pos"), F.col(f"_n_{f}").alias("n")) for f in features]
+    x = x.select(F.inline(F.array(*items)), _q(target).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    size = F.floor(F.col("n") / (k + 1))
+    block = F.greatest(F.lit(-1), F.floor((F.col("pos") - (F.col("n") - k * size)) / size)).cast("int")
+    return x.filter(size > 0).select("feature", block.alias("block"), "x", "y")
+
+
+def cv_transform_choice(blocks: DataFrame, k: int = 5) -> DataFrame:
+    """For each feature and fold, fit ``y ~ x`` (raw, log) or ``y ~ x + x^2`` (poly) on the
+    blocks before the fold's own, from the blocks' moments, and score its block: mean and
+    deviation of r2 and MAE over the folds and the correlation of all out-of-fold
+    predictions; ranked by rounded r2 (desc), MAE, correlation (desc), simplicity.
+    ``blocks`` comes from :func:`feature_blocks` with the same ``k``."""
+    fx = {"raw": F.col("x"), "log": F.log1p(F.greatest(F.col("x"), F.lit(0.0))), "poly": F.col("x")}
+    long = blocks.select("feature", "block", "y", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("transform"), c.alias("x")) for t, c in fx.items()])))
+    keys = ["feature", "transform"]
+    # moments about fixed centres, so that the sums stay small
+    mid = long.groupBy(*keys).agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))   # a row per feature and transform
+    u, v = F.col("x") - F.col("cx"), F.col("y") - F.col("cy")
+    terms = {"n": F.lit(1.0), "u": u, "uu": u * u, "uuu": u * u * u, "uuuu": u * u * u * u,
+             "v": v, "vv": v * v, "uv": u * v, "uuv": u * u * v}
+    sums = long.join(F.broadcast(mid), keys).groupBy(*keys, "block", "cx", "cy") \
+        .agg(*[F.sum(c).alias(f"s_{m}") for m, c in terms.items()])
+    w = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)   # k + 1 rows
+    t = sums.select(*keys, "block", "cx", "cy", *[F.sum(f"s_{m}").over(w).alias(m) for m in terms]).filter("block >= 0")
+    n = F.col("n")
+    m = {c: F.col(c) / n for c in terms if c != "n"}
+    suu, suq = m["uu"] - m["u"] * m["u"], m["uuu"] - m["u"] * m["uu"]
+    sqq = m["uuuu"] - m["uu"] * m["uu"]
+    suv, sqv = m["uv"] - m["u"] * m["v"], m["uuv"] - m["uu"] * m["v"]
+    det = suu * sqq - suq * suq
+    poly = (F.col("transform") == "poly") & (det > 1e-9 * suu * sqq)   # two values of x: the line says it all
+    b1 = F.when(poly, (suv * sqq - sqv * suq) / det).when(suu > 0, suv / suu).otherwise(0.0)
+    b2 = F.when(poly, (sqv * suu - suv * suq) / det).otherwise(0.0)
+    t = t.withColumns({"b1": b1, "b2": b2}).withColumn("b0", m["v"] - F.col("b1") * m["u"] - F.col("b2") * m["uu"])
+    fit = t.select(*keys, "block", "cx", "cy", "b0", "b1", "b2")   # k rows per feature and transform
+    te = long.join(F.broadcast(fit), [*keys, "block"])
+    pred = F.col("cy") + F.col("b0") + F.col("b1") * u + F.col("b2") * u * u
+    te = te.select(*keys, "block", "y", pred.alias("pred"))
+    e = F.col("y") - F.col("pred")
+    per = te.groupBy(*keys, "block").agg(F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse"),
+                                         (F.var_pop("y") * F.count(F.lit(1))).alias("sst"))
     per = per.withColumn("r2", F.when(F.col("sst") == 0, F.lit(0.0)).otherwise(1 - F.col("sse") / F.col("sst")))
-    m = per.groupBy("feature", "transform").agg(F.avg("r2").alias("r2"), F.avg("mae").alias("mae"),
-                                                 F.avg(F.abs("corr")).alias("abs_corr"))
+    g = per.groupBy(*keys).agg(F.avg("r2").alias("r2"), F.stddev_pop("r2").alias("r2_std"),
+                               F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("mae_std"))
+    g = g.join(te.groupBy(*keys).agg(safe_corr("pred", "y").alias("oof_corr")), keys)
     simp = F.create_map(*[x for kv in SIMPLICITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     w = Window.partitionBy("feature").orderBy(F.desc(F.round("r2", 4)), F.round("mae", 4),
-                                              F.desc(F.round("abs_corr", 4)), simp[F.col("transform")])
-    return m.withColumn("rank", F.row_number().over(w))
+                                              F.desc(F.round("oof_corr", 4)), simp[F.col("transform")])
+    return g.withColumn("rank", F.row_number().over(w))
 
 
 # X15 -------------------------------------------------------------------------

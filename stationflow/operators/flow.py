@@ -207,12 +207,19 @@ def value_frequency(df: DataFrame, col: str) -> DataFrame:
 
 
 # A27 / A28 -------------------------------------------------------------------
-def describe(df: DataFrame, col: str, percentiles=(0.5, 0.9, 0.95, 0.99)) -> DataFrame:
-    c = F.col(col)
-    return df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                  F.min(c).alias("min"),
-                  *[F.percentile(c, p).alias(f"p{int(round(p * 100))}") for p in percentiles],
-                  F.max(c).alias("max"))
+def describe(df: DataFrame, col: str, percentiles=(0.5, 0.9, 0.95, 0.99), keys: list[str] = ()) -> DataFrame:
+    """Count, mean, std, min, exact percentiles and max of ``col``, per ``keys`` if given."""
+    from .splits import exact_percentiles, join_null_safe
+    c, keys = F.col(col), list(keys)
+    d = df.groupBy(*keys).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                              F.min(c).alias("min"), F.max(c).alias("max"))
+    p = exact_percentiles(df, col, list(percentiles), keys, "_p")
+    if keys:
+        d = join_null_safe(d, p, keys, "left")
+    else:
+        d = d.withColumn("_p", F.lit((p.first() or [None])[0]).cast("array<double>"))   # a scalar per percentile
+    return d.select(*keys, "count", "mean", "std", "min",
+                    *[F.col("_p")[i].alias(f"p{int(round(q * 100))}") for i, q in enumerate(percentiles)], "max")
 
 
 # A30 -------------------------------------------------------------------------

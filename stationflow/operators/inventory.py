@@ -5,8 +5,8 @@ expressions, a closed form (I6) and a bounded array fold (I3):
 
 * I3 folds at most 24 hourly steps per (station, day) with ``aggregate`` inside
   the JVM; the group size is bounded by the calendar, not by the data.
-* I5/I6 work per (station, cycle) on events pre-aggregated to distinct
-  (time, delta) pairs; a window task holds one cycle's pairs of one station.
+* I5 takes the running minimum minute by minute (a window holds one station's minute)
+  and puts the at most 720 minutes of a cycle together; I6 works on cycles.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import cycle_start
+from ..functions.timeparts import cycle_start, trunc
 
 
 def _c(x) -> Column:
@@ -62,17 +62,22 @@ def cycle_need(deltas: DataFrame, station: str = "station_id", time_col: str = "
                delta: str = "delta") -> DataFrame:
     """Bikes needed at the start of each cycle so the stock never goes negative:
     ``-min(0, running sum)`` of the cycle's deltas ordered by (time, delta), plus
-    the cycle's net change."""
+    the cycle's net change. The lowest prefix of a cycle is that of a minute on top of
+    the sum of the minutes before it, so a hot station's cycle is cut into minutes."""
     x = deltas.withColumn("cycle_start", cycle_start(time_col))
     # exact pre-aggregation: equal (time, delta) rows are adjacent in the order and
     # share a sign, so the prefix minimum is reached at a group boundary
     g = x.groupBy(station, "cycle_start", time_col, delta).agg(F.sum(delta).alias("_tot"))
-    w = Window.partitionBy(station, "cycle_start").orderBy(time_col, delta) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("_run", F.sum("_tot").over(w))
-    return g.groupBy(station, "cycle_start").agg(
+    minute = [station, "cycle_start", "_minute"]
+    g = g.withColumn("_minute", trunc("minute", time_col))
+    inner = Window.partitionBy(*minute).orderBy(time_col, delta).rowsBetween(Window.unboundedPreceding, 0)
+    m = g.withColumn("_run", F.sum("_tot").over(inner)).groupBy(*minute) \
+        .agg(F.min("_run").alias("_low"), F.sum("_tot").alias("_tot"))
+    w = Window.partitionBy(station, "cycle_start").orderBy("_minute").rowsBetween(Window.unboundedPreceding, 0)
+    m = m.withColumn("_low", F.sum("_tot").over(w) - F.col("_tot") + F.col("_low"))
+    return m.groupBy(station, "cycle_start").agg(
         # 0 - x rather than -x: no negative zero when the running sum never dips
-        (F.lit(0) - F.least(F.lit(0), F.min("_run"))).alias("need"), F.sum("_tot").alias("net"))
+        (F.lit(0) - F.least(F.lit(0), F.min("_low"))).alias("need"), F.sum("_tot").alias("net"))
 
 
 def full_cycle_grid(needs: DataFrame, station: str = "station_id") -> DataFrame:
@@ -102,12 +107,23 @@ def carried_refill(grid: DataFrame, station: str = "station_id") -> DataFrame:
 
 
 # I7 / I14 --------------------------------------------------------------------
-def visit_availability(before: DataFrame, starts: DataFrame, station: str = "station_id") -> DataFrame:
-    """Stock at each visit hour = cycle start stock - demand before the visit; and the
-    share of cycles with stock > 0 per (station, visit hour)."""
-    j = before.join(starts, [station, "cycle_start"])
-    j = j.withColumn("stock_at_visit", F.col("start") - F.col("demand_before"))
-    return j.groupBy(station, "visit_hour").agg(
+def visit_availability(deltas: DataFrame, starts: DataFrame, station: str = "station_id",
+                       time_col: str = "event_time", delta: str = "delta") -> DataFrame:
+    """Stock at a visit on the hour = the cycle's ``start`` stock plus every change, in and
+    out, before the visit; per (station, visit hour 0..23) its mean and the share of cycles
+    with stock > 0. Cycles without events count with their start stock."""
+    offset = F.timestamp_diff("HOUR", F.col("cycle_start"), F.col(time_col))
+    hourly = deltas.withColumn("cycle_start", cycle_start(time_col)) \
+        .groupBy(station, "cycle_start", offset.alias("_h")).agg(F.sum(delta).alias("_d"))
+    # at most 12 hours in a cycle
+    hours = hourly.groupBy(station, "cycle_start").agg(F.collect_list(F.struct("_h", "_d")).alias("_hours"))
+    x = starts.join(hours, [station, "cycle_start"], "left") \
+        .withColumn("_visit", F.explode(F.sequence(F.lit(0), F.lit(11))))
+    before = F.aggregate(F.filter(F.coalesce("_hours", F.array()), lambda h: h["_h"] < F.col("_visit")),
+                         F.lit(0.0), lambda acc, h: acc + h["_d"])
+    x = x.withColumn("stock_at_visit", F.col("start") + before) \
+        .withColumn("visit_hour", F.pmod(F.hour("cycle_start") + F.col("_visit"), F.lit(24)).cast("int"))
+    return x.groupBy(station, "visit_hour").agg(
         F.avg((F.col("stock_at_visit") > 0).cast("double")).alias("available_share"),
         F.avg("stock_at_visit").alias("mean_stock"))
 

@@ -30,6 +30,13 @@ def global_position(df: DataFrame, order: list, time_col: str | None, bucket: st
     return x.withColumn("_pos", F.col("_before") + F.row_number().over(inner) - 1).drop("_b", "_before")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null meets null; ``right``'s copies of the keys go."""
+    other = right.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    same = [left[k].eqNullSafe(other[f"_key{i}"]) for i, k in enumerate(keys)]
+    return left.join(other, same, how).drop(*[f"_key{i}" for i in range(len(keys))])
+
+
 def running_total_before(df: DataFrame, order_col: str, weight_col: str, keys: list[str] = (),
                          buckets: int = 1024) -> DataFrame:
     """For each row, the sum of ``weight_col`` over rows of the same ``keys`` with a
@@ -43,26 +50,47 @@ def running_total_before(df: DataFrame, order_col: str, weight_col: str, keys: l
     pa = F.array_distinct(F.percentile_approx(order_col, probs, 10 * buckets))
     if keys:
         edges = df.groupBy(*keys).agg(pa.alias("_e"))  # one row per key, `buckets` numbers each
-        x = df.join(edges, keys)  # one edge row per key; AQE sizes it at run time
+        x = join_null_safe(df, edges, keys)  # one edge row per key; AQE sizes it at run time
         x = x.withColumn("_b", F.size(F.filter("_e", lambda e: e < F.col(order_col)))).drop("_e")
     else:
         # one group: literal bucket edges and the JVM Bucketizer (binary search), no join
         from pyspark.ml.feature import Bucketizer
         x = df.withColumn("_ord", _numeric_order(F.col(order_col), dict(df.dtypes)[order_col]))
         pa = F.array_distinct(F.percentile_approx("_ord", probs, 10 * buckets))
-        edges = x.agg(pa).first()[0] or []  # at most `buckets` increasing numbers
+        edges = x.agg(pa).first()[0] or [0.0]  # at most `buckets` increasing numbers
         splits = [float("-inf"), *[float(e) for e in edges], float("inf")]
         x = Bucketizer(splits=splits, inputCol="_ord", outputCol="_b", handleInvalid="keep") \
             .transform(x).drop("_ord")
     per = x.groupBy(*keys, "_b").agg(F.sum(weight_col).alias("_bw"))
     per = per.withColumn("_bb", F.coalesce(F.sum("_bw").over(
         Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    x = x.join(per.drop("_bw"), [*keys, "_b"])
+    x = join_null_safe(x, per.drop("_bw"), [*keys, "_b"])
     within = F.sum(weight_col).over(Window.partitionBy(*keys, "_b").orderBy(order_col)
                                     .rowsBetween(Window.unboundedPreceding, -1))
     return x.withColumn("_before", F.col("_bb") + F.coalesce(within, F.lit(0))).drop("_b", "_bb")
 
 
+def exact_percentiles(df: DataFrame, col: str, probs: list[float], keys: list[str] = (), name: str = "percentiles") -> DataFrame:
+    """Linearly interpolated percentiles of ``col`` per ``keys``, as an array ``name`` (nulls
+    are left out). Works on counts per distinct value and their running totals, so no
+    aggregation buffer ever holds all values of a group, as ``percentile`` would."""
+    keys = list(keys)
+    cnt = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    run = running_total_before(cnt, "_v", "_c", keys, buckets=256)
+    total = cnt.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    run = join_null_safe(run, total, keys) if keys else run.withColumn("_n", F.lit(total.first()[0]))   # one scalar
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+
+    def value_at(k):
+        return F.max(F.when((F.col("_before") <= k) & (k < F.col("_before") + F.col("_c")), F.col("_v")))
+
+    found = run.groupBy(*keys, "_n").agg(*[value_at(F.floor(k)).alias(f"_lo{i}") for i, k in enumerate(at)],
+                                         *[value_at(F.ceil(k)).alias(f"_hi{i}") for i, k in enumerate(at)])
+    mixed = [F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}"))
+             .otherwise((F.ceil(k) - k) * F.col(f"_lo{i}") + (k - F.floor(k)) * F.col(f"_hi{i}")) for i, k in enumerate(at)]
+    return found.select(*keys, F.array(*mixed).alias(name))
+
+
 def _numeric_order(col: Column, dtype: str) -> Column:
     """A double that sorts like ``col`` (timestamps as epoch seconds, dates as days)."""
     if dtype.startswith("timestamp"):
@@ -108,9 +136,11 @@ def split_by_distinct_time(df: DataFrame, time_col: str, ratio: float = 0.8) ->
 
 # M4 --------------------------------------------------------------------------
 def split_by_time_quantile(df: DataFrame, time_col: str, q: float = 0.8) -> DataFrame:
-    """Rows at or before the q-quantile of time are train (one scalar aggregate)."""
+    """Rows at or before the q-quantile of time are train (one scalar, from counts per time)."""
     from ..functions.timeparts import epoch_seconds, from_epoch_seconds
-    cut = df.agg(from_epoch_seconds(F.percentile(epoch_seconds(time_col), q))).first()[0]
+    found = exact_percentiles(df.select(epoch_seconds(time_col).alias("_t")), "_t", [q])
+    row = found.select(from_epoch_seconds(F.col("percentiles")[0])).first()
+    cut = row[0] if row else None
     return df.withColumn("split", F.when(F.col(time_col) <= F.lit(cut), "train").otherwise("test"))
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .splits import exact_percentiles
+
 
 def _w(partition, order):
     part = [partition] if isinstance(partition, str) else list(partition or [])
@@ -185,17 +187,20 @@ def quantile_bins(df: DataFrame, col: str, q: int, value: str | None = None,
     part = partition or []
     probs = [i / q for i in range(q + 1)]
     if part:
-        edges = df.groupBy(*part).agg(F.array_distinct(F.percentile(F.col(col), probs)).alias("_edges"))
+        edges = exact_percentiles(df, col, probs, part, "_edges").withColumn("_edges", F.array_distinct("_edges"))
         x = df.join(edges, part, "inner")  # one edge row per group; AQE sizes it at run time
     else:
         # q+1 numbers: a metric row read back, then used as a literal array
-        lits = df.agg(F.array_distinct(F.percentile(F.col(col), probs))).first()[0]
-        x = df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in lits]))
+        found = exact_percentiles(df, col, probs).select(F.array_distinct("percentiles")).first()
+        x = df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in (found[0] if found else [])]).cast("array<double>"))
     # bin index: number of inner edges strictly below the value (right-closed bins)
     nbins = F.size("_edges") - 1
-    below = F.size(F.filter(F.slice("_edges", 2, 1_000_000), lambda e: e < F.col(col)))
+    below = F.size(F.filter(F.slice("_edges", F.lit(2), F.size("_edges")), lambda e: e < F.col(col)))
     x = x.withColumn("bin", F.when(F.col(col).isNull(), F.lit(None))
                      .otherwise(F.least(below, nbins - 1)).cast("int"))
-    return (x.drop("_edges").groupBy(*part, "bin")
-            .agg(F.median(value).alias("median"), F.avg(value).alias("mean"),
-                 F.count(F.lit(1)).alias("n")))
+    x = x.drop("_edges")
+    keys = [*part, "bin"]
+    sums = x.groupBy(*keys).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")).alias("s")
+    mid = exact_percentiles(x, value, [0.5], keys, "_mid").alias("m")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"m.{k}")) for k in keys]
+    return sums.join(mid, same, "left").select(*[f"s.{k}" for k in keys], F.col("_mid")[0].alias("median"), "mean", "n")

@@ -74,7 +74,7 @@ def x01(spark, sf_dir):
                     (F.col("abs_correlation") >= 0.9).alias("high"))
 
 
-SPEAR = ["total_lag1", "hour", "temp"]
+SPEAR = FEATURES
 
 
 @register("x03_spearman", "X3 W20", FF_SQL + ",\n" + "\nUNION ALL ".join(
@@ -173,18 +173,14 @@ def x12(spark, sf_dir):
                     F.round("abs_correlation", 6).alias("abs_correlation"), "rank")
 
 
-MI_FEATURES = ["total_lag1", "hour", "temp"]
+MI_FEATURES = [f for f in FEATURES if f != "hour"]   # calendar positions are not transformed
 SQL_TRANSFORMS = {"raw": "{x}", "log": "ln(1 + greatest({x}, 0.0))", "poly": "{x} * {x}"}
 
 
-def _long_sql(features, src, extra="", poly_raw=False):
-    parts = []
-    for f in features:
-        for t, tx in SQL_TRANSFORMS.items():
-            x = f if (poly_raw and t == "poly") else tx.format(x=f)
-            parts.append(f"SELECT {extra}'{f}' AS feature, '{t}' AS transform, CAST({x} AS DOUBLE) AS x, y "
-                         f"FROM {src} WHERE {f} IS NOT NULL AND y IS NOT NULL")
-    return "\nUNION ALL ".join(parts)
+def _long_sql(features, src):
+    return "\nUNION ALL ".join(f"SELECT '{f}' AS feature, '{t}' AS transform, CAST({tx.format(x=f)} AS DOUBLE) AS x, y "
+                               f"FROM {src} WHERE {f} IS NOT NULL AND y IS NOT NULL"
+                               for f in features for t, tx in SQL_TRANSFORMS.items())
 
 
 @register("x13_binned_mutual_information", "X13 W21", FF_SQL + """,
@@ -201,55 +197,61 @@ j AS (SELECT feature, transform, bx, by_, count(*) AS nxy FROM b GROUP BY 1, 2,
 jj AS (SELECT *, sum(nxy) OVER (PARTITION BY feature, transform) AS n,
               sum(nxy) OVER (PARTITION BY feature, transform, bx) AS nx,
               sum(nxy) OVER (PARTITION BY feature, transform, by_) AS ny FROM j),
-mi AS (SELECT feature, transform, sum(nxy / n * ln(nxy * n / (nx * ny))) AS mi FROM jj GROUP BY 1, 2)
-SELECT feature, transform, round(mi, 6) AS mi,
-       CAST(row_number() OVER (PARTITION BY feature ORDER BY round(mi, 9) DESC,
-            CASE transform WHEN 'raw' THEN 0 WHEN 'log' THEN 1 ELSE 2 END) = 1 AS INTEGER) AS winner
-FROM mi""", check="T")
+mi AS (SELECT feature, transform, sum(nxy / n * ln(nxy * n / (nx * ny))) AS mi FROM jj GROUP BY 1, 2),
+st AS (SELECT feature, transform, count(*) AS n, min(x) AS low, abs(corr(x, y)) AS r FROM lg GROUP BY 1, 2),
+w AS (SELECT feature, max(n) AS n, max(r) FILTER (WHERE transform = 'raw') AS raw_abs_corr,
+             max(mi) FILTER (WHERE transform = 'raw') AS raw_mi,
+             CASE WHEN max(low) FILTER (WHERE transform = 'raw') >= 0 THEN max(r) FILTER (WHERE transform = 'log') END AS log_abs_corr,
+             CASE WHEN max(low) FILTER (WHERE transform = 'raw') >= 0 THEN max(mi) FILTER (WHERE transform = 'log') END AS log_mi,
+             max(r) FILTER (WHERE transform <> 'log') AS poly_abs_corr,
+             sum(mi) FILTER (WHERE transform <> 'log') AS poly_mi
+      FROM st JOIN mi USING (feature, transform) GROUP BY 1),
+sc AS (SELECT *, round((raw_abs_corr + raw_mi) / 2, 9) AS s0, coalesce(round((log_abs_corr + log_mi) / 2, 9), -1) AS s1,
+              round((poly_abs_corr + poly_mi) / 2, 9) AS s2 FROM w WHERE n >= 30)
+SELECT feature, round(raw_abs_corr, 6) AS raw_abs_corr, round(raw_mi, 6) AS raw_mi, round(log_abs_corr, 6) AS log_abs_corr,
+       round(log_mi, 6) AS log_mi, round(poly_abs_corr, 6) AS poly_abs_corr, round(poly_mi, 6) AS poly_mi,
+       CASE WHEN s0 >= s1 AND s0 >= s2 THEN 'raw' WHEN s1 >= s2 THEN 'log' ELSE 'poly' END AS best_transform
+FROM sc""", check="T")
 def x13(spark, sf_dir):
-    lg = dg.to_long(feature_frame(spark, sf_dir), MI_FEATURES, "y")
-    m = dg.binned_mutual_information(lg, 10)
-    return m.select("feature", "transform", F.round("mi", 6).alias("mi"), "winner")
+    c = dg.transform_comparison(feature_frame(spark, sf_dir), MI_FEATURES, "y", 10)
+    return c.select("feature", *[F.round(x, 6).alias(x) for x in c.columns if x.endswith(("_corr", "_mi"))], "best_transform")
 
 
-CV_FEATURES = ["total_lag1", "total_lag24", "temp"]
+def _cv_sql(f):
+    """Regressions on the rows themselves (not on moments), fold by fold."""
+    return "\nUNION ALL ".join(f"""SELECT '{f}' AS feature, '{t}' AS transform, CAST({f if t == "poly" else tx.format(x=f)} AS DOUBLE) AS x, y,
+       row_number() OVER (ORDER BY ts, station_id) - 1 AS pos, count(*) OVER () AS n
+FROM ff WHERE {f} IS NOT NULL AND y IS NOT NULL""" for t, tx in SQL_TRANSFORMS.items())
 
 
 @register("x14_cv_transform_choice", "X14 M6", FF_SQL + """,
-base AS (SELECT *, row_number() OVER (ORDER BY ts, station_id) - 1 AS pos, count(*) OVER () AS n FROM ff),
-fl AS (SELECT base.*, CAST(unnest(range(0, 3)) AS INTEGER) AS fold FROM base),
-rl AS (SELECT *, CASE WHEN pos >= n - (3 - fold) * floor(n / 4) AND pos < n - (3 - fold) * floor(n / 4) + floor(n / 4)
-                      THEN 'test' WHEN pos < n - (3 - fold) * floor(n / 4) THEN 'train' END AS role
-       FROM fl),
-rl2 AS (SELECT * FROM rl WHERE role IS NOT NULL),
-lf AS (""" + _long_sql(CV_FEATURES, "rl2", extra="fold, role, ", poly_raw=True) + """),
+lf AS (""" + "\nUNION ALL ".join(_cv_sql(f) for f in FEATURES) + """),
+ps AS (SELECT *, n - 5 * (n // 6) AS first, n // 6 AS size FROM lf),
+fo AS (SELECT * FROM ps, (SELECT CAST(unnest(range(0, 5)) AS INTEGER) AS fold) k WHERE pos < first + (fold + 1) * size),
+ro AS (SELECT *, pos >= first + fold * size AS test FROM fo),
 s AS (SELECT fold, feature, transform, avg(x) AS mx, avg(x * x) AS mq, avg(y) AS my, covar_pop(x, y) AS sxy,
-             var_pop(x) AS sxx, covar_pop(x * x, y) AS sqy, covar_pop(x, x * x) AS sxq, var_pop(x * x) AS sqq,
-             corr(x, y) AS corr
-      FROM lf WHERE role = 'train' GROUP BY 1, 2, 3),
-c AS (SELECT *, sxx * sqq - sxq * sxq AS det FROM s),
-b AS (SELECT *, coalesce(CASE WHEN transform = 'poly' THEN CASE WHEN det <> 0 THEN (sxy * sqq - sqy * sxq) / det END
-                              ELSE CASE WHEN sxx <> 0 THEN sxy / sxx END END, 0.0) AS b1,
-                coalesce(CASE WHEN transform = 'poly' AND det <> 0 THEN (sqy * sxx - sxy * sxq) / det END, 0.0) AS b2
-      FROM c),
-b0 AS (SELECT *, my - b1 * mx - b2 * mq AS b0 FROM b),
-te AS (SELECT lf.fold, lf.feature, lf.transform, lf.x, lf.y, b0.b0, b0.b1, b0.b2, b0.corr FROM lf
-       JOIN b0 ON lf.fold = b0.fold AND lf.feature = b0.feature AND lf.transform = b0.transform WHERE lf.role = 'test'),
-per AS (SELECT fold, feature, transform, avg(abs(y - (b0 + b1 * x + b2 * x * x))) AS mae,
-               sum(pow(y - (b0 + b1 * x + b2 * x * x), 2)) AS sse, var_pop(y) * count(*) AS sst, max(corr) AS corr
+             var_pop(x) AS sxx, covar_pop(x * x, y) AS sqy, covar_pop(x, x * x) AS sxq, var_pop(x * x) AS sqq
+      FROM ro WHERE NOT test GROUP BY 1, 2, 3),
+c AS (SELECT *, sxx * sqq - sxq * sxq AS det, transform = 'poly' AND sxx * sqq - sxq * sxq > 1e-9 * sxx * sqq AS two FROM s),
+b AS (SELECT *, CASE WHEN two THEN (sxy * sqq - sqy * sxq) / det WHEN sxx > 0 THEN sxy / sxx ELSE 0.0 END AS b1,
+                CASE WHEN two THEN (sqy * sxx - sxy * sxq) / det ELSE 0.0 END AS b2 FROM c),
+te AS (SELECT ro.fold, ro.feature, ro.transform, y, my + b1 * (x - mx) + b2 * (x * x - mq) AS pred
+       FROM ro JOIN b USING (fold, feature, transform) WHERE test),
+per AS (SELECT fold, feature, transform, avg(abs(y - pred)) AS mae, sum(pow(y - pred, 2)) AS sse, var_pop(y) * count(*) AS sst
         FROM te GROUP BY 1, 2, 3),
-m AS (SELECT feature, transform, avg(CASE WHEN sst = 0 THEN 0.0 ELSE 1 - sse / sst END) AS r2, avg(mae) AS mae,
-             avg(abs(corr)) AS abs_corr FROM per GROUP BY 1, 2)
-SELECT feature, transform, round(r2, 6) AS r2, round(mae, 6) AS mae, round(abs_corr, 6) AS abs_corr,
-       CAST(row_number() OVER (PARTITION BY feature ORDER BY round(r2, 4) DESC, round(mae, 4), round(abs_corr, 4) DESC,
+m AS (SELECT feature, transform, avg(CASE WHEN sst = 0 THEN 0.0 ELSE 1 - sse / sst END) AS r2,
+             stddev_pop(CASE WHEN sst = 0 THEN 0.0 ELSE 1 - sse / sst END) AS r2_std, avg(mae) AS mae, stddev_pop(mae) AS mae_std
+      FROM per GROUP BY 1, 2),
+o AS (SELECT feature, transform, corr(pred, y) AS oof_corr FROM te GROUP BY 1, 2)
+SELECT feature, transform, round(r2, 6) AS r2, round(r2_std, 6) AS r2_std, round(mae, 6) AS mae, round(mae_std, 6) AS mae_std,
+       round(oof_corr, 6) AS oof_corr,
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY round(r2, 4) DESC, round(mae, 4), round(oof_corr, 4) DESC,
             CASE transform WHEN 'raw' THEN 0 WHEN 'log' THEN 1 ELSE 2 END) AS INTEGER) AS rank
-FROM m""", check="T")
+FROM m JOIN o USING (feature, transform)""", check="T")
 def x14(spark, sf_dir):
-    ff = feature_frame(spark, sf_dir)
-    folds = sp.ts_fold_labels(ff, ["ts", "station_id"], "ts", k=3, gap=0)
-    lf = dg.to_long(folds, CV_FEATURES, "y", extra=["fold", "role"], poly_raw=True)
-    c = dg.cv_transform_choice(lf)
-    return c.select("feature", "transform", *[F.round(x, 6).alias(x) for x in ("r2", "mae", "abs_corr")], "rank")
+    blocks = dg.feature_blocks(feature_frame(spark, sf_dir), FEATURES, "y", ["ts", "station_id"], "ts")
+    c = dg.cv_transform_choice(blocks)
+    return c.select("feature", "transform", *[F.round(x, 6).alias(x) for x in ("r2", "r2_std", "mae", "mae_std", "oof_corr")], "rank")
 
 
 # The transform choice applied by the X15 query.

@@ -328,13 +328,9 @@ SELECT start_id, count(use_dist) AS count, round(avg(use_dist), 4) AS mean,
        max(use_dist) AS max
 FROM od_daily GROUP BY 1""", check="T")
 def a27(spark, sf_dir):
-    od = ad.od_daily(spark, sf_dir)
-    c = F.col("use_dist")
-    return od.groupBy("start_id").agg(
-        F.count(c).alias("count"), F.round(F.avg(c), 4).alias("mean"),
-        F.round(F.stddev_samp(c), 4).alias("std"), F.min(c).alias("min"),
-        *[F.round(F.percentile(c, p), 4).alias(f"p{int(p * 100)}") for p in (0.5, 0.9, 0.95, 0.99)],
-        F.max(c).alias("max"))
+    d = flow.describe(ad.od_daily(spark, sf_dir), "use_dist", keys=["start_id"])
+    return d.select("start_id", "count", "min", "max",
+                    *[F.round(c, 4).alias(c) for c in ("mean", "std", "p50", "p90", "p95", "p99")])
 
 
 # A28 --------------------------------------------------------------------------
@@ -345,10 +341,12 @@ FROM trips GROUP BY 1""", check="T")
 def a28(spark, sf_dir):
     t = ad.trips(spark, sf_dir)
     from ..functions.timeparts import epoch_seconds, from_epoch_seconds
-    return t.groupBy("start_id").agg(
-        F.round(F.percentile("use_min", 0.25), 6).alias("q25"),
-        F.round(F.percentile("use_min", 0.75), 6).alias("q75"),
-        from_epoch_seconds(F.floor(F.percentile(epoch_seconds("ts"), 0.8))).alias("ts_q80"))
+    from ..operators.splits import exact_percentiles, join_null_safe
+    use = exact_percentiles(t, "use_min", [0.25, 0.75], ["start_id"], "use")
+    time = exact_percentiles(t.withColumn("_t", epoch_seconds("ts")), "_t", [0.8], ["start_id"], "time")
+    return join_null_safe(time, use, ["start_id"], "left").select(
+        "start_id", F.round(F.col("use")[0], 6).alias("q25"), F.round(F.col("use")[1], 6).alias("q75"),
+        from_epoch_seconds(F.floor(F.col("time")[0])).alias("ts_q80"))
 
 
 # A29 / A37 / A39 / M29 --------------------------------------------------------------

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import capacity
-from ..operators import cycles as cy
 from ..operators import flow
 from ..operators import inventory as inv
 from ..sources import adapter as ad
 from ..util import bounded_broadcast
 from .catalog import register
-from .q_cycles import BEFORE_SQL, CAGG_SQL, CYC, cycle_table
+from .q_cycles import CAGG_SQL, CYC, cycle_table
 from .q_flow import PANEL, hourly_flow_panel
 
 V = ad.with_views
@@ -66,10 +65,14 @@ r AS (SELECT *, sum(tot) OVER (PARTITION BY station_id, cycle_start ORDER BY eve
 needs AS (SELECT station_id, cycle_start, 0.0 - least(0, min(run)) AS need, sum(tot) AS net FROM r GROUP BY 1, 2)"""
 
 
-def _needs(spark, sf_dir):
+def _deltas(spark, sf_dir):
     from ..functions.timeparts import add_minutes
     t = ad.trips(spark, sf_dir).withColumn("arr_ts", add_minutes("ts", "use_min"))
-    return inv.cycle_need(flow.event_deltas(t, "ts", "arr_ts"))
+    return flow.event_deltas(t, "ts", "arr_ts")
+
+
+def _needs(spark, sf_dir):
+    return inv.cycle_need(_deltas(spark, sf_dir))
 
 
 @register("i05_cycle_need", "I5 A8", NEED_SQL + " SELECT * FROM needs")
@@ -100,20 +103,20 @@ def i06(spark, sf_dir):
     return _refill(spark, sf_dir)
 
 
-_REFILL_TAIL = REFILL_SQL[len(NEED_SQL):].replace("rng", "crng").replace("grid", "cgrid")
-_BEFORE_TAIL = BEFORE_SQL[len(V("trips")) + 1:]  # reuses the trips view defined above
-
-
-@register("i07_visit_availability", "I7", NEED_SQL + _REFILL_TAIL + ", " + _BEFORE_TAIL + """
-SELECT b.station_id, b.visit_hour, round(avg(CASE WHEN r.start - b.demand_before > 0 THEN 1.0 ELSE 0.0 END), 6)
-         AS available_share,
-       round(avg(r.start - b.demand_before), 6) AS mean_stock
-FROM before b JOIN refill r ON b.station_id = r.station_id AND b.cycle_start = r.cycle_start
-GROUP BY 1, 2""", check="T")
+@register("i07_visit_availability", "I7", REFILL_SQL + """,
+hd AS (SELECT station_id, cycle_start, CAST(date_diff('hour', cycle_start, date_trunc('hour', event_time)) AS INTEGER) AS off,
+              sum(tot) AS d
+       FROM g GROUP BY 1, 2, 3),
+vis AS (SELECT *, CAST(unnest(range(0, 12)) AS INTEGER) AS off FROM (SELECT station_id, cycle_start, start FROM refill) r),
+stv AS (SELECT v.station_id, v.cycle_start, v.off, v.start + coalesce(sum(hd.d) FILTER (WHERE hd.off < v.off), 0) AS stock
+        FROM vis v LEFT JOIN hd ON v.station_id = hd.station_id AND v.cycle_start = hd.cycle_start
+        GROUP BY v.station_id, v.cycle_start, v.off, v.start)
+SELECT station_id, CAST((hour(cycle_start) + off) % 24 AS INTEGER) AS visit_hour,
+       round(avg(CASE WHEN stock > 0 THEN 1.0 ELSE 0.0 END), 6) AS available_share, round(avg(stock), 6) AS mean_stock
+FROM stv GROUP BY 1, 2""", check="T")
 def i07(spark, sf_dir):
-    p = hourly_flow_panel(spark, sf_dir).select("station_id", "ts", "outflow")
-    b = cy.demand_before_visit(p, "outflow")
-    out = inv.visit_availability(b, _refill(spark, sf_dir).select("station_id", "cycle_start", "start"))
+    out = inv.visit_availability(_deltas(spark, sf_dir),
+                                 _refill(spark, sf_dir).select("station_id", "cycle_start", "start"))
     return out.select("station_id", "visit_hour", F.round("available_share", 6).alias("available_share"),
                       F.round("mean_stock", 6).alias("mean_stock"))
 
