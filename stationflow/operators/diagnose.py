@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr
 from ..functions.timeparts import trunc
-from .splits import exact_percentiles
+from .splits import exact_percentiles, running_total_before
 
 
 def _q(c: str) -> Column:
@@ -63,28 +63,32 @@ def high_pairs(pairs: DataFrame, threshold: float = 0.9) -> DataFrame:
 
 
 # X3 / W20 --------------------------------------------------------------------
-def average_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Average rank of each distinct value (ties share the mean rank), from counts
-    per distinct value; joined back to the rows."""
-    from .splits import running_total_before
-    cnt = df.filter(_q(col).isNotNull()).groupBy(_q(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    cnt = running_total_before(cnt, "_v", "_c")  # rows before each distinct value, no global window
-    cnt = cnt.withColumn(name, F.col("_before") + (F.col("_c") + 1) / 2.0)
-    return df.join(cnt.select("_v", name), _q(col) == F.col("_v"), "left").drop("_v")
-
-
 def spearman(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Spearman correlation of each feature with the target, on rows where both exist."""
-    rows = []
-    for f in features:
-        x = df.select(_q(f).alias("x"), _q(target).alias("y")).na.drop()
-        x = average_ranks(x, "x", "rx")
-        x = average_ranks(x, "y", "ry")
-        rows.append(x.agg(safe_corr("rx", "ry").alias("spearman")).withColumn("feature", F.lit(f)))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    """Spearman correlation of each feature with the target, on rows where both exist.
+
+    All features at once, on counts per distinct (x, y): a value's average rank is the
+    number of rows below it plus half of its ties, from one bucketed running total over
+    the distinct values of both sides; the correlation is the count-weighted one."""
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), _q(f).cast("double").alias("x"),
+                                                  _q(target).cast("double").alias("y")) for f in features])))
+    xy = pairs.filter(F.col("x").isNotNull() & F.col("y").isNotNull()) \
+        .groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("c"))
+    sides = xy.select("feature", "c", F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("v"))
+                                                         for s in ("x", "y")])))
+    counts = sides.groupBy("feature", "side", "v").agg(F.sum("c").alias("c"))
+    ranks = running_total_before(counts, "v", "c", ["feature", "side"], buckets=256) \
+        .select("feature", "side", "v", (F.col("_before") + (F.col("c") + 1) / 2.0).alias("rank"))
+    n = xy.groupBy("feature").agg(((F.sum("c") + 1) / 2.0).alias("mid"))   # one row per feature
+    for s in ("x", "y"):
+        side = ranks.filter(F.col("side") == s).select("feature", F.col("v").alias(s), F.col("rank").alias(f"r{s}"))
+        xy = xy.join(side, ["feature", s])
+    xy = xy.join(F.broadcast(n), "feature")
+    dx, dy = F.col("rx") - F.col("mid"), F.col("ry") - F.col("mid")
+    sums = xy.groupBy("feature").agg(F.sum(F.col("c") * dx * dy).alias("xy"), F.sum(F.col("c") * dx * dx).alias("xx"),
+                                     F.sum(F.col("c") * dy * dy).alias("yy"))
+    got = sums.select("feature", F.try_divide("xy", F.nullif(F.sqrt("xx") * F.sqrt("yy"), F.lit(0.0))).alias("spearman"))
+    every = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return every.join(got, "feature", "left")
 
 
 # X4 / X5 / X6 / X7 / X9 ------------------------------------------------------

@@ -167,3 +167,62 @@ def test_binned_mutual_information_matches_numpy(spark):
             if pxy > 0:
                 mi += pxy * math.log(pxy / (np.mean(bx == a) * np.mean(by == b)))
     assert math.isclose(got, mi, rel_tol=1e-9)
+
+
+def test_transform_choice_by_folds_matches_least_squares(spark):
+    rng = np.random.default_rng(4)
+    n = 143
+    x = rng.normal(size=n).round(3)
+    y = (2 + x - 1.5 * x * x + rng.normal(scale=0.3, size=n)).round(3)
+    gone = set(range(5, n, 17))                                  # incomplete rows shift the folds
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=20 * i), None if i in gone else float(x[i]), float(y[i]), 7.0)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, x double, y double, flat double")
+    got = {(r.feature, r.transform): r for r in dg.cv_transform_choice(
+        dg.feature_blocks(df, ["x", "flat"], "y", ["ts", "id"], "ts")).collect()}
+    keep = [i for i in range(n) if i not in gone]
+    for name, cols in {"raw": lambda v: [v], "log": lambda v: [np.log1p(np.maximum(v, 0))], "poly": lambda v: [v, v * v]}.items():
+        v, t = x[keep], y[keep]
+        size = len(v) // 6
+        r2, mae, every, truth = [], [], [], []
+        for k in range(5):
+            a = len(v) - (5 - k) * size
+            A = np.column_stack([np.ones(len(v)), *cols(v)])
+            p = A[a:a + size] @ np.linalg.lstsq(A[:a], t[:a], rcond=None)[0]
+            e = t[a:a + size] - p
+            r2.append(1 - (e @ e) / ((t[a:a + size] - t[a:a + size].mean()) ** 2).sum())
+            mae.append(np.abs(e).mean())
+            every += list(p)
+            truth += list(t[a:a + size])
+        r = got["x", name]
+        assert np.allclose([r.r2, r.r2_std, r.mae, r.mae_std, r.oof_corr],
+                           [np.mean(r2), np.std(r2), np.mean(mae), np.std(mae), np.corrcoef(every, truth)[0, 1]], atol=1e-9)
+    assert got["x", "poly"].rank == 1 and got["flat", "raw"].rank == 1
+
+
+def test_transform_comparison_skips_log_of_negative_values(spark):
+    rng = np.random.default_rng(6)
+    x = rng.uniform(-3, 3, 400)
+    df = spark.createDataFrame([(float(v), float(v * v), abs(float(v)), float(i)) for i, v in enumerate(x)],
+                               "bend double, y double, size double, noise double")
+    got = {r.feature: r for r in dg.transform_comparison(df, ["bend", "size", "noise"], "y").collect()}
+    assert got["bend"].log_mi is None and got["bend"].log_abs_corr is None and got["size"].log_mi is not None
+    assert got["bend"].poly_abs_corr > 0.999 and got["bend"].best_transform == "poly"
+    few = df.limit(29)
+    assert dg.transform_comparison(few, ["bend"], "y").count() == 0
+
+
+def test_exact_percentiles_equal_numpy(spark):
+    from stationflow.operators.splits import exact_percentiles
+    rng = np.random.default_rng(8)
+    rows = [("hot", float(v)) for v in rng.normal(size=3000)] + [(None, float(v)) for v in rng.integers(0, 4, 50)] \
+        + [("one", 3.5), ("gone", None), ("hot", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r.k: r.percentiles for r in exact_percentiles(df, "v", probs, ["k"]).collect()}
+    assert set(got) == {"hot", None, "one"}
+    for k in got:
+        assert np.allclose(got[k], np.quantile([v for a, v in rows if a == k and v is not None], probs))
+    all_values = [v for _, v in rows if v is not None]
+    assert np.allclose(exact_percentiles(df, "v", probs).first()[0], np.quantile(all_values, probs))
+    assert exact_percentiles(df.limit(0), "v", probs).count() == 0

@@ -132,3 +132,37 @@ def test_estimated_stock_clip(spark):
     assert [x.stock_start for x in r] == [3, 1, -1, 4]
     assert [x.stock_start_clip for x in r] == [3, 1, 0, 3]
     assert all(0 <= x.stock_end_clip <= 3 for x in r)
+
+
+def test_hot_minute_need_and_visits_match_loops(spark):
+    rng = random.Random(21)
+    rows = [("A", T0 + dt.timedelta(seconds=rng.randint(0, 59)), rng.choice([-2, -1, 1])) for _ in range(400)] + \
+        [(rng.choice("AB"), T0 + dt.timedelta(seconds=rng.randint(0, 3 * 86400)), rng.choice([-1, 1])) for _ in range(600)]
+    df = spark.createDataFrame(rows, "station_id string, event_time timestamp_ntz, delta int")
+    cycles = {}
+    for s, t, d in sorted(rows):
+        c = t.replace(minute=0, second=0)
+        while c.hour not in (4, 16):
+            c -= dt.timedelta(hours=1)
+        cycles.setdefault((s, c), []).append((t, d))
+    needs = inv.cycle_need(df)
+    want = {}
+    for k, items in cycles.items():
+        run, low = 0, 0
+        for _, d in items:
+            run += d
+            low = min(low, run)
+        want[k] = (-low, run)
+    assert {(r.station_id, r.cycle_start): (r.need, r.net) for r in needs.collect()} == want
+
+    starts = inv.carried_refill(inv.full_cycle_grid(needs)).select("station_id", "cycle_start", "start")
+    share = {}
+    for r in starts.collect():
+        for h in range(12):
+            at = r.cycle_start + dt.timedelta(hours=h)
+            stock = r.start + sum(d for t, d in cycles.get((r.station_id, r.cycle_start), []) if t < at)
+            share.setdefault((r.station_id, at.hour), []).append(stock)
+    got = {(r.station_id, r.visit_hour): (round(r.available_share, 9), round(r.mean_stock, 9))
+           for r in inv.visit_availability(df, starts).collect()}
+    assert got == {k: (round(sum(x > 0 for x in v) / len(v), 9), round(sum(v) / len(v), 9)) for k, v in share.items()}
+    assert {h for _, h in got} == set(range(24))
