@@ -304,21 +304,33 @@ def cv_transform_choice(blocks: DataFrame, k: int = 5) -> DataFrame:
     sqq = m["uuuu"] - m["uu"] * m["uu"]
     suv, sqv = m["uv"] - m["u"] * m["v"], m["uuv"] - m["uu"] * m["v"]
     det = suu * sqq - suq * suq
-    poly = (F.col("transform") == "poly") & (det > 1e-9 * suu * sqq)   # two values of x: the line says it all
-    b1 = F.when(poly, (suv * sqq - sqv * suq) / det).when(suu > 0, suv / suu).otherwise(0.0)
+    varies = suu > 1e-12 * m["uu"]   # what rounding leaves of a constant x is no variance
+    # with two values of x the line says it all
+    poly = (F.col("transform") == "poly") & varies & (det > 1e-9 * suu * sqq)
+    b1 = F.when(poly, (suv * sqq - sqv * suq) / det).when(varies, suv / suu).otherwise(0.0)
     b2 = F.when(poly, (sqv * suu - suv * suq) / det).otherwise(0.0)
     t = t.withColumns({"b1": b1, "b2": b2}).withColumn("b0", m["v"] - F.col("b1") * m["u"] - F.col("b2") * m["uu"])
     fit = t.select(*keys, "block", "cx", "cy", "b0", "b1", "b2")   # k rows per feature and transform
     te = long.join(F.broadcast(fit), [*keys, "block"])
     pred = F.col("cy") + F.col("b0") + F.col("b1") * u + F.col("b2") * u * u
-    te = te.select(*keys, "block", "y", pred.alias("pred"))
+    te = te.select(*keys, "block", "y", "cy", pred.alias("pred"))
     e = F.col("y") - F.col("pred")
-    per = te.groupBy(*keys, "block").agg(F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse"),
-                                         (F.var_pop("y") * F.count(F.lit(1))).alias("sst"))
+    # one pass: a fold's errors, and its moments about the centre of y for the correlation of all folds
+    p, q = F.col("pred") - F.col("cy"), F.col("y") - F.col("cy")
+    per = te.groupBy(*keys, "block").agg(
+        F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse"), (F.var_pop("y") * F.count(F.lit(1))).alias("sst"),
+        F.count(F.lit(1)).alias("n"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.sum(p * p).alias("pp"),
+        F.sum(q * q).alias("qq"), F.sum(p * q).alias("pq"))
     per = per.withColumn("r2", F.when(F.col("sst") == 0, F.lit(0.0)).otherwise(1 - F.col("sse") / F.col("sst")))
-    g = per.groupBy(*keys).agg(F.avg("r2").alias("r2"), F.stddev_pop("r2").alias("r2_std"),
-                               F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("mae_std"))
-    g = g.join(te.groupBy(*keys).agg(safe_corr("pred", "y").alias("oof_corr")), keys)
+    all_n = F.sum("n")
+
+    def cov(ab, a, b):
+        return F.sum(ab) - F.sum(a) * F.sum(b) / all_n
+
+    vp, vq = cov("pp", "p", "p"), cov("qq", "q", "q")
+    oof = F.when((vp > 1e-12 * F.sum("pp")) & (vq > 1e-12 * F.sum("qq")), cov("pq", "p", "q") / F.sqrt(vp * vq))
+    g = per.groupBy(*keys).agg(F.avg("r2").alias("r2"), F.stddev_pop("r2").alias("r2_std"), F.avg("mae").alias("mae"),
+                               F.stddev_pop("mae").alias("mae_std"), oof.alias("oof_corr"))
     simp = F.create_map(*[x for kv in SIMPLICITY.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     w = Window.partitionBy("feature").orderBy(F.desc(F.round("r2", 4)), F.round("mae", 4),
                                               F.desc(F.round("oof_corr", 4)), simp[F.col("transform")])

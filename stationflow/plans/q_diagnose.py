@@ -13,6 +13,7 @@ from ..operators import diagnose as dg
 from ..operators import splits as sp
 from ..operators.windows import guarded
 from ..sources import adapter as ad
+from ..util import cut_lineage
 from .catalog import register
 from .q_flow import PANEL, hourly_flow_panel
 
@@ -250,7 +251,7 @@ SELECT feature, transform, round(r2, 6) AS r2, round(r2_std, 6) AS r2_std, round
 FROM m JOIN o USING (feature, transform)""", check="T")
 def x14(spark, sf_dir):
     blocks = dg.feature_blocks(feature_frame(spark, sf_dir), FEATURES, "y", ["ts", "station_id"], "ts")
-    c = dg.cv_transform_choice(blocks)
+    c = dg.cv_transform_choice(cut_lineage(blocks))   # read by three passes
     return c.select("feature", "transform", *[F.round(x, 6).alias(x) for x in ("r2", "r2_std", "mae", "mae_std", "oof_corr")], "rank")
 
 
