@@ -86,7 +86,7 @@ SPEAR = FEATURES
           + "\nSELECT feature, round(spearman, 6) AS spearman FROM ("
           + " UNION ALL ".join(f"SELECT * FROM s_{f}" for f in SPEAR) + ") u", check="T")
 def x03(spark, sf_dir):
-    s = dg.spearman(feature_frame(spark, sf_dir), SPEAR, "y")
+    s = dg.spearman(cut_lineage(feature_frame(spark, sf_dir)), SPEAR, "y")
     return s.select("feature", F.round("spearman", 6).alias("spearman"))
 
 
@@ -214,7 +214,8 @@ SELECT feature, round(raw_abs_corr, 6) AS raw_abs_corr, round(raw_mi, 6) AS raw_
        CASE WHEN s0 >= s1 AND s0 >= s2 THEN 'raw' WHEN s1 >= s2 THEN 'log' ELSE 'poly' END AS best_transform
 FROM sc""", check="T")
 def x13(spark, sf_dir):
-    c = dg.transform_comparison(feature_frame(spark, sf_dir), MI_FEATURES, "y", 10)
+    # counts and percentiles read the frame many times: it is written once
+    c = dg.transform_comparison(cut_lineage(feature_frame(spark, sf_dir)), MI_FEATURES, "y", 10)
     return c.select("feature", *[F.round(x, 6).alias(x) for x in c.columns if x.endswith(("_corr", "_mi"))], "best_transform")
 
 
