@@ -8,6 +8,10 @@ distribution surges where it comes out of zero and reaches ``SURGE`` characters
 maximum, on pages with less) and dives where it is back at zero; the lines between are kept.
 If the page marks its article (``article``, ``main``), lines outside of it have no weight.
 
+End tags that HTML lets a page omit are put where HTML puts them, so a dropped element without
+one ends at the start tag that closes it (the next paragraph, item, cell, the body) or at the
+end tag of an element around it.
+
 Pages are independent, so this is one map over the table. Each page is read whole.
 
 Defined results: a null or empty page, or one without text, gives an empty text; broken or
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -51,6 +56,16 @@ NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor spons
                   "disqus reply replies respond pagination pager copyright".split())
 PLACES = frozenset("site page main global top bottom left right primary secondary user reader cookie privacy social reading view "
                    "article post blog".split())
+# What ends an open paragraph, what a head may hold, and how far out an end is looked for.
+ENDS_P = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 "
+                   "h4 h5 h6 header hgroup hr li listing main menu nav ol p plaintext pre search section summary table ul xmp".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+SCOPE = ("html", "table", "td", "th", "caption", "object", "template", "applet", "marquee")
+ITEM_SCOPE = (*SCOPE, *(ENDS_P - {"address", "dd", "div", "dt", "hr", "li", "p"}), "body", "button", "select", "datalist", "tr", "tbody", "thead", "tfoot")
+TABLE_SCOPE = ("html", "table", "template")
+TABLE_PARTS = frozenset("caption colgroup tbody thead tfoot tr td th".split())
+_OWN_SLASH = re.compile(r"=\s*[^\s\"'][^\s]*/\Z")             # of an unquoted value: closes nothing
 _COMMENT = frozenset("comment comments disqus reply replies respond".split())
 
 
@@ -91,6 +106,92 @@ def _dropped(name: str, attrs: str, inside: bool) -> str | None:
     return None
 
 
+class _Open:
+    """The elements that are open, each a list of its name, outermost first. Elements whose end
+    tag is left out end where HTML ends them."""
+
+    def __init__(self):
+        self.stack: list = []
+        self.at = defaultdict(list)                           # places of each name
+        self.blocks: list[int] = []                           # places of elements that are not inline
+
+    def last(self, names) -> int:
+        return max((self.at[n][-1] for n in names if n in self.at and self.at[n]), default=-1)
+
+    def cut(self, place: int) -> None:
+        while len(self.stack) > place:
+            if (element := self.stack.pop()) is not None:
+                self.at[element[0]].pop()
+                if element[0] not in INLINE:
+                    self.blocks.pop()
+
+    def _end_last(self, names, scope) -> None:
+        place = self.last(names)
+        if place >= 0 and place > self.last([n for n in scope if n not in names]):
+            self.cut(place)
+
+    def on_top(self, name: str) -> bool:
+        return bool(self.stack) and self.stack[-1] is not None and self.stack[-1][0] == name
+
+    def before(self, name: str) -> None:
+        """End what a start tag ends."""
+        if self.on_top("head") and name not in IN_HEAD:
+            self.cut(len(self.stack) - 1)
+        if name in ENDS_P and self.at["p"]:
+            self._end_last(("p",), (*SCOPE, "button"))
+        if name == "li":
+            self._end_last(("li",), ITEM_SCOPE)
+        elif name in ("dd", "dt"):
+            self._end_last(("dd", "dt"), ITEM_SCOPE)
+        elif name in ("option", "optgroup"):
+            self._end_last(("option",), ITEM_SCOPE)
+            if name == "optgroup":
+                self._end_last(("optgroup",), ITEM_SCOPE)
+        elif name in ("tr", "td", "th"):
+            self._end_last(("caption", "colgroup"), TABLE_SCOPE)
+            self._end_last(("tr",) if name == "tr" else ("td", "th"), TABLE_SCOPE if name == "tr" else (*TABLE_SCOPE, "tr"))
+        elif name in TABLE_PARTS:
+            table = self.last(("table",))
+            if table > self.last(("template",)):
+                self.cut(table + 1)
+        elif name in HEADINGS and any(map(self.on_top, HEADINGS)):
+            self.cut(len(self.stack) - 1)
+        elif name == "button":
+            self._end_last(("button",), SCOPE)
+        elif name == "a":
+            self.end("a")
+
+    def start(self, name: str) -> list:
+        element = [name]
+        if not (name in ("html", "body", "form") and self.at[name]):   # a second one opens nothing
+            self.at[name].append(len(self.stack))
+            if name not in INLINE:
+                self.blocks.append(len(self.stack))
+            self.stack.append(element)
+        return element
+
+    def end(self, name: str) -> list | None:
+        """End what an end tag ends; the element it belongs to, if any is open."""
+        if name in ("body", "html") and self.on_top("head"):
+            self.cut(len(self.stack) - 1)
+        names = HEADINGS if name in HEADINGS else (name,)
+        place = self.last(names)
+        scope = TABLE_SCOPE if name in TABLE_PARTS or name == "table" else (*SCOPE, "button") if name == "p" else \
+            (*SCOPE, "ul", "ol") if name == "li" else () if name in ("html", "body") else SCOPE
+        if place < 0 or place < self.last([n for n in scope if n not in names]):
+            return None
+        element = self.stack[place]
+        if name in INLINE and self.blocks and self.blocks[-1] > place:  # ends, but not the blocks inside
+            self.at[name].pop()
+            self.stack[place] = None
+        else:
+            self.cut(place)
+        return element
+
+    def holds(self, element: list, place: int) -> bool:
+        return place < len(self.stack) and self.stack[place] is element
+
+
 def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
     """The page's lines of text, whether each lies in a marked article, and whether the page
     marks one. Dropped elements are empty lines."""
@@ -98,7 +199,8 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
     inside: list[bool] = []
     now: list[str] = []
     depth, marked = 0, False
-    skip, why, nested = None, None, 0
+    skip, why, place = None, None, 0
+    opened = _Open()
     at = 0
 
     def flush(also_empty=False):
@@ -110,6 +212,9 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
 
     while True:
         m = _TOKEN.search(page, at)
+        if opened.on_top("head") and page[at: m.start() if m else len(page)].strip():
+            opened.cut(len(opened.stack) - 1)                 # text is no part of a head
+            skip = None if skip is not None and not opened.holds(skip, place) else skip
         if skip is None:
             now.append(page[at: m.start() if m else len(page)])
         if not m:
@@ -122,7 +227,19 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
         if closes and name in ("script", "style"):
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
-        if skip is not None and not closes and name in ("article", "main") and why not in ("comment", "aside", "hidden") and name != skip \
+        alone = name in VOID or attrs.endswith("/") and not _OWN_SLASH.search(attrs)
+        element = None
+        if closes:
+            element = opened.end(name)
+        else:
+            opened.before(name)
+            if not alone and name not in RAW:
+                element = opened.start(name)
+        if skip is not None and not opened.holds(skip, place):
+            own, skip = element is skip, None                 # by its end tag, or by what ends it without one
+            if own:
+                continue
+        if skip is not None and not closes and name in ("article", "main") and why not in ("comment", "aside", "hidden") and name != skip[0] \
                 and not _dropped(name, attrs, False):
             skip = None                                       # an unclosed element ends where the article begins
         if name in RAW and not closes:
@@ -132,18 +249,15 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
                 flush()
             continue
         if skip is not None:
-            if name == skip:
-                nested += -1 if closes else 0 if attrs.endswith("/") else 1
-                if nested == 0:
-                    skip = None
             continue
         if closes and name in ("article", "main"):
             flush()
             depth = max(0, depth - 1)
-        elif not closes and name not in VOID and not attrs.endswith("/") and (reason := _dropped(name, attrs, depth > 0)):
+        elif not closes and not alone and (reason := _dropped(name, attrs, depth > 0)):
             flush()
             flush(also_empty=True)
-            skip, why, nested = name, reason, 1
+            if opened.stack and opened.stack[-1] is element:
+                skip, why, place = element, reason, len(opened.stack) - 1
         elif name not in INLINE:
             flush()
             if not closes and name in ("article", "main"):

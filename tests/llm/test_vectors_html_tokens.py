@@ -126,6 +126,33 @@ def test_main_text_of_small_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>A</p><p class="notice">N<p>B</p><p>C</p></article>', "A B C"),
+    ("<article><p>A<p class=notice>N<div>B</div><p>C</article>", "A B C"),
+    ("<article><p>A<p class=ad>N</article>", "A"), ("<article><div><p>A<p class=ad>N</div><p>B</article>", "A B"),
+    ("<article><p>A<p class=ad>N <b>b<hr>B</article>", "A B"), ("<article><p>A<p class=ad>N<p class=ad>M<p>B</article>", "A B"),
+    ("<article><ul><li>A<li class=promo>N<li>B</ul>C</article>", "A B C"), ("<article><ul><li class=ad>N<ul><li>M</ul><li>B</ul></article>", "B"),
+    ("<article><ul><li>A<li class=ad>N</ul>C</article>", "A C"), ("<article><ul><li>A<li class=ad><p>N</ul>C</article>", "A C"),
+    ("<article><dl><dt class=ad>N<dd>A<dd class=ad>M<dt>B</dl>C</article>", "A B C"),
+    ("<article>A<select><option>N<option>M</select>B</article>", "A B"), ("<article>A<datalist><option>N</datalist>B</article>", "A B"),
+    ("<article>A<option>N<option>M<p>B</article>C", "A"),
+    ("<article><table><tr><td>A<td class=ad>N<td>B<tr class=ad><td>M<tr><td>C</table>D</article>", "A B C D"),
+    ("<html><head><title>T</title><meta charset=utf-8><script>x</script><body><p>A<p>B</body></html>", "A B"),
+    ("<head><title>T</title><link rel=x><p>A</p>", "A"), ("<head><style>x</style>A <p>B", "A B"), ("<head><title>T</title></head>A", "A"),
+    ("<article><section><aside>N</section>B</article>", "B"), ("<article><div><nav><ul><li>N</div>B</article>", "B"),
+    ("<article><div class=ad><div>N</div></article>", ""), ("<div><span class=ad>N</div><p>B", "B"),
+    ("<article>A<div class=ad><p>N<div>M</p></div>O</div>B</article>", "A B"), ("<article>A<b class=ad>N<p>M</b>B</article>", "A B"),
+    ("<article><div>A<nav><a href=/x/>N</a><div title=/y/>M</div>O</nav>B</div></article>", "A B"),
+    ("<article><div><nav><table><tr><td>N</div>M</table></nav>B</div></article>", "B")])
+def test_main_text_after_an_omitted_end_tag(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_many_open_elements_take_linear_time():
+    page = "<p><table><tr><td>" + "<b><i class=x>" * 40000 + "<div></p></u>" * 40000 + "end"
+    assert html_text.main_text(page) == "end"
+
+
 def test_html_other_columns_and_long_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<article>" + f"<p>{LONG}</p>" * 3000, 5), (1, "u", None, 6)], "page_id long, url string, html string, n_chars int")
     got = html_text.extract(pages).collect()
