@@ -21,7 +21,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output.training_order(table(spark, sf_dir, "documents"))
+    return token_output.written_order(table(spark, sf_dir, "documents"))
 
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ Range partitions of the slots are written as shards of ``SHARD`` records of a fi
 that slot ``s`` starts at byte ``s % SHARD * stride`` of shard ``s // SHARD``: a reader goes on
 at any slot by one seek, and reads on sequentially.
 
+:func:`written_order` does all of it: it writes the shards and reads its rows back from them.
+
 Ids are computed once and kept in the shared folder (16 bits an id for vocabularies below
 65,536, else 32). Only one number per partition comes to the driver.
 
@@ -22,12 +24,14 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .bpe import byte_bpe
 from .common import mix64, prepare, stored
 
@@ -143,27 +147,98 @@ def training_order(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ke
     return ranges.repartition(min(parts, shards), "_range").sortWithinPartitions("slot").drop("_range")
 
 
+def _place(folder: str):
+    """The file system of a URI or path, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+
+
 def write_shards(ordered: DataFrame, folder: str, shard: int = SHARD, length: int = LENGTH) -> DataFrame:
-    """Write the records of :func:`training_order` as ``shard-<number>.bin`` below ``folder`` (a
-    URI or path that all executors reach) and return ``shard, n_records, n_bytes, crc32``. A
-    shard is written under another name and then renamed, so that a repeated task is harmless."""
+    """Write the records of :func:`training_order`, each range partition its own shards, as
+    ``shard-<number>.bin`` below ``folder`` (a URI or path that all executors reach) and return
+    ``shard, n_records, n_bytes, crc32`` and the ``doc_ids`` and ``n_ids`` of the records. A shard
+    is written under another name and then renamed, so that a repeated task is harmless."""
 
-    def write(key, table):
+    def write(batches):
         import pyarrow as pa
-        from pyarrow import fs
         from pyspark import TaskContext
 
-        table = table.sort_by("slot")
-        data = b"".join(table.column("record").to_pylist())
-        store, path = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        store, path = _place(folder)
         store.create_dir(path, recursive=True)
-        name = f"{path}/shard-{key[0].as_py():08d}.bin"
-        with store.open_output_stream(f"{name}.{TaskContext.get().taskAttemptId()}") as f:
-            f.write(data)
-        store.move(f"{name}.{TaskContext.get().taskAttemptId()}", name)
-        return pa.table({"shard": [key[0].as_py()], "n_records": [table.num_rows], "n_bytes": [len(data)], "crc32": [zlib.crc32(data)]})
+        attempt = TaskContext.get().taskAttemptId()
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        number, file, crc, size, doc_ids, n_ids = -1, None, 0, 0, [], []
+
+        def done():
+            file.close()
+            name = f"{path}/shard-{number:08d}.bin"
+            store.move(f"{name}.{attempt}", name)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((number, len(n_ids), size, crc, doc_ids, n_ids), kinds)],
+                                              names=["shard", "n_records", "n_bytes", "crc32", "doc_ids", "n_ids"])
 
-    return ordered.select("slot", "shard", "record").groupBy("shard").applyInArrow(write, "shard long, n_records long, n_bytes long, crc32 long")
+        for batch in batches:
+            slots, of = batch.column("slot").to_numpy(), batch.column("shard").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if of[a] != number:
+                    if file is not None:
+                        yield done()
+                    number, crc, size, doc_ids, n_ids = int(of[a]), 0, 0, [], []
+                    file = store.open_output_stream(f"{path}/shard-{number:08d}.bin.{attempt}")
+                if not np.array_equal(slots[a:b], number * shard + len(n_ids) + np.arange(b - a)):
+                    raise ValueError(f"shard {number} is not whole or not in slot order")
+                data = b"".join(batch.column("record").slice(a, b - a).to_pylist())
+                file.write(data)
+                crc, size = zlib.crc32(data, crc), size + len(data)
+                doc_ids += batch.column("doc_id").slice(a, b - a).to_pylist()
+                n_ids += batch.column("n_ids").slice(a, b - a).to_pylist()
+        if file is not None:
+            yield done()
+
+    return ordered.select("slot", "shard", "doc_id", "n_ids", "record") \
+        .mapInArrow(write, "shard long, n_records long, n_bytes long, crc32 long, doc_ids array<long>, n_ids array<int>")
+
+
+def written_order(docs: DataFrame, folder: str | None = None, length: int = LENGTH, shard: int = SHARD, key: int = KEY, end_id: int = END_ID,
+                  ranks_file: str | None = None) -> DataFrame:
+    """Write all shards below ``folder`` (by default a new one below ``spark.checkpoint.dir``) and
+    return the rows of :func:`training_order` as the files hold them."""
+    spark = prepare(docs.sparkSession)
+    folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-shards-{uuid.uuid4().hex}"
+    told = stored(write_shards(training_order(docs, length, shard, key, end_id, ranks_file), folder, shard, length), "token-shards-told")
+    size = 2 if end_id < 65536 else 4
+    stride = length * size
+
+    def read(batches):
+        import pyarrow as pa
+
+        store, path = _place(folder)
+        for batch in batches:
+            for number, n, crc, doc_ids, n_ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "n_records", "crc32", "doc_ids", "n_ids"))):
+                found = 0
+                with store.open_input_stream(f"{path}/shard-{number:08d}.bin") as f:
+                    for a in range(0, n, 512):
+                        b = min(n, a + 512)
+                        data = f.read((b - a) * stride)
+                        if len(data) != (b - a) * stride:
+                            raise ValueError(f"shard {number} is cut off")
+                        found = zlib.crc32(data, found)
+                        records = [data[i * stride: (i + 1) * stride] for i in range(b - a)]
+                        at = np.arange(a, b)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(number * shard + at), pa.array(np.full(b - a, number)), pa.array(at * stride), pa.array(doc_ids[a:b], pa.int64()),
+                             pa.array(n_ids[a:b], pa.int32()), pa.array([zlib.crc32(r[: m * size]) for r, m in zip(records, n_ids[a:b])], pa.int64()),
+                             pa.array(records, pa.binary())],
+                            names=["slot", "shard", "byte_offset", "doc_id", "n_ids", "ids_crc32", "record"])
+                    if f.read(1) or found != crc:
+                        raise ValueError(f"shard {number} does not hold what was written")
+
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), told.count()))
+    return told.repartitionByRange(parts, "shard").sortWithinPartitions("shard") \
+        .mapInArrow(read, "slot long, shard long, byte_offset long, doc_id long, n_ids int, ids_crc32 long, record binary")
 
 
 def read_records(folder: str, from_slot: int, count: int, shard: int = SHARD, length: int = LENGTH, dtype: str = "<u2"):

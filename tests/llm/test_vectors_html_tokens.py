@@ -1,6 +1,7 @@
 import html
 import itertools
 import math
+import pathlib
 import re
 import zlib
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from stationflow.llm import ann, grid_join, html_text, token_output, unigram
 from stationflow.llm.queries import op2_nearest_neighbours, op4_token_output, op5_html_text, op6_embedding_dedup, op7_sentencepiece
+from stationflow.session import ensure_checkpoint_dir
 
 VECTORS = "vec_id long, embedding array<float>, label int"
 
@@ -259,3 +261,28 @@ def test_token_output_edges(spark, sf_dir):
     assert sum(r.n_ids for r in rows) == 3 + 1 + len(token_output.byte_bpe().pack("b " * 3000)) // 4
     assert token_output.training_order(docs.limit(0)).count() == 0
     assert op4_token_output(spark, sf_dir).count() > 0
+
+
+def test_token_query_writes_its_shards(spark, sf_dir):
+    root = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(root.glob("token-shards-*/shard-*.bin"))
+    rows = sorted(op4_token_output(spark, sf_dir).collect(), key=lambda r: r.slot)
+    files = sorted(set(root.glob("token-shards-*/shard-*.bin")) - before)
+    assert [f.name for f in files] == [f"shard-{n:08d}.bin" for n in range(-(-len(rows) // token_output.SHARD))]
+    data = [f.read_bytes() for f in files]
+    assert sum(map(len, data)) == 2048 * len(rows)
+    assert all(data[r.shard][r.byte_offset: r.byte_offset + 2048] == r.record for r in rows)
+
+
+def test_written_rows_are_the_training_order(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = sorted(tuple(r) for r in token_output.training_order(docs, shard=16).collect())
+    got = token_output.written_order(docs, str(tmp_path), shard=16)
+    assert len(list(tmp_path.iterdir())) == -(-len(want) // 16)               # written before any row is asked for
+    assert sorted(tuple(r) for r in got.collect()) == want
+    (tmp_path / "shard-00000000.bin").write_bytes(b"x" * 16 * 2048)
+    with pytest.raises(Exception, match="does not hold what was written"):
+        got.collect()
+    wide = token_output.written_order(docs.limit(3), shard=2, end_id=70000).collect()
+    assert all(len(r.record) == 4096 and r.byte_offset == r.slot % 2 * 4096 for r in wide)
+    assert token_output.written_order(docs.limit(0)).count() == 0
