@@ -33,7 +33,7 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unigram.encode_documents(table(spark, sf_dir, "documents"), with_ids=False)
+    return unigram.encode_documents(table(spark, sf_dir, "documents"))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

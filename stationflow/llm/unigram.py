@@ -307,12 +307,11 @@ def codec(model_file: str | None = None) -> Codec:
     return _CODECS[path]
 
 
-def encode_documents(docs: DataFrame, model_file: str | None = None, with_ids: bool = True) -> DataFrame:
-    """One row per document: ``doc_id, ids`` (array, if asked for), ``n_ids, n_byte_ids,
-    ids_crc32`` and ``round_trip`` (the ids decode to the text)."""
+def encode_documents(docs: DataFrame, model_file: str | None = None) -> DataFrame:
+    """One row per document: ``doc_id, ids`` (array), ``n_ids, n_byte_ids, ids_crc32`` and ``round_trip`` (the ids decode to the text)."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast(codec(model_file))       # bounded by the model file
-    schema = "doc_id long, " + ("ids array<int>, " if with_ids else "") + "n_ids long, n_byte_ids long, ids_crc32 long, round_trip boolean"
+    schema = "doc_id long, ids array<int>, n_ids long, n_byte_ids long, ids_crc32 long, round_trip boolean"
 
     def run(batches):
         import pyarrow as pa
@@ -325,11 +324,11 @@ def encode_documents(docs: DataFrame, model_file: str | None = None, with_ids: b
             packed = c.encode(texts)
             ids = [np.frombuffer(p, "<u4") for p in packed]
             same = [c.decode(p) == t.replace(MARK, " ").encode("utf-8", "replace").decode() for p, t in zip(packed, texts)]
-            columns = {"doc_id": batch.column("doc_id")}
-            if with_ids:
-                columns["ids"] = pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))
-            columns |= {"n_ids": pa.array([len(i) for i in ids], pa.int64()), "n_byte_ids": pa.array([int(is_byte[i].sum()) for i in ids], pa.int64()),
-                        "ids_crc32": pa.array([zlib.crc32(p) for p in packed], pa.int64()), "round_trip": pa.array(same, pa.bool_())}
+            ends = np.cumsum([0, *map(len, ids)])
+            columns = {"doc_id": batch.column("doc_id"),
+                       "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"))),
+                       "n_ids": pa.array(np.diff(ends)), "n_byte_ids": pa.array([int(is_byte[i].sum()) for i in ids], pa.int64()),
+                       "ids_crc32": pa.array([zlib.crc32(p) for p in packed], pa.int64()), "round_trip": pa.array(same, pa.bool_())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -228,6 +228,15 @@ def test_sentencepiece_query_round_trips(spark, sf_dir):
     assert unigram.encode_documents(docs.limit(0)).count() == 0
 
 
+def test_sentencepiece_query_returns_the_ids(spark, sf_dir):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    codec = unigram.codec()
+    for r in op7_sentencepiece(spark, sf_dir).collect():
+        packed = np.array(r.ids, "<u4").tobytes()
+        assert len(r.ids) == r.n_ids and zlib.crc32(packed) == r.ids_crc32
+        assert codec.decode(packed) == texts[r.doc_id].replace(unigram.MARK, " ")
+
+
 # ---------------------------------------------------------------- training order
 
 @pytest.mark.parametrize("count", [1, 2, 3, 10, 1000, 4097])
