@@ -10,8 +10,9 @@ leaves visited hold ``RECALL`` of them. Within a leaf all distances are exact.
 Copies form one entry, with the ids that can matter (the ``k + 1`` smallest; they are cut per
 map task before the shuffle), and queries with the same vector are one search, so that a
 vector with a third of all rows costs no more than any other. Leaves above ``LEAF_ROWS``
-entries are searched in parts. A part answers with one row per search; the parts of a search
-are merged in one group of bounded size.
+entries are searched in parts, and the searches that visit a leaf are dealt into blocks of about
+``QUERY_BLOCK``; each part meets each block in a group of its own. A part answers with one row
+per search; the parts of a search are merged in one group.
 
 Defined results: vectors that are null, empty, zero, hold a null or a non-finite component,
 or have another length than most, take no part, neither as queries nor as candidates; ties go
@@ -33,6 +34,7 @@ from .grid_join import _matrix, usable
 
 BRANCHES = 8
 LEAF_ROWS = 256          # entries of a leaf aimed at, and of the parts of a larger one
+QUERY_BLOCK = 4096       # searches that a part of a leaf answers at once
 SAMPLE_ROWS = 8192
 SAMPLE_LEAF = 8          # sample vectors a leaf has at least: bounds the tree by the sample
 CALIBRATION = 64
@@ -205,26 +207,34 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, recall: float = REC
 
         for batch in batches:
             out = []
-            vectors = _matrix(batch.column("vector"))
-            for entry, q in zip(batch.column("entry").to_pylist(), vectors):
-                seen = held = 0
+            for q in _matrix(batch.column("vector")):
+                leaves, held = [], 0
                 for leaf in tree.visits(q):
                     if not size[leaf]:
                         continue
-                    out += [(entry, q, leaf, p) for p in range(parts[leaf])]
-                    seen, held = seen + 1, held + size[leaf]
-                    if seen >= wanted and held > k:                       # wide enough, and never fewer than asked for
+                    leaves.append(leaf)
+                    held += size[leaf]
+                    if len(leaves) >= wanted and held > k:                # wide enough, and never fewer than asked for
                         break
-            kinds = (pa.int64(), pa.list_(pa.float64()), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, kinds)],
-                                             names=["entry", "vector", "leaf", "part"])
+                out.append(leaves)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.int64()))], names=[*batch.schema.names, "leaves"])
 
     asked = queries.join(every.select("vector", "entry"), "vector").select(F.col("vec_id").alias("query_id"), "entry")
     asked = stored(asked.distinct(), "ann-queries")
-    bins = asked.select("entry").distinct().join(every.select("entry", "vector"), "entry") \
-        .mapInArrow(walk, "entry long, vector array<double>, leaf long, part long")
-    of = F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("leaf") + 1).cast("int")) if parts.max() > 1 else F.lit(1)
-    held = placed.withColumn("part", F.pmod(F.xxhash64("entry"), of).cast("long"))
+    walked = stored(asked.select("entry").distinct().join(every.select("entry", "vector"), "entry")
+                    .mapInArrow(walk, "entry long, vector array<double>, leaves array<long>"), "ann-visits")
+    visits = walked.select("entry", "vector", F.explode("leaves").alias("leaf"))
+    blocks = np.ones(tree.leaves, np.int64)
+    for r in visits.groupBy("leaf").count().collect():
+        blocks[r["leaf"]] = groups_for(r["count"], QUERY_BLOCK)
+
+    def of(numbers):                                                      # one number per leaf of the tree
+        return F.element_at(F.array(*[F.lit(int(n)) for n in numbers]), (F.col("leaf") + 1).cast("int")) if numbers.max() > 1 else F.lit(1)
+
+    bins = visits.withColumn("block", F.pmod(F.xxhash64("entry", F.lit(3)), of(blocks)).cast("long")) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), of(parts) - 1))).withColumn("part", F.col("part").cast("long"))
+    held = placed.withColumn("part", F.pmod(F.xxhash64("entry"), of(parts)).cast("long")) \
+        .withColumn("block", F.explode(F.sequence(F.lit(0), of(blocks) - 1))).withColumn("block", F.col("block").cast("long"))
 
     def compare(key, found, asked):
         import pyarrow as pa
@@ -248,7 +258,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 10, recall: float = REC
         return pa.table({"entry": pa.array([key[0].as_py()], pa.int64()), "ids": pa.array([ids[order]], pa.list_(pa.int64())),
                          "far": pa.array([far[order]], pa.list_(pa.float64()))})
 
-    found = held.groupBy("leaf", "part").cogroup(bins.groupBy("leaf", "part")).applyInArrow(compare, "entry long, ids binary, far binary") \
+    found = held.groupBy("leaf", "part", "block").cogroup(bins.groupBy("leaf", "part", "block")).applyInArrow(compare, "entry long, ids binary, far binary") \
         .groupBy("entry").applyInArrow(merge, "entry long, ids array<long>, far array<double>")
     other = F.filter(F.arrays_zip("ids", "far"), lambda x: x["ids"] != F.col("query_id"))
     return asked.join(found, "entry").select("query_id", F.posexplode(F.slice(other, 1, k)).alias("pos", "x")) \

@@ -101,6 +101,22 @@ def test_ann_copies_ties_and_unusable_vectors(spark):
     assert ann.search_embeddings(df.limit(0)).count() == 0
 
 
+def test_ann_searches_of_a_leaf_come_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), 0) for i in range(1500)], VECTORS)
+    want = sorted(tuple(r) for r in ann.search(df, df, k=3).collect())
+    nearest = ann.nearest_in
+
+    def bounded(queries, x, k):
+        if len(queries) > 200:
+            raise ValueError(f"{len(queries)} searches in one group")
+        return nearest(queries, x, k)
+
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 100, raising=False)
+    monkeypatch.setattr(ann, "nearest_in", bounded)
+    assert sorted(tuple(r) for r in ann.search(df, df, k=3).collect()) == want and len(want) == 4500
+
+
 # ---------------------------------------------------------------- main text
 
 def test_html_query_keeps_the_articles(spark, sf_dir):
