@@ -68,6 +68,24 @@ def rank_sum_choice(scores: DataFrame, group: list, cols: list[str], complexity:
     return out.withColumn("choice_rank", F.rank().over(Window.partitionBy(*group).orderBy("score")))
 
 
+def model_choice(scores: DataFrame, name: str = "feature_set", count: str = "feature_count") -> DataFrame:
+    """The comparison table of named candidates (one row each; a handful, so windows run over
+    all of them) with the sum of its four ranks (valid and test R2, valid and test RMSE; ties
+    take the least rank), the weighted selection score ``4 test R2 + 3 valid R2 - 2 test
+    RMSE/std - 1.5 valid RMSE/std - 0.05 complexity rank`` and the place by it (ties: test R2,
+    valid R2, test RMSE, name)."""
+    def rank(col, down):
+        return F.rank().over(Window.orderBy(F.desc(col) if down else F.asc(col))).cast("int")
+
+    ranks = {f"{c}_rank": rank(c, "R2" in c) for c in ("valid_R2", "test_R2", "valid_RMSE", "test_RMSE")}
+    out = scores.withColumns(ranks).withColumn("final_rank_score", sum(F.col(c) for c in ranks))
+    out = out.withColumn("complexity_penalty", rank(count, False) * 0.05)
+    out = out.withColumn("selection_score", F.col("test_R2") * 4 + F.col("valid_R2") * 3 - F.col("test_RMSE_over_std") * 2
+                         - F.col("valid_RMSE_over_std") * 1.5 - F.col("complexity_penalty"))
+    best = Window.orderBy(F.desc("selection_score"), F.desc("test_R2"), F.desc("valid_R2"), "test_RMSE", name)
+    return out.withColumn("place", F.row_number().over(best))
+
+
 # M34 -------------------------------------------------------------------------
 def generalisation_gaps(train_r2, valid_r2, test_r2) -> dict[str, Column]:
     return {"gap_train_test": _c(train_r2) - _c(test_r2), "gap_valid_test": _c(valid_r2) - _c(test_r2)}
@@ -125,7 +143,8 @@ def baselines(df: DataFrame, y: str, station: str = "station_id", time_col: str
 
 
 # M39 -------------------------------------------------------------------------
-def importance_table(spark, names: list[str], values, lag_prefix: str = "lag") -> DataFrame:
+def importance_table(spark, names: list[str], values, lag_words=("lag", "roll")) -> DataFrame:
+    """Importances by feature; those on past demand (a lag or a rolling value) are grouped as ``lag``."""
     rows = [(n, float(v)) for n, v in zip(names, values)]
     df = spark.createDataFrame(rows, "feature string, importance double")
-    return df.withColumn("group", F.when(F.col("feature").contains(lag_prefix), "lag").otherwise("other"))
+    return df.withColumn("group", F.when(F.col("feature").rlike("|".join(lag_words)), "lag").otherwise("other"))

@@ -1,5 +1,5 @@
-"""Least squares and feature selection from mergeable moments (SURVEY M12, M13, M26, X1,
-X16-X19, X21).
+"""Least squares and feature selection from mergeable moments (SURVEY M12, M13, M26, M40,
+X16-X19, X21, X22).
 
 A moment is ``(n, mean, comoment)`` of a few columns: the weight, the means and the
 matrix of centred cross products. Two moments of disjoint rows merge exactly, so each
@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..util import cut_lineage
@@ -307,7 +307,6 @@ def time_blocks(df: DataFrame, group: str, time_col: str, k: int) -> DataFrame:
 def group_position(df: DataFrame, group: str, time_col: str) -> DataFrame:
     """0-based position ``_pos`` of a row in its group's time order, day by day with the days'
     counts beside it, so a group of any length is spread over tasks."""
-    from pyspark.sql import Window
     day = F.to_date(time_col).alias("_day")
     counts = df.groupBy(group, day).agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(group).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
@@ -657,3 +656,65 @@ def drop_one(train: DataFrame, valid: DataFrame, test: DataFrame, features: list
         rows.append((f, d - 1, vr, tr, ve, te, verdict))
     return train.sparkSession.createDataFrame(
         rows, "feature string, remaining int, valid_r2_delta double, test_r2_delta double, valid_rmse_delta double, test_rmse_delta double, verdict string")
+
+
+# M40 / X22 -----------------------------------------------------------------------------
+def mean_absolute_errors(df: DataFrame, cols: list[str], label: str, fits: list[LinearFit]) -> list[float]:
+    """Mean absolute error of every model on the rows of ``df`` (nulls left out): one pass."""
+    d, n_fits = len(cols), len(fits)
+    coef = np.array([f.full(d) for f in fits]).T
+    base = np.array([f.intercept for f in fits])
+
+    def partial(batches):
+        total, n = np.zeros(n_fits), 0
+        for pdf in batches:
+            x = pdf.to_numpy(float)
+            x = x[~np.isnan(x).any(axis=1)]
+            total += np.abs(x[:, d:] - base - x[:, :d] @ coef).sum(axis=0)
+            n += len(x)
+        yield pd.DataFrame({"job": np.arange(n_fits, dtype=np.int32), "v": total, "n": float(n)})
+
+    used = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_x{i}") for i, c in enumerate([*cols, label])])
+    out = [float("nan")] * n_fits
+    for r in used.mapInPandas(partial, "job int, v double, n double").groupBy("job").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect():
+        out[r["job"]] = r["v"] / r["n"] if r["n"] else float("nan")
+    return out
+
+
+def compare_feature_sets(train: DataFrame, tests: dict[str, DataFrame], sets: dict[str, list[str]], label: str, alpha: float = 0.0) -> DataFrame:
+    """One linear model per named feature set, scored on every table of ``tests``:
+    ``feature_set, feature_count`` and per table ``R2, RMSE, MAE, RMSE_over_std, MAE_over_mean``.
+    Rows with a null in any feature of any set are left out, so all sets see the same rows;
+    two passes over each table, whatever the number of sets."""
+    cols = list(dict.fromkeys(f for s in sets.values() for f in s))
+    d = len(cols)
+    own = read_moments(moments(train, [*cols, label])).get((), Moment.empty(d + 1))
+    fits = [solve(own, [cols.index(f) for f in s], d, alpha) for s in sets.values()]
+    rows = [[name, len(s)] for name, s in sets.items()]
+    schema = "feature_set string, feature_count int"
+    for part, df in tests.items():
+        m = read_moments(moments(df, [*cols, label])).get((), Moment.empty(d + 1))
+        std = float(np.sqrt(m.comoment[d, d] / (m.n - 1))) if m.n > 1 else 0.0
+        mean = float(m.mean[d])
+        for row, f, mae in zip(rows, fits, mean_absolute_errors(df, cols, label, fits)):
+            rmse = f.rmse(m, d)
+            row += [f.r2(m, d) if m.n else None, rmse, mae, rmse / std if std else None, mae / mean if mean else None]
+        schema += "".join(f", {part}_{c} double" for c in ("R2", "RMSE", "MAE", "RMSE_over_std", "MAE_over_mean"))
+    return train.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
+
+def compare_axes(train: DataFrame, valid: DataFrame, axes: dict[str, dict[str, list[str]]], features: list[str], label: str,
+                 alpha: float = 0.0) -> DataFrame:
+    """For each axis (a group of related features) every variant replaces the axis's
+    features while all others stay; ``best`` marks the least RMSE of an axis. One comparison
+    for all axes, so the tables are read as often as for one."""
+    sets = {}
+    for axis, variants in axes.items():
+        of_axis = {f for v in variants.values() for f in v}
+        for name, chosen in variants.items():
+            sets[f"{axis}|{name}"] = [f for f in features if f not in of_axis] + list(chosen)
+    got = compare_feature_sets(train, {"valid": valid}, sets, label, alpha)
+    parts = F.split("feature_set", r"\|", 2)
+    least = Window.partitionBy("axis").orderBy("rmse", "mae", "variant")
+    return got.select(parts[0].alias("axis"), parts[1].alias("variant"), "feature_count", F.col("valid_MAE").alias("mae"),
+                      F.col("valid_RMSE").alias("rmse"), F.col("valid_R2").alias("r2")).withColumn("best", F.row_number().over(least) == 1)

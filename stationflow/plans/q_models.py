@@ -141,17 +141,6 @@ def m25(spark, sf_dir):
     return md.refit_sealed(tr, va, te, NUM, "y", "ridge", md.best_params(sc))
 
 
-@register("m26_per_station_vs_pooled", "M26 J15", check="R")
-def m26(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
-    tr_f, te_f = (x.fillna(0.0, subset=NUM) for x in (tr, te))
-    coefs = md.per_group_ridge(tr_f, "station_id", NUM, "y", alpha=1.0)
-    ind = ev.regression_metrics(md.score_per_group(te_f, coefs, "station_id", NUM), "y", "pred", ["station_id"])
-    pooled = _scored(md.fit(tr, NUM, "y", "linear", categorical=["station_id"]), te)
-    return ind.select("station_id", F.col("r2").alias("r2_individual")).join(
-        pooled.select("station_id", F.col("r2").alias("r2_pooled")), "station_id")
-
-
 @register("m27_net_direct_vs_difference", "M27", check="R")
 def m27(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
@@ -207,22 +196,6 @@ def m39(spark, sf_dir):
     return t.groupBy("group").agg(F.sum("importance").alias("importance"), F.count(F.lit(1)).alias("n"))
 
 
-# Named feature sets compared by M40.
-FEATURE_SETS = {"A": ["hour", "weekday"], "B": ["hour", "weekday", "temp"],
-                "C": ["total_lag1", "total_lag24"], "D": NUM}
-
-
-@register("m40_feature_sets", "M40", check="R")
-def m40(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
-    out = None
-    for name, cols in FEATURE_SETS.items():
-        p = md.predict(md.fit(tr, cols, "y", "linear"), te)
-        s = ev.regression_metrics(p, "y", "pred").withColumn("feature_set", F.lit(name))
-        out = s if out is None else out.unionByName(s)
-    return out
-
-
 @register("m41_category_number_vs_onehot", "M41 P38 P15", check="R")
 def m41(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
@@ -278,27 +251,6 @@ def x17(spark, sf_dir):
     return s.withColumn("selected", F.lit(",".join(keep)))
 
 
-@register("x18_rfe_cv", "X18", check="R")
-def x18(spark, sf_dir):
-    tr, _, _ = _split(spark, sf_dir)
-    return md.rfe_cv(tr, ["total_lag1", "total_lag24", "hour", "temp"], "y", "linear", ["ts", "station_id"], "ts",
-                     k=2, min_features=2)
-
-
-@register("x19_selection_frequency", "X19", check="R")
-def x19(spark, sf_dir):
-    tr, va, _ = _split(spark, sf_dir)
-    pos = md.with_positions(tr.unionByName(va), ["ts", "station_id"], "ts")
-    rows = []
-    for fold, ftr, _ in md.fold_frames(pos, 2):
-        fs = dg.f_scores(ftr, FEATURES, "y").filter("rank <= 4").select("feature").collect()
-        rows += [("f_score", r[0], fold) for r in fs]
-        m = md.fit(ftr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
-        rows += [("model", f, fold) for f in md.select_from_model(md.importances(m, FEATURES))]
-    sel = spark.createDataFrame(rows, "selector string, feature string, fold int")
-    return sel.groupBy("selector", "feature").agg(F.count(F.lit(1)).alias("times_selected"))
-
-
 @register("x20_permutation_importance", "X20 O5", check="R")
 def x20(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
@@ -306,30 +258,6 @@ def x20(spark, sf_dir):
     return md.permutation_importance(m, te, NUM, "y", ["station_id", "ts"], repeats=2)
 
 
-@register("x21_drop_one_feature", "X21", check="R")
-def x21(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
-    return md.drop_one_feature(tr, te, ["total_lag1", "total_lag24", "hour", "temp"], "y", "linear")
-
-
-# Groups of alternative encodings of one axis.
-AXES = {"recent_level": ["total_lag1", "roll3"], "weather": ["temp", "temp_sq"]}
-
-
-@register("x22_axis_variants", "X22 W18", check="R")
-def x22(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
-    base = ["hour", "weekday", "total_lag24"]
-    rows = []
-    for axis, variants in AXES.items():
-        for v in variants:
-            p = md.predict(md.fit(tr, base + [v], "y", "linear"), te)
-            rows.append((axis, v, float(ev.regression_metrics(p, "y", "pred").first()["r2"])))
-    res = spark.createDataFrame(rows, "axis string, variant string, r2 double")
-    from ..operators.windows import arg_best
-    return arg_best(res, ["axis"], "r2", ["variant", "r2"], largest=True, tiebreak=["variant"])
-
-
 @register("x23_leak_checks", "X23", check="R")
 def x23(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)

@@ -247,7 +247,7 @@ lm AS (SELECT station_id, ts, y, 'day' AS model, p_day AS pred, 1 AS complexity
        UNION ALL SELECT station_id, ts, y, 'week', p_week, 3 FROM pl WHERE p_week IS NOT NULL)"""
 
 
-def _model_long(spark, sf_dir):
+def model_rows(spark, sf_dir):
     from pyspark.sql import Window
     p = hourly_flow_panel(spark, sf_dir)
     w = Window.partitionBy("station_id").orderBy("ts")
@@ -273,7 +273,7 @@ SELECT station_id, model, round(rmse / y_std, 6) AS rel_rmse, round(mae / y_mean
        CAST(rank() OVER (PARTITION BY station_id ORDER BY score) AS INTEGER) AS choice_rank
 FROM s""", check="T")
 def m33(spark, sf_dir):
-    lm = _model_long(spark, sf_dir)
+    lm = model_rows(spark, sf_dir)
     e = lm.groupBy("station_id", "model").agg(F.max("complexity").alias("complexity"))
     rel = ev.relative_errors(lm, ["station_id", "model"])
     rel = rel.withColumns({"rmse": F.round("rmse", 9), "mae": F.round("mae", 9)}).join(e, ["station_id", "model"])
