@@ -37,6 +37,6 @@ def register(name: str, ids, sql: str | None = None, check: str = "E"):
 
 
 def load_all() -> dict[str, Query]:
-    from . import (q_cleanse, q_cycles, q_diagnose, q_entries, q_flow, q_geo,  # noqa: F401
+    from . import (q_cleanse, q_cycles, q_diagnose, q_entries, q_flow, q_geo, q_live,  # noqa: F401
                    q_inventory, q_models, q_moments, q_panel, q_profiles, q_sources, q_splits, q_timeparts, q_windows)
     return REGISTRY

@@ -37,9 +37,9 @@ def _parts(spark, sf_dir):
         ff.filter(F.col("ts") >= _at(VALID_END))
 
 
-def normal_equations_sql(rows: str, features: list[str], label: str, alpha: float, key: str = "0") -> str:
-    """CTEs ``rows_, stats, elim, coefs(k_, n, intercept, w)`` over the CTE ``rows``: standardised
-    ridge (or least squares) per ``key``, solved by Gauss-Jordan elimination."""
+def normal_equations_sql(rows: str, features: list[str], label: str, alpha: float, key: str = "0", tag: str = "") -> str:
+    """CTEs ``rows_<tag>, stats.., gram.., elim.., coefs..(k_, n, intercept, w)`` over the CTE ``rows``:
+    standardised ridge (or least squares) per ``key``, solved by Gauss-Jordan elimination."""
     d = len(features)
     complete = " AND ".join(f"{c} IS NOT NULL" for c in [*features, label])
     z = [f"(r.f{i} - s.m{i}) / s.s{i}" for i in range(d)]
@@ -47,17 +47,17 @@ def normal_equations_sql(rows: str, features: list[str], label: str, alpha: floa
                       for i, a in enumerate(z))
     stats = ", ".join(f"avg(f{i}) AS m{i}, CASE WHEN stddev_pop(f{i}) > 0 THEN stddev_pop(f{i}) ELSE 1.0 END AS s{i}" for i in range(d))
     return f"""
-rows_ AS (SELECT {key} AS k_, {", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(features))}, CAST({label} AS DOUBLE) AS y_
+rows_{tag} AS (SELECT {key} AS k_, {", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(features))}, CAST({label} AS DOUBLE) AS y_
           FROM {rows} WHERE {complete}),
-stats AS (SELECT k_, count(*) AS n, avg(y_) AS my, {stats} FROM rows_ GROUP BY k_),
-gram AS (SELECT r.k_, [{cells}] AS m FROM rows_ r JOIN stats s ON r.k_ = s.k_ GROUP BY r.k_),
-elim AS (SELECT k_, 1 AS i, m FROM gram
+stats{tag} AS (SELECT k_, count(*) AS n, avg(y_) AS my, {stats} FROM rows_{tag} GROUP BY k_),
+gram{tag} AS (SELECT r.k_, [{cells}] AS m FROM rows_{tag} r JOIN stats{tag} s ON r.k_ = s.k_ GROUP BY r.k_),
+elim{tag} AS (SELECT k_, 1 AS i, m FROM gram{tag}
          UNION ALL
          SELECT k_, i + 1, list_transform(m, lambda r, p: CASE WHEN p = i THEN list_transform(r, lambda v: v / r[i])
-                ELSE list_transform(r, lambda v, j: v - r[i] * m[i][j] / m[i][i]) END) FROM elim WHERE i <= {d}),
-coefs AS (SELECT s.k_, s.n, [{", ".join(f"m[{i + 1}][{d + 1}] / s.s{i}" for i in range(d))}] AS w,
+                ELSE list_transform(r, lambda v, j: v - r[i] * m[i][j] / m[i][i]) END) FROM elim{tag} WHERE i <= {d}),
+coefs{tag} AS (SELECT s.k_, s.n, [{", ".join(f"m[{i + 1}][{d + 1}] / s.s{i}" for i in range(d))}] AS w,
                  s.my - ({" + ".join(f"m[{i + 1}][{d + 1}] / s.s{i} * s.m{i}" for i in range(d))}) AS intercept
-          FROM elim JOIN stats s ON elim.k_ = s.k_ WHERE i = {d + 1})"""
+          FROM elim{tag} e JOIN stats{tag} s ON e.k_ = s.k_ WHERE i = {d + 1})"""
 
 
 def _coef_sql(features, alpha, key="0", extra=""):
