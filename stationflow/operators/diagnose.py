@@ -1,7 +1,7 @@
 """Feature diagnostics.
 
-All statistics are aggregations: a correlation matrix is one ``agg`` with one
-``corr`` per pair; per-feature statistics are one ``agg`` returning an array of
+All statistics are aggregations: a correlation matrix is one merge of partial pair
+moments; per-feature statistics are one ``agg`` returning an array of
 structs; rank statistics work on counts per distinct value. Long form
 ``(feature, x, y)`` lets one ``groupBy(feature)`` handle every feature at once.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr
 from ..functions.timeparts import trunc
+from .moments import pair_correlations
 from .splits import exact_percentiles, running_total_before
 
 
@@ -23,35 +24,6 @@ def _q(c: str) -> Column:
 
 
 # X1 / X2 ---------------------------------------------------------------------
-def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], names=("variable_1", "variable_2")) -> DataFrame:
-    """Pearson correlation of many column pairs on pairwise-complete rows, in long
-    form ``(name1, name2, correlation, n)``.
-
-    Each row is expanded to one small record per pair inside the map stage and the
-    six centred sums are combined per pair with partial aggregation, so the work is
-    linear in rows x pairs, the shuffle holds one row per (task, pair), and the
-    generated code stays small however many features there are. Columns are
-    centred on their overall means (one scalar pass) to keep the sums stable. A
-    pair with zero variance gets null (pandas NaN)."""
-    cols = sorted({c for p in pairs for c in p})
-    means = df.agg(*[F.avg(_q(c)).alias(c) for c in cols]).first().asDict()
-    n1, n2 = names
-    recs = F.array(*[F.struct(F.lit(a).alias(n1), F.lit(b).alias(n2),
-                              (_q(a).cast("double") - F.lit(means[a] or 0.0)).alias("x"),
-                              (_q(b).cast("double") - F.lit(means[b] or 0.0)).alias("y")) for a, b in pairs])
-    long = df.select(F.inline(recs)).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    g = long.groupBy(n1, n2).agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                                 F.sum(F.col("x") * F.col("x")).alias("sxx"),
-                                 F.sum(F.col("y") * F.col("y")).alias("syy"),
-                                 F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    vx = n * F.col("sxx") - sx * sx
-    vy = n * F.col("syy") - sy * sy
-    den = F.sqrt(F.greatest(vx, F.lit(0.0)) * F.greatest(vy, F.lit(0.0)))
-    r = F.when(den > 0, (n * F.col("sxy") - sx * sy) / den)
-    return g.select(n1, n2, F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)).alias("correlation"), "n")
-
-
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Upper-triangle Pearson pairs ``(variable_1, variable_2, correlation, abs_correlation)``."""
     out = pair_correlations(df, list(itertools.combinations(cols, 2))).drop("n")

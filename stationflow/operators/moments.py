@@ -718,3 +718,86 @@ def compare_axes(train: DataFrame, valid: DataFrame, axes: dict[str, dict[str, l
     least = Window.partitionBy("axis").orderBy("rmse", "mae", "variant")
     return got.select(parts[0].alias("axis"), parts[1].alias("variant"), "feature_count", F.col("valid_MAE").alias("mae"),
                       F.col("valid_RMSE").alias("rmse"), F.col("valid_R2").alias("r2")).withColumn("best", F.row_number().over(least) == 1)
+
+
+# X1 / X2 / X10 / X12 / X16 ---------------------------------------------------------------
+@dataclass
+class PairMoments:
+    """Moments of every pair of columns over the rows that have both: at [i, j] the number
+    of rows, the mean and the centred square sum of column i, and the cross product."""
+
+    n: np.ndarray
+    mean: np.ndarray
+    square: np.ndarray
+    cross: np.ndarray
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> PairMoments:
+        """``x`` with NaN where a value is missing."""
+        has = ~np.isnan(x)
+        some = has.any(axis=0)
+        shift = np.where(some, np.nansum(np.where(has, x, 0.0), axis=0) / np.maximum(has.sum(axis=0), 1), 0.0)
+        z, p = np.where(has, x - shift, 0.0), has.astype(float)
+        n, s = p.T @ p, z.T @ p
+        m = np.divide(s, n, out=np.zeros_like(s), where=n > 0)
+        return cls(n, np.where(n > 0, m + shift[:, None], 0.0), (z * z).T @ p - s * m, z.T @ z - s * m.T)
+
+    @classmethod
+    def read(cls, cells, d: int) -> PairMoments:
+        return cls(*np.asarray(cells, float).reshape(4, d, d))
+
+    def cells(self) -> list[float]:
+        return np.stack([self.n, self.mean, self.square, self.cross]).ravel().tolist()
+
+    def merge(self, other: PairMoments) -> PairMoments:
+        n = self.n + other.n
+        share = np.divide(other.n, n, out=np.zeros_like(n), where=n > 0)
+        gap = np.where((self.n > 0) & (other.n > 0), other.mean - self.mean, 0.0)
+        both = self.n * share
+        mean = np.where(self.n > 0, self.mean + gap * share, other.mean)
+        return PairMoments(n, mean, self.square + other.square + gap * gap * both, self.cross + other.cross + gap * gap.T * both)
+
+    def correlation(self) -> np.ndarray:
+        """Pearson's r; NaN where a column has no variance on the pair's rows."""
+        flat = self.square <= self.n * (1e-13 * np.abs(self.mean)) ** 2
+        s = np.sqrt(np.where(flat, 0.0, self.square))
+        den = s * s.T
+        return np.where(den > 0, np.clip(np.divide(self.cross, den, out=np.zeros_like(den), where=den > 0), -1, 1), np.nan)
+
+
+def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], names=("variable_1", "variable_2")) -> DataFrame:
+    """Pearson correlation of column pairs on the rows that have both: ``(name1, name2,
+    correlation, n)``. A partition's rows become one matrix of pair moments, so the work is a
+    few matrix products, the rows are read once and what is shuffled depends on the number of
+    columns alone. Null where a column has no variance; NaN counts as missing."""
+    cols = list(dict.fromkeys(c for p in pairs for c in p))
+    d = len(cols)
+    used = df.select(*[F.col(f"`{c}`").cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
+
+    def partial(batches):
+        own = PairMoments.of(np.empty((0, d)))
+        for pdf in batches:
+            own = own.merge(PairMoments.of(pdf.to_numpy(float)))
+        yield pd.DataFrame({"cells": [own.cells()]})
+
+    def merge_some(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        own = PairMoments.of(np.empty((0, d)))
+        for cells in pdf["cells"]:
+            own = own.merge(PairMoments.read(cells, d))
+        return pd.DataFrame({"cells": [own.cells()]})
+
+    def to_pairs(batches):
+        for pdf in batches:
+            for cells in pdf["cells"]:
+                own = PairMoments.read(cells, d)
+                r = own.correlation()
+                at = [(cols.index(a), cols.index(b)) for a, b in pairs]
+                yield pd.DataFrame({names[0]: [a for a, _ in pairs], names[1]: [b for _, b in pairs],
+                                    "correlation": pd.array([r[i, j] for i, j in at], "Float64"), "n": [int(own.n[i, j]) for i, j in at]})
+
+    some = used.mapInPandas(partial, "cells array<double>").groupBy((F.spark_partition_id() % MERGE_FAN).alias("_part")) \
+        .applyInPandas(merge_some, "cells array<double>")
+    none = df.sparkSession.createDataFrame([(PairMoments.of(np.empty((0, d))).cells(),)], "cells array<double>")   # so that no rows give a row a pair
+    whole = some.unionByName(none).groupBy(F.lit(0).alias("_all")).applyInPandas(merge_some, "cells array<double>")      # MERGE_FAN small matrices
+    found = whole.mapInPandas(to_pairs, f"`{names[0]}` string, `{names[1]}` string, correlation double, n long")
+    return found.withColumn("correlation", F.when(~F.isnan("correlation"), F.col("correlation")))

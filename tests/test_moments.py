@@ -186,3 +186,23 @@ def test_drop_one_verdicts(spark):
     e = y[700:] - x[700:][:, cols] @ w - w0
     assert np.isclose(got["f0"].test_rmse_delta, np.sqrt((e * e).mean()) - np.sqrt((base * base).mean()))
     assert got["f0"].verdict == "keep" and got["f2"].verdict in ("remove", "consider")
+
+
+def test_pair_correlations_on_pairwise_complete_rows(spark):
+    import pandas as pd
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (300, 4)) + [1e6, 0, -5, 0]
+    x[:, 1] += 0.5 * (x[:, 0] - 1e6)
+    x[:, 3] = 7.1
+    x[rng.random((300, 4)) < 0.2] = np.nan
+    x[:290, 2][::2] = np.nan
+    pdf = pd.DataFrame(x, columns=list("abcd"))
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x] + [(None,) * 4]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").withColumn("e", F.lit(None).cast("int")).repartition(6)
+    pairs = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "d"), ("a", "e")]
+    got = {(r.variable_1, r.variable_2): r for r in mo.pair_correlations(df, pairs).collect()}
+    for a, b in pairs[:3]:
+        assert np.isclose(got[a, b].correlation, pdf[a].corr(pdf[b])) and got[a, b].n == pdf[[a, b]].notna().all(axis=1).sum()
+    assert got["a", "d"].correlation is None and got["a", "d"].n > 100
+    assert got["a", "e"].correlation is None and got["a", "e"].n == 0
+    assert [r.correlation for r in mo.pair_correlations(df.limit(0), pairs).collect()] == [None] * 5
