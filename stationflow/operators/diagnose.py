@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr
-from ..functions.timeparts import trunc
 from .moments import pair_correlations
-from .splits import exact_percentiles, running_total_before
+from .splits import exact_percentiles, ordered_ranges, running_total_before
 
 
 def _q(c: str) -> Column:
@@ -227,22 +226,22 @@ def transform_comparison(df: DataFrame, features: list[str], target: str, bins:
 
 
 # X14 -------------------------------------------------------------------------
-def feature_blocks(df: DataFrame, features: list[str], target: str, order: list[str], time_col: str,
-                   k: int = 5) -> DataFrame:
+def feature_blocks(df: DataFrame, features: list[str], target: str, order: list[str], k: int = 5) -> DataFrame:
     """Long rows ``(feature, block, x, y)`` of the complete rows of each feature: with ``n``
     of them, the last ``k`` runs of ``n // (k + 1)`` rows in ``order`` are blocks 0 .. k - 1,
     the rows before them block -1. Fold i tests on block i and trains on the blocks before.
 
-    One pass for all features: complete rows are counted per hour, hours get running totals
-    (a calendar-sized table), and one window inside each hour adds the rest."""
+    One pass for all features: the rows are cut into ordered ranges, complete rows are
+    counted per range, ranges get running totals (a small table), and one window inside each
+    range adds the rest."""
     here = {f: (_q(f).isNotNull() & _q(target).isNotNull()).cast("long") for f in features}
-    x = df.withColumn("_b", trunc("hour", time_col))
-    per = x.groupBy("_b").agg(*[F.sum(c).alias(f"_c_{f}") for f, c in here.items()])
-    w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)   # one row per hour
-    per = per.select("_b", *[F.coalesce(F.sum(f"_c_{f}").over(w), F.lit(0)).alias(f"_before_{f}") for f in features],
+    x, _ = ordered_ranges(df, order)
+    per = x.groupBy("_range").agg(*[F.sum(c).alias(f"_c_{f}") for f, c in here.items()])
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
+    per = per.select("_range", *[F.coalesce(F.sum(f"_c_{f}").over(w), F.lit(0)).alias(f"_before_{f}") for f in features],
                      *[F.sum(f"_c_{f}").over(Window.partitionBy()).alias(f"_n_{f}") for f in features])
-    inner = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumns({f"_p_{f}": F.sum(c).over(inner) - 1 for f, c in here.items()}).join(per, "_b")
+    inner = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({f"_p_{f}": F.sum(c).over(inner) - 1 for f, c in here.items()}).join(per, "_range")
     items = [F.struct(F.lit(f).alias("feature"), _q(f).cast("double").alias("x"),
                       (F.col(f"_before_{f}") + F.col(f"_p_{f}")).alias("pos"), F.col(f"_n_{f}").alias("n")) for f in features]
     x = x.select(F.inline(F.array(*items)), _q(target).cast("double").alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")

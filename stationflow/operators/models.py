@@ -19,12 +19,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..util import cut_lineage
 from . import evaluate as ev
-from .splits import global_position, permute_column
+from .splits import global_position, permute_column, shuffled_columns
 
 FEATURES_COL = "features"
 
@@ -132,9 +132,9 @@ def predict(model: PipelineModel, df: DataFrame, log_target: bool = False, cap:
 
 
 # M6 / M23 / M24 / M25 / M37 ------------------------------------------------------
-def with_positions(df: DataFrame, order: list[str], time_col: str) -> DataFrame:
-    """Row positions in time order, checkpointed once for all folds."""
-    return cut_lineage(global_position(df, order, time_col))
+def with_positions(df: DataFrame, order: list[str]) -> DataFrame:
+    """Row positions in time order (the ordered rows are written once for all folds)."""
+    return global_position(df, order)
 
 
 def fold_frames(pos_df: DataFrame, k: int, gap: int = 0):
@@ -147,13 +147,12 @@ def fold_frames(pos_df: DataFrame, k: int, gap: int = 0):
                pos_df.filter((F.col("_pos") >= start) & (F.col("_pos") < start + size)))
 
 
-def ts_search(df: DataFrame, numeric: list[str], label: str, kind: str, grid: list[dict], order: list[str],
-              time_col: str, k: int = 3, gap: int = 0, metric: str = "r2", log_target: bool = False,
+def ts_search(df: DataFrame, numeric: list[str], label: str, kind: str, grid: list[dict], order: list[str], k: int = 3, gap: int = 0, metric: str = "r2", log_target: bool = False,
               oof: bool = False):
     """Grid (or sampled) search over expanding folds; returns per-(params, fold)
     scores, and the pooled out-of-fold predictions when ``oof`` (M37)."""
     spark = df.sparkSession
-    pos = with_positions(df, order, time_col)
+    pos = with_positions(df, order)
     rows, preds = [], []
     for gi, params in enumerate(grid):
         for fold, tr, te in fold_frames(pos, k, gap):
@@ -266,58 +265,22 @@ def select_from_model(imps: list[tuple[str, float]]) -> list[str]:
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, numeric: list[str], label: str,
-                           key: list[str], repeats: int = 3, seed: int = 42) -> DataFrame:
-    """Mean drop of R2 when one feature column is shuffled (seeded, distributed)."""
-    spark = df.sparkSession
-    base_pred = predict(model, df).withColumn("y", F.col(label).cast("double"))
-    base = ev.regression_metrics(base_pred, "y", "pred").first()["r2"]
-    rows = []
-    for f in numeric:
-        drops = []
-        for r in range(repeats):
-            shuffled = permute_column(df, f, key, seed=seed + 101 * r)
-            p = predict(model, shuffled).withColumn("y", F.col(label).cast("double"))
-            drops.append(base - ev.regression_metrics(p, "y", "pred").first()["r2"])
-        rows.append((f, float(np.mean(drops)), float(np.std(drops))))
-    return spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
-
-
-def drop_one_feature(train: DataFrame, test: DataFrame, numeric: list[str], label: str, kind: str,
-                     keep_tol: float = 0.005, remove_tol: float = 0.0, **params) -> DataFrame:
-    """Refit without each feature; verdict keep (R2 falls by more than keep_tol),
-    remove (R2 rises by more than remove_tol) or consider."""
-    spark = train.sparkSession
-
-    def r2(cols):
-        m = fit(train, cols, label, kind, **params)
-        p = predict(m, test).withColumn("y", F.col(label).cast("double"))
-        return float(ev.regression_metrics(p, "y", "pred").first()["r2"])
-
-    full = r2(numeric)
-    rows = []
-    for f in numeric:
-        d = r2([c for c in numeric if c != f]) - full
-        verdict = "keep" if d < -keep_tol else ("remove" if d > remove_tol else "consider")
-        rows.append((f, full, full + d, d, verdict))
-    return spark.createDataFrame(rows, "feature string, r2_full double, r2_without double, delta double, verdict string")
-
-
-def rfe_cv(df: DataFrame, numeric: list[str], label: str, kind: str, order: list[str], time_col: str,
-           k: int = 3, min_features: int = 1, **params) -> DataFrame:
-    """Recursive elimination; at each size drop the least important feature,
-    score the subset by time-series CV; one row per subset size."""
-    spark = df.sparkSession
-    cur, rows = list(numeric), []
-    while len(cur) >= min_features:
-        sc = ts_search(df, cur, label, kind, [params], order, time_col, k)
-        mean_r2 = sc.agg(F.avg("r2")).first()[0]
-        rows.append((len(cur), ",".join(cur), float(mean_r2)))
-        if len(cur) == min_features:
-            break
-        m = fit(df, cur, label, kind, **params)
-        worst = min(importances(m, cur), key=lambda t: (t[1], t[0]))[0]
-        cur = [c for c in cur if c != worst]
-    return spark.createDataFrame(rows, "n_features int, features string, cv_r2 double")
+                           key: list[str], repeats: int = 5, seed: int = 42) -> DataFrame:
+    """Mean and deviation of the drop of R2 over ``repeats`` shuffles of one feature column.
+
+    All features and repeats in one job: the shuffles come from one sort, every row is
+    scored once as it is and once per (feature, repeat) with that value exchanged, and the
+    scores are aggregated in the same pass."""
+    y = F.col(label).cast("double")
+    x = shuffled_columns(df.select(*dict.fromkeys([*key, label, *numeric])), numeric, key, repeats, seed)
+    variants = [(None, 0), *((f, r) for f in numeric for r in range(1, repeats + 1))]
+    made = [F.struct(F.lit(f).cast("string").alias("feature"), F.lit(r).alias("repeat"), y.alias("y"),
+                     *[F.col(f"`{c}__shuffled{r}`" if c == f else f"`{c}`").alias(c) for c in numeric]) for f, r in variants]
+    scored = predict(model, x.select(F.inline(F.array(*made))))
+    r2 = ev.regression_metrics(scored, "y", "pred", ["feature", "repeat"]).select("feature", "repeat", "r2")
+    drops = r2.withColumn("base", F.max(F.when(F.col("repeat") == 0, F.col("r2"))).over(Window.partitionBy())).filter("repeat > 0")     # a row per variant
+    return drops.groupBy("feature").agg(F.avg(F.col("base") - F.col("r2")).alias("importance_mean"),
+                                        F.stddev_pop(F.col("base") - F.col("r2")).alias("importance_std"))
 
 
 # I12 -------------------------------------------------------------------------

@@ -603,8 +603,8 @@ def pooled_correlation(fits: list[LinearFit], tests: list[Moment], target: int)
     return float(both.comoment[0, 1] / (s[0] * s[1])) if s.all() else 0.0
 
 
-def selection_study(df: DataFrame, features: list[str], label: str, order: list[str], time_col: str, outer: int = 4, inner: int = 3,
-                    alpha: float = 1.0, target_rows: DataFrame | None = None) -> dict[str, DataFrame]:
+def selection_study(df: DataFrame, features: list[str], label: str, order: list[str], outer: int = 4, inner: int = 3,
+                    alpha: float = 1.0) -> dict[str, DataFrame]:
     """The three selectors tuned inside each outer fold and on all rows.
 
     Rows with a null in any feature or the target are left out before folds are cut. Returns
@@ -613,7 +613,7 @@ def selection_study(df: DataFrame, features: list[str], label: str, order: list[
     folds, and whether on all rows). Three passes over the rows."""
     spark = df.sparkSession
     whole = df.select(*order, *[c for c in [*features, label] if c not in order]).na.drop(subset=[*features, label])
-    folds = FoldMoments(cut_lineage(global_position(whole, order, time_col)), features, label, outer, inner)
+    folds = FoldMoments(cut_lineage(global_position(whole, order)), features, label, outer, inner)
     ends = [folds.n, *(train for train, _, _ in folds.outer)]
     studies = {end: Selection(folds, end, alpha) for end in dict.fromkeys(ends)}
     jobs = [s.jobs() for s in studies.values()]

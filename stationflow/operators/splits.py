@@ -1,9 +1,10 @@
-"""Time-ordered train / validation / test splits.
+"""Time-ordered train / validation / test splits and exact positions.
 
-Row-position splits need each row's rank in time order. A global ``row_number``
-would pull the whole table into one task, so the rank is built in two levels:
-counts per time bucket (one row per hour: bounded by the calendar), their
-running total, and a ``row_number`` inside each bucket only.
+Row-position splits need each row's place in a total order. A global ``row_number`` would
+pull the whole table into one task. Instead sampled splitters cut the order into ranges
+(Spark's range partitioning of the whole sort key, so a single hour that holds every row is
+cut as well), each range is sorted in its own task, and the ranges' counts become offsets.
+Ranges are cut again until none is above a bound.
 """
 
 from __future__ import annotations
@@ -11,23 +12,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import trunc
-
-
-def global_position(df: DataFrame, order: list, time_col: str | None, bucket: str = "hour",
-                    bucket_expr: Column | None = None) -> DataFrame:
-    """0-based position of each row in ``order`` (a total order whose first key is
-    the bucket's key), plus the total row count ``_n``. The bucket is the hour of
-    ``time_col`` unless ``bucket_expr`` is given (it must be monotone in ``order``)."""
-    b = bucket_expr if bucket_expr is not None else trunc(bucket, time_col)
-    x = df.withColumn("_b", b)
-    counts = x.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-    cw = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # calendar-sized table
-    counts = counts.withColumns({"_before": F.coalesce(F.sum("_c").over(cw), F.lit(0)),
-                                 "_n": F.sum("_c").over(Window.partitionBy())})
-    inner = Window.partitionBy("_b").orderBy(*order)
-    x = x.join(F.broadcast(counts.select("_b", "_before", "_n")), "_b")  # one row per hour
-    return x.withColumn("_pos", F.col("_before") + F.row_number().over(inner) - 1).drop("_b", "_before")
+from ..util import cut_lineage
+
+RANGE_ROWS = 1_000_000      # rows that one task sorts
+_ROW_BITS = 33              # of monotonically_increasing_id
+
+
+def ordered_ranges(df: DataFrame, order: list, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_range`` (ranges follow ``order``) and ``_at`` (0-based place inside the
+    range), written once so that both stay fixed; and per range its count ``_c``, the rows
+    ``_before`` it and the total ``_n`` (one small row per range). A range above ``rows``
+    (default RANGE_ROWS) is cut finer, unless its rows are equal in all of ``order``."""
+    rows = rows or RANGE_ROWS
+    parts, largest = None, None
+    place = F.monotonically_increasing_id()
+    while True:
+        cut = df.repartitionByRange(*order) if parts is None else df.repartitionByRange(parts, *order)
+        found = cut.sortWithinPartitions(*order).withColumn("_id", place)
+        found = cut_lineage(found.withColumns({"_range": F.shiftright("_id", _ROW_BITS), "_at": F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1)}).drop("_id"))
+        counts = cut_lineage(found.groupBy("_range").agg(F.count(F.lit(1)).alias("_c")))
+        top, total = counts.agg(F.max("_c"), F.sum("_c")).first()
+        if not total or top <= rows or (largest is not None and top >= largest):
+            break
+        largest, parts = top, 2 * -(-total // rows) if parts is None else 2 * parts
+        df = found.drop("_range", "_at")
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)      # one row per range
+    return found, counts.withColumns({"_before": F.coalesce(F.sum("_c").over(w), F.lit(0)), "_n": F.lit(total or 0).cast("long")})
+
+
+def global_position(df: DataFrame, order: list, rows: int | None = None) -> DataFrame:
+    """``df`` with the 0-based position ``_pos`` of each row in ``order`` (a total order) and
+    the total row count ``_n``."""
+    found, ranges = ordered_ranges(df, order, rows)
+    return found.join(ranges.select("_range", "_before", "_n"), "_range").withColumn("_pos", F.col("_before") + F.col("_at")) \
+        .drop("_range", "_at", "_before")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -109,11 +127,10 @@ def split_by_dates(time_col: str, valid_start, test_start) -> Column:
 
 
 # M2 --------------------------------------------------------------------------
-def split_by_ratio(df: DataFrame, order: list[str], time_col: str, fractions=(0.8,),
-                   names=("train", "test")) -> DataFrame:
+def split_by_ratio(df: DataFrame, order: list[str], fractions=(0.8,), names=("train", "test")) -> DataFrame:
     """First ``fractions[0]`` of rows in time order -> names[0], and so on
     (cut positions ``int(n * cumulative fraction)``, pandas ``iloc`` style)."""
-    x = global_position(df, order, time_col)
+    x = global_position(df, order)
     cum, expr = 0.0, None
     for f, name in zip(fractions, names):
         cum += f
@@ -155,11 +172,11 @@ def split_within_groups(df: DataFrame, groups: list[str], order: list[str], rati
 
 
 # M6 --------------------------------------------------------------------------
-def ts_fold_labels(df: DataFrame, order: list[str], time_col: str, k: int = 5, gap: int = 0) -> DataFrame:
+def ts_fold_labels(df: DataFrame, order: list[str], k: int = 5, gap: int = 0) -> DataFrame:
     """``TimeSeriesSplit(k, gap)``: test_size = n // (k+1); fold i tests rows
     [n - (k-i)*size, n - (k-i-1)*size) and trains on rows < start - gap.
     One output row per (row, fold) where the row takes part: role train or test."""
-    x = global_position(df, order, time_col)
+    x = global_position(df, order)
     size = F.floor(F.col("_n") / (k + 1))
     x = x.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     start = F.col("_n") - (F.lit(k) - F.col("fold")) * size
@@ -198,22 +215,57 @@ def positional_slice(df: DataFrame, partition: list[str], order: list, first: in
 
 
 def seeded_sample(df: DataFrame, key: list[str], n: int, seed: int = 42) -> DataFrame:
-    """n rows chosen by a seeded hash of the key: deterministic under retries."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    """The n rows of the smallest seeded hash of the key: the same under retries and for any
+    partitioning. The hash is uniform, so a bound slightly above the n-th smallest value is
+    known from the row count; only the rows below it are ordered."""
+    h = F.xxhash64(*key, F.lit(seed))
+    total = df.count()
+    if n >= total:
+        return df
+    share = n / total
+    slack = 6 * (n ** 0.5 + 1) / total
+    while True:
+        bound = min(1.0, share + slack)
+        low = df.withColumn("_h", h).filter(F.col("_h") <= F.lit(int(-(2**63) + bound * (2**64 - 1) - 1024) if bound < 1 else 2**63 - 1))
+        pos = global_position(low, ["_h", *key])
+        r = pos.agg(F.max("_n")).first()[0] or 0
+        if r >= n or bound >= 1:
+            return pos.filter(F.col("_pos") < n).drop("_pos", "_n", "_h")
+        slack *= 4
+
+
+def shuffled_columns(df: DataFrame, cols: list[str], key: list[str], repeats: int = 1, seed: int = 42) -> DataFrame:
+    """``df`` with ``<col>__shuffled1 .. <col>__shuffled<repeats>``: full seeded shuffles of the
+    columns, all from one sort. Rows are put in the order of a seeded hash of ``key``; shuffle
+    ``r`` gives each row the values of the row ``r`` places further on, around the end. In a
+    random order that is a uniformly random cycle, and no row keeps its own value while ``r``
+    is no multiple of the number of rows. Only the first rows of a range travel, to the last
+    rows of the range before."""
+    found, ranges = ordered_ranges(df.withColumn("_h", F.xxhash64(*key, F.lit(seed))), ["_h", *key])
+    x = found.join(ranges, "_range").withColumn("_pos", F.col("_before") + F.col("_at"))
+    values = F.struct(*[F.col(f"`{c}`").alias(c) for c in cols])
+    w = Window.partitionBy("_range").orderBy("_at")
+    steps = range(1, repeats + 1)
+    x = x.withColumns({f"_s{r}": F.lead(values, r).over(w) for r in steps})
+    # the tail of a range: its missing values are heads of later ranges
+    heads = found.filter(F.col("_at") < repeats).join(ranges, "_range") \
+        .select((F.col("_before") + F.col("_at")).alias("_to"), values.alias("_v"))
+    want = found.select("_range", "_at").join(ranges, "_range").filter(F.col("_at") >= F.col("_c") - repeats) \
+        .select((F.col("_before") + F.col("_at")).alias("_pos"), "_at", "_c", "_n", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_r")) \
+        .filter(F.col("_at") + F.col("_r") >= F.col("_c")).withColumn("_to", F.pmod(F.col("_pos") + F.col("_r"), F.col("_n")))
+    tails = want.join(heads, "_to").groupBy("_pos").agg(*[F.any_value(F.when(F.col("_r") == r, F.col("_v")), ignoreNulls=True).alias(f"_t{r}") for r in steps])
+    x = x.join(tails, "_pos", "left")
+    out = {}
+    for r in steps:
+        own = F.when(F.col("_at") + r < F.col("_c"), F.col(f"_s{r}")).otherwise(F.col(f"_t{r}"))
+        out |= {f"{c}__shuffled{r}": own[c] for c in cols}
+    return x.withColumns(out).drop("_h", "_range", "_at", "_c", "_before", "_n", "_pos", *[f"_{k}{r}" for r in steps for k in "st"])
 
 
 def permute_column(df: DataFrame, col: str, key: list[str], seed: int = 42) -> DataFrame:
-    """Full seeded shuffle of one column: rows are ranked twice by two seeded hashes
-    of the key, and the row at rank p takes the value of the row at rank p of the
-    other order. Ranks are built per hash bucket (top 20 bits), never by a global
-    window, so no task sees more than one bucket."""
-    def ranked(frame, s):
-        x = frame.withColumn("_h", F.xxhash64(*key, F.lit(s)))
-        return global_position(x, ["_h", *key], None, bucket_expr=F.shiftright(F.col("_h"), 44)).drop("_h")
-
-    left = ranked(df.drop(col), seed)
-    right = ranked(df.select(*key, col), seed + 1).select("_pos", col)
-    return left.join(right, "_pos").drop("_pos", "_n")
+    """Full seeded shuffle of one column."""
+    name = f"{col}__shuffled1"
+    return shuffled_columns(df, [col], key, 1, seed).withColumn(col, F.col(f"`{name}`")).drop(name)
 
 
 # M9 --------------------------------------------------------------------------
@@ -225,4 +277,4 @@ def leave_years(df: DataFrame, time_col: str, train_year: int, test_year: int, o
         y = F.year(time_col)
         return df.filter(y.isin(train_year, test_year)).withColumn(
             "split", F.when(y == train_year, "train").otherwise("test"))
-    return split_by_ratio(df, order, time_col, (0.8,), ("train", "test"))
+    return split_by_ratio(df, order, (0.8,), ("train", "test"))

@@ -251,7 +251,7 @@ SELECT feature, transform, round(r2, 6) AS r2, round(r2_std, 6) AS r2_std, round
             CASE transform WHEN 'raw' THEN 0 WHEN 'log' THEN 1 ELSE 2 END) AS INTEGER) AS rank
 FROM m JOIN o USING (feature, transform)""", check="T")
 def x14(spark, sf_dir):
-    blocks = dg.feature_blocks(feature_frame(spark, sf_dir), FEATURES, "y", ["ts", "station_id"], "ts")
+    blocks = dg.feature_blocks(feature_frame(spark, sf_dir), FEATURES, "y", ["ts", "station_id"])
     c = dg.cv_transform_choice(cut_lineage(blocks))   # read by three passes
     return c.select("feature", "transform", *[F.round(x, 6).alias(x) for x in ("r2", "r2_std", "mae", "mae_std", "oof_corr")], "rank")
 

@@ -63,7 +63,7 @@ def m13(spark, sf_dir):
 def m14(spark, sf_dir):
     tr, va, _ = _split(spark, sf_dir)
     g = md.grid(regParam=[0.01, 0.1], elasticNetParam=[0.5, 1.0])
-    return md.ts_search(tr.unionByName(va), NUM, "y", "lasso", g, ["ts", "station_id"], "ts", k=3)
+    return md.ts_search(tr.unionByName(va), NUM, "y", "lasso", g, ["ts", "station_id"], k=3)
 
 
 @register("m15_poisson", "M15", check="R")
@@ -130,14 +130,14 @@ def m22(spark, sf_dir):
 def m24(spark, sf_dir):
     tr, va, _ = _split(spark, sf_dir)
     g = md.random_grid({"regParam": (0.001, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, n=3, seed=7)
-    return md.ts_search(tr.unionByName(va), NUM, "y", "elasticnet", g, ["ts", "station_id"], "ts", k=2)
+    return md.ts_search(tr.unionByName(va), NUM, "y", "elasticnet", g, ["ts", "station_id"], k=2)
 
 
 @register("m25_refit_sealed_test", "M25", check="R")
 def m25(spark, sf_dir):
     tr, va, te = _split(spark, sf_dir)
     g = md.grid(regParam=[0.01, 1.0])
-    sc = md.ts_search(tr, NUM, "y", "ridge", g, ["ts", "station_id"], "ts", k=2)
+    sc = md.ts_search(tr, NUM, "y", "ridge", g, ["ts", "station_id"], k=2)
     return md.refit_sealed(tr, va, te, NUM, "y", "ridge", md.best_params(sc))
 
 
@@ -183,7 +183,7 @@ def m28(spark, sf_dir):
 @register("m37_oof_pooled_scores", "M37", check="R")
 def m37(spark, sf_dir):
     tr, va, _ = _split(spark, sf_dir)
-    _, oof = md.ts_search(tr.unionByName(va), NUM, "y", "linear", [{}], ["ts", "station_id"], "ts", k=3, oof=True)
+    _, oof = md.ts_search(tr.unionByName(va), NUM, "y", "linear", [{}], ["ts", "station_id"], k=3, oof=True)
     return ev.regression_metrics(oof, "y", "pred")
 
 
@@ -255,7 +255,7 @@ def x17(spark, sf_dir):
 def x20(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
     m = md.fit(tr, NUM, "y", "linear")
-    return md.permutation_importance(m, te, NUM, "y", ["station_id", "ts"], repeats=2)
+    return md.permutation_importance(m, te, NUM, "y", ["station_id", "ts"])
 
 
 @register("x23_leak_checks", "X23", check="R")

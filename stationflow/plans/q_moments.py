@@ -109,7 +109,7 @@ def m26(spark, sf_dir):
 
 def _selection(spark, sf_dir, which):
     train, valid, _ = _parts(spark, sf_dir)
-    return mo.selection_study(train.unionByName(valid), FEATURES, "y", ["ts", "station_id"], "ts")[which]
+    return mo.selection_study(train.unionByName(valid), FEATURES, "y", ["ts", "station_id"])[which]
 
 
 @register("x16_k_best_tuned", "X16", check="R")

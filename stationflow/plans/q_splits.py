@@ -32,7 +32,7 @@ SELECT event_id, CASE WHEN pos < floor(n * 0.7) THEN 'train' WHEN pos < floor(n
 FROM x""")
 def m02(spark, sf_dir):
     t = ad.trips(spark, sf_dir).select("event_id", "ts")
-    return sp.split_by_ratio(t, ["ts", "event_id"], "ts", (0.7, 0.15), ("train", "valid", "test")) \
+    return sp.split_by_ratio(t, ["ts", "event_id"], (0.7, 0.15), ("train", "valid", "test")) \
         .select("event_id", "split")
 
 
@@ -80,7 +80,7 @@ SELECT fold, role, count(*) AS n, min(event_id) AS first_id, max(event_id) AS la
 FROM r WHERE role IS NOT NULL GROUP BY 1, 2""")
 def m06(spark, sf_dir):
     t = ad.trips(spark, sf_dir).select("event_id", "ts")
-    f = sp.ts_fold_labels(t, ["ts", "event_id"], "ts", k=5, gap=24)
+    f = sp.ts_fold_labels(t, ["ts", "event_id"], k=5, gap=24)
     return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"),
                                          F.max("event_id").alias("last_id"))
 

@@ -179,7 +179,7 @@ def test_transform_choice_by_folds_matches_least_squares(spark):
             for i in range(n)]
     df = spark.createDataFrame(rows, "id int, ts timestamp_ntz, x double, y double, flat double")
     got = {(r.feature, r.transform): r for r in dg.cv_transform_choice(
-        dg.feature_blocks(df, ["x", "flat"], "y", ["ts", "id"], "ts")).collect()}
+        dg.feature_blocks(df, ["x", "flat"], "y", ["ts", "id"])).collect()}
     keep = [i for i in range(n) if i not in gone]
     for name, cols in {"raw": lambda v: [v], "log": lambda v: [np.log1p(np.maximum(v, 0))], "poly": lambda v: [v, v * v]}.items():
         v, t = x[keep], y[keep]

@@ -143,7 +143,7 @@ def plain_selection(x, y, order_end, inner, alpha, scale):
 
 def test_selection_equals_plain_refits(spark):
     x, s, y = table(500, 3, seed=5)
-    found = mo.selection_study(frame(spark, x, s, y), F_, "y", ["ts", "i"], "ts", outer=3, inner=3, alpha=2.0)
+    found = mo.selection_study(frame(spark, x, s, y), F_, "y", ["ts", "i"], outer=3, inner=3, alpha=2.0)
     want = plain_selection(x, y, 500, 3, 2.0, x.std(axis=0))
     rows = found["tuning"].collect()
     assert len(rows) == 3 * D
@@ -171,7 +171,7 @@ def test_selection_equals_plain_refits(spark):
 
 def test_selection_of_few_or_no_rows(spark):
     x, s, y = table(3)
-    found = mo.selection_study(frame(spark, x, s, y), F_, "y", ["ts", "i"], "ts")
+    found = mo.selection_study(frame(spark, x, s, y), F_, "y", ["ts", "i"])
     assert found["outer"].collect() == [] and found["frequency"].count() == 3 * D
 
 

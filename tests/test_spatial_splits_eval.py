@@ -91,14 +91,14 @@ def _times(spark, n=500):
 
 def test_global_position_equals_sorted_index(spark):
     rows, df = _times(spark)
-    got = {r.id: r._pos for r in splits.global_position(df, ["ts", "id"], "ts").collect()}
+    got = {r.id: r._pos for r in splits.global_position(df, ["ts", "id"]).collect()}
     want = {r[0]: i for i, r in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
     assert got == want
 
 
 def test_ratio_split_disjoint_complete_ordered(spark):
     rows, df = _times(spark)
-    s = splits.split_by_ratio(df, ["ts", "id"], "ts", (0.7, 0.15), ("train", "valid", "test")).collect()
+    s = splits.split_by_ratio(df, ["ts", "id"], (0.7, 0.15), ("train", "valid", "test")).collect()
     assert len(s) == len(rows)
     by = {}
     for r in s:
@@ -109,7 +109,7 @@ def test_ratio_split_disjoint_complete_ordered(spark):
 
 def test_ts_folds_match_timeseriessplit_rule(spark):
     rows, df = _times(spark, 100)
-    f = splits.ts_fold_labels(df, ["ts", "id"], "ts", k=4, gap=3).collect()
+    f = splits.ts_fold_labels(df, ["ts", "id"], k=4, gap=3).collect()
     order = [r[0] for r in sorted(rows, key=lambda r: (r[1], r[0]))]
     pos = {i: p for p, i in enumerate(order)}
     size = 100 // 5
@@ -174,3 +174,55 @@ def test_substring_match_finds_texts_shorter_than_a_gram(spark):
     reg = spark.createDataFrame([(2, "서울 합정동"), (1, "xax"), (3, "합정")], "id int, name string")
     got = {r.t: r.id for r in substring_match(left, reg, "t", "name", "id").collect()}
     assert got == {"합정": 2, "a": 1}
+
+
+def test_one_hot_hour_is_cut_into_bounded_ranges(spark):
+    """All rows in one hour: no range above the bound, positions still exact."""
+    df = spark.range(5000).select(F.col("id"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts")).repartition(3)
+    found, ranges = splits.ordered_ranges(df, ["ts", "id"], rows=400)
+    assert ranges.agg(F.max("_c"), F.sum("_c")).first() == (max(r._c for r in ranges.collect()), 5000)
+    assert max(r._c for r in ranges.collect()) <= 400
+    assert {r.id: r._pos for r in splits.global_position(df, ["ts", "id"], rows=400).collect()} == {i: i for i in range(5000)}
+    same, ranges = splits.ordered_ranges(df, ["ts"], rows=400)          # equal keys can't be cut
+    assert sorted(r._at for r in same.collect())[-1] == 4999 and ranges.first()._n == 5000
+    assert splits.global_position(df.limit(0), ["ts", "id"]).collect() == []
+
+
+def test_shuffles_are_cycles_of_one_random_order(spark, monkeypatch):
+    monkeypatch.setattr(splits, "RANGE_ROWS", 20)
+    df = spark.range(300).select("id", (F.col("id") * 2).alias("v"), F.col("id").cast("string").alias("s"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("n"))
+    got = splits.shuffled_columns(df.repartition(5), ["v", "s", "n"], ["id"], repeats=3, seed=9).collect()
+    assert sorted(r.id for r in got) == list(range(300))
+    step = {r.id: int(r["s__shuffled1"]) for r in got}
+    for r in got:
+        at = r.id
+        for k in (1, 2, 3):
+            at = step[at]
+            assert (r[f"v__shuffled{k}"], int(r[f"s__shuffled{k}"]), r[f"n__shuffled{k}"]) == (2 * at, at, at if at % 7 else None)
+    seen, at = set(), 0
+    while at not in seen:
+        seen.add(at)
+        at = step[at]
+    assert len(seen) == 300                                            # one cycle over all rows
+    again = splits.shuffled_columns(df.repartition(2), ["v"], ["id"], seed=9).collect()
+    assert {r.id: r["v__shuffled1"] for r in again} == {i: 2 * t for i, t in step.items()}
+    tiny = splits.shuffled_columns(df.limit(2), ["v"], ["id"], repeats=3).collect()
+    assert all(r["v__shuffled2"] == r.v and r["v__shuffled1"] == r["v__shuffled3"] != r.v for r in tiny)
+
+
+def test_seeded_sample_is_stable_and_exact(spark):
+    df = spark.range(4000)
+    a = {r.id for r in splits.seeded_sample(df.repartition(7), ["id"], 100, seed=3).collect()}
+    b = {r.id for r in splits.seeded_sample(df, ["id"], 100, seed=3).collect()}
+    want = {r.id for r in df.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(100).collect()}
+    assert a == b == want and splits.seeded_sample(df, ["id"], 9999).count() == 4000 and splits.seeded_sample(df, ["id"], 0).count() == 0
+
+
+def test_permutation_importance_ranks_the_signal(spark):
+    from stationflow.operators import models as md
+    rng = random.Random(2)
+    rows = [(i, float(rng.gauss(0, 1)), float(rng.gauss(0, 1)), float(rng.gauss(0, 1))) for i in range(600)]
+    df = spark.createDataFrame([(i, a, b, c, 3 * a + 0.5 * b) for i, a, b, c in rows], "id long, a double, b double, c double, y double")
+    m = md.fit(df, ["a", "b", "c"], "y", "linear")
+    got = {r.feature: r for r in md.permutation_importance(m, df, ["a", "b", "c"], "y", ["id"], repeats=4).collect()}
+    assert got["a"].importance_mean > 1.5 > got["b"].importance_mean > 0.01 > abs(got["c"].importance_mean) and got["a"].importance_std > 0
