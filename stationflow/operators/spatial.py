@@ -6,9 +6,9 @@ its 3x3 neighbourhood and the join is an equi join on the cell, followed by the
 exact haversine filter. The work is proportional to the true candidate pairs, and
 the join shuffles on the cell like any other equi join (AQE splits hot cells).
 
-Nearest-one search repeats the grid join with a growing radius for the rows not
-yet resolved; a candidate is accepted only if it lies within the radius that the
-3x3 neighbourhood guarantees to be complete, so the answer is exact.
+Nearest-one search descends a pyramid of occupied cells, all rows at once and a fixed
+number of levels; cells that can't hold the nearest point are left out by a bound on
+the distance, so the answer is exact.
 """
 
 from __future__ import annotations
@@ -71,42 +71,84 @@ def within_radius(left: DataFrame, right: DataFrame, radius_m: float, left_key:
     return j.filter(F.col("dist_m") <= radius_m)
 
 
-def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, start_radius_m: float = 200.0,
-            growth: float = 4.0, lat: str = "lat", lon: str = "lon", by: tuple = ()) -> DataFrame:
+# Cells of the pyramid: level 0 has 45 degrees a side, each further level an eighth of that.
+_TOP_DEG, _LEVELS, _FAN_BITS = 45.0, 6, 3
+# A level's cells are broadcast up to this many (some 100 bytes each); beyond it the join shuffles.
+_BROADCAST_CELLS = 100_000
+
+
+def _leaf(lat: str, lon: str) -> tuple:
+    """Cell numbers at the finest level; a level above is them shifted right."""
+    size = F.lit(_TOP_DEG / 2 ** (_FAN_BITS * (_LEVELS - 1)))
+    return F.floor((F.col(lat) + 90.0) / size).cast("bigint"), F.floor(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) / size).cast("bigint")
+
+
+def _least_distance(lat, lon, box):
+    """A lower bound of the distance from a point to any point of a box of latitudes and
+    longitudes (``lon`` and the box's from 0 to 360): along the meridian to its latitudes and
+    to the nearer of its meridians."""
+    south, north = box["s"], box["n"]
+    d_lat = F.greatest(south - F.col(lat), F.col(lat) - north, F.lit(0.0))
+    east = F.pmod(box["w"] - F.col(lon), F.lit(360.0))                    # degrees to go east to its western edge
+    west = F.pmod(F.col(lon) - box["e"], F.lit(360.0))
+    d_lon = F.when((F.col(lon) >= box["w"]) & (F.col(lon) <= box["e"]), F.lit(0.0)).otherwise(F.least(east, west, F.lit(90.0)))
+    across = F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(d_lon))))
+    return F.greatest(F.radians(d_lat), across) * EARTH_RADIUS_M
+
+
+def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, lat: str = "lat", lon: str = "lon",
+            by: tuple = ()) -> DataFrame:
     """Nearest right point for every left point (ties: smallest right key),
-    among those with equal ``by`` columns.
+    among those with equal ``by`` columns. Rows without coordinates are dropped.
 
-    Level k searches radius ``start * growth**k``; a left row is resolved at the
-    first level whose best candidate lies within that radius, which the 3x3 cell
-    neighbourhood guarantees to be complete. The last level's radius exceeds half
-    the globe, so every remaining row is resolved; only rows with no point within
-    thousands of km ever reach it. Rows without coordinates are dropped.
-    """
+    One pass over the points builds a pyramid: per level and occupied cell, the box of its
+    points and one of them. Every row descends it, all rows at once and a fixed number of
+    levels: of the cells below those it holds, it keeps the ones that can be as near as the
+    nearest point seen so far. So a row meets a bounded number of cells a level, wherever its
+    nearest point is, and compares itself only with the points of the finest cells left."""
     keys = [left_key, *by]
-    todo = left.select(*keys, lat, lon).filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     rcols = [c for c in right.columns if c not in (lat, lon, *by)]
-    half_globe = math.pi * 6_371_000.0
-    parts = []
-    radius = start_radius_m
-    while True:
-        last = radius > half_globe
-        cand = within_radius(todo, right, radius, left_key, right_key, lat, lon, by)
-        best = cand.groupBy(*keys).agg(
-            F.min_by(F.struct(*[F.col(c) for c in rcols], "r_lat", "r_lon", "dist_m"),
-                     F.struct("dist_m", right_key)).alias("_b")).select(*keys, "_b.*")
-        ok = best if last else best.filter(F.col("dist_m") <= radius)
-        parts.append(ok)
-        if last:
-            break
-        # cut the lineage each level so the plan stays linear in the number of levels
-        todo = cut_lineage(todo.join(ok.select(*keys), keys, "left_anti"))
-        if todo.isEmpty():
-            break
-        radius = min(radius * growth, 1.01 * half_globe)
-    done = parts[0]
-    for p in parts[1:]:
-        done = done.unionByName(p)
-    return left.join(done, keys, "inner")
+    fi, fj = _leaf(lat, lon)
+    # points of one place count once, by the smallest key
+    pts = right.filter(placed).groupBy(*by, lat, lon).agg(F.min_by(F.struct(*rcols), right_key).alias("_r")) \
+        .withColumns({"_fi": fi, "_fj": fj, "_l": F.pmod(F.col(lon) + 180.0, F.lit(360.0))})
+    pts = cut_lineage(pts)
+    at = [F.struct(F.lit(k).alias("_k"), *[F.shiftright(c, _FAN_BITS * (_LEVELS - 1 - k)).alias(n) for c, n in (("_fi", "_ci"), ("_fj", "_cj"))])
+          for k in range(_LEVELS)]
+    cells = cut_lineage(pts.select(*by, lat, lon, "_l", F.inline(F.array(*at))).groupBy("_k", *by, "_ci", "_cj").agg(
+        F.struct(F.min(lat).alias("s"), F.max(lat).alias("n"), F.min("_l").alias("w"), F.max("_l").alias("e")).alias("_box"),
+        F.min(F.struct(lat, lon)).alias("_one")))
+    sizes = {r["_k"]: r["c"] for r in cells.groupBy("_k").agg(F.count(F.lit(1)).alias("c")).collect()}
+
+    def level(k: int) -> DataFrame:
+        found = cells.filter(F.col("_k") == k).drop("_k")
+        if k:
+            found = found.withColumns({"_pi": F.shiftright("_ci", _FAN_BITS), "_pj": F.shiftright("_cj", _FAN_BITS)})
+        return F.broadcast(found) if sizes.get(k, 0) <= _BROADCAST_CELLS else found
+
+    rows = left.filter(placed).select(*keys, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct() \
+        .withColumns({"_x": F.pmod(F.col("_lon") + 180.0, F.lit(360.0)), "_u": F.lit(float("inf"))})
+    carried = [*keys, "_lat", "_lon", "_x", "_u"]
+    row = Window.partitionBy(*keys, "_lat", "_lon")
+    tops = [F.struct(F.lit(i).cast("bigint").alias("_ci"), F.lit(j).cast("bigint").alias("_cj")) for i in range(5) for j in range(8)]   # 5: the pole itself
+    here = rows.select(*carried, F.inline(F.array(*tops))).join(level(0), [*by, "_ci", "_cj"])
+    for k in range(_LEVELS):
+        if k:
+            here = here.select(*carried, F.col("_ci").alias("_pi"), F.col("_cj").alias("_pj")).join(level(k), [*by, "_pi", "_pj"])
+        seen = haversine_m(F.col("_lat"), F.col("_lon"), F.col("_one")[lat], F.col("_one")[lon])
+        here = here.withColumn("_u", F.least(F.col("_u"), F.min(seen).over(row))) \
+            .filter(_least_distance("_lat", "_x", F.col("_box")) <= F.col("_u") * (1 + 1e-9) + 1e-3)
+    near = here.select(*keys, "_lat", "_lon", F.col("_ci").alias("_fi"), F.col("_cj").alias("_fj")).join(
+        pts.withColumnsRenamed({lat: "r_lat", lon: "r_lon"}).drop("_l"), [*by, "_fi", "_fj"]) \
+        .withColumn("dist_m", haversine_m("_lat", "_lon", "r_lat", "r_lon"))
+    best = near.groupBy(*keys, "_lat", "_lon").agg(
+        F.min_by(F.struct("_r.*", "r_lat", "r_lon", "dist_m"), F.struct("dist_m", F.col("_r")[right_key])).alias("_b")) \
+        .select(*keys, "_lat", "_lon", "_b.*")
+    own = {k: f"_key{i}" for i, k in enumerate(keys)}
+    best = best.withColumnsRenamed(own)
+    same = [left[k] == best[n] for k, n in own.items()] + [left[lat] == best["_lat"], left[lon] == best["_lon"]]
+    return left.join(best, same).drop(*own.values(), "_lat", "_lon")
 
 
 def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float = 200.0,
@@ -115,22 +157,22 @@ def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float =
     """For each station and month, the regions with data in the month within
     ``radius_m`` (tier 1); else the regions of its own district (tier 2); else the
     nearest region (tier 3). Returns (station, month, region key, tier)."""
-    pts = regions.select(month, region_key, "lat", "lon").distinct()
-    months = sorted(r[0] for r in regions.select(month).distinct().collect())   # calendar-sized
-    every = stations.withColumn(month, F.explode(F.array(*[F.lit(m) for m in months]).cast(f"array<{regions.schema[month].dataType.simpleString()}>")))
     keys = [station_key, month]
-    t1 = within_radius(every.select(*keys, "lat", "lon"), pts, radius_m, station_key, region_key, by=(month,)) \
-        .select(*keys, region_key, F.lit(1).alias("tier")).distinct()
-    left = every.join(t1.select(*keys).distinct(), keys, "left_anti")
-    t2 = left.select(*keys, F.col(district).alias(region_key)) \
-        .join(pts.select(month, region_key).distinct(), [month, region_key]) \
+    pts = cut_lineage(regions.select(month, region_key, "lat", "lon").distinct())        # a dimension: one row per region and month
+    t1 = within_radius(stations.select(station_key, "lat", "lon"), pts, radius_m, station_key, region_key) \
+        .select(*keys, region_key, F.lit(1).alias("tier"))
+    t2 = stations.select(station_key, F.col(district).alias(region_key)).join(pts.select(month, region_key), region_key) \
         .select(*keys, region_key, F.lit(2).alias("tier"))
-    left = left.join(t2.select(*keys).distinct(), keys, "left_anti")
-    # these stations have nothing within radius_m, so the search starts one level out
-    t3 = nearest(left.select(*keys, "lat", "lon"), pts.withColumnRenamed(region_key, "_rk"),
-                 station_key, "_rk", start_radius_m=4 * radius_m, by=(month,)) \
+    close = cut_lineage(t1.unionByName(t2).distinct().withColumn("_best", F.min("tier").over(Window.partitionBy(*keys)))
+                        .filter("tier = _best").drop("_best"))
+    # only the stations of a month without either are searched further
+    months = sorted(r[0] for r in pts.select(month).distinct().collect())                # calendar-sized
+    kind = regions.schema[month].dataType.simpleString()
+    every = stations.withColumn(month, F.explode(F.array(*[F.lit(m) for m in months]).cast(f"array<{kind}>")))
+    left = every.select(*keys, "lat", "lon").join(close.select(*keys).distinct(), keys, "left_anti")
+    t3 = nearest(left, pts.withColumnRenamed(region_key, "_rk"), station_key, "_rk", by=(month,)) \
         .select(*keys, F.col("_rk").alias(region_key), F.lit(3).alias("tier"))
-    return t1.unionByName(t2).unionByName(t3)
+    return close.unionByName(t3)
 
 
 def substring_match(left: DataFrame, registry: DataFrame, text: str, reg_text: str, reg_order: str,
