@@ -71,10 +71,8 @@ def within_radius(left: DataFrame, right: DataFrame, radius_m: float, left_key:
     return j.filter(F.col("dist_m") <= radius_m)
 
 
-# Cells of the pyramid: level 0 has 45 degrees a side, each further level an eighth of that.
-_TOP_DEG, _LEVELS, _FAN_BITS = 45.0, 6, 3
-# A level's cells are broadcast up to this many (some 100 bytes each); beyond it the join shuffles.
-_BROADCAST_CELLS = 100_000
+# Cells of the pyramid: level 0 has 45 degrees a side, each further level a sixteenth of that.
+_TOP_DEG, _LEVELS, _FAN_BITS = 45.0, 4, 4
 
 
 def _leaf(lat: str, lon: str) -> tuple:
@@ -119,13 +117,11 @@ def nearest(left: DataFrame, right: DataFrame, left_key: str, right_key: str, la
     cells = cut_lineage(pts.select(*by, lat, lon, "_l", F.inline(F.array(*at))).groupBy("_k", *by, "_ci", "_cj").agg(
         F.struct(F.min(lat).alias("s"), F.max(lat).alias("n"), F.min("_l").alias("w"), F.max("_l").alias("e")).alias("_box"),
         F.min(F.struct(lat, lon)).alias("_one")))
-    sizes = {r["_k"]: r["c"] for r in cells.groupBy("_k").agg(F.count(F.lit(1)).alias("c")).collect()}
 
     def level(k: int) -> DataFrame:
-        found = cells.filter(F.col("_k") == k).drop("_k")
-        if k:
-            found = found.withColumns({"_pi": F.shiftright("_ci", _FAN_BITS), "_pj": F.shiftright("_cj", _FAN_BITS)})
-        return F.broadcast(found) if sizes.get(k, 0) <= _BROADCAST_CELLS else found
+        """The cells of a level; as a written table its size is known, so a small one is broadcast."""
+        above = [F.shiftright(c, _FAN_BITS).alias(n) for c, n in (("_ci", "_pi"), ("_cj", "_pj"))] if k else []
+        return cells.filter(F.col("_k") == k).select(*by, "_ci", "_cj", "_box", "_one", *above)
 
     rows = left.filter(placed).select(*keys, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")).distinct() \
         .withColumns({"_x": F.pmod(F.col("_lon") + 180.0, F.lit(360.0)), "_u": F.lit(float("inf"))})

@@ -3,6 +3,8 @@ lineage cuts."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +50,14 @@ def id_filter(df: DataFrame, col: str, ids) -> DataFrame:
     return df.join(F.broadcast(right), col, "left_semi")  # size known: len(ids)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the session's ``spark.checkpoint.dir`` (shared
-    storage on a cluster), so lost executors do not replay long lineages."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet below the session's ``spark.checkpoint.dir`` (shared storage on
+    a cluster) and read it back, so lost executors do not replay long lineages. Unlike
+    ``checkpoint()`` the rows are computed once, later reads take only the columns they
+    need, and the planner knows the size (a small table is broadcast by itself)."""
     from .session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

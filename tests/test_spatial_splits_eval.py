@@ -228,7 +228,7 @@ def test_permutation_importance_ranks_the_signal(spark):
     assert got["a"].importance_mean > 1.5 > got["b"].importance_mean > 0.01 > abs(got["c"].importance_mean) and got["a"].importance_std > 0
 
 
-def test_nearest_by_pyramid_on_the_whole_globe(spark, monkeypatch):
+def test_nearest_by_pyramid_on_the_whole_globe(spark):
     """Random globe, poles, both sides of longitude 180, a hot place, one far dense town; per month."""
     rng = random.Random(21)
     base = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)]
@@ -239,8 +239,8 @@ def test_nearest_by_pyramid_on_the_whole_globe(spark, monkeypatch):
     R += [(f"t{i:03}", 2, la, lo) for i, (la, lo) in enumerate(town)] + [(f"h{i:03}", 1, 20.0, 20.0) for i in range(50)] + [("q", 2, None, None)]
     ldf = spark.createDataFrame(L, "id string, m int, lat double, lon double").withColumn("x", F.lit(1))
     rdf = spark.createDataFrame(R, "pid string, m int, lat double, lon double").withColumn("kind", F.lit("k"))
-    for limit in (100_000, 0):
-        monkeypatch.setattr(spatial, "_BROADCAST_CELLS", limit)
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         rows = spatial.nearest(ldf, rdf, "id", "pid", by=("m",)).collect()
         assert rows[0].asDict().keys() == {"id", "m", "lat", "lon", "x", "pid", "kind", "r_lat", "r_lon", "dist_m"}
         assert len(rows) == 2 * len(base)
@@ -248,4 +248,5 @@ def test_nearest_by_pyramid_on_the_whole_globe(spark, monkeypatch):
             want = min((hav(r.lat, r.lon, la, lo), p) for p, m, la, lo in R if m == r.m and la is not None)
             assert math.isclose(r.dist_m, want[0], abs_tol=1e-5)
             assert r.pid == want[1] or math.isclose(hav(r.lat, r.lon, r.r_lat, r.r_lon), want[0], abs_tol=1e-5)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert spatial.nearest(ldf, rdf.limit(0), "id", "pid").collect() == []
