@@ -99,6 +99,13 @@ def drop_internal_arrival_duplicates(df: DataFrame, ids, start: str = "start_id"
     return x.filter(~dup)
 
 
+def internal_arrival_count(df: DataFrame, ids, start: str = "start_id", end: str = "end_id", basis: str = "basis", arr: str = "arr") -> DataFrame:
+    """One row: rows read, removed by :func:`drop_internal_arrival_duplicates` and kept."""
+    ids = list(ids)
+    dup = F.coalesce((F.col(basis) == arr) & F.col(start).isin(ids) & F.col(end).isin(ids), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(dup).alias("removed"), F.count_if(~dup).alias("kept"))
+
+
 # F10-F14 ---------------------------------------------------------------------
 def date_range(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """inclusive range; ``lo``/``hi`` are Columns or literals of the column's type."""

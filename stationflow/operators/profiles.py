@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import safe_corr
 
 from ..functions.timeparts import week_start_w_mon
+from ..util import cut_lineage
 
 
 # C1 --------------------------------------------------------------------------
@@ -77,27 +78,33 @@ def week_profiles(panel: DataFrame, value: str, station: str = "station_id", tim
 
 
 # C7 --------------------------------------------------------------------------
-def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["sim", "item_a", "item_b"], ascending=[False, True, True])
-    removed, rows = set(), []
-    for a, b, s in zip(pdf["item_a"], pdf["item_b"], pdf["sim"]):
-        if a in removed or b in removed:
-            continue
-        removed.add(b)
-        rows.append((b, a, s))
-    return pd.DataFrame(rows, columns=["removed", "kept", "sim"])
-
-
-def similar_weeks_to_drop(pairs: DataFrame, threshold: float = 0.998, score: str = "cosine") -> DataFrame:
-    """Greedy removal: in descending similarity, drop the later week of each pair
-    with similarity >= threshold unless one of them is already dropped. The removed
-    set is shared by all stations: pairs are first collapsed to their maximum
-    similarity over stations, then the greedy pass runs over the weeks-squared pair
-    list (bounded by the calendar) in one grouped function."""
-    top = (pairs.filter(F.col(score) >= threshold).groupBy("item_a", "item_b")
-           .agg(F.max(score).alias("sim")).withColumn("_g", F.lit(0)))
-    itype = dict(top.dtypes)["item_a"]
-    return top.groupBy("_g").applyInPandas(_greedy, schema=f"removed {itype}, kept {itype}, sim double")
+def similar_weeks_to_drop(pairs: DataFrame, threshold: float = 0.998, score: str = "cosine", station: str = "station_id") -> DataFrame:
+    """Greedy removal, shared by all stations: by falling similarity, the later week of a pair
+    with ``threshold`` or more is dropped unless one of the two is dropped already. Returns
+    ``removed, kept`` (the week it resembles), ``sim`` and the station of that pair.
+
+    The sequential rule is followed by rounds of local maxima: a pair that comes before all
+    other pairs of both its weeks is taken whatever happens elsewhere, so all such pairs are
+    taken at once; pairs of a dropped week leave. Ties go by the weeks."""
+    key = F.struct((-F.round("sim", 9)).alias("s"), "item_a", "item_b")
+    top = F.max_by(F.col(station), F.struct(score, F.col(station))) if station in pairs.columns else F.lit(None).cast("string")
+    rest = cut_lineage(pairs.filter(F.col(score) >= threshold).groupBy("item_a", "item_b")
+                       .agg(F.max(score).alias("sim"), top.alias(station)).withColumn("_key", key))
+    taken = rest.limit(0)
+    while not rest.isEmpty():
+        ends = rest.select("_key", F.explode(F.array("item_a", "item_b")).alias("w")).groupBy("w").agg(F.min("_key").alias("_first"))
+        a, b = (ends.select(F.col("w").alias(f"item_{x}"), F.col("_first").alias(f"_{x}")) for x in "ab")
+        best = cut_lineage(rest.join(a, "item_a").join(b, "item_b").filter("_key = _a AND _key = _b").select(*rest.columns))
+        taken = taken.unionByName(best)
+        gone = best.select(F.col("item_b").alias("w"))
+        rest = cut_lineage(rest.join(gone, F.col("w") == F.col("item_a"), "left_anti").join(gone, F.col("w") == F.col("item_b"), "left_anti"))
+    return taken.select(F.col("item_b").alias("removed"), F.col("item_a").alias("kept"), "sim", station)
+
+
+def drop_similar_weeks(panel: DataFrame, removed: DataFrame, time_col: str = "ts") -> DataFrame:
+    """``panel`` without the rows of the removed weeks (of any station)."""
+    x = panel.withColumn("_week", week_start_w_mon(F.to_date(time_col)))
+    return x.join(removed.select(F.col("removed").alias("_week")), "_week", "left_anti").drop("_week")
 
 
 # C8 --------------------------------------------------------------------------

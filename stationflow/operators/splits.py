@@ -198,6 +198,27 @@ def rolling_month_folds(df: DataFrame, time_col: str, train_end: str, k: int = 3
     return x.withColumn("role", role).filter(F.col("role").isNotNull())
 
 
+# M8 --------------------------------------------------------------------------
+# The last train month and the validation months of each fold.
+MONTH_FOLDS = ((3, (4, 5)), (5, (6, 7)), (7, (8, 9)), (9, (10, 11, 12)))
+
+
+def fixed_month_folds(df: DataFrame, time_col: str, year: int, folds=MONTH_FOLDS) -> DataFrame:
+    """Folds of one year by fixed months: one row per (row, fold) that it takes part in, with
+    ``fold`` (from 1) and ``role``: train up to the fold's last train month, valid in its
+    validation months. A fold that lacks either side is left out."""
+    month = F.month(time_col)
+    parts = [F.when(month <= last, F.struct(F.lit(i).alias("fold"), F.lit("train").alias("role")))
+             .when(month.isin(list(valid)), F.struct(F.lit(i).alias("fold"), F.lit("valid").alias("role")))
+             for i, (last, valid) in enumerate(folds, start=1)]
+    x = df.filter(F.year(time_col) == year)
+    x = x.select("*", F.explode(F.array_compact(F.array(*parts))).alias("_f")).select(*df.columns, "_f.*")
+    sides = df.filter(F.year(time_col) == year).select(month.alias("m")).distinct()            # at most 12 rows
+    months = {r["m"] for r in sides.collect()}
+    whole = [i for i, (last, valid) in enumerate(folds, start=1) if any(m <= last for m in months) and months & set(valid)]
+    return x.filter(F.col("fold").isin(whole))
+
+
 # O4 / O5 ---------------------------------------------------------------------
 def positional_slice(df: DataFrame, partition: list[str], order: list, first: int | None = None,
                      last: int | None = None) -> DataFrame:

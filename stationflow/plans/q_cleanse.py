@@ -103,6 +103,13 @@ def f09(spark, sf_dir):
     return cleanse.drop_internal_arrival_duplicates(_trips(spark, sf_dir), TARGETS)
 
 
+@register("f09_removed_count", "F9", V("trips") + f"""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE basis = 'arr' AND start_id IN {TSQL} AND end_id IN {TSQL}) AS removed,
+       count(*) FILTER (WHERE NOT (basis = 'arr' AND start_id IN {TSQL} AND end_id IN {TSQL})) AS kept FROM trips""")
+def f09_count(spark, sf_dir):
+    return cleanse.internal_arrival_count(_trips(spark, sf_dir), TARGETS)
+
+
 @register("f10_date_range", "F10", V("trips") + f"""
 SELECT {TRIP_COLS} FROM trips WHERE base_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-12'""")
 def f10(spark, sf_dir):

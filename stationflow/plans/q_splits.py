@@ -14,7 +14,7 @@ V = ad.with_views
 
 
 # M1 ---------------------------------------------------------------------------
-@register("m01_split_by_dates", "M1 M8", PANEL + """
+@register("m01_split_by_dates", "M1", PANEL + """
 SELECT station_id, ts, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'train'
                             WHEN ts < TIMESTAMP '2024-01-22' THEN 'valid' ELSE 'test' END AS split
 FROM panel""")
@@ -101,6 +101,19 @@ def m07(spark, sf_dir):
                                          F.max("day").alias("last_day"))
 
 
+# M8 ---------------------------------------------------------------------------
+@register("m08_fixed_month_folds", "M8", V("od_daily") + """,
+d AS (SELECT start_id AS station_id, day, sum(cnt) AS cnt FROM od_daily GROUP BY 1, 2),
+folds AS (SELECT * FROM (VALUES (1, 3, [4, 5]), (2, 5, [6, 7]), (3, 7, [8, 9]), (4, 9, [10, 11, 12])) f(fold, last, valid)),
+r AS (SELECT CAST(fold AS INTEGER) AS fold, CASE WHEN month(day) <= last THEN 'train' WHEN list_contains(valid, month(day)) THEN 'valid' END AS role, d.*
+      FROM d, folds WHERE year(day) = 1997)
+SELECT fold, role, count(*) AS n, CAST(sum(cnt) AS DOUBLE) AS cnt, min(day) AS first_day, max(day) AS last_day FROM r WHERE role IS NOT NULL GROUP BY 1, 2""")
+def m08(spark, sf_dir):
+    f = sp.fixed_month_folds(od_day(spark, sf_dir), "day", 1997)
+    return f.groupBy("fold", "role").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").cast("double").alias("cnt"), F.min("day").alias("first_day"),
+                                         F.max("day").alias("last_day"))
+
+
 # M9 ---------------------------------------------------------------------------
 @register("m09_leave_years", "M9", V("od_daily") + """,
 d AS (SELECT start_id AS station_id, day, sum(cnt) AS cnt FROM od_daily GROUP BY 1, 2)

@@ -226,3 +226,29 @@ def test_exact_percentiles_equal_numpy(spark):
     all_values = [v for _, v in rows if v is not None]
     assert np.allclose(exact_percentiles(df, "v", probs).first()[0], np.quantile(all_values, probs))
     assert exact_percentiles(df.limit(0), "v", probs).count() == 0
+
+
+def test_week_removal_equals_the_sequential_rule(spark):
+    import random
+    rng = random.Random(6)
+    for _ in range(3):
+        pairs = [(f"S{rng.randint(0, 2)}", a, b, rng.choice([0.9, 0.95, 0.97, rng.random()])) for a in range(14) for b in range(a + 1, 14) for _ in range(2)]
+        df = spark.createDataFrame(pairs, "station_id string, item_a int, item_b int, cosine double")
+        best = {}
+        for s, a, b, c in pairs:
+            best[a, b] = max(best.get((a, b), (0, "")), (c, s))
+        gone, want = set(), {}
+        for (a, b), (c, s) in sorted(best.items(), key=lambda t: (-round(t[1][0], 9), t[0])):
+            if c >= 0.85 and not {a, b} & gone:
+                gone.add(b)
+                want[b] = (a, c, s)
+        got = {r.removed: (r.kept, r.sim, r.station_id) for r in pf.similar_weeks_to_drop(df, 0.85).collect()}
+        assert got == want
+
+
+def test_fixed_month_folds_and_a_fold_without_validation(spark):
+    from stationflow.operators import splits
+    df = spark.sql("SELECT explode(sequence(date'2023-12-01', date'2024-09-30')) AS day")
+    got = {(r.fold, r.role): (r.a, r.b) for r in splits.fixed_month_folds(df, "day", 2024).groupBy("fold", "role")
+           .agg(F.min(F.month("day")).alias("a"), F.max(F.month("day")).alias("b")).collect()}
+    assert got == {(1, "train"): (1, 3), (1, "valid"): (4, 5), (2, "train"): (1, 5), (2, "valid"): (6, 7), (3, "train"): (1, 7), (3, "valid"): (8, 9)}
