@@ -43,6 +43,40 @@ def station_feature_table(spark: SparkSession, sf_dir: str, temp_lookup: DataFra
     return p.fillna(0.0, subset=ctx).drop("month")
 
 
+CONTEXT = ["temp_lag_1hr", "residential", "business", "tourism", *context.SUBWAY]
+
+
+def trip_station_features(trips: DataFrame, ids, stations: DataFrame, temp_lookup: DataFrame, region_month: DataFrame, subway_points: DataFrame,
+                          subway_daily: DataFrame, holidays=(), min_m: float = 50.0) -> DataFrame:
+    """G20 / entry A at its own grain: one row per trip and involved target station, with the
+    trip's role there, the station's place and district, calendar (zero-based month angle,
+    weekday one-hot, resting day with ``holidays``), time (hour angle, noon, rush hour), the
+    temperature an hour before, district indices of the month, transit and commute indices of
+    the day, and a snow flag. Trips of ``min_m`` metres or less, or without a number there, go;
+    absent context is 0. ``trips`` has ``start_id, end_id, ts, use_dist, snow`` and whatever
+    else is to be carried; ``cnt``, ``snow`` and ``discomfort`` are dropped at the end.
+
+    The trip rows are exploded map-side and meet only dimension tables (a row per station and
+    month or day, an hourly series), whose size decides how they are joined."""
+    x = flow.explode_by_station(cleanse.distance_guard(cleanse.filter_station_rows(trips, ids), min_m=min_m), ids)
+    hour, day = F.hour("ts"), F.to_date("ts")
+    ms, mc = tp.cyclic(F.month("ts"), 12, 1)
+    hs, hc = tp.cyclic(hour, 24)
+    x = x.withColumns({
+        "hour_ts": tp.trunc("hour", "ts"), "base_date": day, "hour": hour, "year": F.year("ts"), "month": F.month("ts"), "month_sin": ms, "month_cos": mc,
+        **tp.weekday_one_hot("ts", "weekday_"),
+        "is_restingday": F.greatest(tp.weekend_flag("ts"), day.isin([F.lit(d).cast("date") for d in holidays]).cast("int") if holidays else F.lit(0)),
+        "hour_sin": hs, "hour_cos": hc, "is_noon": (hour >= 12).cast("int"), "is_rushhour": tp.hour_in(hour, [7, 8, 9, 17, 18, 19]),
+        "snow_flag": F.coalesce((F.col("snow") > 0).cast("int"), F.lit(0))})
+    look = temp_lookup.select((F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("hour_ts"), F.col("temp").alias("temp_lag_1hr"))
+    place = stations.select("station_id", F.col("lat").alias("station_lat"), F.col("lon").alias("station_lon"), F.col("dong").alias("station_dong"))
+    region = context.build_region_features(stations, region_month).drop("tier")
+    subway = context.subway_daily_features(stations, subway_points, subway_daily).withColumnRenamed("day", "base_date")
+    x = x.join(look, "hour_ts", "left").join(place, "station_id", "left").join(region, ["station_id", "month"], "left") \
+        .join(subway, ["station_id", "base_date"], "left")
+    return x.fillna(0.0, subset=CONTEXT).drop("cnt", "snow", "discomfort", "hour_ts")
+
+
 def hourly_station_dataset(features: DataFrame, trips: DataFrame, time_col: str = "ts") -> DataFrame:
     """Hourly features (first row per station-hour), usage = rounded departures
     of the feature stations (semi join), left joined, zero filled, and the change
@@ -82,5 +116,5 @@ def entry_c_risk(panel_df: DataFrame) -> DataFrame:
     return inv.risk_summary(inv.projection_12h(inv.estimated_stock(panel_df, "net_flow", "capacity")))
 
 
-__all__ = ["hourly_panel", "station_feature_table", "hourly_station_dataset", "forecasting_dataset",
+__all__ = ["hourly_panel", "station_feature_table", "trip_station_features", "hourly_station_dataset", "forecasting_dataset",
            "entry_b_train_frame", "entry_c_risk"]

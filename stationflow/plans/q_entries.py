@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..sources import adapter as ad
 from . import entries
 from .catalog import register
+from .q_cleanse import TARGETS, TSQL
 from .q_diagnose import FF_SQL, feature_frame
 from .q_flow import HOURLY_SQL, PANEL, hourly_flow_panel
 from .q_geo import G12_CTES, G13_CTES
@@ -40,6 +41,44 @@ def g20(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in R6})
 
 
+# The subway table of the test data ends in 1998: its days are moved to those of the trips.
+SUBWAY_YEARS = 27
+R_TRIP = ["month_sin", "month_cos", "hour_sin", "hour_cos", "station_lat", "station_lon", *entries.CONTEXT]
+HOLIDAYS = ["2024-01-01"]
+
+
+@register("g20_trip_station_features", "G20 F4 G5 G7 P12 P13 P14 P16 P17 P18 P21", (V(
+    "trips", "stations", "weather", "subway_points", "subway_daily", "region_month") + "," + HOURLY_SQL + TEMP_SRC_SQL + ", " + G12_CTES + ","
+    + G13_CTES).replace("CAST(o_orderdate AS DATE) AS day", f"CAST(CAST(o_orderdate AS DATE) + INTERVAL {SUBWAY_YEARS} YEAR AS DATE) AS day") + f""",
+kept AS (SELECT t.*, CASE WHEN w.temp < 50 THEN w.rain END AS snow FROM trips t LEFT JOIN weather w ON w.ts = date_trunc('hour', t.ts)
+         WHERE (start_id IN {TSQL} OR end_id IN {TSQL}) AND use_dist > 50),
+ends AS (SELECT *, unnest(list_distinct([start_id, end_id])) AS station_id FROM kept),
+x AS (SELECT *, CASE WHEN start_id = station_id AND end_id = station_id THEN 'both' WHEN start_id = station_id THEN 'start' ELSE 'end' END AS role
+      FROM ends WHERE station_id IN {TSQL})
+SELECT x.event_id, x.station_id, x.start_id, x.end_id, x.basis, x.use_min, x.use_dist, x.ts, x.base_date, x.role, x.hour,
+       CAST(year(x.ts) AS INTEGER) AS year, CAST(month(x.ts) AS INTEGER) AS month,
+       round(sin(2 * pi() * (month(x.ts) - 1) / 12.0), 6) + 0.0 AS month_sin, round(cos(2 * pi() * (month(x.ts) - 1) / 12.0), 6) + 0.0 AS month_cos,
+       """ + ", ".join(f"CAST(isodow(x.ts) - 1 = {i} AS INTEGER) AS weekday_{i}" for i in range(7)) + """,
+       CAST(isodow(x.ts) >= 6 OR x.base_date = DATE '2024-01-01' AS INTEGER) AS is_restingday,
+       round(sin(2 * pi() * x.hour / 24.0), 6) + 0.0 AS hour_sin, round(cos(2 * pi() * x.hour / 24.0), 6) + 0.0 AS hour_cos,
+       CAST(x.hour >= 12 AS INTEGER) AS is_noon, CAST(x.hour IN (7, 8, 9, 17, 18, 19) AS INTEGER) AS is_rushhour,
+       CAST(coalesce(x.snow > 0, false) AS INTEGER) AS snow_flag, round(s.lat, 6) AS station_lat, round(s.lon, 6) AS station_lon, s.dong AS station_dong,
+       round(coalesce(tl.temp, 0.0), 6) AS temp_lag_1hr, round(coalesce(regf.residential, 0.0), 6) AS residential,
+       round(coalesce(regf.business, 0.0), 6) AS business, round(coalesce(regf.tourism, 0.0), 6) AS tourism,
+       round(coalesce(subd.transit_index, 0.0), 6) AS transit_index, round(coalesce(subd.commute_in_index, 0.0), 6) AS commute_in_index,
+       round(coalesce(subd.commute_out_index, 0.0), 6) AS commute_out_index
+FROM x LEFT JOIN tlook tl ON tl.ts = date_trunc('hour', x.ts) - INTERVAL 1 HOUR JOIN stations s ON s.station_id = x.station_id
+     LEFT JOIN regf ON regf.station_id = x.station_id AND regf.month = month(x.ts)
+     LEFT JOIN subd ON subd.station_id = x.station_id AND subd.day = x.base_date""", check="T")
+def g20_trips(spark, sf_dir):
+    w = ad.weather(spark, sf_dir).select(F.col("ts").alias("_h"), F.when(F.col("temp") < 50, F.col("rain")).alias("snow"))
+    t = ad.trips(spark, sf_dir).join(w, F.date_trunc("hour", "ts") == F.col("_h"), "left").drop("_h")
+    daily = ad.subway_daily(spark, sf_dir).withColumn("day", F.add_months("day", 12 * SUBWAY_YEARS))
+    out = entries.trip_station_features(t, TARGETS, ad.stations(spark, sf_dir), temp_lookup(spark, sf_dir), ad.region_month(spark, sf_dir),
+                                        ad.subway_points(spark, sf_dir), daily, HOLIDAYS)
+    return out.withColumns({c: F.round(c, 6) for c in R_TRIP})
+
+
 @register("g21_hourly_station_dataset", "G21 A23 A21 J1 J5 W8", PANEL + ", " + V("weather")[5:] + """,
 feats AS (SELECT p.station_id, p.ts, p.total_flow, w.temp FROM panel p LEFT JOIN weather w ON p.ts = w.ts),
 usage AS (SELECT start_id AS station_id, date_trunc('hour', ts) AS ts, CAST(round_even(sum(cnt), 0) AS BIGINT) AS usage
