@@ -1,5 +1,5 @@
-"""Least squares and feature selection from mergeable moments (SURVEY M12, M13, M26, M40,
-X16-X19, X21, X22).
+"""Least squares and feature selection from mergeable moments (SURVEY M12-M14,
+M22, M23, M25, M26, M40, X1, X16-X19, X21, X22).
 
 A moment is ``(n, mean, comoment)`` of a few columns: the weight, the means and the
 matrix of centred cross products. Two moments of disjoint rows merge exactly, so each
@@ -17,6 +17,7 @@ zero; a column without variance gets no weight.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -801,3 +802,110 @@ def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]], names=("varia
     whole = some.unionByName(none).groupBy(F.lit(0).alias("_all")).applyInPandas(merge_some, "cells array<double>")      # MERGE_FAN small matrices
     found = whole.mapInPandas(to_pairs, f"`{names[0]}` string, `{names[1]}` string, correlation double, n long")
     return found.withColumn("correlation", F.when(~F.isnan("correlation"), F.col("correlation")))
+
+
+# M14 / M22 / M23 / M25 -------------------------------------------------------------------
+def elastic_net(m: Moment, at: list[int], target: int, alpha: float, l1_ratio: float, scale: np.ndarray | None = None,
+                tolerance: float = 1e-11, rounds: int = 20_000) -> LinearFit:
+    """Minimum of ``sum w (y - xb)^2 / (2 sum w) + alpha (l1_ratio |b| + (1 - l1_ratio) b^2 / 2)`` on
+    columns divided by ``scale``, by cyclic coordinate descent on the moment alone."""
+    at = list(at)
+    s = (m.std() if scale is None else scale)[at]
+    if not m.n or not at:
+        return LinearFit(at, np.zeros(len(at)), float(m.mean[target]) if m.n else 0.0, np.zeros(len(at)))
+    gram = m.comoment[np.ix_(at, at)] / np.outer(s, s) / m.n
+    rhs = m.comoment[at, target] / s / m.n
+    w = np.zeros(len(at))
+    for _ in range(rounds):
+        moved = 0.0
+        for j in range(len(at)):
+            pull = rhs[j] - gram[j] @ w + gram[j, j] * w[j]
+            den = gram[j, j] + alpha * (1 - l1_ratio)
+            new = np.sign(pull) * max(abs(pull) - alpha * l1_ratio, 0.0) / den if den > 0 else 0.0
+            moved = max(moved, abs(new - w[j]))
+            w[j] = new
+        if moved < tolerance:
+            break
+    coef = w / s
+    return LinearFit(at, coef, float(m.mean[target] - coef @ m.mean[at]), w)
+
+
+# The penalties and shares of the grids.
+PENALTIES = (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)
+L1_SHARES = (0.2, 0.5, 0.8)
+MODEL_SPACE = {"linear": [{}], "ridge": [{"alpha": a} for a in PENALTIES], "lasso": [{"alpha": a, "l1_ratio": 1.0} for a in PENALTIES],
+               "elasticnet": [{"alpha": a, "l1_ratio": r} for a in PENALTIES for r in L1_SHARES]}
+
+
+def fit_linear(model: str, params: dict, m: Moment, at: list[int], target: int, scale: np.ndarray) -> LinearFit:
+    if model in ("linear", "ridge"):
+        return solve(m, at, target, params.get("alpha", 0.0), scale)
+    return elastic_net(m, at, target, params["alpha"], params["l1_ratio"], scale)
+
+
+def model_space_search(df: DataFrame, features: list[str], targets: list[str], split_col: str, order: list[str], weight: str | None = None,
+                       k: int = 3, space: dict[str, list[dict]] | None = None) -> DataFrame:
+    """Grid search over a space of linear models with sample weights, for every target.
+
+    ``split_col`` says train, valid or test. For each model the grid point of the best mean R2
+    over ``k`` expanding folds of the train rows (in ``order``) is fitted on all train rows and
+    scored on the three parts (``stage`` ``search``, with the gaps train - test and valid -
+    test). The best model of a target by valid R2 is then fitted again on train and valid rows
+    and scored once on the test rows (``stage`` ``sealed``). Fits are weighted, scales and
+    scores are not. Rows with a null in a feature, target or weight play no part.
+
+    The folds' moments, weighted and not, hold all that any grid point needs, so the rows are
+    read four times (positions, both moments, absolute errors) for the whole space."""
+    space = space or MODEL_SPACE
+    cols = [*features, *targets]
+    d = len(features)
+    at = list(range(d))
+    used = df.select(*dict.fromkeys([*order, split_col, *cols, *([weight] if weight else [])])).na.drop(subset=[*cols, *([weight] if weight else [])])
+    placed = global_position(used.filter(F.col(split_col) == "train"), order)
+    size = F.floor(F.col("_n") / (k + 1))
+    first = F.col("_n") - k * size
+    block = F.when((size == 0) | (F.col("_pos") < first), F.lit(0)).otherwise(F.floor(F.try_divide(F.col("_pos") - first, size)) + 1)
+    rows = cut_lineage(placed.withColumn("_block", block.cast("int")).drop("_pos", "_n").unionByName(
+        used.filter(F.col(split_col).isin("valid", "test")).withColumn("_block", F.when(F.col(split_col) == "valid", F.lit(k + 1)).otherwise(F.lit(k + 2)))))
+    plain = read_moments(moments(rows, cols, ["_block"]), ["_block"])
+    heavy = read_moments(moments(rows, cols, ["_block"], weight), ["_block"]) if weight else plain
+
+    def pick(of: dict, which) -> Moment:
+        return merged((of[b,] for b in which if (b,) in of), len(cols))
+
+    parts = {"train": range(k + 1), "valid": [k + 1], "test": [k + 2]}
+    folds = [(pick(heavy, range(j + 1)), pick(plain, range(j + 1)).std(), pick(plain, [j + 1])) for j in range(k)]
+    folds = [f for f in folds if f[0].n and f[2].n]
+    chosen, scores = [], {name: pick(plain, which) for name, which in parts.items()}
+    own, scale = pick(heavy, parts["train"]), scores["train"].std()
+    for t, target in enumerate(targets):
+        for model, grid in space.items():
+            cv = [float(np.mean([fit_linear(model, p, m, at, d + t, s).r2(test, d + t) for m, s, test in folds])) if folds else 0.0 for p in grid]
+            best = int(np.argmax(cv))
+            chosen.append(("search", t, model, grid[best], cv[best], fit_linear(model, grid[best], own, at, d + t, scale)))
+    both = [*parts["train"], *parts["valid"]]
+    for t in range(len(targets)):
+        top = max((c for c in chosen if c[0] == "search" and c[1] == t), key=lambda c: c[5].r2(scores["valid"], d + t))
+        chosen.append(("sealed", t, top[2], top[3], top[4], fit_linear(top[2], top[3], pick(heavy, both), at, d + t, pick(plain, both).std())))
+    mae = {}
+    for name, which in parts.items():
+        of_part = rows.filter(F.col("_block").isin(list(which)))
+        for t, target in enumerate(targets):
+            fits = [(i, c[5]) for i, c in enumerate(chosen) if c[1] == t and (c[0] == "search" or name == "test")]
+            for (i, _), e in zip(fits, mean_absolute_errors(of_part, features, target, [f for _, f in fits])):
+                mae[i, name] = e
+    out, schema = [], "stage string, target string, model string, params string, cv_r2 double"
+    for name in parts:
+        schema += f", {name}_R2 double, {name}_RMSE double, {name}_MAE double"
+    schema += ", train_test_gap double, valid_test_gap double"
+    for i, (stage, t, model, params, cv, f) in enumerate(chosen):
+        row, r2 = [stage, targets[t], model, json.dumps(params, sort_keys=True), cv], {}
+        for name, m in scores.items():
+            if stage == "sealed" and name != "test":
+                row += [None] * 3
+                continue
+            r2[name] = f.r2(m, d + t) if m.n else None
+            row += [r2[name], f.rmse(m, d + t) if m.n else None, mae[i, name]]
+        gaps = [None if stage == "sealed" or r2[a] is None or r2["test"] is None else r2[a] - r2["test"] for a in ("train", "valid")]
+        out.append((*row, *gaps))
+    return df.sparkSession.createDataFrame(out, schema)

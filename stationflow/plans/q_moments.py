@@ -14,6 +14,7 @@ from ..operators import cycles as cy
 from ..operators import evaluate as ev
 from ..operators import inventory as inv
 from ..operators import moments as mo
+from ..operators import profiles as pf
 from ..operators import windows as wn
 from ..sources import adapter as ad
 from ..util import cut_lineage
@@ -107,6 +108,15 @@ def m26(spark, sf_dir):
     return side["individual"].join(side["pooled"], ["station_id", "split"], "full")
 
 
+@register("m23_weighted_model_space", "M14 M22 M23 M25 M34", check="R")
+def m23(spark, sf_dir):
+    """Four linear models, their whole grids, week weights, both flows; sealed test."""
+    ff = feature_frame(spark, sf_dir)
+    split = F.when(F.col("ts") < _at(TRAIN_END), "train").when(F.col("ts") < _at(VALID_END), "valid").otherwise("test")
+    x = cut_lineage(pf.sample_weight(ff, pf.week_weights(ff, "y")).withColumn("split", split))
+    return mo.model_space_search(x, FEATURES, ["inflow", "outflow"], "split", ["ts", "station_id"], "sample_weight")
+
+
 def _selection(spark, sf_dir, which):
     train, valid, _ = _parts(spark, sf_dir)
     return mo.selection_study(train.unionByName(valid), FEATURES, "y", ["ts", "station_id"])[which]

@@ -1,5 +1,7 @@
 """Moments against plain fits on the rows."""
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -206,3 +208,53 @@ def test_pair_correlations_on_pairwise_complete_rows(spark):
     assert got["a", "d"].correlation is None and got["a", "d"].n > 100
     assert got["a", "e"].correlation is None and got["a", "e"].n == 0
     assert [r.correlation for r in mo.pair_correlations(df.limit(0), pairs).collect()] == [None] * 5
+
+
+def test_elastic_net_meets_its_optimality_conditions():
+    x, s, y = table(300)
+    m = mo.Moment.of(np.column_stack([x, y]))
+    sd = x.std(axis=0)
+    z = (x - x.mean(axis=0)) / sd
+    for alpha, share in ((0.05, 1.0), (0.5, 0.5), (3.0, 0.2), (1e6, 1.0)):
+        f = mo.elastic_net(m, list(range(D)), D, alpha, share)
+        w = f.scaled
+        slope = z.T @ (y - y.mean() - z @ w) / len(y) - alpha * (1 - share) * w
+        on = w != 0
+        assert np.allclose(slope[on], alpha * share * np.sign(w[on]), atol=1e-8) and (np.abs(slope[~on]) <= alpha * share + 1e-8).all()
+        assert np.isclose(f.intercept, y.mean() - f.coef @ x.mean(axis=0))
+    assert not w.any()
+    assert np.allclose(mo.elastic_net(m, [0, 1], D, 0.0, 0.5).coef, ridge(x, y, 0.0, cols=[0, 1])[0])
+
+
+def test_model_space_with_weights_equals_plain_search(spark):
+    x, s, y = table(600, 2, seed=9)
+    split = ["train" if i < 400 else "valid" if i < 500 else "test" for i in range(600)]
+    w = 1.0 + (np.arange(600) % 5)
+    df = frame(spark, x, s, y, split).withColumns({"w": F.col("i") % 5 + 1.0, "y2": -F.col("y")})
+    got = {(r.stage, r.target, r.model): r for r in mo.model_space_search(df, F_, ["y", "y2"], "split", ["ts", "i"], "w").collect()}
+    assert len(got) == 2 * 4 + 2
+
+    def wridge(rows, alpha):
+        xs, ys, ws = x[rows], y[rows], w[rows]
+        sd, mx, my = xs.std(axis=0), ws @ xs / ws.sum(), ws @ ys / ws.sum()
+        z = (xs - mx) / sd
+        b = np.linalg.solve((z * ws[:, None]).T @ z + alpha * np.eye(D), (z * ws[:, None]).T @ (ys - my)) / sd
+        return b, my - b @ mx
+
+    def score(rows, fit):
+        return r2(y[rows], x[rows] @ fit[0] + fit[1])
+
+    cv = {}
+    for alpha in mo.PENALTIES:
+        cv[alpha] = np.mean([score(np.arange(100 * j + 100, 100 * j + 200), wridge(np.arange(100 * j + 100), alpha)) for j in range(3)])
+    alpha = max(cv, key=lambda a: (cv[a], -a))
+    r = got["search", "y", "ridge"]
+    fit = wridge(np.arange(400), alpha)
+    assert r.params == json.dumps({"alpha": alpha}) and np.isclose(r.cv_r2, cv[alpha])
+    assert np.isclose(r.train_R2, score(np.arange(400), fit)) and np.isclose(r.test_R2, score(np.arange(500, 600), fit))
+    assert np.isclose(r.valid_test_gap, r.valid_R2 - r.test_R2)
+    assert np.isclose(r.test_MAE, np.abs(y[500:] - x[500:] @ fit[0] - fit[1]).mean())
+    best = max((v for key, v in got.items() if key[0] == "search" and key[1] == "y"), key=lambda v: v.valid_R2)
+    sealed = next(v for key, v in got.items() if key[0] == "sealed" and key[1] == "y")
+    assert sealed.model == best.model and sealed.valid_R2 is None and sealed.test_R2 > 0.5
+    assert np.isclose(got["search", "y2", "ridge"].test_R2, r.test_R2)
