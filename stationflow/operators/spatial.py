@@ -171,21 +171,33 @@ def three_tier_match(stations: DataFrame, regions: DataFrame, radius_m: float =
     return close.unionByName(t3)
 
 
+def _grams(text: str, k: int):
+    """Distinct pieces of k characters; shorter texts have none."""
+    return F.when(F.length(text) >= k, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - k + 1, F.lit(1))),
+                                                                    lambda p: F.substr(F.col(text), p, F.lit(k))))).otherwise(F.array().cast("array<string>"))
+
+
 def substring_match(left: DataFrame, registry: DataFrame, text: str, reg_text: str, reg_order: str,
                     k: int = 3) -> DataFrame:
     """Each left row's text contained in a registry text; the first registry
-    row (by ``reg_order``) wins. Blocking on grams: if ``s`` is inside ``r`` then ``s[:k]``
-    (all of ``s`` if it is shorter than k) starts somewhere in ``r``, so an equi join with
-    the grams of every length up to k finds every hit; ``contains`` then verifies."""
-    sizes = registry.select("*", F.explode(F.array(*[F.lit(n) for n in range(1, k + 1)])).alias("_n")) \
-        .filter(F.length(reg_text) >= F.col("_n"))
-    grams = sizes.select("*", F.explode(F.sequence(F.lit(1), F.length(reg_text) - F.col("_n") + 1)).alias("_p")) \
-        .withColumn("_g", F.col(reg_text).substr(F.col("_p"), F.col("_n"))).drop("_p", "_n").distinct()
-    L = left.withColumn("_g", F.substring(text, 1, k))
-    j = L.join(grams, "_g").filter(F.contains(F.col(reg_text), F.col(text))).drop("_g").dropDuplicates()
-    keys = left.columns
-    w = Window.partitionBy(*keys).orderBy(reg_order)
-    return j.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    row (by ``reg_order``, then text) wins. Null and empty texts match nothing.
+
+    A registry text that holds a text holds all of its grams, so one gram is enough to find it:
+    each distinct text takes the one that the fewest registry rows have (grams of k
+    characters, or the whole text where it is shorter), ``contains`` verifies. A gram that a
+    whole city shares is taken only by a text that has no rarer one; a text with a gram that
+    no registry row has is not looked up at all."""
+    texts = left.select(F.col(text).alias("_t")).filter(F.length("_t") > 0).distinct()
+    own = texts.withColumn("_g", F.explode(F.when(F.length("_t") >= k, _grams("_t", k)).otherwise(F.array("_t"))))
+    pieces = F.array_distinct(F.flatten(F.array(*[_grams(reg_text, n) for n in range(1, k + 1)])))
+    index = registry.withColumn("_g", F.explode(pieces))
+    often = index.groupBy("_g").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = own.join(often, "_g", "left").groupBy("_t").agg(
+        F.bool_and(F.col("_c").isNotNull()).alias("_all"), F.min_by("_g", F.struct("_c", "_g")).alias("_g")).filter("_all").drop("_all")
+    ranked = cut_lineage(ranked)                                            # a row per distinct text
+    found = index.join(ranked.select("_g").distinct(), "_g", "left_semi").join(ranked, "_g").filter(F.contains(F.col(reg_text), F.col("_t")))
+    first = found.groupBy("_t").agg(F.min_by(F.struct(*registry.columns), F.struct(reg_order, reg_text)).alias("_r"))
+    return left.join(first, left[text] == first["_t"]).select(*[left[c] for c in left.columns], "_r.*")
 
 
 # G15-G19 -----------------------------------------------------------------------
@@ -237,36 +249,59 @@ def bounds(df: DataFrame, keys: list, lat: str = "lat", lon: str = "lon") -> Dat
                                  F.avg(lat).alias("lat_center"), F.avg(lon).alias("lon_center"))
 
 
-def _hull(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Monotone chain on one group's distinct points (counter-clockwise)."""
-    key = pdf["cluster"].iloc[0]
-    pts = sorted(set(zip(pdf["lon"].astype(float), pdf["lat"].astype(float))))
+def hull(points) -> list[tuple[float, float]]:
+    """Vertices of the convex hull of ``(lon, lat)`` pairs, counter-clockwise from the smallest;
+    points on an edge are left out. One or two points are their own hull."""
+    pts = sorted(set(points))
     if len(pts) < 3:
-        kind = "line" if len(pts) == 2 else "point"
-        hull = pts
-    else:
-        def cross(o, a, b):
-            return (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-        lower, upper = [], []
-        for p in pts:
-            while len(lower) >= 2 and cross(lower[-2], lower[-1], p) <= 0:
-                lower.pop()
-            lower.append(p)
-        for p in reversed(pts):
-            while len(upper) >= 2 and cross(upper[-2], upper[-1], p) <= 0:
-                upper.pop()
-            upper.append(p)
-        hull = lower[:-1] + upper[:-1]
-        kind = "polygon" if len(hull) >= 3 else "line"
-    return pd.DataFrame({"cluster": [key] * len(hull), "kind": [kind] * len(hull),
-                         "vertex": list(range(len(hull))), "lon": [p[0] for p in hull],
-                         "lat": [p[1] for p in hull]})
+        return pts
+
+    def half(ordered):
+        out: list = []
+        for p in ordered:
+            while len(out) >= 2 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
+                out.pop()
+            out.append(p)
+        return out[:-1]
+
+    return half(pts) + half(pts[::-1])
+
+
+# Corners that a partition holds for a cluster before it reduces them to their hull again.
+_HULL_BUFFER = 4096
 
 
 def convex_hulls(df: DataFrame, cluster: str = "cluster", lat: str = "lat", lon: str = "lon") -> DataFrame:
-    """Hull vertices per cluster. Points are made distinct in Spark first, so a
-    group holds one cluster's distinct locations (a dimension, not trip rows)."""
-    pts = df.select(F.col(cluster).alias("cluster"), F.col(lat).cast("double").alias("lat"),
-                    F.col(lon).cast("double").alias("lon")).na.drop().distinct()
-    schema = f"cluster {dict(pts.dtypes)['cluster']}, kind string, vertex int, lon double, lat double"
-    return pts.groupBy("cluster").applyInPandas(_hull, schema=schema)
+    """Hull vertices per cluster: ``cluster, kind, vertex, lon, lat``. The hull of hulls
+    is the hull, so every partition reduces its points to one hull per cluster, and only
+    the corners travel, first within groups of partitions, then to the cluster's last merge."""
+    pts = df.select(F.col(cluster).alias("cluster"), F.col(lon).cast("double").alias("lon"), F.col(lat).cast("double").alias("lat")) \
+        .na.drop(subset=["cluster", "lon", "lat"])
+    corner = f"cluster {dict(pts.dtypes)['cluster']}, lon double, lat double"
+
+    def rows_of(held: dict) -> pd.DataFrame:
+        return pd.DataFrame([(c, *p) for c, ps in held.items() for p in hull(ps)], columns=["cluster", "lon", "lat"])
+
+    def partial(batches):
+        held: dict = {}
+        for pdf in batches:
+            for c, g in pdf.groupby("cluster", sort=False):
+                own = held.setdefault(c, [])
+                own += zip(g["lon"].tolist(), g["lat"].tolist())
+                if len(own) > _HULL_BUFFER:
+                    held[c] = hull(own)
+        if held:
+            yield rows_of(held)
+
+    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        return rows_of({pdf["cluster"].iloc[0]: zip(pdf["lon"], pdf["lat"])})
+
+    def finish(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = hull(zip(pdf["lon"], pdf["lat"]))
+        kind = "polygon" if len(found) > 2 else "line" if len(found) == 2 else "point"
+        return pd.DataFrame({"cluster": [pdf["cluster"].iloc[0]] * len(found), "kind": kind, "vertex": range(len(found)),
+                             "lon": [p[0] for p in found], "lat": [p[1] for p in found]})
+
+    some = pts.mapInPandas(partial, corner).groupBy("cluster", (F.spark_partition_id() % 64).alias("_part")).applyInPandas(merge, corner)
+    schema = corner.replace(", lon double, lat double", ", kind string, vertex int, lon double, lat double")
+    return some.groupBy("cluster").applyInPandas(finish, schema)

@@ -217,7 +217,23 @@ def g18(spark, sf_dir):
     return b.withColumns({"lat_center": F.round("lat_center", 6), "lon_center": F.round("lon_center", 6)})
 
 
-@register("g19_convex_hull", "G19 D8", check="R")
+_CROSS = "(q.lon - p.lon) * (r.lat - p.lat) {} (q.lat - p.lat) * (r.lon - p.lon)"
+_ALONG = "(r.lon - p.lon) * (q.lon - p.lon) + (r.lat - p.lat) * (q.lat - p.lat)"
+
+
+@register("g19_convex_hull", "G19 D8", "WITH RECURSIVE " + V("stations")[5:] + f""",
+pts AS (SELECT DISTINCT region AS cluster, lon, lat FROM stations),
+edge AS (SELECT p.cluster, p.lon, p.lat, q.lon AS to_lon, q.lat AS to_lat
+         FROM pts p JOIN pts q ON p.cluster = q.cluster AND (p.lon <> q.lon OR p.lat <> q.lat)
+         WHERE NOT EXISTS (SELECT 1 FROM pts r WHERE r.cluster = p.cluster AND ({_CROSS.format("<")}
+               OR {_CROSS.format("=")} AND ({_ALONG} < 0 OR {_ALONG} > pow(q.lon - p.lon, 2) + pow(q.lat - p.lat, 2))))),
+first_p AS (SELECT cluster, min((lon, lat)) AS p FROM pts GROUP BY 1),
+walk AS (SELECT cluster, 0 AS vertex, p[1] AS lon, p[2] AS lat, p FROM first_p
+         UNION ALL
+         SELECT w.cluster, w.vertex + 1, e.to_lon, e.to_lat, w.p FROM walk w
+         JOIN edge e ON e.cluster = w.cluster AND e.lon = w.lon AND e.lat = w.lat WHERE (e.to_lon, e.to_lat) <> w.p AND w.vertex < 1000)
+SELECT cluster, CASE count(*) OVER (PARTITION BY cluster) WHEN 1 THEN 'point' WHEN 2 THEN 'line' ELSE 'polygon' END AS kind,
+       CAST(vertex AS INTEGER) AS vertex, lon, lat FROM walk""")
 def g19(spark, sf_dir):
     s = ad.stations(spark, sf_dir).withColumnRenamed("region", "cluster")
     return sp.convex_hulls(s)

@@ -250,3 +250,32 @@ def test_nearest_by_pyramid_on_the_whole_globe(spark):
             assert r.pid == want[1] or math.isclose(hav(r.lat, r.lon, r.r_lat, r.r_lon), want[0], abs_tol=1e-5)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert spatial.nearest(ldf, rdf.limit(0), "id", "pid").collect() == []
+
+
+def test_substring_match_in_one_city(spark):
+    """All addresses share the city's grams: a text is looked up by its rarest one."""
+    reg = [(i, f"서울특별시 마포구 {chr(0xAC00 + 37 * i)}{chr(0xAC00 + 91 * i)}동 {i}") for i in range(120)] + [(500, "서울특별시 마포구")]
+    rdf = spark.createDataFrame(reg, "ord int, name string")
+    texts = [f"{chr(0xAC00 + 37 * i)}{chr(0xAC00 + 91 * i)}동" for i in range(0, 120, 3)] + ["서울특별시 마포구", "마포구 없는동", "", "동 7", None, "동 7"]
+    left = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    got = {r.k: r.ord for r in spatial.substring_match(left, rdf, "t", "name", "ord").collect()}
+    assert got == {i: next(o for o, n in reg if t in n) for i, t in enumerate(texts) if t and any(t in n for _, n in reg)}
+
+
+def test_hull_of_hulls(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_HULL_BUFFER", 8)
+    rng = random.Random(5)
+    rows = [(c, rng.randint(0, 30) / 2, rng.randint(0, 30) / 2) for c in (1, 2) for _ in range(400)] + [(3, 1.0, float(i)) for i in range(9)]
+    rows += [(4, 5.0, 5.0)] * 3 + [(5, None, 1.0)] + [(6, 2.0, 2.0), (6, 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "cluster int, lat double, lon double").repartition(9)
+    got = {}
+    for r in spatial.convex_hulls(df).orderBy("cluster", "vertex").collect():
+        got.setdefault(r.cluster, []).append((r.lon, r.lat, r.kind))
+    assert {c: v[0][2] for c, v in got.items()} == {1: "polygon", 2: "polygon", 3: "line", 4: "point", 6: "line"}
+    for c in (1, 2):
+        pts, v = {(lo, la) for k, la, lo in rows if k == c}, [p[:2] for p in got[c]]
+        assert v[0] == min(v) and set(v) <= pts and len(v) == len(set(v))
+        for a, b in zip(v, v[1:] + v[:1]):                             # every point on the left of every edge, no corner on it
+            side = [(b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]) for p in pts]
+            assert min(side) >= 0 and all(s > 0 for s, p in zip(side, pts) if p in set(v) - {a, b})
+    assert [p[:2] for p in got[3]] == [(0.0, 1.0), (8.0, 1.0)]
