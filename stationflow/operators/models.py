@@ -17,52 +17,33 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..util import cut_lineage
 from . import evaluate as ev
+from .prepare import FILLED, ExactPrepare
 from .splits import global_position, permute_column, shuffled_columns
 
 FEATURES_COL = "features"
 
 
 # M10 / M11 -------------------------------------------------------------------
-def preprocess_stages(numeric: list[str], categorical: list[str] = (), scale: bool = True) -> list:
-    """Median imputation + (optional) standardisation of numeric columns; category
-    columns: string index (unseen -> extra bucket) + one-hot. Missing categories are
-    filled with the training mode by :func:`fill_mode` beforehand."""
-    stages = []
-    imp = [f"{c}__imp" for c in numeric]
-    if numeric:
-        stages.append(Imputer(inputCols=numeric, outputCols=imp, strategy="median"))
-    cat_out = []
-    for c in categorical:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-        cat_out.append(f"{c}__oh")
-    if categorical:
-        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical], outputCols=cat_out,
-                                    handleInvalid="keep"))
-    if scale and numeric:
-        stages.append(VectorAssembler(inputCols=imp, outputCol="_num", handleInvalid="keep"))
-        stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
-        stages.append(VectorAssembler(inputCols=["_num_s", *cat_out], outputCol=FEATURES_COL))
-    else:
-        stages.append(VectorAssembler(inputCols=[*imp, *cat_out], outputCol=FEATURES_COL, handleInvalid="keep"))
-    return stages
-
-
-def fill_mode(train: DataFrame, others: list[DataFrame], cols: list[str]):
-    """Most-frequent value of each category column on the training rows (one small
-    aggregate per column), applied to every frame."""
-    modes = {}
-    for c in cols:
-        r = train.filter(F.col(c).isNotNull()).groupBy(c).count().orderBy(F.desc("count"), c).first()
-        modes[c] = r[0] if r else None
-    fill = {k: v for k, v in modes.items() if v is not None}
-    return train.fillna(fill), [o.fillna(fill) for o in others]
+def prepare_model(train: DataFrame, numeric: list[str], categorical: list[str] = (), scale: bool = True) -> PipelineModel:
+    """Preparation fitted on ``train``: exact medians (and standardisation) of the numeric
+    columns, modes and one-hot columns of the category columns, one feature vector. Other
+    frames are filled and aligned the same way."""
+    exact = ExactPrepare(numeric=list(numeric), categorical=list(categorical)).fit(train)
+    filled, hot = exact.outputs()
+    stages: list = [exact]
+    if scale and filled:
+        stages += [VectorAssembler(inputCols=filled, outputCol="_num"),
+                   StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True)]
+        filled = ["_num_s"]
+    stages.append(VectorAssembler(inputCols=[*filled, *hot], outputCol=FEATURES_COL))
+    return Pipeline(stages=stages).fit(train)
 
 
 # M12-M20 ---------------------------------------------------------------------
@@ -105,17 +86,18 @@ def ridge_reg_param(df: DataFrame, label: str, alpha: float) -> float:
 
 
 def fit(train: DataFrame, numeric: list[str], label: str, kind: str, categorical: list[str] = (),
-        log_target: bool = False, weight: str | None = None, scale: bool = True, **params) -> PipelineModel:
-    """Fit preprocessing + estimator. With ``log_target`` the model learns
-    ``log1p(label)`` (M21)."""
+        log_target: bool = False, weight: str | None = None, scale: bool = True, prepare_on: DataFrame | None = None, **params) -> PipelineModel:
+    """Fit preparation + estimator. With ``log_target`` the model learns ``log1p(label)``
+    (M21). ``prepare_on`` are the rows the preparation may see (default: ``train``); rows that
+    only stop the training early must not be among them (M18)."""
     lab = label
     if log_target:
         train = train.withColumn("_log_label", F.log1p(F.col(label)))
         lab = "_log_label"
     if kind == "ridge" and "alpha" in params:
         params["regParam"] = ridge_reg_param(train, lab, params.pop("alpha"))
-    stages = preprocess_stages(numeric, categorical, scale) + [estimator(kind, lab, weight, **params)]
-    return Pipeline(stages=stages).fit(train)
+    prepared = prepare_model(train if prepare_on is None else prepare_on, numeric, categorical, scale)
+    return PipelineModel([*prepared.stages, estimator(kind, lab, weight, **params).fit(prepared.transform(train))])
 
 
 def predict(model: PipelineModel, df: DataFrame, log_target: bool = False, cap: str | None = None) -> DataFrame:
@@ -126,7 +108,7 @@ def predict(model: PipelineModel, df: DataFrame, log_target: bool = False, cap:
         out = out.withColumn("pred", F.greatest(F.expm1("pred"), F.lit(0.0)))
     if cap:
         out = out.withColumn("pred", F.least(F.greatest("pred", F.lit(0.0)), F.col(cap).cast("double")))
-    drop = [c for c in out.columns if c.endswith(("__imp", "__idx", "__oh")) or c in
+    drop = [c for c in out.columns if c.endswith((FILLED, "__oh")) or c in
             ("_num", "_num_s", FEATURES_COL, "rawPrediction", "_log_label")]
     return out.drop(*drop)
 

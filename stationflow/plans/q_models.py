@@ -14,10 +14,11 @@ from ..operators import diagnose as dg
 from ..operators import evaluate as ev
 from ..operators import inventory as inv
 from ..operators import models as md
+from ..operators.prepare import ExactPrepare
 from ..sources import adapter as ad
 from ..util import cut_lineage
 from .catalog import register
-from .q_diagnose import FEATURES, feature_frame
+from .q_diagnose import FEATURES, FF_SQL, feature_frame
 
 # total_lag1 is the sum of the two flow lags, so it stays out
 NUM = ["total_lag24", "inflow_lag1", "outflow_lag1", "hour", "weekday", "temp", "roll3"]
@@ -48,11 +49,42 @@ def m11(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
     tr = tr.withColumn("station_cat", F.when(F.col("station_id") != "ST-5", F.col("station_id")))
     te = te.withColumn("station_cat", F.col("station_id"))
-    tr, (te,) = md.fill_mode(tr, [te], ["station_cat"])
     m = md.fit(tr, NUM, "y", "linear", categorical=["station_cat"])
     return _scored(m, te)
 
 
+PREP_SQL = FF_SQL + """,
+tr AS (SELECT *, CASE WHEN station_id <> 'ST-5' THEN station_id END AS cat FROM ff WHERE ts < TIMESTAMP '2024-01-15'),
+te AS (SELECT *, CASE WHEN hour(ts) = 3 THEN NULL WHEN hour(ts) = 5 THEN 'ST-new' ELSE station_id END AS cat FROM ff WHERE ts >= TIMESTAMP '2024-01-22')"""
+
+
+def _prepared(spark, sf_dir):
+    tr, _, te = _split(spark, sf_dir)
+    tr = tr.withColumn("cat", F.when(F.col("station_id") != "ST-5", F.col("station_id")))
+    te = te.withColumn("cat", F.when(F.hour("ts") == 5, "ST-new").when(F.hour("ts") != 3, F.col("station_id")))
+    return ExactPrepare(numeric=NUM, categorical=["cat"]).fit(tr).transform(te)
+
+
+@register("p36_median_of_train", "P36 M10", PREP_SQL + ",\nmed AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in NUM) + """ FROM tr)
+SELECT te.station_id, te.ts, """ + ", ".join(f"round(coalesce(te.{c}, med.{c}), 6) AS {c}" for c in NUM) + " FROM te, med", check="T")
+def p36(spark, sf_dir):
+    """Test rows filled with the exact medians of the training rows."""
+    x = _prepared(spark, sf_dir)
+    return x.select("station_id", "ts", *[F.round(f"{c}__imp", 6).alias(c) for c in NUM])
+
+
+@register("p15_one_hot_aligned", "P15 M11", PREP_SQL + """,
+mode_ AS (SELECT cat AS m FROM tr WHERE cat IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+names AS (SELECT DISTINCT cat AS name FROM tr WHERE cat IS NOT NULL)
+SELECT te.station_id, te.ts, names.name, CAST(coalesce(te.cat, m) = names.name AS DOUBLE) AS hot FROM te, mode_, names""")
+def p15(spark, sf_dir):
+    """Test rows aligned to the training categories: the mode for a missing one, zeros for a new one."""
+    x = _prepared(spark, sf_dir)
+    hot = [c for c in x.columns if c.endswith("__oh")]
+    return x.select("station_id", "ts", F.inline(F.array(*[
+        F.struct(F.lit(c[len("cat="):-len("__oh")]).alias("name"), F.col(f"`{c}`").alias("hot")) for c in hot])))
+
+
 @register("m13_ridge", "M13", check="R")
 def m13(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
@@ -89,7 +121,7 @@ def m18(spark, sf_dir):
     tr, va, te = _split(spark, sf_dir)
     both = tr.withColumn("is_val", F.lit(False)).unionByName(va.withColumn("is_val", F.lit(True)))
     m = md.fit(both, NUM, "y", "gbt", scale=False, maxIter=30, maxDepth=4, validationIndicatorCol="is_val",
-               validationTol=0.01)
+               validationTol=0.01, prepare_on=tr)
     return _scored(m, te)
 
 

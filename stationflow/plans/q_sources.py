@@ -104,6 +104,33 @@ def s09(spark, sf_dir):
     return rd.list_keys(spark, path, ["station_id", "k"])
 
 
+@register("s09_station_csv", "S9 S2 S4", V("od_daily") + """
+SELECT start_id AS station_id, count(*) AS n, CAST(sum(cnt) AS DOUBLE) AS cnt, min(day) AS first_day, max(day) AS last_day
+FROM od_daily GROUP BY 1""")
+def s09_csv(spark, sf_dir):
+    """One marked CSV per station, read back with the station taken from the file's folder."""
+    path = rd.scratch_path(spark, "s09csv")
+    od = ad.od_daily(spark, sf_dir).select("order_id", F.col("start_id").alias("station_id"), "day", "cnt")
+    rd.write_station_csv(od, path)
+    df = rd.read_csv(spark, f"{path}/station_id=*/*.csv", "order_id long, day date, cnt double", lineage=True)
+    return df.groupBy(F.regexp_extract("source_file", r"station_id=([^/]+)", 1).alias("station_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cnt").alias("cnt"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+@register("s11_keyed_store", "S11 S10 S12", V("od_daily") + """
+SELECT start_id AS station_id, CAST(month(day) % 3 AS INTEGER) AS k, count(*) AS n,
+       CAST(sum(CASE WHEN start_id IN ('ST-1', 'ST-4') THEN 2 * cnt ELSE cnt END) AS DOUBLE) AS cnt
+FROM od_daily WHERE start_id IN ('ST-1', 'ST-2') GROUP BY 1, 2""")
+def s11(spark, sf_dir):
+    """A store of all stations, two of them written again, two read back by key."""
+    path = rd.scratch_path(spark, "s11")
+    od = ad.od_daily(spark, sf_dir).select(F.col("start_id").alias("station_id"), (F.month("day") % 3).alias("k"), "cnt")
+    rd.write_keyed(od, path, ["station_id", "k"])
+    rd.write_keyed(od.filter(F.col("station_id").isin("ST-1", "ST-4")).withColumn("cnt", F.col("cnt") * 2), path, ["station_id", "k"])
+    one, two = (rd.read_keyed(spark, path, station_id=s) for s in ("ST-1", "ST-2"))
+    return one.unionByName(two).groupBy("station_id", "k").agg(F.count(F.lit(1)).alias("n"), F.sum("cnt").cast("double").alias("cnt"))
+
+
 @register("s13_xml_error_log", "S13", """
 SELECT CAST(ts AS VARCHAR) AS measured_at, CAST(500 + event_id % 3 AS INTEGER) AS status_code,
        'E' || CAST(event_id % 7 AS VARCHAR) AS xml_code, 'failure ' || props AS xml_message

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,7 +130,9 @@ def cache_or_build(spark: SparkSession, path: str, build, fmt: str = "parquet")
     (``mode('ignore')`` keeps a concurrent writer's copy)."""
     try:
         return spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - absent path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         build().write.mode("ignore").format(fmt).save(path)
         return spark.read.format(fmt).load(path)
 
@@ -150,6 +153,33 @@ def list_keys(spark: SparkSession, path: str, keys: list[str], fmt: str = "parqu
     return spark.read.format(fmt).option("header", True).load(path).select(*keys).distinct()
 
 
+BOM = "\ufeff"
+
+
+def write_station_csv(df: DataFrame, path: str, key: str = "station_id") -> None:
+    """One CSV file per station, below ``<key>=<value>/``, each with a header and a byte
+    order mark (the mark is the first character of the header line)."""
+    first, *rest = [c for c in df.columns if c != key]
+    marked = df.select(F.col(first).alias(BOM + first), *rest, key)
+    marked.repartition(key).write.mode("overwrite").partitionBy(key).option("header", True).option("encoding", "UTF-8").csv(path)
+
+
+def write_keyed(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Put the tables of the keys in ``df`` into the store at ``path`` (created if absent).
+    The tables of these keys are replaced, those of other keys stay (dynamic partition
+    overwrite, committed when all are written)."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def read_keyed(spark: SparkSession, path: str, schema: str | None = None, **key) -> DataFrame:
+    """The store's table of one key (or of all keys that agree with the named ones): only
+    their folders are listed in the scan."""
+    found = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    for name, value in key.items():
+        found = found.filter(F.col(name) == F.lit(value))
+    return found
+
+
 # S13 -------------------------------------------------------------------------
 def read_error_log(spark: SparkSession, path: str) -> DataFrame:
     """Quoted multi-line CSV whose ``error_text`` holds XML; the result code and
