@@ -134,6 +134,14 @@ def availability_label(before: DataFrame, prepared: Column | str) -> Column:
 
 
 # I9 / I10 --------------------------------------------------------------------
+def residual_buffer(df: DataFrame, residual: str, keys: list[str], q: float = 0.9) -> DataFrame:
+    """The safety buffer of each group, the exact q-quantile of ``max(residual, 0)``, from
+    counts per value (no group's values meet in one buffer)."""
+    from .splits import exact_percentiles
+    x = df.filter(F.col(residual).isNotNull()).withColumn("_over", F.greatest(F.col(residual).cast("double"), F.lit(0.0)))
+    return exact_percentiles(x, "_over", [q], keys, "_p").select(*keys, F.col("_p")[0].alias("buffer"))
+
+
 def needed_bikes(pred, buffer, stock) -> Column:
     return F.greatest(F.lit(0), F.ceil(_c(pred) + _c(buffer) - _c(stock))).cast("bigint")
 
@@ -192,5 +200,5 @@ def replenish_target(demand) -> Column:
 
 
 __all__ = ["estimated_stock", "simulate_stock", "cycle_need", "full_cycle_grid", "carried_refill",
-           "visit_availability", "availability_label", "needed_bikes", "required_unclipped",
+           "visit_availability", "availability_label", "needed_bikes", "residual_buffer", "required_unclipped",
            "projection_12h", "risk_summary", "capacity_risk", "replenish_target"]

@@ -54,14 +54,14 @@ ff AS (SELECT p.station_id, p.ts, CAST(p.total_flow AS DOUBLE) AS y, CAST(p.infl
               r3 AS (PARTITION BY p.station_id ORDER BY p.ts ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))"""
 
 
-def _pairs_sql(cols):
+def pairs_sql(cols):
     import itertools
     return "\nUNION ALL ".join(
         f"SELECT '{a}' AS variable_1, '{b}' AS variable_2, corr({a}, {b}) AS correlation FROM ff"
         for a, b in itertools.combinations(cols, 2))
 
 
-PAIRS_SQL = FF_SQL + ",\npairs AS (" + _pairs_sql(FEATURES) + ")"
+PAIRS_SQL = FF_SQL + ",\npairs AS (" + pairs_sql(FEATURES) + ")"
 
 
 @register("x01_corr_pairs", "X1 X2", PAIRS_SQL + """

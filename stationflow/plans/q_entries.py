@@ -11,7 +11,7 @@ from .q_cleanse import TARGETS, TSQL
 from .q_diagnose import FF_SQL, feature_frame
 from .q_flow import HOURLY_SQL, PANEL, hourly_flow_panel
 from .q_geo import G12_CTES, G13_CTES
-from .q_inventory import panel_with_capacity
+from .q_inventory import PROJ_SQL, panel_with_capacity
 from .q_panel import TEMP_SRC_SQL, temp_lookup
 
 V = ad.with_views
@@ -144,6 +144,10 @@ def entry_b(spark, sf_dir):
     return entries.entry_b_train_frame(p, sel)
 
 
-@register("entry_c_risk", "I11 I13", check="R")
+@register("entry_c_risk", "I11 I13", PROJ_SQL + """
+SELECT station_id, count(*) AS cycles, CAST(sum(risk) AS BIGINT) AS risk_cycles, round(avg(need), 6) AS mean_need, max(need) AS max_need,
+       min(proj_min) AS min_stock, CASE WHEN max(need) FILTER (WHERE risk = 1) >= 3 THEN 'act_now'
+            WHEN max(need) FILTER (WHERE risk = 1) >= 1 THEN 'review' ELSE 'watch' END AS priority
+FROM proj GROUP BY 1""", check="T")
 def entry_c(spark, sf_dir):
-    return entries.entry_c_risk(panel_with_capacity(spark, sf_dir))
+    return entries.entry_c_risk(panel_with_capacity(spark, sf_dir)).withColumn("mean_need", F.round("mean_need", 6))

@@ -8,6 +8,7 @@ from ..functions.timeparts import trunc
 
 from ..operators import flow, panel, windows
 from ..sources import adapter as ad
+from ..operators.inventory import residual_buffer
 from .catalog import register
 
 V = ad.with_views
@@ -369,8 +370,8 @@ SELECT station_id, round(quantile_cont(greatest(y - pred, 0), 0.9), 6) AS buffer
           check="T")
 def a29(spark, sf_dir):
     p = panel_with_pred(spark, sf_dir)
-    return p.groupBy("station_id").agg(
-        F.round(F.percentile(F.greatest(F.col("y") - F.col("pred"), F.lit(0.0)), 0.9), 6).alias("buffer"))
+    return residual_buffer(p.withColumn("residual", F.col("y") - F.col("pred")), "residual", ["station_id"]) \
+        .withColumn("buffer", F.round("buffer", 6))
 
 
 @register("a37_error_table", "A37", PRED_SQL + """

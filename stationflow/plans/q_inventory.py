@@ -154,8 +154,7 @@ def i09(spark, sf_dir):
     from pyspark.sql import Window
     c = c.withColumn("pred", F.lag("outflow_sum", 2).over(
         Window.partitionBy("station_id").orderBy("cycle_start")).cast("double")).filter("pred IS NOT NULL")
-    buf = c.groupBy("station_id").agg(
-        F.percentile(F.greatest(F.col("outflow_sum") - F.col("pred"), F.lit(0.0)), 0.9).alias("buffer"))
+    buf = inv.residual_buffer(c.withColumn("over", F.col("outflow_sum") - F.col("pred")), "over", ["station_id"])
     x = c.join(buf, "station_id")
     ratio, risk = inv.capacity_risk("net_flow_max", "capacity")
     return x.select("station_id", "cycle_start", inv.needed_bikes("pred", "buffer", "capacity").alias("needed"),

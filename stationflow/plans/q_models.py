@@ -158,21 +158,6 @@ def m22(spark, sf_dir):
     return _scored(md.fit(trw, NUM, "y", "linear", weight="sample_weight"), te)
 
 
-@register("m24_random_search", "M24", check="R")
-def m24(spark, sf_dir):
-    tr, va, _ = _split(spark, sf_dir)
-    g = md.random_grid({"regParam": (0.001, 1.0), "elasticNetParam": [0.0, 0.5, 1.0]}, n=3, seed=7)
-    return md.ts_search(tr.unionByName(va), NUM, "y", "elasticnet", g, ["ts", "station_id"], k=2)
-
-
-@register("m25_refit_sealed_test", "M25", check="R")
-def m25(spark, sf_dir):
-    tr, va, te = _split(spark, sf_dir)
-    g = md.grid(regParam=[0.01, 1.0])
-    sc = md.ts_search(tr, NUM, "y", "ridge", g, ["ts", "station_id"], k=2)
-    return md.refit_sealed(tr, va, te, NUM, "y", "ridge", md.best_params(sc))
-
-
 @register("m27_net_direct_vs_difference", "M27", check="R")
 def m27(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
@@ -239,21 +224,6 @@ def m41(spark, sf_dir):
     return a.withColumn("encoding", F.lit("number")).unionByName(b.withColumn("encoding", F.lit("one_hot")))
 
 
-@register("m42_capacity_clip", "M42", check="R")
-def m42(spark, sf_dir):
-    tr, _, te = _split(spark, sf_dir)
-    cap = ad.stations(spark, sf_dir).select("station_id", (F.col("lcd") + F.col("qr")).alias("capacity"))
-    te = te.join(F.broadcast(cap), "station_id")
-    p = md.predict(md.fit(tr, NUM, "y", "linear"), te, cap="capacity")
-    return p.select("station_id", "ts", "y", "pred", "capacity")
-
-
-def _lag_features(frame):
-    w = Window.partitionBy("station_id").orderBy("ts")
-    return frame.withColumns({"lag1": F.lag("y", 1).over(w), "lag24": F.lag("y", 24).over(w),
-                              "hour": F.hour("ts").cast("double"), "weekday": F.weekday("ts").cast("double")})
-
-
 @register("i12_recursive_projection", "I12", check="R")
 def i12(spark, sf_dir):
     ff = cut_lineage(feature_frame(spark, sf_dir).select("station_id", "ts", "y"))

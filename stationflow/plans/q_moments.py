@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from ..functions import timeparts as tp
 from ..operators import cycles as cy
+from ..operators import diagnose as dg
 from ..operators import evaluate as ev
 from ..operators import inventory as inv
 from ..operators import moments as mo
 from ..operators import profiles as pf
 from ..operators import windows as wn
+from ..operators.models import random_grid
 from ..sources import adapter as ad
 from ..util import cut_lineage
 from .catalog import register
-from .q_diagnose import FEATURES, FF_SQL, feature_frame
+from .q_diagnose import FEATURES, FF_SQL, PROFILE_SQL, feature_frame, pairs_sql
 from .q_inventory import panel_with_capacity
 from .q_splits import MODELS_SQL, model_rows
 
@@ -117,6 +119,67 @@ def m23(spark, sf_dir):
     return mo.model_space_search(x, FEATURES, ["inflow", "outflow"], "split", ["ts", "station_id"], "sample_weight")
 
 
+def _split_frame(spark, sf_dir):
+    split = F.when(F.col("ts") < _at(TRAIN_END), "train").when(F.col("ts") < _at(VALID_END), "valid").otherwise("test")
+    return cut_lineage(feature_frame(spark, sf_dir).withColumn("split", split))
+
+
+@register("m24_random_search", "M24", check="R")
+def m24(spark, sf_dir):
+    """60 seeded draws of penalty and share, with the plain model beside them."""
+    draws = random_grid({"alpha": (0.0001, 100.0), "l1_ratio": [0.0, 0.1, 0.3, 0.5, 0.7, 0.9, 1.0]}, n=60, seed=7)
+    return mo.model_space_search(_split_frame(spark, sf_dir), FEATURES, ["y"], "split", ["ts", "station_id"], space={"linear": [{}], "elasticnet": draws})
+
+
+@register("m25_refit_sealed_test", "M25", check="R")
+def m25(spark, sf_dir):
+    """The best of four searches, fitted again on train and valid, scored once on the test rows."""
+    s = mo.model_space_search(_split_frame(spark, sf_dir), FEATURES, ["y", "inflow", "outflow"], "split", ["ts", "station_id"])
+    return s.filter("stage = 'sealed'").select("target", "model", "params", "cv_r2", "test_R2", "test_RMSE", "test_MAE")
+
+
+_RIDGE_HEAD = "WITH RECURSIVE " + FF_SQL[len("WITH "):] + f",\ntrain AS (SELECT * FROM ff WHERE ts < TIMESTAMP '{TRAIN_END}'),"
+
+
+@register("m42_capacity_clip", "M42", _RIDGE_HEAD + normal_equations_sql("train", NUM, "y", 10.0) + ", " + ad.with_views("stations")[5:] + f"""
+SELECT ff.station_id, ff.ts, ff.y, CAST(s.lcd + s.qr AS BIGINT) AS capacity,
+       round(least(greatest(c.intercept + {" + ".join(f"c.w[{i + 1}] * ff.{f}" for i, f in enumerate(NUM))}, 0.0), CAST(s.lcd + s.qr AS DOUBLE)), 6) + 0.0 AS pred
+FROM ff JOIN stations s ON s.station_id = ff.station_id, coefs c
+WHERE ff.ts >= TIMESTAMP '{VALID_END}' AND {" AND ".join(f"ff.{f} IS NOT NULL" for f in NUM)}""", check="T")
+def m42(spark, sf_dir):
+    """Ridge forecasts of the test rows, clipped to the docks of the station."""
+    ff = cut_lineage(feature_frame(spark, sf_dir))
+    model = mo.least_squares(ff.filter(F.col("ts") < _at(TRAIN_END)), NUM, "y", 10.0)
+    cap = ad.stations(spark, sf_dir).select("station_id", (F.col("lcd") + F.col("qr")).cast("long").alias("capacity"))
+    p = mo.linear_prediction(ff.filter(F.col("ts") >= _at(VALID_END)).na.drop(subset=NUM), model, NUM).join(cap, "station_id")
+    clipped = F.least(F.greatest("pred", F.lit(0.0)), F.col("capacity").cast("double"))
+    return p.select("station_id", "ts", "y", "capacity", F.round(clipped, 6).alias("pred"))
+
+
+# Importance of a feature is the size of its standardised ridge coefficient
+_IMPORTANCE = "[" + ", ".join(f"abs(c.w[{i + 1}] * s.s{i})" for i in range(len(FEATURES))) + "]"
+
+
+@register("x10_partner_rules_ridge", "X10 X17", "WITH RECURSIVE " + PROFILE_SQL[len("WITH "):] + ",\nunr AS (" + pairs_sql(FEATURES) + "),\n"
+          + normal_equations_sql("ff", FEATURES, "y", 1.0).strip() + f""",
+imp AS (SELECT unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS feature, unnest({_IMPORTANCE}) AS importance FROM coefs c JOIN stats s ON c.k_ = s.k_),
+hp AS (SELECT variable_1 AS feature, variable_2 AS p FROM unr WHERE abs(correlation) >= 0.8
+       UNION ALL SELECT variable_2, variable_1 FROM unr WHERE abs(correlation) >= 0.8),
+pa AS (SELECT feature, list_sort(list(p)) AS high_corr_partners FROM hp GROUP BY 1)
+SELECT prof.feature, nunique, missing_ratio, high_corr_partners, round(importance, 6) AS importance,
+       nunique <= 1 OR (coalesce(importance, 0) < 0.001 AND missing_ratio >= 0.9) AS drop_must,
+       NOT (nunique <= 1 OR (coalesce(importance, 0) < 0.001 AND missing_ratio >= 0.9))
+         AND (coalesce(importance, 0) < 0.003 OR high_corr_partners IS NOT NULL) AS drop_consider
+FROM prof LEFT JOIN pa ON pa.feature = prof.feature LEFT JOIN imp ON imp.feature = prof.feature""", check="T")
+def x10(spark, sf_dir):
+    ff = cut_lineage(feature_frame(spark, sf_dir))
+    m = mo.read_moments(mo.moments(ff, [*FEATURES, "y"])).get((), mo.Moment.empty(len(FEATURES) + 1))
+    w = mo.solve(m, list(range(len(FEATURES))), len(FEATURES), 1.0).scaled
+    imp = spark.createDataFrame([(f, abs(float(v))) for f, v in zip(FEATURES, w)], "feature string, importance double")
+    r = dg.partner_rules(dg.feature_profile(ff, FEATURES), dg.corr_pairs(ff, FEATURES), imp, 0.8)
+    return r.withColumns({"importance": F.round("importance", 6), "missing_ratio": F.round("missing_ratio", 6)})
+
+
 def _selection(spark, sf_dir, which):
     train, valid, _ = _parts(spark, sf_dir)
     return mo.selection_study(train.unionByName(valid), FEATURES, "y", ["ts", "station_id"])[which]
