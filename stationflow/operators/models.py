@@ -48,8 +48,7 @@ def prepare_model(train: DataFrame, numeric: list[str], categorical: list[str] =
 
 # M12-M20 ---------------------------------------------------------------------
 def estimator(kind: str, label: str = "label", weight: str | None = None, seed: int = 42, **params):
-    """Estimator by name. ``extra_trees`` is a random forest with one-third feature
-    subsets (stated stand-in; Spark has no randomised split thresholds)."""
+    """Estimator by name."""
     common = {"featuresCol": FEATURES_COL, "labelCol": label, "predictionCol": "pred"}
     if weight:
         common["weightCol"] = weight
@@ -67,8 +66,6 @@ def estimator(kind: str, label: str = "label", weight: str | None = None, seed:
         return GeneralizedLinearRegression(**common, family="tweedie", **params)
     if kind == "rf":
         return RandomForestRegressor(**common, seed=seed, **params)
-    if kind == "extra_trees":
-        return RandomForestRegressor(**common, seed=seed, featureSubsetStrategy="onethird", **params)
     if kind == "gbt":
         return GBTRegressor(**common, seed=seed, **params)
     common.pop("predictionCol")

@@ -14,6 +14,7 @@ from ..operators import diagnose as dg
 from ..operators import evaluate as ev
 from ..operators import inventory as inv
 from ..operators import models as md
+from ..operators.extra_trees import fit_extra_trees
 from ..operators.prepare import ExactPrepare
 from ..sources import adapter as ad
 from ..util import cut_lineage
@@ -22,7 +23,7 @@ from .q_diagnose import FEATURES, FF_SQL, feature_frame
 
 # total_lag1 is the sum of the two flow lags, so it stays out
 NUM = ["total_lag24", "inflow_lag1", "outflow_lag1", "hour", "weekday", "temp", "roll3"]
-SMALL_RF = {"numTrees": 20, "maxDepth": 5}
+FOREST = {"numTrees": 100, "maxDepth": 8, "minInstancesPerNode": 5}
 
 
 def _split(spark, sf_dir):
@@ -113,7 +114,7 @@ def m16(spark, sf_dir):
 @register("m17_random_forest", "M17", check="R")
 def m17(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
-    return _scored(md.fit(tr, NUM, "y", "rf", scale=False, **SMALL_RF), te)
+    return _scored(md.fit(tr, NUM, "y", "rf", scale=False, **FOREST), te)
 
 
 @register("m18_gbt_early_stopping", "M18", check="R")
@@ -125,10 +126,11 @@ def m18(spark, sf_dir):
     return _scored(m, te)
 
 
-@register("m19_extra_trees_standin", "M19", check="R")
+@register("m19_extra_trees", "M19", check="R")
 def m19(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
-    return _scored(md.fit(tr, NUM, "y", "extra_trees", scale=False, **SMALL_RF), te)
+    forest = fit_extra_trees(tr, NUM, "y", trees=100, depth=8, min_leaf=5)
+    return ev.regression_metrics(forest.predict(te.na.drop(subset=NUM)), "y", "pred", keys=["station_id"])
 
 
 @register("m20_classifiers", "M20 M35", check="R")
@@ -207,7 +209,7 @@ def m37(spark, sf_dir):
 @register("m39_importance_table", "M39", check="R")
 def m39(spark, sf_dir):
     tr, _, _ = _split(spark, sf_dir)
-    m = md.fit(tr, NUM, "y", "rf", scale=False, **SMALL_RF)
+    m = md.fit(tr, NUM, "y", "rf", scale=False, **FOREST)
     names, vals = zip(*md.importances(m, NUM))
     t = ev.importance_table(spark, list(names), list(vals))
     return t.groupBy("group").agg(F.sum("importance").alias("importance"), F.count(F.lit(1)).alias("n"))
@@ -239,7 +241,7 @@ def x10(spark, sf_dir):
     tr, _, _ = _split(spark, sf_dir)
     prof = dg.feature_profile(tr, FEATURES)
     pairs = dg.corr_pairs(tr, FEATURES)
-    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
+    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **FOREST)
     imp = spark.createDataFrame(md.importances(m, FEATURES), "feature string, importance double")
     return dg.partner_rules(prof, pairs, imp, 0.95)
 
@@ -247,7 +249,7 @@ def x10(spark, sf_dir):
 @register("x17_select_from_model", "X17", check="R")
 def x17(spark, sf_dir):
     tr, _, te = _split(spark, sf_dir)
-    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **SMALL_RF)
+    m = md.fit(tr, FEATURES, "y", "rf", scale=False, **FOREST)
     keep = md.select_from_model(md.importances(m, FEATURES))
     s = ev.regression_metrics(md.predict(md.fit(tr, keep, "y", "linear"), te), "y", "pred")
     return s.withColumn("selected", F.lit(",".join(keep)))
