@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import safe_corr
+from ..util import cut_lineage
 from .moments import pair_correlations
 from .splits import exact_percentiles, ordered_ranges, running_total_before
 
@@ -67,31 +68,46 @@ def feature_profile(df: DataFrame, features: list[str], target: str | None = Non
     """One row per feature: nunique (null counts as a value), missing and zero
     ratios, min, max, mean, std (ddof 1), bias-corrected skew, 0/1 check, and the
     polynomial signal ``|corr((x-mean)^2, y)| - |corr(x-mean, y)|`` when a target is
-    given. Everything comes from one aggregation plus one for the centred moments."""
-    means = df.agg(*[F.avg(_q(f)).alias(f) for f in features]).first().asDict()
-    structs = []
-    for f in features:
-        x = _q(f)
-        xc = x - F.lit(means[f] if means[f] is not None else 0.0)
-        n = F.count(x)
-        m2, m3 = F.avg(F.pow(xc, 2)), F.avg(F.pow(xc, 3))
-        g1 = m3 / F.pow(m2, 1.5)
-        skew = F.when((n > 2) & (m2 > 0), g1 * F.sqrt(n * (n - 1)) / (n - 2))
-        fields = [F.lit(f).alias("feature"),
-                  (F.count_distinct(x) + F.max(x.isNull().cast("int"))).alias("nunique"),
-                  F.avg(x.isNull().cast("double")).alias("missing_ratio"),
-                  F.avg(F.coalesce((x == 0).cast("double"), F.lit(0.0))).alias("zero_ratio"),
-                  F.min(x).cast("double").alias("min"), F.max(x).cast("double").alias("max"),
-                  F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), skew.alias("skew"),
-                  F.coalesce(F.bool_and(F.when(x.isNotNull(), x.isin(0, 1))), F.lit(False)).alias("is_binary")]
-        if target is not None:
-            y = _q(target)
-            sig = F.abs(safe_corr(F.pow(xc, 2), y)) - F.abs(safe_corr(xc, y))
-            own = F.when(x.isNotNull(), y)
-            enough = (n >= 5) & (F.count_distinct(x) >= 3) & (F.min(own) < F.max(own))
-            fields.append(F.when(enough, sig).alias("poly_signal"))
-        structs.append(F.struct(*fields))
-    return df.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    given.
+
+    The rows are read once, as counts per feature and value (with the target's moments
+    beside them), combined map-side; everything else comes from those counts, so there is
+    no distinct aggregate that would copy every row once per feature."""
+    y = _q(target).cast("double") if target is not None else F.lit(None).cast("double")
+    cells = df.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), _q(f).cast("double").alias("x"), y.alias("y")) for f in features])))
+    per = cut_lineage(cells.groupBy("feature", "x").agg(
+        F.count(F.lit(1)).cast("double").alias("c"), F.count("y").cast("double").alias("cy"), F.avg("y").alias("my"), F.var_pop("y").alias("vy"),
+        F.min("y").alias("ly"), F.max("y").alias("hy")))
+    x, c, has = F.col("x"), F.col("c"), F.col("x").isNotNull()
+    first = per.groupBy("feature").agg(
+        F.sum("c").alias("rows"), F.coalesce(F.sum(F.when(has, c)), F.lit(0.0)).alias("n"), F.count(F.lit(1)).alias("nunique"),
+        F.coalesce(F.sum(F.when(x == 0, c)), F.lit(0.0)).alias("zeros"), F.min("x").alias("min"), F.max("x").alias("max"),
+        F.try_divide(F.sum(F.when(has, c * x)), F.sum(F.when(has, c))).alias("mean"),
+        F.coalesce(F.bool_and(F.when(has, x.isin(0, 1))), F.lit(False)).alias("is_binary"), F.count("x").alias("values"),
+        F.coalesce(F.sum(F.when(has, F.col("cy"))), F.lit(0.0)).alias("ny"),
+        F.try_divide(F.sum(F.when(has & (F.col("cy") > 0), F.col("cy") * F.col("my"))), F.sum(F.when(has, F.nullif("cy", F.lit(0.0))))).alias("meany"),
+        F.min(F.when(has, F.col("ly"))).alias("ly"), F.max(F.when(has, F.col("hy"))).alias("hy"))
+    at = per.filter(has).join(first.select("feature", "mean", "meany"), "feature")              # one row per feature on the right
+    dx, dy, cy = x - F.col("mean"), F.col("my") - F.col("meany"), F.col("cy")
+    both = {"a": dx, "q": dx * dx}
+    sums = {"m2": F.sum(c * dx * dx), "m3": F.sum(c * dx * dx * dx), "yy": F.sum(F.when(cy > 0, cy * (F.col("vy") + dy * dy)))}
+    for k, v in both.items():
+        sums |= {f"s_{k}": F.sum(cy * v), f"ss_{k}": F.sum(cy * v * v), f"sy_{k}": F.sum(F.when(cy > 0, cy * v * dy))}
+    g = first.join(at.groupBy("feature").agg(*[e.alias(k) for k, e in sums.items()]), "feature", "left")
+    n, m2 = F.col("n"), F.col("m2") / F.nullif("n", F.lit(0.0))
+    skew = F.when((n > 2) & (m2 > 0), F.col("m3") / n / F.pow(m2, 1.5) * F.sqrt(n * (n - 1)) / (n - 2))
+
+    def corr(k):
+        var = F.col(f"ss_{k}") - F.try_divide(F.col(f"s_{k}") * F.col(f"s_{k}"), F.nullif("ny", F.lit(0.0)))
+        return F.abs(F.try_divide(F.col(f"sy_{k}"), F.nullif(F.sqrt(F.greatest(var, F.lit(0.0)) * F.col("yy")), F.lit(0.0))))
+
+    cols = ["feature", "nunique", (1 - n / F.col("rows")).alias("missing_ratio"), (F.col("zeros") / F.col("rows")).alias("zero_ratio"), "min", "max", "mean",
+            F.when(n > 1, F.sqrt(F.col("m2") / (n - 1))).alias("std"), skew.alias("skew"), "is_binary"]
+    if target is not None:
+        enough = (n >= 5) & (F.col("values") >= 3) & (F.col("ly") < F.col("hy"))
+        cols.append(F.when(enough, corr("q") - corr("a")).alias("poly_signal"))
+    every = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return every.join(g.select(*cols), "feature", "left")
 
 
 def transform_hint(profile: DataFrame, skew_min: float = 1.0, signal_min: float = 0.05) -> DataFrame:
