@@ -2,12 +2,14 @@
 
 The vocabulary file is a parameter (default: the 50k byte-level BPE of
 ``public_tokenizers``). Its rank form gives the ids of the ``tokenizers`` file and is
-several times faster; the tests hold one against the other.
+several times faster; the tests hold one against the other. Texts are first cut at the
+tokens that the ``tokenizers`` file adds to the vocabulary, which have ids of their own.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 import struct
 from functools import lru_cache
@@ -38,7 +40,7 @@ class _Pieces(dict):
 
 
 class ByteBpe:
-    def __init__(self, ranks_file: str, pattern: str):
+    def __init__(self, ranks_file: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
 
         with open(ranks_file, "rb") as f:
@@ -46,9 +48,19 @@ class ByteBpe:
         self.encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.plain = _Pieces(self.encoding.encode_ordinary, "")
         self.spaced = _Pieces(self.encoding.encode_ordinary, " ")
+        self.added = {t: struct.pack("<I", i) for t, i in (added or {}).items()}
+        # a match per added token, the longer first; never matches without any
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
 
     def pack(self, text: str) -> bytes:
         """Ids of the whole text as unsigned little-endian 32-bit integers."""
+        out, at = [], 0
+        for m in self.cut.finditer(text):
+            out += [self._pack_plain(text[at:m.start()]), self.added[m.group()]]
+            at = m.end()
+        return b"".join([*out, self._pack_plain(text[at:])]) if out else self._pack_plain(text)
+
+    def _pack_plain(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD_SPACE.search(text):
@@ -63,8 +75,15 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=2)
-def byte_bpe(ranks_file: str | None = None, pattern: str | None = None) -> ByteBpe:
+def byte_bpe(ranks_file: str | None = None, pattern: str | None = None, tokenizer_file: str | None = None) -> ByteBpe:
+    """The encoder of a rank file; ``tokenizer_file`` names the file whose added tokens count
+    (default: that of the default ranks, none for other ranks)."""
     import public_tokenizers
 
-    return ByteBpe(ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                   pattern or public_tokenizers.PATTERN)
+    if tokenizer_file is None and ranks_file is None:
+        tokenizer_file = public_tokenizers.path("byte_bpe_50k.json")
+    added = {}
+    if tokenizer_file is not None:
+        with open(tokenizer_file, encoding="utf-8") as f:
+            added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return ByteBpe(ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN, added)

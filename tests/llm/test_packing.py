@@ -16,9 +16,7 @@ def reference():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def reference_ids(text):
@@ -26,7 +24,8 @@ def reference_ids(text):
 
 
 @pytest.mark.parametrize("text", ["", " ", "a", " lead", "trail ", "two  spaces", "line\n next\nx", "tab\t x", "don't it's",
-                                  "naïve £5 99% ok", "日本語 テキスト", "  nbsp x", "x" * 300 + " y", "a 　b", "<|endoftext|> z"])
+                                  "naïve £5 99% ok", "日本語 テキスト", "  nbsp x", "x" * 300 + " y", "a 　b", "<|endoftext|> z", "<|endoftext|>",
+                                  "a <|endoftext|> b", "x<|endoftext|><|endoftext|>y", " <|endoftext|>\n z", "<|endoftext|", "<|endof text|>"])
 def test_ids_equal_the_public_tokenizer(text):
     assert np.frombuffer(byte_bpe().pack(text), "<u4").tolist() == reference_ids(text)
 
