@@ -31,6 +31,14 @@ HEADLINE = [
     "m02_split_by_ratio",         # row-ratio split without a global window
     "x14_cv_transform_choice",    # per-fold regressions for all features at once
     "st1_stream_hourly_flow",     # structured streaming, availableNow
+    "m04_split_time_quantile",    # exact time quantile from counts per value
+    "i05_cycle_need",             # lowest prefix per cycle, minute by minute
+    "j12_substring_match",        # rarest-gram match
+    "m26_per_station_vs_pooled",  # the same ridge apart and pooled from one pass of moments
+    "m28_flow_models_stock_choice",
+    "x18_rfe_cv",                 # recursive elimination, nested folds, all features
+    "x20_permutation_importance",  # all shuffles from one sort
+    "i12_live_summary",           # recursive projection as one fold
 ]
 
 

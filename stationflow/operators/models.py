@@ -14,7 +14,6 @@ import json
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..util import cut_lineage
 from . import evaluate as ev
+from .moments import least_squares
 from .prepare import FILLED, ExactPrepare
 from .splits import global_position, permute_column, shuffled_columns
 
@@ -191,30 +191,9 @@ def refit_sealed(train: DataFrame, valid: DataFrame, test: DataFrame, numeric: l
 
 # M26 -------------------------------------------------------------------------
 def per_group_ridge(df: DataFrame, group: str, numeric: list[str], label: str, alpha: float = 1.0) -> DataFrame:
-    """One closed-form ridge per group (the many-station form of M26): standardise
-    with ddof 0, add alpha to the Gram diagonal, intercept unpenalised. Each group
-    is one station's rows; output is one coefficient row per group."""
-    gtype = dict(df.dtypes)[group]
-    cols = [group, label, *numeric]
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[numeric].to_numpy(dtype=float)
-        y = pdf[label].to_numpy(dtype=float)
-        ok = ~np.isnan(x).any(axis=1) & ~np.isnan(y)
-        x, y = x[ok], y[ok]
-        mu, sd = x.mean(axis=0), x.std(axis=0)
-        sd = np.where(sd == 0, 1.0, sd)
-        z = (x - mu) / sd
-        ym = y.mean() if len(y) else 0.0
-        gram = z.T @ z + alpha * np.eye(len(numeric))
-        w = np.linalg.solve(gram, z.T @ (y - ym)) if len(y) else np.zeros(len(numeric))
-        coef = w / sd
-        b0 = ym - float(coef @ mu)
-        return pd.DataFrame([[pdf[group].iloc[0], float(b0), [float(c) for c in coef], int(len(y))]],
-                            columns=[group, "intercept", "coef", "n"])
-
-    schema = f"{group} {gtype}, intercept double, coef array<double>, n int"
-    return df.select(*cols).groupBy(group).applyInPandas(solve, schema=schema)
+    """One closed-form ridge per group (see ``moments.least_squares``): a coefficient row per
+    group; its rows meet only as moments."""
+    return least_squares(df, numeric, label, alpha, [group])
 
 
 def score_per_group(df: DataFrame, coefs: DataFrame, group: str, numeric: list[str]) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import diagnose as dg
-from ..operators import splits as sp
 from ..operators.windows import guarded
 from ..sources import adapter as ad
 from ..util import cut_lineage

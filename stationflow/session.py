@@ -27,16 +27,16 @@ SESSION_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "stationflow") -> SparkSession:
-    """Local session for tests and bench. On a cluster, use the cluster's session
-    and call :func:`configure` on it instead."""
+                  app: str = "stationflow", extra: dict[str, str] | None = None) -> SparkSession:
+    """Local session for tests and bench, with ``extra`` settings. On a cluster, use the
+    cluster's session and call :func:`configure` on it instead."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
-    for k, v in SESSION_CONF.items():
+    for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
