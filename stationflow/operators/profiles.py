@@ -189,7 +189,8 @@ def silhouette(profiles: DataFrame, labels: DataFrame, group: list[str], item: s
 
 # C10 -------------------------------------------------------------------------
 def kmeans_profiles(wide: DataFrame, feature_cols: list[str], k: int = 3, seed: int = 42) -> DataFrame:
-    """Scaled k-means of wide profile rows (``StandardScaler`` + ``KMeans``)."""
+    """Scaled k-means of wide profile rows (``StandardScaler`` + ``KMeans``). The rows are
+    written once: the fits and the labelling read them again and again."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -197,6 +198,7 @@ def kmeans_profiles(wide: DataFrame, feature_cols: list[str], k: int = 3, seed:
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_raw"),
                             StandardScaler(inputCol="_raw", outputCol="_f", withMean=True, withStd=True),
                             KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster")])
+    wide = cut_lineage(wide)
     return pipe.fit(wide).transform(wide).drop("_raw", "_f")
 
 

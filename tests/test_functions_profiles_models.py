@@ -2,8 +2,10 @@
 
 import datetime as dt
 import math
+import re
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from stationflow.functions import timeparts as tp
@@ -252,3 +254,47 @@ def test_fixed_month_folds_and_a_fold_without_validation(spark):
     got = {(r.fold, r.role): (r.a, r.b) for r in splits.fixed_month_folds(df, "day", 2024).groupBy("fold", "role")
            .agg(F.min(F.month("day")).alias("a"), F.max(F.month("day")).alias("b")).collect()}
     assert got == {(1, "train"): (1, 3), (1, "valid"): (4, 5), (2, "train"): (1, 5), (2, "valid"): (6, 7), (3, "train"): (1, 7), (3, "valid"): (8, 9)}
+
+
+def counted(df):
+    """``df`` through a task that counts its rows, and the count of all its runs."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.mapInArrow(run, df.schema), seen
+
+
+def test_kmeans_computes_its_rows_once(spark):
+    from stationflow.operators.profiles import kmeans_profiles
+    rows = [(i, float(i % 3 * 100 + i % 2), float(i % 3 * 50)) for i in range(30)]
+    df, seen = counted(spark.createDataFrame(rows, "id int, a double, b double"))
+    got = {r.id: r.cluster for r in kmeans_profiles(df, ["a", "b"], k=3).collect()}
+    assert len(set(got.values())) == 3 and all(got[i] == got[i % 3] for i in got)
+    assert seen.value == 30
+
+
+def test_od_daily_shuffles_line_items_once(spark, tmp_path):
+    from stationflow.sources.adapter import od_daily
+    day = dt.datetime(2024, 1, 5)
+    spark.createDataFrame([(1, 7, 1, 2.0, 10.0, 0.5, day), (1, 7, 2, 3.0, 11.0, 0.5, day), (2, 8, 1, 4.0, 12.0, 0.5, day), (None, 7, 1, 5.0, 13.0, 0.5, day),
+                           (3, 7, 1, 6.0, 14.0, 0.5, day), (1, None, 3, 7.0, 15.0, 0.5, day), (4, 9, 1, 8.0, 16.0, 0.5, day)],
+                          "l_orderkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 5), (2, 6), (2, 5), (3, None), (4, 5), (None, 5)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(5, 20), (6, 21), (6, 22), (None, 1)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(7, 3), (8, 4), (None, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = od_daily(spark, str(tmp_path)).select("order_id", "line", "start_id", "end_id", "cnt")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = sorted(tuple(r) for r in df.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert got == [(1, 1, "ST-3", "ST-20", 2.0), (1, 2, "ST-3", "ST-20", 3.0), (2, 1, "ST-4", "ST-20", 4.0), (2, 1, "ST-4", "ST-21", 4.0), (2, 1, "ST-4", "ST-22", 4.0)]
+    shuffles = re.findall(r"Exchange hashpartitioning\((\w+?)#", plan)
+    assert sorted(shuffles) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
