@@ -298,3 +298,50 @@ def test_od_daily_shuffles_line_items_once(spark, tmp_path):
     assert got == [(1, 1, "ST-3", "ST-20", 2.0), (1, 2, "ST-3", "ST-20", 3.0), (2, 1, "ST-4", "ST-20", 4.0), (2, 1, "ST-4", "ST-21", 4.0), (2, 1, "ST-4", "ST-22", 4.0)]
     shuffles = re.findall(r"Exchange hashpartitioning\((\w+?)#", plan)
     assert sorted(shuffles) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+
+
+def test_describe_computes_its_rows_once(spark):
+    from stationflow.operators.flow import describe
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=2000)
+    df, seen = counted(spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate(x)] + [(0, None), (None, 1.5)], "k int, v double"))
+    got = {r.k: r for r in describe(df, "v", keys=["k"]).collect()}
+    assert seen.value == 2002 and set(got) == {0, 1, None}
+    for k in (0, 1):
+        assert got[k]["count"] == 1000 and got[k].min == x[k::2].min() and got[k].max == x[k::2].max()
+        assert np.allclose([got[k][c] for c in ("p50", "p90", "p95", "p99")], np.quantile(x[k::2], [0.5, 0.9, 0.95, 0.99]))
+
+
+def test_percentiles_shuffle_only_values_near_them(spark, monkeypatch):
+    from stationflow.operators import splits
+    from stationflow.util import cut_lineage
+    x = np.random.default_rng(5).permutation(200_000) / 7.0
+    df = cut_lineage(spark.createDataFrame(pd.DataFrame({"v": x})))
+    probs = [0.0, 0.25, 0.5, 1.0]
+    near, calls = splits._values_near, []
+
+    def kept(*args):
+        calls.append(near(*args))
+        return calls[-1]
+
+    monkeypatch.setattr(splits, "_values_near", kept)
+    got = splits.exact_percentiles(df, "v", probs, written=True).first()[0]
+    assert np.allclose(got, np.quantile(x, probs), rtol=1e-15)
+    assert len(calls) == 1 and calls[0][1].count() < 4 * 6 / splits.SKETCH * 200_000
+
+
+def test_percentiles_hold_where_the_sketch_misleads(spark, monkeypatch):
+    from stationflow.operators import splits
+    near, margins = splits._values_near, []
+
+    def misled(rows, probs, keys, margin):
+        margins.append(margin)
+        return near(rows, probs if margin is None else [0.9] * len(probs), keys, margin)
+
+    monkeypatch.setattr(splits, "_values_near", misled)
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", float(i)) for i in range(3001)] + [("b", -inf), ("b", 2.0), ("b", nan), ("c", nan), (None, inf)]
+    got = {r.k: r.p for r in splits.exact_percentiles(spark.createDataFrame(rows, "k string, v double"), "v", [0.0, 0.5, 1.0], ["k"], "p").collect()}
+    assert len(margins) == 2 and margins[1] is None
+    assert got["a"] == [0.0, 1500.0, 3000.0] and got["b"][:2] == [-inf, 2.0] and np.isnan(got["b"][2])
+    assert np.isnan(got["c"]).all() and got[None] == [inf] * 3
