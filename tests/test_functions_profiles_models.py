@@ -345,3 +345,16 @@ def test_percentiles_hold_where_the_sketch_misleads(spark, monkeypatch):
     assert len(margins) == 2 and margins[1] is None
     assert got["a"] == [0.0, 1500.0, 3000.0] and got["b"][:2] == [-inf, 2.0] and np.isnan(got["b"][2])
     assert np.isnan(got["c"]).all() and got[None] == [inf] * 3
+
+
+def test_quantile_bins_compute_their_rows_once(spark):
+    from stationflow.operators.windows import quantile_bins
+    x = np.random.default_rng(6).normal(size=1000)
+    df, seen = counted(spark.createDataFrame([(float(v), float(i % 9)) for i, v in enumerate(x)] + [(None, 4.0)], "v double, w double"))
+    got = {r.bin: r for r in quantile_bins(df, "v", 4, value="w").collect()}
+    assert seen.value == 1001 and set(got) == {0, 1, 2, 3, None}
+    bins = pd.qcut(x, 4, labels=False)
+    for b in range(4):
+        w = (np.arange(1000) % 9)[bins == b]
+        assert got[b].n == len(w) and got[b].median == np.median(w) and np.isclose(got[b]["mean"], w.mean())
+    assert (got[None].n, got[None].median) == (1, 4.0)
