@@ -30,12 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back: cuts the
-    lineage like ``checkpoint()``, but compressed and column-pruned on later reads."""
+    lineage like ``checkpoint()``, but compressed (``compression``, or as the session says)
+    and column-pruned on later reads."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.parquet(path)
 
 

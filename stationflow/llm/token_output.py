@@ -15,7 +15,10 @@ at any slot by one seek, and reads on sequentially.
 :func:`written_order` does all of it: it writes the shards and reads its rows back from them.
 
 Ids are computed once and kept in the shared folder (16 bits an id for vocabularies below
-65,536, else 32). Only one number per partition comes to the driver.
+65,536, else 32; zstd). The shards are written in ``PASSES`` passes over the kept sequences, each
+for its range of shards, and the shuffle files of a pass are released before the next one, so
+that no more than that share of the sequences lies in shuffle files beside the shards. Only one
+number per partition comes to the driver.
 
 Defined results: null and empty texts are an end id; a null ``doc_id`` stays null; repeated
 rows are written as often as they occur; an empty table gives no sequences and no shards;
@@ -26,6 +29,7 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,6 +44,8 @@ END_ID = 50256
 SHARD = 4096             # sequences
 KEY = 20240229
 ROUNDS = 6
+PASSES = 2               # over the kept sequences, to write the shards
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def permute(index: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
@@ -116,35 +122,49 @@ def training_order(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, ke
                    ranks_file: str | None = None) -> DataFrame:
     """All sequences in slot order, by range partitions: ``slot, shard, byte_offset, doc_id,
     n_ids, ids_crc32, record``."""
+    return _ordered_passes(docs, 1, length, shard, key, end_id, ranks_file)[0]
+
+
+def _ordered_passes(docs: DataFrame, passes: int, length: int, shard: int, key: int, end_id: int, ranks_file: str | None) -> list[DataFrame]:
+    """:func:`training_order` in ``passes`` frames (fewer, if there are fewer shards), each with
+    the next shards; all read the sequences kept once."""
     spark = prepare(docs.sparkSession)
-    rows = stored(sequences(docs, length, end_id, ranks_file), "token-sequences")
+    rows = stored(sequences(docs, length, end_id, ranks_file), "token-sequences", "zstd")
     counts = {r["part"]: r["n"] for r in rows.groupBy("part").agg(F.count("*").alias("n")).collect()}
     count, offset = 0, {}
     for part in sorted(counts):
         offset[part], count = count, count + counts[part]
     offsets = spark.sparkContext.broadcast(offset)
     stride = length * (2 if end_id < 65536 else 4)
-
-    def place(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            index = [offsets.value[p] + n for p, n in zip(batch.column("part").to_pylist(), batch.column("number").to_pylist())]
-            slot = permute(np.array(index, np.int64), count, key)
-            size = stride // length
-            crc = [zlib.crc32(r[: n * size]) for r, n in zip(batch.column("record").to_pylist(), batch.column("n_ids").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // shard), pa.array(slot % shard * stride), batch.column("doc_id"), batch.column("n_ids"),
-                 pa.array(crc, pa.int64()), batch.column("record")],
-                names=["slot", "shard", "byte_offset", "doc_id", "n_ids", "ids_crc32", "record"])
-
-    kind = "slot long, shard long, byte_offset long, doc_id long, n_ids int, ids_crc32 long, record binary"
-    placed = rows.mapInArrow(place, kind)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # slots are dense: equal ranges of shards need no sampling pass
     shards = max(1, -(-count // shard))
-    ranges = placed.withColumn("_range", F.floor(F.col("shard") * min(parts, shards) / shards).cast("int"))
-    return ranges.repartition(min(parts, shards), "_range").sortWithinPartitions("slot").drop("_range")
+
+    def ordered(lo: int, hi: int) -> DataFrame:
+        def place(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                index = [offsets.value[p] + n for p, n in zip(batch.column("part").to_pylist(), batch.column("number").to_pylist())]
+                slot = permute(np.array(index, np.int64), count, key)
+                if (lo, hi) != (0, shards):
+                    mine = (slot >= lo * shard) & (slot < hi * shard)
+                    slot, batch = slot[mine], batch.filter(pa.array(mine))
+                size = stride // length
+                crc = [zlib.crc32(r[: n * size]) for r, n in zip(batch.column("record").to_pylist(), batch.column("n_ids").to_pylist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot), pa.array(slot // shard), pa.array(slot % shard * stride), batch.column("doc_id"), batch.column("n_ids"),
+                     pa.array(crc, pa.int64()), batch.column("record")],
+                    names=["slot", "shard", "byte_offset", "doc_id", "n_ids", "ids_crc32", "record"])
+
+        kind = "slot long, shard long, byte_offset long, doc_id long, n_ids int, ids_crc32 long, record binary"
+        # slots are dense: equal ranges of shards need no sampling pass
+        ranges = min(parts, hi - lo)
+        return rows.mapInArrow(place, kind).withColumn("_range", F.floor((F.col("shard") - lo) * ranges / (hi - lo)).cast("int")) \
+            .repartition(ranges, "_range").sortWithinPartitions("slot").drop("_range")
+
+    passes = min(passes, shards)
+    cuts = [shards * i // passes for i in range(passes + 1)]
+    return [ordered(lo, hi) for lo, hi in zip(cuts, cuts[1:])]
 
 
 def _place(folder: str):
@@ -208,7 +228,14 @@ def written_order(docs: DataFrame, folder: str | None = None, length: int = LENG
     return the rows of :func:`training_order` as the files hold them."""
     spark = prepare(docs.sparkSession)
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-shards-{uuid.uuid4().hex}"
-    told = stored(write_shards(training_order(docs, length, shard, key, end_id, ranks_file), folder, shard, length), "token-shards-told")
+    ordered = _ordered_passes(docs, PASSES, length, shard, key, end_id, ranks_file)
+    was = spark.conf.get(RELEASE)
+    spark.conf.set(RELEASE, "true")          # a pass is written when its shuffle files go
+    try:
+        each = [stored(write_shards(x, folder, shard, length), "token-shards-told") for x in ordered]
+    finally:
+        spark.conf.set(RELEASE, was)
+    told = reduce(DataFrame.unionByName, each)
     size = 2 if end_id < 65536 else 4
     stride = length * size
 

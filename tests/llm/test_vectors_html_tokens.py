@@ -311,3 +311,21 @@ def test_written_rows_are_the_training_order(spark, sf_dir, tmp_path):
     wide = token_output.written_order(docs.limit(3), shard=2, end_id=70000).collect()
     assert all(len(r.record) == 4096 and r.byte_offset == r.slot % 2 * 4096 for r in wide)
     assert token_output.written_order(docs.limit(0)).count() == 0
+
+
+def test_shards_are_written_pass_by_pass(spark, sf_dir, tmp_path, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    root = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before, was, seen, write = set(root.glob("token-sequences-*")), spark.conf.get(token_output.RELEASE), [], token_output.write_shards
+
+    def noted(ordered, *args):
+        seen.append(({r.shard for r in ordered.select("shard").collect()}, spark.conf.get(token_output.RELEASE)))
+        return write(ordered, *args)
+
+    monkeypatch.setattr(token_output, "write_shards", noted)
+    n = token_output.written_order(docs, str(tmp_path), shard=16).select("slot").distinct().count()
+    shards = -(-n // 16)
+    assert [s for s, _ in seen] == [set(range(shards // 2)), set(range(shards // 2, shards))]       # each pass shuffles half
+    assert [r for _, r in seen] == ["true", "true"] and spark.conf.get(token_output.RELEASE) == was
+    kept, = set(root.glob("token-sequences-*")) - before
+    assert all(f.name.endswith(".zstd.parquet") for f in kept.glob("part-*"))
