@@ -3,7 +3,9 @@
 The vocabulary file is a parameter (default: the 50k byte-level BPE of
 ``public_tokenizers``). Its rank form gives the ids of the ``tokenizers`` file and is
 several times faster; the tests hold one against the other. Texts are first cut at the
-tokens that the ``tokenizers`` file adds to the vocabulary, which have ids of their own.
+tokens that the ``tokenizers`` file adds to the vocabulary, which have ids of their own, and
+each stretch between them is encoded by one call. A table of the words seen so far would
+save time only while few words are new.
 """
 
 from __future__ import annotations
@@ -14,30 +16,6 @@ import re
 import struct
 from functools import lru_cache
 
-# A space next to other white space: the split rule of the vocabulary then looks across
-# the space, so such texts are encoded in one go.
-_ODD_SPACE = re.compile(r" \s|\s ")
-_CACHE_ENTRIES = 300_000
-_CACHE_CHARS = 48
-
-
-class _Pieces(dict):
-    """Space-led words seen so far -> packed ids. Every white-space-separated word starts
-    a new unit of the split rule, so ids of a text are those of its words in a row."""
-
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(self.lead + word)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(word) <= _CACHE_CHARS:
-            if len(self) >= _CACHE_ENTRIES:
-                self.clear()
-            self[word] = packed
-        return packed
-
 
 class ByteBpe:
     def __init__(self, ranks_file: str, pattern: str, added: dict[str, int] | None = None):
@@ -46,8 +24,6 @@ class ByteBpe:
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.plain = _Pieces(self.encoding.encode_ordinary, "")
-        self.spaced = _Pieces(self.encoding.encode_ordinary, " ")
         self.added = {t: struct.pack("<I", i) for t, i in (added or {}).items()}
         # a match per added token, the longer first; never matches without any
         self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
@@ -61,17 +37,8 @@ class ByteBpe:
         return b"".join([*out, self._pack_plain(text[at:])]) if out else self._pack_plain(text)
 
     def _pack_plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _ODD_SPACE.search(text):
-            ids = self.encoding.encode_ordinary(text)
-            return struct.pack(f"<{len(ids)}I", *ids)
-        first, *rest = text.split(" ")
-        if first == "" or (rest and rest[-1] == ""):  # a space at either end
-            ids = self.encoding.encode_ordinary(text)
-            return struct.pack(f"<{len(ids)}I", *ids)
-        spaced = self.spaced
-        return self.plain[first] + b"".join([spaced[w] for w in rest])
+        ids = self.encoding.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)

@@ -30,6 +30,20 @@ def test_ids_equal_the_public_tokenizer(text):
     assert np.frombuffer(byte_bpe().pack(text), "<u4").tolist() == reference_ids(text)
 
 
+def test_a_text_is_encoded_by_one_call_a_stretch(monkeypatch):
+    import tiktoken
+
+    calls, encode = [], tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or encode(self, text))
+    words = byte_bpe.__wrapped__()
+    text = " ".join(f"w{i}x" for i in range(2000))
+    assert np.frombuffer(words.pack(text), "<u4").tolist() == reference_ids(text)
+    assert calls == [text]
+    calls.clear()
+    assert np.frombuffer(words.pack(text + "<|endoftext|> z"), "<u4").tolist() == reference_ids(text + "<|endoftext|> z")
+    assert calls == [text, " z"]
+
+
 def test_limits_hold_on_every_axis_and_every_example_is_placed():
     rng = np.random.default_rng(0)
     tokens = rng.integers(1, 101, 700)
