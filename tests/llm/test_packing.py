@@ -44,6 +44,16 @@ def test_a_text_is_encoded_by_one_call_a_stretch(monkeypatch):
     assert calls == [text, " z"]
 
 
+def test_the_encoder_keeps_nothing_of_the_texts():
+    words = byte_bpe.__wrapped__()
+    held = lambda: {k: len(v) for k, v in vars(words).items() if hasattr(v, "__len__")}
+    before = held()
+    for i in range(50):
+        text = " ".join(f"v{i}x{j}" for j in range(100))
+        assert np.frombuffer(words.pack(text), "<u4").tolist() == reference_ids(text)
+    assert held() == before
+
+
 def test_limits_hold_on_every_axis_and_every_example_is_placed():
     rng = np.random.default_rng(0)
     tokens = rng.integers(1, 101, 700)
