@@ -35,25 +35,28 @@ def words_at(t: np.ndarray) -> np.ndarray:
 
 
 def _sort_directly(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ``at`` by their first ``depth`` bytes; only ties go on to the next 8."""
+    """Positions ``at`` by their first ``depth`` bytes; only ties go on, by keys of their group
+    and as many of the next bytes as fit beside it."""
     last = len(words) - 1
-    at = at[np.argsort(words[at], kind="stable")]
     key = words[at]
-    new = np.append(True, key[1:] != key[:-1])
-    for done in range(8, depth, 8):
-        group = np.cumsum(new)
+    order = np.argsort(key)
+    at, key = at[order], key[order]
+    rows, done = np.arange(len(at)), 8
+    while done < depth:
+        new = np.append(True, key[1:] != key[:-1])
         tied = ~new
         tied[:-1] |= ~new[1:]
-        rows = np.flatnonzero(tied)
-        if not len(rows):
+        left = np.flatnonzero(tied)
+        if not len(left):
             break
-        part, of = at[rows], group[rows]
-        key = words[np.minimum(part + done, last)]
-        order = np.lexsort((key, of))
+        rows, part = rows[left], at[rows[left]]
+        group = np.cumsum(new[left]).astype(np.uint64)
+        take = min(7, (64 - int(group[-1]).bit_length()) // 8)
+        key = group << np.uint64(8 * take) | words[np.minimum(part + done, last)] >> np.uint64(64 - 8 * take)
+        order = np.argsort(key)
         at[rows] = part[order]
         key = key[order]
-        first = np.append(True, (key[1:] != key[:-1]) | (of[1:] != of[:-1]))
-        new[rows] = first
+        done += take
     return at
 
 

@@ -12,12 +12,12 @@ How equal strings meet without shuffling every suffix:
    another chunk have the anchor, and is the stretch the same string everywhere?
 3. Equal strings are one: for a stretch that is the same everywhere, chunks send its
    fingerprint and smallest ``doc_id`` only. Where stretches differ, they send the strings,
-   once for each distinct one, with its smallest ``doc_id``. Anchors that very many chunks
-   have go window by window instead, dealt by the window's hash, so that no bucket gathers
-   all surroundings of a common phrase.
-4. Each bucket builds the suffix array of its strings (two-stage sorting), reads groups of
-   equal windows off the adjacent common prefixes, and answers with one bit per window: does
-   it start in a smaller document?
+   once for each distinct one, with its smallest ``doc_id``. Anchors with more strings than a
+   bucket can sort in bounded memory go window by window instead, dealt by the window's hash,
+   so that no bucket gathers all surroundings of a common phrase.
+4. Each bucket builds the suffix array of its distinct strings (two-stage sorting), reads
+   groups of equal windows off the adjacent common prefixes, and answers with one bit per
+   window: does it start in a smaller document?
 5. Chunks mark the covered bytes.
 
 The text is shuffled once (the three uses share one exchange); answers are bits. Groups are
@@ -45,9 +45,10 @@ from .suffix_array import shares_prefix, suffix_array
 MIN_LEN = 50
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20      # text per bucket of anchors
-SORT_BYTES = 2 << 20        # stretches sorted in one suffix array, unless one anchor has more
-COMMON_CHUNKS = 256         # anchors that more chunks have go window by window (bounds a bucket)
-PIECE_BYTES = 1 << 20
+SORT_BYTES = 1 << 19        # stretches sorted in one suffix array, unless one anchor has more
+COMMON_CHUNKS = 256         # anchors with more strings than CHUNK_STRINGS in each of so many chunks
+CHUNK_STRINGS = 256         # (65,536, about 4 MB) go window by window: it bounds what one sort takes
+PIECE_BYTES = 1 << 16       # text hashed at once: its arrays stay in the processor's cache
 _AT = 22                    # bits of a position within a piece buffer
 
 
@@ -71,7 +72,8 @@ def _string_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 
 def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
-    """A 64-bit hash of the ``k`` bytes from each position on, by doubling."""
+    """A 64-bit hash of the ``k`` bytes from each position on, by doubling. Only its high bits
+    are mixed well."""
     mul = odd_constants(80, 41)
     power, size, level = byte_table()[buf], 1, 0
     out, done = None, 0
@@ -84,7 +86,9 @@ def gram_hashes(buf: np.ndarray, k: int) -> np.ndarray:
                 out = out[:n] * mul[40 + level] + power[done: done + n]
                 done += size
         if done == k:
-            return mix64(out)
+            out = out ^ out >> np.uint64(32)                      # the high bits, which choose anchors, follow all others
+            out *= np.uint64(_BASE)
+            return out
         n = len(power) - size
         power = power[:n] * mul[level] + power[size:]
         size, level = size * 2, level + 1
@@ -119,7 +123,7 @@ def window_anchors(pieces: list[bytes], min_len: int, k: int):
     length = np.diff(np.append(cut, n))
     start = new[cut]
     first, count = cut[start], length[start]
-    return hashes[anchor[first]], first, count, _string_hashes(buf, first, first + count + min_len - 1)
+    return mix64(hashes[anchor[first]]), first, count, _string_hashes(buf, first, first + count + min_len - 1)
 
 
 class Chunk:
@@ -164,7 +168,7 @@ class Chunk:
         bucket = (self.hash >> np.uint64(40)) % np.uint64(buckets)
         self.mark = bucket << np.uint64(32) | self.hash & np.uint64(0xFFFFFFFF)
         # by anchor: its runs of windows, smallest and largest document, string
-        by = np.argsort(self.mark, kind="stable")
+        by = np.argsort(self.mark)
         edge = np.flatnonzero(np.append(True, np.diff(self.mark[by]) > 0)) if len(by) else np.zeros(0, np.int64)
         self.marks = self.mark[by[edge]]
         self.of = np.empty(len(by), np.int64)
@@ -175,6 +179,13 @@ class Chunk:
         self.text = reduce(np.minimum, self.string[by])
         self.varied = self.text < reduce(np.maximum, self.string[by])
 
+    def strings_of_varied(self) -> np.ndarray:
+        """How many strings each anchor has in this chunk: one unless ``varied``."""
+        rows = np.flatnonzero(self.varied[self.of])
+        pairs = np.unique(self.of[rows].astype(np.uint64) << np.uint64(32) | self.string[rows])
+        n = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(self.marks))
+        return np.clip(n, 1, 65535).astype(np.uint16)
+
     def by_bucket(self, *columns):
         """``(bucket, part of each column)`` of the distinct anchors, in ascending order."""
         bucket = (self.marks >> np.uint64(32)).astype(np.int64)
@@ -249,6 +260,12 @@ def _by_bucket(items):
         a = b
 
 
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``begin .. begin + size`` of each pair, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(begin - before, sizes) + np.arange(sizes.sum())
+
+
 def earlier_windows(strings: list[bytes], docs: np.ndarray, min_len: int) -> np.ndarray:
     """For every window of ``min_len`` bytes of the strings, in order: is it also in a string
     of a smaller document? ``docs`` has a document per string."""
@@ -256,8 +273,7 @@ def earlier_windows(strings: list[bytes], docs: np.ndarray, min_len: int) -> np.
     t = np.frombuffer(b"\xff".join(strings), np.uint8)            # a byte that UTF-8 never has
     begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     valid = np.zeros(len(t), bool)
-    for a, n in zip(begin, sizes):
-        valid[a: a + n - min_len + 1] = True
+    valid[_ranges(begin, sizes - min_len + 1)] = True
     doc = np.repeat(docs, sizes + 1)[: len(t)]
     sa = suffix_array(t, min_len)
     sa = sa[valid[sa]]
@@ -286,8 +302,8 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
 
     def send_marks(key, table):
         own = Chunk(table, buckets, min_len)
-        rows = [(b, key[0].as_py(), m.astype(np.uint32).tobytes(), t.tobytes(), np.packbits(v).tobytes())
-                for b, m, t, v in own.by_bucket(own.marks, own.text, own.varied)]
+        rows = [(b, key[0].as_py(), m.astype(np.uint32).tobytes(), t.tobytes(), np.packbits(v).tobytes(), n[v].tobytes())
+                for b, m, t, v, n in own.by_bucket(own.marks, own.text, own.varied, own.strings_of_varied())]
         return _table(rows, marks)
 
     def answer_marks(table):
@@ -295,14 +311,20 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
         text = np.concatenate([np.frombuffer(t, np.uint32) for t in table.column("text").to_pylist()])
         varied = np.concatenate([np.unpackbits(np.frombuffer(v, np.uint8), count=len(m)).astype(bool)
                                  for v, m in zip(table.column("varied").to_pylist(), own)])
-        values, of, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)   # distinct within a chunk
-        by = np.argsort(of, kind="stable")
-        edge = np.concatenate([[0], np.cumsum(n)[:-1]])
+        held = np.ones(len(text), np.int64)
+        held[varied] = np.concatenate([np.frombuffer(n, np.uint16) for n in table.column("strings").to_pylist()])
+        values = np.concatenate(own)                              # distinct within a chunk
+        by = np.argsort(values)
+        edge = np.flatnonzero(np.append(True, np.diff(values[by]) > 0))
+        n = np.diff(np.append(edge, len(by)))
         same = (np.minimum.reduceat(text[by], edge) == np.maximum.reduceat(text[by], edge)) & ~np.logical_or.reduceat(varied[by], edge)
+        common = np.add.reduceat(held[by], edge) > COMMON_CHUNKS * CHUNK_STRINGS
         ends = np.cumsum([len(m) for m in own])[:-1]
         columns = {"chunk": table.column("chunk"), "bucket": table.column("bucket")}
-        for name, mask in (("elsewhere", n > 1), ("common", n > COMMON_CHUNKS), ("same", same)):
-            columns[name] = pa.array([np.packbits(x).tobytes() for x in np.split(mask[of], ends)], pa.binary())
+        for name, mask in (("elsewhere", n > 1), ("common", common), ("same", same)):
+            told = np.empty(len(by), bool)
+            told[by] = np.repeat(mask, n)
+            columns[name] = pa.array([np.packbits(x).tobytes() for x in np.split(told, ends)], pa.binary())
         return pa.table(columns)
 
     def send_strings(key, table, told):
@@ -318,35 +340,37 @@ def remove_repeats(docs: DataFrame, min_len: int = MIN_LEN, chunk_bytes: int = C
         return _table(rows, strings)
 
     def sort_strings(table):
-        text, docs_of, part, owner = [], [], [], []
-        for i, (data, sizes, ids, p) in enumerate(zip(*(table.column(c).to_pylist() for c in ("bytes", "sizes", "docs", "part")))):
-            ends = np.cumsum(np.frombuffer(sizes, np.int32)).tolist()
-            text += [data[a:b] for a, b in zip([0, *ends], ends)]
-            docs_of.append(np.frombuffer(ids, np.int64))
-            part.append(np.frombuffer(p, np.uint16))
-            owner += [i] * len(ends)
-        docs_of, part = np.concatenate(docs_of), np.concatenate(part)
-        order = np.argsort(part, kind="stable")                   # strings of one anchor stay together
-        found: list = [None] * len(text)
-        a = 0
+        data = b"".join(table.column("bytes").to_pylist())
+        sizes, docs_of, part = (np.concatenate([np.frombuffer(x, kind) for x in table.column(c).to_pylist()])
+                                for c, kind in (("sizes", np.int32), ("docs", np.int64), ("part", np.uint16)))
+        ends = np.cumsum(sizes, dtype=np.int64).tolist()
+        seen: dict[bytes, int] = {}                               # many chunks send the same string
+        of = np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip([0, *ends], ends)], np.int64)
+        text = list(seen)
+        least, parts = np.full(len(text), np.iinfo(np.int64).max), np.zeros(len(text), np.uint16)
+        np.minimum.at(least, of, docs_of)
+        parts[of] = part
+        windows = np.array([len(s) - min_len + 1 for s in text], np.int64)
+        order = np.argsort(parts, kind="stable")                  # strings of one anchor stay together
+        found, a = [np.zeros(0, bool)], 0
         while a < len(order):
             b, size = a, 0
-            while b < len(order) and (size < SORT_BYTES or part[order[b]] == part[order[b - 1]]):
+            while b < len(order) and (size < SORT_BYTES or parts[order[b]] == parts[order[b - 1]]):
                 size += len(text[order[b]]) + 1
                 b += 1
-            rows = order[a:b]
-            found_bits = earlier_windows([text[i] for i in rows], docs_of[rows], min_len)
-            ends = np.cumsum([len(text[i]) - min_len + 1 for i in rows])
-            for i, e, n in zip(rows, ends, np.diff(ends, prepend=0)):
-                found[i] = found_bits[e - n: e]
+            found.append(earlier_windows([text[i] for i in order[a:b]], least[order[a:b]], min_len))
             a = b
-        edge = np.searchsorted(np.array(owner, np.int64), np.arange(table.num_rows + 1))
-        none = np.zeros(0, bool)
-        packed = [np.packbits(np.concatenate([none, *found[x:y]])).tobytes() for x, y in zip(edge[:-1], edge[1:])]
+        begin = np.empty(len(text), np.int64)                     # of each string's windows among all found
+        begin[order] = np.cumsum(windows[order]) - windows[order]
+        n = windows[of]
+        earlier = np.concatenate(found)[_ranges(begin[of], n)] | np.repeat(docs_of > least[of], n)
+        edge = np.cumsum([0] + [len(x) // 4 for x in table.column("sizes").to_pylist()])
+        cut_at = np.append(0, np.cumsum(n))[edge]
+        packed = [np.packbits(earlier[x:y]).tobytes() for x, y in zip(cut_at[:-1], cut_at[1:])]
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "earlier": pa.array(packed, pa.binary()),
                          "same_earlier": pa.array(_first_seen(table), pa.binary())})
 
-    marks = "bucket long, chunk long, marks binary, text binary, varied binary"
+    marks = "bucket long, chunk long, marks binary, text binary, varied binary, strings binary"
     bits = ("elsewhere", "common", "same")
     strings = "bucket long, chunk long, bytes binary, sizes binary, docs binary, part binary, same_marks binary, same_docs binary"
     answers = cut.applyInArrow(send_marks, marks).groupBy("bucket") \
@@ -393,10 +417,11 @@ def _first_seen(table: pa.Table) -> list[bytes]:
     docs = np.concatenate([np.frombuffer(d, np.int64) for d in table.column("same_docs").to_pylist()])
     if not len(docs):
         return [b""] * len(marks)
-    _, of = np.unique(np.concatenate(marks), return_inverse=True)
-    by = np.argsort(of, kind="stable")
-    edge = np.flatnonzero(np.append(True, np.diff(of[by]) > 0))
-    later = np.minimum.reduceat(docs[by], edge)[of] < docs
+    values = np.concatenate(marks)
+    by = np.argsort(values)
+    edge = np.flatnonzero(np.append(True, np.diff(values[by]) > 0))
+    later = np.empty(len(by), bool)
+    later[by] = np.repeat(np.minimum.reduceat(docs[by], edge), np.diff(np.append(edge, len(by)))) < docs[by]
     return [np.packbits(x).tobytes() for x in np.split(later, np.cumsum([len(m) for m in marks])[:-1])]
 
 
@@ -415,24 +440,24 @@ def _covered(own: Chunk, answers: dict, earlier: dict) -> np.ndarray:
     np.add.at(gone, own.first[whole], 1)
     np.add.at(gone, (own.first + own.count)[whole], -1)
     gone = np.cumsum(gone)
-    entry_bits: dict[int, np.ndarray] = {}
+    found, begin, at = [np.zeros(0, bool)], {}, 0                 # where each item's windows are among all found
     for bucket, part in _by_bucket(items):
         sizes = [len(x[3]) - own.min_len + 1 for x in part]
-        bits = np.unpackbits(np.frombuffer(earlier[bucket][0], np.uint8), count=sum(sizes)).astype(bool)
-        for x, e, n in zip(part, np.cumsum(sizes), sizes):
-            entry_bits[x[2]] = bits[e - n: e]
-    for e, windows in own.windows_of.items():
-        entry_bits[e] = np.array([entry_bits[~w][0] for w in windows], bool)
-    docs = own.ids[own.doc[own.runs]]
-    all_of_it = docs > own.ids[own.entry_doc[own.entry]] if len(docs) else []
-    for a, e, whole, d in zip(own.first[own.runs].tolist(), own.entry.tolist(), all_of_it, docs.tolist()):
-        bits = entry_bits[e]
-        if whole:
-            gone[a: a + len(bits)] = 1
-        elif e in own.windows_of:                                 # the window may be in an earlier document of this chunk
-            gone[a: a + len(bits)] = bits | (own.window_ids[own.windows_of[e]] < d)
-        else:
-            gone[a: a + len(bits)] = bits
+        found.append(np.unpackbits(np.frombuffer(earlier[bucket][0], np.uint8), count=sum(sizes)).astype(bool))
+        for x, n in zip(part, sizes):
+            begin[x[2]] = at
+            at += n
+    found = np.concatenate(found)
+    first, count, docs = own.first[own.runs], own.count[own.runs], own.ids[own.doc[own.runs]]
+    if len(docs):
+        gone[_ranges(first, count)] = np.repeat(docs > own.ids[own.entry_doc[own.entry]], count)
+        by_window = np.isin(own.entry, list(own.windows_of))
+        rows = np.flatnonzero(~by_window)
+        of = np.array([begin.get(e, 0) for e in range(len(own.entry_doc))], np.int64)[own.entry[rows]]
+        gone[_ranges(first[rows], count[rows])] |= found[_ranges(of, count[rows])]
+        for i in np.flatnonzero(by_window):                       # the window may be in an earlier document of this chunk
+            windows = own.windows_of[own.entry[i]]
+            gone[first[i]: first[i] + count[i]] |= found[[begin[~w] for w in windows]] | (own.window_ids[windows] < docs[i])
     edge = np.diff((gone > 0).astype(np.int8), prepend=0)
     cover = np.zeros(len(gone) + own.min_len, np.int32)
     np.add.at(cover, np.flatnonzero(edge == 1), 1)

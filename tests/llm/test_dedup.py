@@ -66,6 +66,28 @@ def test_suffix_edges_over_many_chunks(spark, monkeypatch, common):
     assert suffix_dedup.digest(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("strings", [2, 256])
+def test_suffix_anchors_of_many_chunks_go_as_stretches(spark, monkeypatch, strings):
+    """Only anchors with more strings than a bucket takes go window by window, however many
+    chunks have them; a window costs about as many bytes as a stretch of some 14 windows."""
+    sent, table = spark.sparkContext.accumulator(0), suffix_dedup._table
+
+    def counted(rows, schema):
+        sent.add(sum(len(r[2]) for r in rows) if " bytes binary" in schema else 0)
+        return table(rows, schema)
+
+    monkeypatch.setattr(suffix_dedup, "_table", counted)
+    monkeypatch.setattr(suffix_dedup, "COMMON_CHUNKS", 4)
+    monkeypatch.setattr(suffix_dedup, "CHUNK_STRINGS", strings, raising=False)
+    rng = random.Random(7)
+    line = "a line that very many of the documents have in common, at any place. "
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=60)) + line * (1 + i % 3) + "".join(rng.choices("abcdefgh ", k=60))) for i in range(40)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=300).collect()
+    want = {rows[i][0]: x for i, x in removed_by_hand(rows, 50).items()}
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got} == want
+    assert (sent.value < 2 * sum(len(t) for _, t in rows)) == (strings == 256)
+
+
 def test_text_column_keeps_whole_characters(spark):
     same = "é" * 30
     docs = spark.createDataFrame([(1, "à" + same), (2, "è" + same), (3, None)], "doc_id long, text string")
