@@ -361,3 +361,42 @@ def test_quantile_bins_compute_their_rows_once(spark):
         w = (np.arange(1000) % 9)[bins == b]
         assert got[b].n == len(w) and got[b].median == np.median(w) and np.isclose(got[b]["mean"], w.mean())
     assert (got[None].n, got[None].median) == (1, 4.0)
+
+
+def test_percentiles_by_counted_cells(spark, monkeypatch):
+    """Where values spread, no pass feeds a sketch, and rows meet their group's bounds by a hash."""
+    from stationflow.operators import splits
+    from stationflow.util import cut_lineage
+    x = np.random.default_rng(6).uniform(900, 100_000, 30_000)
+    df = cut_lineage(spark.createDataFrame(pd.DataFrame({"k": [f"ST-{i % 3}" for i in range(len(x))], "_v": x})))
+    plans = []
+
+    def kept(d):
+        plans.append(d._jdf.queryExecution().optimizedPlan().toString())
+        return cut_lineage(d)
+
+    monkeypatch.setattr(splits, "cut_lineage", kept)
+    bounds, near = splits._values_near(df, [0.5, 0.99], ["k"], 3 / splits.SKETCH)
+    assert plans and not any("percentile_approx" in p or "<=>" in p for p in plans)
+    assert near.count() < 2 * 3 * 2 * 3 / splits.CELLS * 10_000 and bounds.count() == 3
+    monkeypatch.undo()
+    got = {r.k: r.p for r in splits.exact_percentiles(df, "_v", [0.5, 0.99], ["k"], "p").collect()}
+    assert all(np.allclose(got[f"ST-{i}"], np.quantile(x[i::3], [0.5, 0.99]), rtol=1e-15) for i in range(3))
+
+
+def test_percentiles_of_odd_groups(spark):
+    from stationflow.operators import splits
+    rng = np.random.default_rng(8)
+    groups = {("a", None): np.exp(rng.normal(size=4000) * 20), (None, "a"): np.array([1e308, -1e308, 0.0, 5e-324, -0.0, 7.0]),
+              (None, None): np.array([3.25] * 50 + [4.0]), ("b", "c"): np.array([-5.0]), ("c", "b"): 1.7e9 + rng.random(3000)}
+    probs = [0.9, 0.0, 0.333, 1.0]
+    df = spark.createDataFrame([(*k, float(v)) for k, x in groups.items() for v in x] + [("d", "d", None)], "a string, b string, v double")
+    got = {(r.a, r.b): r.p for r in splits.exact_percentiles(df, "v", probs, ["a", "b"], "p").collect()}
+    assert set(got) == set(groups)
+    for k, x in groups.items():
+        at, s = np.array(probs) * (len(x) - 1), np.sort(x)
+        lo, hi = s[np.floor(at).astype(int)], s[np.ceil(at).astype(int)]
+        want = np.where(lo == hi, lo, (np.ceil(at) - at) * lo + (at - np.floor(at)) * hi)
+        assert np.allclose(got[k], want, rtol=1e-12, atol=0)
+    rows = df.filter("a = 'a' AND b IS NULL").select(F.col("v").alias("_v"))
+    assert splits._bounds_by_cells(rows, probs, []) is None          # nearly all values in one cell
