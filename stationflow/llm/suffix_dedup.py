@@ -65,7 +65,7 @@ def _powers(n: int):
 
 def _string_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """32-bit hashes of the strings ``start .. end`` of the buffer."""
-    power, inverse = _powers(1 << max(21, len(buf).bit_length()))
+    power, inverse = _powers(1 << max(17, len(buf).bit_length()))
     total = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(byte_table(12)[buf] * power[: len(buf)], dtype=np.uint64, out=total[1:])
     return (mix64((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
